@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tardy.operators import clean as C
 from tardy.operators import models as M
+from tardy.operators import reports as R
 from tardy.plans.oracle import ORACLE, register, with_ctes
 from tardy.sources import fixtures as X
 
@@ -93,6 +94,311 @@ def q_mart(spark, sf_dir):
     return star(spark, sf_dir).mart
 
 
+# ---------------------------------------------------------------------------
+# per-step keys of the cleaning job
+# ---------------------------------------------------------------------------
+
+READY_COLS = ("station_id, station_name, destination, destination_id, scheduled_time, delay_seconds, "
+              "canceled, vehicle_id, vehicle_type, platform, occupancy, ingested_at")
+KEY3 = "station_id, vehicle_id, scheduled_time"
+
+
+@query("parse_timestamps", with_ctes("raw_departures", """
+select station_id, vehicle_id, scheduled_time as scheduled_text, ingested_at as ingested_text,
+       try_cast(scheduled_time as timestamp) as scheduled_time, try_cast(ingested_at as timestamp) as ingested_at
+from raw_departures"""))
+def q_parse_timestamps(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return C.parse_timestamps(r.select("station_id", "vehicle_id",
+                                       F.col("scheduled_time").alias("scheduled_text"),
+                                       F.col("ingested_at").alias("ingested_text"),
+                                       "scheduled_time", "ingested_at"))
+
+
+@query("fill_defaults", with_ctes("ready", f"select {READY_COLS} from ready"))
+def q_fill_defaults(spark, sf_dir):
+    return C.filter_ready(raw(spark, sf_dir))
+
+
+@query("filter_required", with_ctes("ready", f"""
+select {READY_COLS} from ready
+where station_id is not null and vehicle_id is not null and scheduled_time is not null"""))
+def q_filter_required(spark, sf_dir):
+    return C.filter_required(C.filter_ready(raw(spark, sf_dir)))
+
+
+@query("dedup_departures", with_ctes("clean", f"select {READY_COLS} from clean"))
+def q_dedup(spark, sf_dir):
+    return C.dedup_departures(C.filter_required(C.filter_ready(raw(spark, sf_dir))))
+
+
+def _derived(name, col, sql_col):
+    @query(name, with_ctes("clean", f"select {KEY3}, {sql_col} as {col} from clean"))
+    def q(spark, sf_dir):
+        return cleaned(spark, sf_dir).select("station_id", "vehicle_id", "scheduled_time", col)
+    return q
+
+
+_derived("derive_is_delayed", "is_delayed", "is_delayed")
+_derived("derive_delay_minutes", "delay_minutes", "delay_minutes")
+_derived("derive_hour", "departure_hour", "departure_hour")
+_derived("derive_date", "departure_date", "departure_date")
+_derived("derive_day_of_week", "day_of_week", "day_of_week")
+
+
+# ---------------------------------------------------------------------------
+# staging / dimension scalars (B14, B15, B17-B19, B21), filters (C3, C4), joins
+# ---------------------------------------------------------------------------
+
+@query("surrogate_key", with_ctes("stg", "select departure_key, station_id, vehicle_id, scheduled_time from stg"))
+def q_surrogate_key(spark, sf_dir):
+    return star(spark, sf_dir).stg.select("departure_key", "station_id", "vehicle_id", "scheduled_time")
+
+
+@query("stage_casts", with_ctes("stg", """
+select departure_key, departure_hour, day_of_week, delay_seconds, delay_minutes, is_delayed, is_canceled from stg"""))
+def q_stage_casts(spark, sf_dir):
+    return star(spark, sf_dir).stg.select("departure_key", "departure_hour", "day_of_week", "delay_seconds",
+                                          "delay_minutes", "is_delayed", "is_canceled")
+
+
+@query("primary_name", with_ctes("stg", """
+select departure_key, station_name, split_part(station_name, '/', 1) as station_name_primary from stg"""))
+def q_primary_name(spark, sf_dir):
+    from tardy.functions.scalars import primary_name
+    return star(spark, sf_dir).stg.select("departure_key", "station_name",
+                                          primary_name("station_name").alias("station_name_primary"))
+
+
+@query("peak_flag", with_ctes("fct", """
+select departure_key, departure_hour,
+       case when departure_hour between 7 and 9 then true when departure_hour between 16 and 18 then true
+            else false end as is_peak_hour
+from fct"""))
+def q_peak_flag(spark, sf_dir):
+    from tardy.functions.scalars import peak_flag
+    return star(spark, sf_dir).fct.select("departure_key", "departure_hour",
+                                          peak_flag("departure_hour").alias("is_peak_hour"))
+
+
+@query("time_period", with_ctes("fct", """
+select departure_key, departure_hour,
+       case when departure_hour between 6 and 11 then 'Morning' when departure_hour between 12 and 16 then 'Afternoon'
+            when departure_hour between 17 and 20 then 'Evening' else 'Night' end as time_period
+from fct"""))
+def q_time_period(spark, sf_dir):
+    from tardy.functions.scalars import time_period
+    return star(spark, sf_dir).fct.select("departure_key", "departure_hour",
+                                          time_period("departure_hour").alias("time_period"))
+
+
+@query("hour_label", with_ctes("mart", """
+select station_id, station_name, departure_hour, cast(departure_hour as varchar) || ':00' as hour_label from mart"""))
+def q_hour_label(spark, sf_dir):
+    from tardy.functions.scalars import hour_label
+    return star(spark, sf_dir).mart.select("station_id", "station_name", "departure_hour",
+                                           hour_label("departure_hour").alias("hour_label"))
+
+
+@query("filter_known_station", with_ctes("stg", """
+select departure_key, station_id, station_name from stg where station_id is not null"""))
+def q_filter_known_station(spark, sf_dir):
+    return star(spark, sf_dir).stg.filter(F.col("station_id").isNotNull()) \
+        .select("departure_key", "station_id", "station_name")
+
+
+@query("filter_delayed", with_ctes("fct", "select * from fct where is_delayed"))
+def q_filter_delayed(spark, sf_dir):
+    return star(spark, sf_dir).fct.filter(F.col("is_delayed"))
+
+
+@query("join_fact_station", with_ctes("mart", """
+select f.departure_key, f.station_id, s.station_name, s.station_name_primary
+from fct f left join dim_stations s on f.station_id = s.station_id"""))
+def q_join_fact_station(spark, sf_dir):
+    m = star(spark, sf_dir)
+    return m.fct.select("departure_key", "station_id").join(m.dim_stations, "station_id", "left") \
+        .select("departure_key", "station_id", "station_name", "station_name_primary")
+
+
+@query("join_fact_time", with_ctes("mart", """
+select f.departure_key, f.departure_hour, t.is_peak_hour, t.time_period
+from fct f left join dim_time t on f.departure_hour = t.hour_of_day"""))
+def q_join_fact_time(spark, sf_dir):
+    m = star(spark, sf_dir)
+    return (m.fct.select("departure_key", "departure_hour")
+             .join(F.broadcast(m.dim_time), F.col("departure_hour") == F.col("hour_of_day"), "left")
+             .select("departure_key", "departure_hour", "is_peak_hour", "time_period"))
+
+
+@query("load_departures", with_ctes("mart", """
+select f.*, s.station_name_primary from fct f left join dim_stations s on f.station_id = s.station_id"""))
+def q_load_departures(spark, sf_dir):
+    m = star(spark, sf_dir)
+    return M.load_departures(m.fct, m.dim_stations)
+
+
+@query("load_summary", with_ctes("mart", "select * from mart"))
+def q_load_summary(spark, sf_dir):
+    return star(spark, sf_dir).mart
+
+
+# ---------------------------------------------------------------------------
+# mart metric parts (F2-F6), per station x hour over the fact
+# ---------------------------------------------------------------------------
+
+def _part(name, spark_aggs, sql_aggs):
+    @query(name, with_ctes("fct", f"""
+select station_id, departure_hour, {sql_aggs} from fct group by station_id, departure_hour"""))
+    def q(spark, sf_dir):
+        return star(spark, sf_dir).fct.groupBy("station_id", "departure_hour").agg(*spark_aggs())
+    return q
+
+
+_part("agg_total", lambda: [F.count(F.lit(1)).alias("total_departures")], "count(*) as total_departures")
+_part("agg_conditional_counts",
+      lambda: [F.count_if("is_delayed").alias("delayed_departures"),
+               F.count_if("is_canceled").alias("canceled_departures")],
+      "cast(sum(case when is_delayed then 1 else 0 end) as bigint) as delayed_departures, "
+      "cast(sum(case when is_canceled then 1 else 0 end) as bigint) as canceled_departures")
+_part("agg_avg_rounded",
+      lambda: [F.round(F.avg("delay_seconds"), 1).alias("avg_delay_seconds"),
+               F.round(F.avg("delay_minutes"), 1).alias("avg_delay_minutes")],
+      "round(avg(delay_seconds), 1) as avg_delay_seconds, round(avg(delay_minutes), 1) as avg_delay_minutes")
+_part("agg_max", lambda: [F.max("delay_seconds").alias("max_delay_seconds")],
+      "max(delay_seconds) as max_delay_seconds")
+_part("agg_rate_pct",
+      lambda: [F.round(F.count_if("is_delayed") * F.lit(100.0) / F.count(F.lit(1)), 1).alias("delay_rate_pct")],
+      "round(sum(case when is_delayed then 1 else 0 end) * 100.0 / count(*), 1) as delay_rate_pct")
+
+
+# ---------------------------------------------------------------------------
+# reports (F7-F14, G1-G4)
+# ---------------------------------------------------------------------------
+
+_DEPS = "(select f.*, s.station_name_primary from fct f left join dim_stations s on f.station_id = s.station_id)"
+
+
+@query("kpi_summary", with_ctes("mart", f"""
+select a.total_departures, a.total_delayed,
+       case when a.total_departures > 0 then round_even(a.total_delayed / a.total_departures * 100, 1)
+            else 0.0 end as overall_delay_rate,
+       case when b.n > 0 then round_even(b.m, 1) else 0.0 end as avg_delay
+from (select cast(coalesce(sum(total_departures), 0) as bigint) as total_departures,
+             cast(coalesce(sum(delayed_departures), 0) as bigint) as total_delayed from mart) a,
+     (select avg(delay_minutes) as m, count(delay_minutes) as n from {_DEPS} where is_delayed) b"""))
+def q_kpi_summary(spark, sf_dir):
+    m = star(spark, sf_dir)
+    return R.kpi_summary(m.mart, m.fct, m.dim_stations)
+
+
+@query("analysis_period", with_ctes("fct", """
+select min(departure_date) as min_date, max(departure_date) as max_date,
+       count(distinct departure_date) as unique_dates from fct"""))
+def q_analysis_period(spark, sf_dir):
+    return R.analysis_period(star(spark, sf_dir).fct)
+
+
+@query("delay_by_station", with_ctes("mart", """
+select *, cast(row_number() over (order by delay_rate asc nulls last, station_name_primary asc) as integer) as rate_rank
+from (select station_name_primary, cast(sum(total_departures) as bigint) as total,
+             cast(sum(delayed_departures) as bigint) as delayed,
+             round(avg(avg_delay_minutes), 6) as avg_delay,
+             round_even(sum(delayed_departures) / sum(total_departures) * 100, 1) as delay_rate
+      from mart where station_name_primary is not null group by station_name_primary)"""))
+def q_delay_by_station(spark, sf_dir):
+    return R.delay_by_station(star(spark, sf_dir).mart)
+
+
+@query("rank_stations_by_rate", with_ctes("mart", """
+select station_name_primary, delay_rate,
+       cast(row_number() over (order by delay_rate asc nulls last, station_name_primary asc) as integer) as rate_rank
+from (select station_name_primary,
+             round_even(sum(delayed_departures) / sum(total_departures) * 100, 1) as delay_rate
+      from mart where station_name_primary is not null group by station_name_primary)"""))
+def q_rank_stations(spark, sf_dir):
+    return R.delay_by_station(star(spark, sf_dir).mart).select("station_name_primary", "delay_rate", "rate_rank")
+
+
+@query("delay_by_hour", with_ctes("mart", """
+select departure_hour, cast(sum(total_departures) as bigint) as total, cast(sum(delayed_departures) as bigint) as delayed,
+       round_even(sum(delayed_departures) / sum(total_departures) * 100, 1) as delay_rate
+from mart where departure_hour is not null group by departure_hour"""))
+def q_delay_by_hour(spark, sf_dir):
+    return R.delay_by_hour(star(spark, sf_dir).mart)
+
+
+_PERIOD_RANK = ("case time_period when 'Morning' then 1 when 'Afternoon' then 2 when 'Evening' then 3 "
+                "when 'Night' then 4 end")
+_OCC_RANK = "case occupancy when 'low' then 1 when 'medium' then 2 when 'high' then 3 when 'unknown' then 4 end"
+
+
+@query("delay_by_period", with_ctes("mart", f"""
+select time_period, cast(sum(total_departures) as bigint) as total, cast(sum(delayed_departures) as bigint) as delayed,
+       round(avg(avg_delay_minutes), 6) as avg_delay,
+       round_even(sum(delayed_departures) / sum(total_departures) * 100, 1) as delay_rate,
+       cast({_PERIOD_RANK} as integer) as sort_rank
+from mart where time_period is not null group by time_period"""))
+def q_delay_by_period(spark, sf_dir):
+    return R.delay_by_period(star(spark, sf_dir).mart)
+
+
+@query("order_periods", with_ctes("mart", f"""
+select time_period, cast({_PERIOD_RANK} as integer) as sort_rank
+from mart where time_period is not null group by time_period"""))
+def q_order_periods(spark, sf_dir):
+    return R.delay_by_period(star(spark, sf_dir).mart).select("time_period", "sort_rank")
+
+
+@query("delay_by_occupancy", with_ctes("mart", f"""
+select occupancy, count(departure_key) as total, cast(sum(case when is_delayed then 1 else 0 end) as bigint) as delayed,
+       round(avg(delay_minutes), 6) as avg_delay,
+       round_even(sum(case when is_delayed then 1 else 0 end) / count(departure_key) * 100, 1) as delay_rate,
+       cast({_OCC_RANK} as integer) as sort_rank
+from {_DEPS} where occupancy is not null group by occupancy"""))
+def q_delay_by_occupancy(spark, sf_dir):
+    m = star(spark, sf_dir)
+    return R.delay_by_occupancy(m.fct, m.dim_stations)
+
+
+@query("order_occupancy", with_ctes("mart", f"""
+select occupancy, cast({_OCC_RANK} as integer) as sort_rank from {_DEPS} where occupancy is not null group by occupancy"""))
+def q_order_occupancy(spark, sf_dir):
+    m = star(spark, sf_dir)
+    return R.delay_by_occupancy(m.fct, m.dim_stations).select("occupancy", "sort_rank")
+
+
+_HEAT_FILTER = "station_name_primary is not null and departure_hour is not null"
+
+
+@query("delay_heatmap", with_ctes("mart", "select station_name_primary, " + ", ".join(
+    f"coalesce(round(avg(delay_rate_pct) filter (where departure_hour = {h}), 6), 0.0) as h{h:02d}"
+    for h in range(24)) + f" from mart where {_HEAT_FILTER} group by station_name_primary"))
+def q_delay_heatmap(spark, sf_dir):
+    return R.delay_heatmap(star(spark, sf_dir).mart)
+
+
+@query("delay_heatmap_long", with_ctes("mart", f"""
+select n.station_name_primary, h.departure_hour, cast(h.departure_hour as varchar) || ':00' as hour_label,
+       round_even(coalesce(c.v, 0.0), 1) as delay_rate_pct
+from (select distinct station_name_primary from mart where {_HEAT_FILTER}) n
+cross join (select distinct departure_hour from mart where {_HEAT_FILTER}) h
+left join (select station_name_primary, departure_hour, avg(delay_rate_pct) as v from mart
+           where {_HEAT_FILTER} group by 1, 2) c
+  on c.station_name_primary = n.station_name_primary and c.departure_hour = h.departure_hour"""))
+def q_delay_heatmap_long(spark, sf_dir):
+    return R.delay_heatmap_long(star(spark, sf_dir).mart)
+
+
+@query("station_list", with_ctes("dim_stations", """
+select station_id, station_name, station_name_primary,
+       cast(row_number() over (order by station_name_primary asc nulls last, station_id asc, station_name asc nulls last)
+            as integer) as list_rank
+from dim_stations"""))
+def q_station_list(spark, sf_dir):
+    return R.station_list(star(spark, sf_dir).dim_stations)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
@@ -100,5 +406,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {k: v for k, v in ORACLE.items() if k in QUERIES}
 
-
-_ = F  # functions are used by later sections
