@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tardy.operators import clean as C
 from tardy.operators import models as M
+from tardy.operators import quality as Q
 from tardy.operators import reports as R
 from tardy.plans.oracle import ORACLE, register, with_ctes
 from tardy.sources import fixtures as X
@@ -399,6 +400,75 @@ def q_station_list(spark, sf_dir):
     return R.station_list(star(spark, sf_dir).dim_stations)
 
 
+# ---------------------------------------------------------------------------
+# data quality (H1-H5, E4); H1-H4 run on dirty input so a pass is not an empty set
+# ---------------------------------------------------------------------------
+
+_SQL_MODEL = {"stg_departures": "stg", "dim_stations": "dim_stations", "dim_time": "dim_time",
+              "fct_delays": "fct", "mart_delay_summary": "mart"}
+
+
+def _sql_literal(v):
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def _test_sql(t: Q.Test) -> str:
+    m, c = _SQL_MODEL[t.model], t.column
+    if t.kind == "unique":
+        f = f"(select count(*) from (select {c} from {m} where {c} is not null group by {c} having count(*) > 1))"
+    elif t.kind == "not_null":
+        f = f"(select count(*) from {m} where {c} is null)"
+    elif t.kind == "accepted_values":
+        vals = ", ".join(_sql_literal(v) for v in t.values)
+        f = f"(select count(distinct {c}) from {m} where {c} is not null and {c} not in ({vals}))"
+    else:
+        p = _SQL_MODEL[t.to]
+        f = (f"(select count(*) from {m} x where x.{c} is not null and not exists "
+             f"(select 1 from {p} y where y.{t.to_field} = x.{c}))")
+    return (f"select '{t.name}' as test_name, '{t.model}' as model, '{c}' as column_name, "
+            f"cast({f} as bigint) as failures")
+
+
+@query("dq_report", with_ctes("mart", "\nunion all\n".join(_test_sql(t) for t in Q.DECLARED_TESTS)))
+def q_dq_report(spark, sf_dir):
+    return Q.quality_report(star(spark, sf_dir).tables())
+
+
+@query("dq_unique", with_ctes("raw_departures", """
+select departure_key, count(*) as n_records
+from (select md5(station_id || '-' || vehicle_id || '-' || scheduled_time) as departure_key from raw_departures)
+where departure_key is not null group by departure_key having count(*) > 1"""))
+def q_dq_unique(spark, sf_dir):
+    from tardy.functions.scalars import surrogate_key
+    r = raw(spark, sf_dir).select(surrogate_key("station_id", "vehicle_id", "scheduled_time").alias("departure_key"))
+    return Q.dq_unique(r, "departure_key")
+
+
+@query("dq_not_null", with_ctes("raw_departures", "select * from raw_departures where station_id is null"))
+def q_dq_not_null(spark, sf_dir):
+    return Q.dq_not_null(raw(spark, sf_dir), "station_id")
+
+
+_KNOWN_NAMES = ", ".join(_sql_literal(v) for v in X.STATION_NAMES)
+
+
+@query("dq_accepted_values", with_ctes("raw_departures", f"""
+select station_name, count(*) as n_records from raw_departures
+where station_name is not null and station_name not in ({_KNOWN_NAMES}) group by station_name"""))
+def q_dq_accepted_values(spark, sf_dir):
+    return Q.dq_accepted_values(raw(spark, sf_dir), "station_name", X.STATION_NAMES)
+
+
+@query("dq_relationships", with_ctes("mart", """
+select f.* from fct f where f.destination_id is not null
+and not exists (select 1 from dim_stations s where s.station_id = f.destination_id)"""))
+def q_dq_relationships(spark, sf_dir):
+    m = star(spark, sf_dir)
+    return Q.dq_relationships(m.fct, "destination_id", m.dim_stations, "station_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
