@@ -15,8 +15,10 @@ from tardy.operators import clean as C
 from tardy.operators import models as M
 from tardy.operators import quality as Q
 from tardy.operators import reports as R
-from tardy.plans.oracle import ORACLE, register, with_ctes
+from tardy.plans.oracle import ORACLE, register, with_ctes, with_liveboards
 from tardy.sources import fixtures as X
+from tardy.sources import liveboard as L
+from tardy.sources import messages as P
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -469,6 +471,103 @@ def q_dq_relationships(spark, sf_dir):
     return Q.dq_relationships(m.fct, "destination_id", m.dim_stations, "station_id")
 
 
+# ---------------------------------------------------------------------------
+# ingest: liveboard documents -> events -> messages / dead letters
+# ---------------------------------------------------------------------------
+
+EV11 = ["station_id", "station_name", "destination", "destination_id", "scheduled_time", "delay_seconds",
+        "canceled", "vehicle_id", "vehicle_type", "platform", "occupancy"]
+EV11_SQL = ", ".join(EV11)
+_OK = "parse_error is null"
+_PUBLISHABLE = "coalesce(station_id, '') <> '' and coalesce(vehicle_id, '') <> ''"
+
+
+def lb_events(spark, sf_dir) -> DataFrame:
+    return L.liveboard_events(X.liveboard_documents(spark, sf_dir))
+
+
+@query("flatten_liveboards", with_liveboards(f"select doc_id, pos, {EV11_SQL} from lb_events where {_OK}"))
+def q_flatten(spark, sf_dir):
+    return lb_events(spark, sf_dir).filter(F.col("parse_error").isNull()).select("doc_id", "pos", *EV11)
+
+
+_SOME_STATIONS = ["Brussels-South", "Brussels-Central", "Antwerpen-Centraal"]
+
+
+@query("multi_station_ingest", with_liveboards(f"""
+select {EV11_SQL} from lb_events where {_OK}
+and requested_station in ('Brussels-South', 'Brussels-Central', 'Antwerpen-Centraal')"""))
+def q_multi_station(spark, sf_dir):
+    return L.multi_station_ingest(X.liveboard_documents(spark, sf_dir), _SOME_STATIONS).select(*EV11)
+
+
+@query("epoch_to_iso", with_liveboards("select doc_id, pos, scheduled_time from lb_events"))
+def q_epoch_to_iso(spark, sf_dir):
+    return lb_events(spark, sf_dir).select("doc_id", "pos", "scheduled_time")
+
+
+@query("parse_int_default", with_liveboards(f"select doc_id, pos, delay_seconds from lb_events where {_OK}"))
+def q_parse_int_default(spark, sf_dir):
+    return lb_events(spark, sf_dir).filter(F.col("parse_error").isNull()).select("doc_id", "pos", "delay_seconds")
+
+
+@query("decode_flag", with_liveboards("select doc_id, pos, canceled from lb_events"))
+def q_decode_flag(spark, sf_dir):
+    return lb_events(spark, sf_dir).select("doc_id", "pos", "canceled")
+
+
+_NESTED = ["station_id", "station_name", "destination", "destination_id", "vehicle_id", "vehicle_type",
+           "platform", "occupancy"]
+
+
+@query("nested_default", with_liveboards(f"select doc_id, pos, {', '.join(_NESTED)} from lb_events"))
+def q_nested_default(spark, sf_dir):
+    return lb_events(spark, sf_dir).select("doc_id", "pos", *_NESTED)
+
+
+@query("filter_publishable", with_liveboards(f"select {EV11_SQL} from lb_events where {_OK} and {_PUBLISHABLE}"))
+def q_filter_publishable(spark, sf_dir):
+    ev = lb_events(spark, sf_dir)
+    return ev.filter(F.col("parse_error").isNull() & P.publishable()).select(*EV11)
+
+
+@query("publish_valid", with_liveboards(f"""
+select station_id as key, {EV11_SQL} from lb_events where {_OK} and {_PUBLISHABLE}"""))
+def q_publish_valid(spark, sf_dir):
+    msgs = P.to_messages(lb_events(spark, sf_dir))
+    return msgs.select("key", P.parse_message(F.col("value")).alias("m")).select("key", *[f"m.{c}" for c in EV11])
+
+
+@query("dead_letter", with_liveboards(f"""
+select coalesce(parse_error, 'Missing required fields') as failure_reason, {EV11_SQL}
+from lb_events where not ({_OK} and {_PUBLISHABLE})"""))
+def q_dead_letter(spark, sf_dir):
+    from tardy.schemas import DEAD_LETTER_SCHEMA
+    dl = P.to_dead_letters(lb_events(spark, sf_dir))
+    m = F.from_json(F.col("value"), DEAD_LETTER_SCHEMA)
+    return dl.select(m.alias("m")).select("m.failure_reason", *[f"m.original_message.{c}" for c in EV11])
+
+
+@query("publish_counts", with_liveboards(f"""
+select count(*) filter (where {_OK} and {_PUBLISHABLE}) as published,
+       count(*) filter (where not ({_OK} and {_PUBLISHABLE})) as failed from lb_events"""))
+def q_publish_counts(spark, sf_dir):
+    return P.publish_counts(lb_events(spark, sf_dir))
+
+
+@query("json_round_trip", with_liveboards(f"select {EV11_SQL} from lb_events where {_OK}"))
+def q_json_round_trip(spark, sf_dir):
+    ev = L.flatten_liveboards(X.liveboard_documents(spark, sf_dir))
+    back = ev.select(P.parse_message(P.event_json()).alias("m"))
+    return back.select(*[f"m.{c}" for c in EV11])
+
+
+@query("distinct_station_count", with_liveboards(f"""
+select count(distinct station_name) as station_count from lb_events where {_OK}"""))
+def q_distinct_station_count(spark, sf_dir):
+    return L.distinct_station_count(L.flatten_liveboards(X.liveboard_documents(spark, sf_dir)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
