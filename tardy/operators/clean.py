@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tardy.functions import scalars as S
+from tardy.session import pin_utc
 from tardy.schemas import CLEAN_DEFAULTS, DEDUP_KEY, RAW_SCHEMA, REQUIRED_COLUMNS
 
 # Dedup tie-break after the key: latest ingest wins, then every other column descending, so the
@@ -21,6 +22,7 @@ def conform_raw(df: DataFrame) -> DataFrame:
 
 def parse_timestamps(df: DataFrame) -> DataFrame:
     """Both ISO text columns to TIMESTAMP_NTZ (UTC); malformed text becomes null."""
+    pin_utc(df.sparkSession)
     return df.withColumns({
         "scheduled_time": S.parse_iso_utc("scheduled_time"),
         "ingested_at": S.parse_iso_utc("ingested_at"),

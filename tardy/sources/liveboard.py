@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tardy.functions import scalars as S
+from tardy.session import pin_utc
 from tardy.schemas import DEFAULT_STATIONS, LANDED_SCHEMA, LIVEBOARD_SCHEMA, REASON_MALFORMED_NUMBER
 
 EVENT_COLUMNS = [f.name for f in LANDED_SCHEMA.fields]
@@ -57,6 +58,7 @@ def parse_error() -> Column:
 def liveboard_events(docs: DataFrame, ingested_at: Column | None = None,
                      document_col: str = "document") -> DataFrame:
     """All parsed departures: the 12 event columns, ``parse_error`` and the document keys."""
+    pin_utc(docs.sparkSession)
     rows = parse_documents(docs, document_col)
     cols = departure_columns(ingested_at)
     keep = [c for c in rows.columns if c not in ("stationinfo", "dep")]
