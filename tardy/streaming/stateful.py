@@ -21,8 +21,11 @@ from tardy.schemas import DEDUP_KEY
 def stream_clean(events: DataFrame, watermark: str = "1 hour") -> DataFrame:
     """Cleaning for unbounded input: parse, fill, filter, dedup within the watermark, derive."""
     df = C.filter_required(C.fill_defaults(C.parse_timestamps(C.conform_raw(events))))
-    df = (df.withWatermark("ingested_at", watermark)
-            .dropDuplicatesWithinWatermark(DEDUP_KEY))
+    # watermarks need an instant (TIMESTAMP); ingested_at is UTC wall time (TIMESTAMP_NTZ)
+    df = (df.withColumn("_event_time", F.col("ingested_at").cast("timestamp"))
+            .withWatermark("_event_time", watermark)
+            .dropDuplicatesWithinWatermark(DEDUP_KEY)
+            .drop("_event_time"))
     return C.derive(df)
 
 
