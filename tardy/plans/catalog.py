@@ -15,10 +15,12 @@ from tardy.operators import clean as C
 from tardy.operators import models as M
 from tardy.operators import quality as Q
 from tardy.operators import reports as R
+from tardy.plans import jobs as J
 from tardy.plans.oracle import ORACLE, register, with_ctes, with_liveboards
 from tardy.sources import fixtures as X
 from tardy.sources import liveboard as L
 from tardy.sources import messages as P
+from tardy.sources import parquet as IO
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -568,6 +570,88 @@ def q_distinct_station_count(spark, sf_dir):
     return L.distinct_station_count(L.flatten_liveboards(X.liveboard_documents(spark, sf_dir)))
 
 
+# ---------------------------------------------------------------------------
+# Parquet sources and sinks (A1-A4): written under the shared checkpoint folder, read back
+# ---------------------------------------------------------------------------
+
+def _scratch(spark, tag):
+    import uuid
+
+    from tardy.session import scratch_path
+    return scratch_path(spark, f"{tag}-{uuid.uuid4().hex[:12]}")
+
+
+RAW_SQL_COLS = ("station_id, station_name, destination, destination_id, scheduled_time, delay_seconds, canceled, "
+                "vehicle_id, vehicle_type, platform, occupancy, ingested_at")
+
+
+@query("write_raw", with_ctes("raw_departures", f"select {RAW_SQL_COLS} from raw_departures"))
+def q_write_raw(spark, sf_dir):
+    path = IO.write_raw(raw(spark, sf_dir), _scratch(spark, "raw"))
+    return spark.read.parquet(path)
+
+
+@query("scan_raw", with_ctes("raw_departures", """
+select station_id, station_name, destination, destination_id, scheduled_time, cast(delay_seconds as bigint) as delay_seconds,
+       canceled, vehicle_id, vehicle_type, platform, occupancy, ingested_at from raw_departures"""))
+def q_scan_raw(spark, sf_dir):
+    path = IO.write_raw(raw(spark, sf_dir), _scratch(spark, "raw"))
+    return IO.scan_raw(spark, path)
+
+
+def _processed(spark, sf_dir):
+    root = _scratch(spark, "processed")
+    path = IO.write_raw(raw(spark, sf_dir), f"{root}/raw")
+    J.run_clean_job(spark, path, f"{root}/processed")
+    return IO.scan_processed(spark, f"{root}/processed")
+
+
+@query("scan_processed", with_ctes("clean", f"select {CLEAN_COLS} from clean"))
+def q_scan_processed(spark, sf_dir):
+    return _processed(spark, sf_dir).drop("processed_at")
+
+
+@query("write_processed", with_ctes("clean", """
+select departure_date, count(*) as n_rows, count(distinct station_id) as n_stations from clean group by departure_date"""))
+def q_write_processed(spark, sf_dir):
+    return _processed(spark, sf_dir).groupBy("departure_date").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("station_id").alias("n_stations"))
+
+
+# ---------------------------------------------------------------------------
+# streaming replays of the fixture
+# ---------------------------------------------------------------------------
+
+@query("stream_validate_route", with_ctes("raw_departures", f"""
+select {RAW_SQL_COLS} from raw_departures where coalesce(station_id, '') <> '' and coalesce(vehicle_id, '') <> ''"""))
+def q_stream_route(spark, sf_dir):
+    from tardy.streaming.replay import replay_landing
+    landed, _ = replay_landing(spark, raw(spark, sf_dir))
+    return landed
+
+
+@query("stream_dead_letters", with_ctes("raw_departures", """
+select 'Missing required fields' as failure_reason, count(*) as n_messages from raw_departures
+where not (coalesce(station_id, '') <> '' and coalesce(vehicle_id, '') <> '')"""))
+def q_stream_dead(spark, sf_dir):
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from tardy.streaming.replay import replay_landing
+    _, dead = replay_landing(spark, raw(spark, sf_dir))
+    reason = F.from_json("value", StructType([StructField("failure_reason", StringType())]))
+    return dead.select(reason["failure_reason"].alias("failure_reason")) \
+        .groupBy("failure_reason").agg(F.count(F.lit(1)).alias("n_messages"))
+
+
+@query("stream_mart", with_ctes("mart", """
+select station_id, station_name, departure_hour, total_departures from mart"""))
+def q_stream_mart(spark, sf_dir):
+    from tardy.streaming.replay import replay_mart
+    m = star(spark, sf_dir)
+    out = replay_mart(spark, raw(spark, sf_dir), m.dim_stations)
+    return out.select("station_id", "station_name", "departure_hour", "total_departures")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
