@@ -129,12 +129,17 @@ def delay_by_occupancy(fct: DataFrame, stations: DataFrame) -> DataFrame:
         S.category_rank("occupancy", OCCUPANCY_ORDER).alias("sort_rank"))
 
 
-def _heat_cells(mart: DataFrame) -> DataFrame:
-    """Mean delay_rate_pct per (primary name, hour) as a 24-column pivot (null = no data)."""
-    p = (mart.filter(F.col("station_name_primary").isNotNull() & F.col("departure_hour").isNotNull())
-             .groupBy("station_name_primary")
-             .pivot("departure_hour", HOURS)
-             .agg(F.avg("delay_rate_pct")))
+def _heat_long_cells(mart: DataFrame) -> DataFrame:
+    """Mean delay_rate_pct per (primary name, hour) present in the mart (long form)."""
+    return (mart.filter(F.col("station_name_primary").isNotNull() & F.col("departure_hour").isNotNull())
+                .groupBy("station_name_primary", "departure_hour")
+                .agg(F.avg("delay_rate_pct").alias("v")))
+
+
+def _heat_cells(mart: DataFrame, long_cells: DataFrame | None = None) -> DataFrame:
+    """The same cells as a 24-column pivot (null = no data)."""
+    cells = long_cells if long_cells is not None else _heat_long_cells(mart)
+    p = cells.groupBy("station_name_primary").pivot("departure_hour", HOURS).agg(F.first("v"))
     return p.select("station_name_primary", *[F.col(str(h)).alias(f"h{h:02d}") for h in HOURS])
 
 
@@ -152,12 +157,12 @@ def delay_heatmap_long(mart: DataFrame) -> DataFrame:
     The grid comes from unpivoting the wide rows (a generator on each row), and the set of
     present hours (at most 24 rows) is an equi-join on the hour — no cartesian product.
     """
-    cells = _heat_cells(mart)
+    long_cells = _heat_long_cells(mart)
+    cells = _heat_cells(mart, long_cells)
     long = cells.select("station_name_primary", F.explode(F.array(*[
         F.struct(F.lit(h).alias("departure_hour"), F.col(f"h{h:02d}").alias("v")) for h in HOURS
     ])).alias("cell")).select("station_name_primary", "cell.departure_hour", "cell.v")
-    present = (mart.filter(F.col("station_name_primary").isNotNull() & F.col("departure_hour").isNotNull())
-                   .select("departure_hour").distinct())
+    present = long_cells.select("departure_hour").distinct()
     out = long.join(F.broadcast(present), "departure_hour", "inner")
     return out.select("station_name_primary", "departure_hour",
                       S.hour_label("departure_hour").alias("hour_label"),

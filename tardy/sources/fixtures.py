@@ -30,7 +30,19 @@ STATION_NAMES = ["Zuid/Midi", "Noord/Nord", "Centraal/Central", "Gent", "Antwerp
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an input that arrives in fewer splits than the cluster has cores.
+
+    A large table arrives in many splits and is left alone (no extra shuffle); a small table
+    stored as one unsplittable row group would otherwise run every narrow step in one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def _mod(c: Column, m: int) -> Column:
