@@ -132,3 +132,28 @@ def pct(part, whole) -> Column:
 def ratio_pct(part, whole) -> Column:
     """part / whole * 100 in that order, as the report code computes it."""
     return F.try_divide(_c(part).cast("double"), _c(whole).cast("double")) * F.lit(100)
+
+
+def tenths(minutes) -> Column:
+    """A one-decimal minutes value as an exact integer count of tenths."""
+    return F.round(_c(minutes) * F.lit(10)).cast("long")
+
+
+def round_tenths_ratio(total_tenths, n, half_even: bool = False) -> Column:
+    """(sum of tenths) / n rounded to one decimal, computed exactly in integers.
+
+    A double mean of one-decimal values depends on addition order, so a true x.x5 tie can
+    land on either side between runs or engines; the integer form cannot. Ties round away
+    from zero (``round``) or to even (``bround``); the result is DOUBLE, null when n is 0.
+    """
+    t, m = _c(total_tenths).cast("long"), _c(n).cast("long")
+    a = F.abs(t)
+    r = F.pmod(a, m)
+    q = ((a - r) / m).cast("long")            # a - r is a multiple of m: the quotient is exact
+    twice = r * 2
+    if half_even:
+        up = F.when(twice > m, 1).when((twice == m) & (F.pmod(q, F.lit(2)) == 1), 1).otherwise(0)
+    else:
+        up = F.when(twice >= m, 1).otherwise(0)
+    sign = F.when(t < 0, F.lit(-1)).otherwise(F.lit(1))
+    return F.when(m > 0, (sign * (q + up)).cast("double") / F.lit(10.0))

@@ -47,11 +47,11 @@ def kpi_summary(mart: DataFrame, fct: DataFrame, stations: DataFrame) -> DataFra
     """
     delayed = (fct.filter(F.col("is_delayed"))
                   .groupBy("station_id")
-                  .agg(F.sum("delay_minutes").alias("_s"), F.count("delay_minutes").alias("_c")))
+                  .agg(F.sum(S.tenths("delay_minutes")).alias("_s"), F.count("delay_minutes").alias("_c")))
     delayed = _weighted(delayed, stations)
     parts = (mart.select(F.col("total_departures").cast("long").alias("t"),
                          F.col("delayed_departures").cast("long").alias("d"),
-                         F.lit(None).cast("double").alias("s"), F.lit(None).cast("long").alias("c"))
+                         F.lit(None).cast("long").alias("s"), F.lit(None).cast("long").alias("c"))
              .unionByName(delayed.select(F.lit(None).cast("long").alias("t"), F.lit(None).cast("long").alias("d"),
                                          (F.col("_s") * F.col("_m")).alias("s"),
                                          (F.col("_c") * F.col("_m")).alias("c"))))
@@ -62,7 +62,7 @@ def kpi_summary(mart: DataFrame, fct: DataFrame, stations: DataFrame) -> DataFra
         "total_departures", "total_delayed",
         F.when(F.col("total_departures") > 0, _rate("total_delayed", "total_departures"))
          .otherwise(F.lit(0.0)).alias("overall_delay_rate"),
-        F.when(F.col("_c") > 0, F.bround(F.col("_s") / F.col("_c"), 1))
+        F.when(F.col("_c") > 0, S.round_tenths_ratio("_s", "_c", half_even=True))
          .otherwise(F.lit(0.0)).alias("avg_delay"),
     )
 

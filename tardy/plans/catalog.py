@@ -16,7 +16,8 @@ from tardy.operators import models as M
 from tardy.operators import quality as Q
 from tardy.operators import reports as R
 from tardy.plans import jobs as J
-from tardy.plans.oracle import ORACLE, register, with_ctes, with_liveboards
+from tardy.functions.scalars import round_tenths_ratio, tenths
+from tardy.plans.oracle import ORACLE, register, tenths_mean, with_ctes, with_liveboards
 from tardy.sources import fixtures as X
 from tardy.sources import liveboard as L
 from tardy.sources import messages as P
@@ -268,8 +269,11 @@ _part("agg_conditional_counts",
       "cast(sum(case when is_canceled then 1 else 0 end) as bigint) as canceled_departures")
 _part("agg_avg_rounded",
       lambda: [F.round(F.avg("delay_seconds"), 1).alias("avg_delay_seconds"),
-               F.round(F.avg("delay_minutes"), 1).alias("avg_delay_minutes")],
-      "round(avg(delay_seconds), 1) as avg_delay_seconds, round(avg(delay_minutes), 1) as avg_delay_minutes")
+               round_tenths_ratio(F.sum(tenths("delay_minutes")), F.count("delay_minutes"))
+               .alias("avg_delay_minutes")],
+      "round(avg(delay_seconds), 1) as avg_delay_seconds, " + tenths_mean(
+          "cast(sum(cast(round(delay_minutes * 10) as bigint)) as bigint)", "count(delay_minutes)")
+      + " as avg_delay_minutes")
 _part("agg_max", lambda: [F.max("delay_seconds").alias("max_delay_seconds")],
       "max(delay_seconds) as max_delay_seconds")
 _part("agg_rate_pct",
@@ -281,6 +285,7 @@ _part("agg_rate_pct",
 # reports (F7-F14, G1-G4)
 # ---------------------------------------------------------------------------
 
+_KPI_MEAN = tenths_mean("b.t", "b.n", half_even=True)
 _DEPS = "(select f.*, s.station_name_primary from fct f left join dim_stations s on f.station_id = s.station_id)"
 
 
@@ -288,10 +293,11 @@ _DEPS = "(select f.*, s.station_name_primary from fct f left join dim_stations s
 select a.total_departures, a.total_delayed,
        case when a.total_departures > 0 then round_even(a.total_delayed / a.total_departures * 100, 1)
             else 0.0 end as overall_delay_rate,
-       case when b.n > 0 then round_even(b.m, 1) else 0.0 end as avg_delay
+       case when b.n > 0 then {_KPI_MEAN} else 0.0 end as avg_delay
 from (select cast(coalesce(sum(total_departures), 0) as bigint) as total_departures,
              cast(coalesce(sum(delayed_departures), 0) as bigint) as total_delayed from mart) a,
-     (select avg(delay_minutes) as m, count(delay_minutes) as n from {_DEPS} where is_delayed) b"""))
+     (select cast(sum(cast(round(delay_minutes * 10) as bigint)) as bigint) as t, count(delay_minutes) as n
+      from {_DEPS} where is_delayed) b"""))
 def q_kpi_summary(spark, sf_dir):
     m = star(spark, sf_dir)
     return R.kpi_summary(m.mart, m.fct, m.dim_stations)

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tardy.operators import clean as C
 from tardy.operators import models as M
+from tardy.functions.scalars import tenths
 from tardy.schemas import DEDUP_KEY
 
 
@@ -36,21 +37,21 @@ def stream_station_hour(clean: DataFrame) -> DataFrame:
         F.count_if(F.col("is_delayed")).alias("delayed_departures"),
         F.count_if(F.col("canceled")).alias("canceled_departures"),
         F.sum("delay_seconds").alias("_sum_s"),
-        F.sum("delay_minutes").alias("_sum_m"),
+        F.sum(tenths("delay_minutes")).alias("_tm"),
         F.max(F.col("delay_seconds").cast("int")).alias("max_delay_seconds"),
     )
 
 
 def mart_from_running(agg: DataFrame, stations: DataFrame, hours: DataFrame) -> DataFrame:
     """The mart columns from running sums joined to the dimensions (same as the batch mart)."""
-    from tardy.functions.scalars import pct
+    from tardy.functions.scalars import pct, round_tenths_ratio
 
     j = (agg.join(stations, "station_id", "left")
             .join(F.broadcast(hours), F.col("departure_hour") == F.col("hour_of_day"), "left"))
     return j.select(
         *M.MART_KEYS, "total_departures", "delayed_departures", "canceled_departures",
         F.round(F.col("_sum_s") / F.col("total_departures"), 1).alias("avg_delay_seconds"),
-        F.round(F.col("_sum_m") / F.col("total_departures"), 1).alias("avg_delay_minutes"),
+        round_tenths_ratio("_tm", "total_departures").alias("avg_delay_minutes"),
         "max_delay_seconds",
         F.round(pct("delayed_departures", "total_departures"), 1).alias("delay_rate_pct"))
 

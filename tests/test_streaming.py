@@ -18,10 +18,18 @@ EV = dict(station_id="S1", station_name="Brussels", destination="Ghent", destina
           vehicle_type="IC", platform="5", occupancy="low", ingested_at="2026-03-26T15:01:00+00:00")
 
 
+_ARRIVAL = {"t": 1_700_000_000}
+
+
 def _drop(folder, name, lines):
+    """Write one message file; arrival (mtime) strictly increases, one second apart, because the
+    file source orders files by modification time and a millisecond tie would reorder them."""
     os.makedirs(folder, exist_ok=True)
-    with open(os.path.join(folder, name), "w") as fh:
+    path = os.path.join(folder, name)
+    with open(path, "w") as fh:
         fh.write("\n".join(lines) + "\n")
+    _ARRIVAL["t"] += 1
+    os.utime(path, (_ARRIVAL["t"], _ARRIVAL["t"]))
 
 
 def _stream_drops(folder):
