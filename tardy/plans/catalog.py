@@ -649,6 +649,12 @@ def q_stream_dead(spark, sf_dir):
         .groupBy("failure_reason").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
+@query("stream_dedup", with_ctes("clean", f"select {KEY3} from clean"))
+def q_stream_dedup(spark, sf_dir):
+    from tardy.streaming.replay import replay_clean
+    return replay_clean(spark, raw(spark, sf_dir)).select("station_id", "vehicle_id", "scheduled_time")
+
+
 @query("stream_mart", with_ctes("mart", """
 select station_id, station_name, departure_hour, total_departures from mart"""))
 def q_stream_mart(spark, sf_dir):

@@ -56,3 +56,20 @@ def replay_mart(spark: SparkSession, events: DataFrame, stations: DataFrame,
         raise q.exception()
     return spark.read.parquet(f"{root}/mart")
 
+
+
+def replay_clean(spark: SparkSession, events: DataFrame, watermark: str = "1 hour") -> DataFrame:
+    """Run the streaming cleaning (J5 dedup within the watermark) over ``events``; read it back."""
+    root = _workdir(spark, "clean")
+    write_message_files(events, f"{root}/in")
+    msgs = SL.parse_messages(SL.read_messages(spark, f"{root}/in", policy=SL.FlushPolicy(files_per_trigger=10_000)))
+    valid = msgs.filter(F.col("failure_reason").isNull()
+                        | (F.col("failure_reason") == F.lit("Missing required fields")))
+    clean = ST.stream_clean(valid.drop("value", "failure_reason"), watermark)
+    q = (clean.writeStream.format("parquet").outputMode("append")
+              .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True)
+              .start(f"{root}/out"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.parquet(f"{root}/out")
