@@ -6,8 +6,11 @@ index in the upper bits, row number in the lower 33 bits); the slice offsets com
 of per-partition row counts — at most one row per shuffle partition, a proven bound — which is
 broadcast back. The rows themselves never meet in one task.
 
-The order must be total (unique sort keys), which makes the positions deterministic even when a
-stage is recomputed after an executor loss.
+The sorted rows are checkpointed (reliably, to the shared ``spark.checkpoint.dir``) before they
+are numbered: the counting branch and the numbering branch then read one fixed partitioning.
+Without that, the two branches are pruned to different columns, do not share their range
+exchange, and adaptive execution may coalesce the two shuffles differently. The order must be
+total (unique sort keys) so the sort itself is reproducible.
 """
 
 from __future__ import annotations
@@ -15,10 +18,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tardy.session import checkpoint_root
+
 
 def with_position(df: DataFrame, order: list[Column | str], name: str = "rank") -> DataFrame:
     cols = list(df.columns)
-    s = (df.orderBy(*order)
+    checkpoint_root(df.sparkSession)
+    s = (df.orderBy(*order).checkpoint(eager=True)
            .withColumn("_p", F.spark_partition_id())
            .withColumn("_i", F.monotonically_increasing_id()))
     s = s.withColumn("_i", F.col("_i") - F.shiftleft(F.col("_p").cast("long"), 33))

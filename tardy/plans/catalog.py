@@ -39,6 +39,13 @@ def query(name: str, sql: str | None = None):
 # shared builders
 # ---------------------------------------------------------------------------
 
+def _scratch(spark, tag):
+    import uuid
+
+    from tardy.session import scratch_path
+    return scratch_path(spark, f"{tag}-{uuid.uuid4().hex[:12]}")
+
+
 def raw(spark, sf_dir) -> DataFrame:
     return X.raw_departures(spark, sf_dir)
 
@@ -443,7 +450,11 @@ def _test_sql(t: Q.Test) -> str:
 
 @query("dq_report", with_ctes("mart", "\nunion all\n".join(_test_sql(t) for t in Q.DECLARED_TESTS)))
 def q_dq_report(spark, sf_dir):
-    return Q.quality_report(star(spark, sf_dir).tables())
+    # production shape: clean job -> models written and re-read -> tests over the stored tables
+    root = _scratch(spark, "dq")
+    path = IO.write_raw(raw(spark, sf_dir), f"{root}/raw")
+    J.run_clean_job(spark, path, f"{root}/processed")
+    return Q.quality_report(J.build_models(spark, f"{root}/processed", f"{root}/warehouse"))
 
 
 @query("dq_unique", with_ctes("raw_departures", """
@@ -580,13 +591,6 @@ def q_distinct_station_count(spark, sf_dir):
 # Parquet sources and sinks (A1-A4): written under the shared checkpoint folder, read back
 # ---------------------------------------------------------------------------
 
-def _scratch(spark, tag):
-    import uuid
-
-    from tardy.session import scratch_path
-    return scratch_path(spark, f"{tag}-{uuid.uuid4().hex[:12]}")
-
-
 RAW_SQL_COLS = ("station_id, station_name, destination, destination_id, scheduled_time, delay_seconds, canceled, "
                 "vehicle_id, vehicle_type, platform, occupancy, ingested_at")
 
