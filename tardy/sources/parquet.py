@@ -43,7 +43,7 @@ def write_raw(df: DataFrame, path: str) -> str | None:
     return path
 
 
-def write_processed(df: DataFrame, root: str) -> None:
+def write_processed(df: DataFrame, root: str, max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
     """A4: overwrite, snappy, partitioned by departure_date, clustered by station and hour.
 
     ``rebalance`` on the partition column lets AQE cut a large date into several tasks (and
@@ -54,7 +54,7 @@ def write_processed(df: DataFrame, root: str) -> None:
        .sortWithinPartitions(PARTITION_COLUMN, "station_id", "departure_hour")
        .write.mode("overwrite")
        .option("compression", "snappy")
-       .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+       .option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(PARTITION_COLUMN)
        .parquet(root))
 

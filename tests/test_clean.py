@@ -106,3 +106,30 @@ def test_dedup_plan_limits_before_shuffle(spark):
     raw = X.raw_departures(spark, SF_SMALL)
     plan = C.dedup_departures(C.filter_required(C.filter_ready(raw)))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_hot_dedup_key_is_reduced_before_the_shuffle(spark):
+    # one key holds a third of the rows, spread over many input partitions
+    hot = [{"ingested_at": f"2026-03-26T15:{m:02d}:00+00:00", "delay_seconds": m} for m in range(1, 41)]
+    cold = [{"vehicle_id": f"V{i + 2}"} for i in range(80)]
+    df = raw_df(spark, *hot, *cold).repartition(8)
+    out = C.dedup_departures(C.filter_required(C.filter_ready(df)))
+    rows = out.filter(F.col("vehicle_id") == "V1").collect()
+    assert len(rows) == 1 and rows[0]["delay_seconds"] == 40        # the latest ingest wins
+    assert out.count() == 81
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the partial limit sits below the exchange: at most one row per key leaves each map task
+    assert plan.index("Exchange hashpartitioning") < plan.rindex("WindowGroupLimit")
+
+
+def test_hot_date_is_written_by_several_tasks(spark, tmpdir_fresh):
+    import os
+
+    from tardy.operators.clean import clean_departures
+    rows = [{"vehicle_id": f"V{i}", "scheduled_time": "2026-03-26T15:00:00+00:00"} for i in range(300)]
+    rows += [{"vehicle_id": f"W{i}", "scheduled_time": "2026-03-27T15:00:00+00:00"} for i in range(3)]
+    df = clean_departures(raw_df(spark, *rows).repartition(6))
+    IO.write_processed(df, f"{tmpdir_fresh}/p", max_records_per_file=50)
+    hot = [f for f in os.listdir(f"{tmpdir_fresh}/p/departure_date=2026-03-26") if f.endswith(".parquet")]
+    assert len(hot) >= 6                                             # no single file holds the hot day
+    assert IO.scan_processed(spark, f"{tmpdir_fresh}/p").count() == 303
