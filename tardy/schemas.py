@@ -55,9 +55,9 @@ NAME_SEPARATOR = "/"
 # Default flush policy of the landing stream: 100 messages or 60 seconds.
 FLUSH_MESSAGES = 100
 FLUSH_SECONDS = 60
-# Topic names used by the message sinks.
-TOPIC_DEPARTURES = "belgian-transport-departures"
-TOPIC_DEAD_LETTER = "belgian-transport-dlq"
+# Default topic names of the message sinks (any name can be passed).
+TOPIC_DEPARTURES = "departures"
+TOPIC_DEAD_LETTER = "departures-dead-letter"
 CONSUMER_GROUP = "departure-writer"
 # Lake layout for landed raw files.
 LAKE_CONTAINER = "raw"

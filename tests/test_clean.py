@@ -21,21 +21,21 @@ def _run(spark, tmp, df):
 
 
 def test_clean_removes_duplicates(spark, tmpdir_fresh):
-    df = raw_df(spark, {}, {"ingested_at": "2026-03-26T15:02:00+00:00"})
+    df = raw_df(spark, {}, {"ingested_at": "2026-05-12T15:02:00+00:00"})
     stats, _ = _run(spark, tmpdir_fresh, df)
     assert stats == {"raw_count": 2, "clean_count": 1, "duplicates_removed": 1}
 
 
 def test_clean_keeps_latest_ingest(spark, tmpdir_fresh):
-    df = raw_df(spark, {"delay_seconds": 30}, {"ingested_at": "2026-03-26T15:02:00+00:00", "delay_seconds": 60})
+    df = raw_df(spark, {"delay_seconds": 30}, {"ingested_at": "2026-05-12T15:02:00+00:00", "delay_seconds": 60})
     _, out = _run(spark, tmpdir_fresh, df)
     rows = IO.scan_processed(spark, out).collect()
     assert len(rows) == 1 and rows[0]["delay_seconds"] == 60
 
 
 def test_clean_filters_invalid_records(spark, tmpdir_fresh):
-    df = raw_df(spark, {}, {"station_id": None, "station_name": "Unknown", "vehicle_id": "V2",
-                            "scheduled_time": "2026-03-26T16:00:00+00:00"})
+    df = raw_df(spark, {}, {"station_id": None, "station_name": "Nowhere", "vehicle_id": "V2",
+                            "scheduled_time": "2026-05-12T16:00:00+00:00"})
     stats, _ = _run(spark, tmpdir_fresh, df)
     assert stats["raw_count"] == 2 and stats["clean_count"] == 1
 
@@ -46,8 +46,8 @@ def test_clean_adds_derived_columns(spark, tmpdir_fresh):
     assert row["is_delayed"] is True
     assert row["delay_minutes"] == 2.0
     assert row["departure_hour"] == 15          # UTC, whatever the session zone was
-    assert row["departure_date"] == dt.date(2026, 3, 26)
-    assert row["day_of_week"] == 5              # Thursday, 1 = Sunday
+    assert row["departure_date"] == dt.date(2026, 5, 12)
+    assert row["day_of_week"] == 3              # Tuesday, 1 = Sunday
 
 
 def test_malformed_time_is_dropped_not_fatal(spark):
@@ -57,7 +57,7 @@ def test_malformed_time_is_dropped_not_fatal(spark):
 
 
 def test_offsets_are_converted_to_utc(spark):
-    df = raw_df(spark, {"scheduled_time": "2026-03-26T17:00:00+02:00"}, {"scheduled_time": "2026-03-26T15:00:00Z",
+    df = raw_df(spark, {"scheduled_time": "2026-05-12T17:00:00+02:00"}, {"scheduled_time": "2026-05-12T15:00:00Z",
                                                                         "vehicle_id": "V2"})
     hours = {r["vehicle_id"]: r["departure_hour"] for r in C.clean_departures(df).collect()}
     assert hours == {"V1": 15, "V2": 15}
@@ -110,7 +110,7 @@ def test_dedup_plan_limits_before_shuffle(spark):
 
 def test_hot_dedup_key_is_reduced_before_the_shuffle(spark):
     # one key holds a third of the rows, spread over many input partitions
-    hot = [{"ingested_at": f"2026-03-26T15:{m:02d}:00+00:00", "delay_seconds": m} for m in range(1, 41)]
+    hot = [{"ingested_at": f"2026-05-12T15:{m:02d}:00+00:00", "delay_seconds": m} for m in range(1, 41)]
     cold = [{"vehicle_id": f"V{i + 2}"} for i in range(80)]
     df = raw_df(spark, *hot, *cold).repartition(8)
     out = C.dedup_departures(C.filter_required(C.filter_ready(df)))
@@ -126,10 +126,10 @@ def test_hot_date_is_written_by_several_tasks(spark, tmpdir_fresh):
     import os
 
     from tardy.operators.clean import clean_departures
-    rows = [{"vehicle_id": f"V{i}", "scheduled_time": "2026-03-26T15:00:00+00:00"} for i in range(300)]
-    rows += [{"vehicle_id": f"W{i}", "scheduled_time": "2026-03-27T15:00:00+00:00"} for i in range(3)]
+    rows = [{"vehicle_id": f"V{i}", "scheduled_time": "2026-05-12T15:00:00+00:00"} for i in range(300)]
+    rows += [{"vehicle_id": f"W{i}", "scheduled_time": "2026-05-13T15:00:00+00:00"} for i in range(3)]
     df = clean_departures(raw_df(spark, *rows).repartition(6))
     IO.write_processed(df, f"{tmpdir_fresh}/p", max_records_per_file=50)
-    hot = [f for f in os.listdir(f"{tmpdir_fresh}/p/departure_date=2026-03-26") if f.endswith(".parquet")]
+    hot = [f for f in os.listdir(f"{tmpdir_fresh}/p/departure_date=2026-05-12") if f.endswith(".parquet")]
     assert len(hot) >= 6                                             # no single file holds the hot day
     assert IO.scan_processed(spark, f"{tmpdir_fresh}/p").count() == 303

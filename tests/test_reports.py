@@ -17,15 +17,15 @@ def _star(spark, *overrides):
 
 
 def test_mart_paths_agree_under_fan_out(spark):
-    s = _star(spark, {"delay_seconds": 90}, {"station_name": "Brussels/Bruxelles", "vehicle_id": "V2"},
-              {"vehicle_id": "V3", "canceled": True, "scheduled_time": "2026-03-26T08:00:00+00:00"})
+    s = _star(spark, {"delay_seconds": 90}, {"station_name": "Alpha/Alfa", "vehicle_id": "V2"},
+              {"vehicle_id": "V3", "canceled": True, "scheduled_time": "2026-05-12T08:00:00+00:00"})
     a = sorted(tuple(r) for r in s.mart.collect())
     b = sorted(tuple(r) for r in M.mart_delay_summary(s.fct, s.dim_stations, s.dim_time).collect())
     assert a == b and len(a) == 4
 
 
 def test_occupancy_and_kpi_weight_by_fan_out(spark):
-    s = _star(spark, {"delay_seconds": 120}, {"station_name": "Brussels/Bruxelles", "vehicle_id": "V2",
+    s = _star(spark, {"delay_seconds": 120}, {"station_name": "Alpha/Alfa", "vehicle_id": "V2",
                                               "delay_seconds": 60, "occupancy": "high"})
     deps = M.load_departures(s.fct, s.dim_stations)       # 2 fact rows x 2 names = 4 rows
     assert deps.count() == 4
@@ -66,10 +66,10 @@ def test_unknown_category_ranks_null(spark):
 
 def test_heatmap_long_grid_covers_present_hours_only(spark):
     s = _star(spark, {}, {"station_name": "Gent", "station_id": "S2", "vehicle_id": "V2",
-                          "scheduled_time": "2026-03-26T08:00:00+00:00", "delay_seconds": 60})
+                          "scheduled_time": "2026-05-12T08:00:00+00:00", "delay_seconds": 60})
     rows = R.delay_heatmap_long(s.mart).collect()
     grid = {(r["station_name_primary"], r["departure_hour"]): r["delay_rate_pct"] for r in rows}
-    assert grid == {("Brussels", 15): 0.0, ("Brussels", 8): 0.0, ("Gent", 15): 0.0, ("Gent", 8): 100.0}
+    assert grid == {("Alpha", 15): 0.0, ("Alpha", 8): 0.0, ("Gent", 15): 0.0, ("Gent", 8): 100.0}
     wide = R.delay_heatmap(s.mart).collect()
     assert len(wide) == 2 and len(wide[0]) == 25
 

@@ -13,9 +13,9 @@ from tardy.streaming import stateful as ST
 
 from conftest import SF_SMALL
 
-EV = dict(station_id="S1", station_name="Brussels", destination="Ghent", destination_id="D1",
-          scheduled_time="2026-03-26T15:00:00+00:00", delay_seconds=60, canceled=False, vehicle_id="V1",
-          vehicle_type="IC", platform="5", occupancy="low", ingested_at="2026-03-26T15:01:00+00:00")
+EV = dict(station_id="A1", station_name="Alpha", destination="Beta", destination_id="B1",
+          scheduled_time="2026-05-12T15:00:00+00:00", delay_seconds=60, canceled=False, vehicle_id="V1",
+          vehicle_type="R", platform="2", occupancy="low", ingested_at="2026-05-12T15:01:00+00:00")
 
 
 _ARRIVAL = {"t": 1_700_000_000}
@@ -35,8 +35,8 @@ def _drop(folder, name, lines):
 def _stream_drops(folder):
     ok2 = {**EV, "vehicle_id": "V2"}
     _drop(folder, "f1.json", [json.dumps(EV), json.dumps(ok2)])
-    _drop(folder, "f2.json", [json.dumps({**EV, "ingested_at": "2026-03-26T15:02:00+00:00"}), '{"station_id": '])
-    _drop(folder, "f3.json", [json.dumps({"destination": "Gent", "delay_seconds": 0}),
+    _drop(folder, "f2.json", [json.dumps({**EV, "ingested_at": "2026-05-12T15:02:00+00:00"}), '{"station_id": '])
+    _drop(folder, "f3.json", [json.dumps({"destination": "Beta", "delay_seconds": 0}),
                               json.dumps({**EV, "vehicle_id": ""}),
                               json.dumps({**EV, "vehicle_id": "V3"})])
 
@@ -75,7 +75,7 @@ def test_flush_policy_options():
     assert p.kafka_options() == {"minOffsetsPerTrigger": "100", "maxTriggerDelay": "60s",
                                  "maxOffsetsPerTrigger": "1000"}
     o = SL.kafka_source_options("broker:9092")
-    assert o["subscribe"] == "belgian-transport-departures" and o["startingOffsets"] == "earliest"
+    assert o["subscribe"] == "departures" and o["startingOffsets"] == "earliest"
 
 
 def _fixture_files(spark, folder, n_files=4):
