@@ -8,6 +8,18 @@ from pyspark.sql import SparkSession
 
 UTC = "UTC"
 
+# Defaults for a large cluster (applied only where spark-submit / the cluster set nothing):
+# start shuffles wide and let AQE coalesce to ~256 MB partitions, so a 100 TB dedup shuffle does
+# not spill from oversized partitions and small stages do not run thousands of empty tasks.
+CLUSTER_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
 
 def build_session(master: str | None = None, app_name: str = "tardy",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
@@ -29,6 +41,11 @@ def build_session(master: str | None = None, app_name: str = "tardy",
         "spark.sql.parquet.compression.codec": "snappy",
         "spark.sql.sources.partitionOverwriteMode": "static",
     }
+    if not master or not master.startswith("local"):
+        from pyspark import SparkConf
+
+        submitted = SparkConf()          # what spark-submit / spark-defaults already set
+        conf.update({k: v for k, v in CLUSTER_DEFAULTS.items() if not submitted.contains(k)})
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
