@@ -39,10 +39,12 @@ def spread(df: DataFrame) -> DataFrame:
     A large table arrives in many splits and is left alone (no extra shuffle); a small table
     stored as one unsplittable row group would otherwise run every narrow step in one task.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def _mod(c: Column, m: int) -> Column:

@@ -118,3 +118,21 @@ def test_tenths_mean_is_exact_on_ties(spark):
     even = [r[0] for r in df.select(round_tenths_ratio("t", "n", half_even=True)).collect()]
     assert up == [1.5, -1.5, 1.3, 1.4, 0.2, None]      # 1.45 -> 1.5, 1.25 -> 1.3, 1.35 -> 1.4
     assert even == [1.4, -1.4, 1.2, 1.4, 0.2, None]    # half to even
+
+
+def test_time_dimension_peak_is_not_period(spark):
+    rows = {r["hour_of_day"]: (r["is_peak_hour"], r["time_period"]) for r in M.dim_time(spark).collect()}
+    assert len(rows) == 24
+    assert rows[16] == (True, "Afternoon") and rows[17] == (True, "Evening")
+    assert rows[10] == (False, "Morning") and rows[7] == (True, "Morning")
+    assert {h for h, (_, p) in rows.items() if p == "Night"} == {21, 22, 23, 0, 1, 2, 3, 4, 5}
+    assert {h for h, (pk, _) in rows.items() if pk} == {7, 8, 9, 16, 17, 18}
+
+
+def test_null_keys_are_dropped_by_reports(spark):
+    s = _star(spark, {}, {"vehicle_id": "V2"})
+    mart = s.mart.union(s.mart.limit(1).withColumn("station_name_primary", F.lit(None).cast("string"))
+                        .withColumn("time_period", F.lit(None).cast("string")))
+    assert R.delay_by_station(mart).count() == 1
+    assert R.delay_by_period(mart).count() == 1
+    assert R.delay_heatmap(mart).count() == 1
