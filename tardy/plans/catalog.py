@@ -668,6 +668,34 @@ def q_stream_mart(spark, sf_dir):
     return out.select("station_id", "station_name", "departure_hour", "total_departures")
 
 
+_FINAL_MART = with_ctes("mart", """
+select d.station_id, s.station_name, s.station_name_primary, d.departure_hour, t.is_peak_hour, t.time_period,
+       count(*) as total_departures,
+       cast(sum(case when d.is_delayed then 1 else 0 end) as bigint) as delayed_departures,
+       cast(sum(case when d.is_canceled then 1 else 0 end) as bigint) as canceled_departures,
+       round(avg(d.delay_seconds), 1) as avg_delay_seconds,
+       {mean} as avg_delay_minutes,
+       max(d.delay_seconds) as max_delay_seconds,
+       round(sum(case when d.is_delayed then 1 else 0 end) * 100.0 / count(*), 1) as delay_rate_pct
+from fct d
+left join dim_stations s on d.station_id = s.station_id
+left join dim_time t on d.departure_hour = t.hour_of_day
+where d.scheduled_time <= (select max(scheduled_time) from fct) - interval 1 hour
+group by d.station_id, s.station_name, s.station_name_primary, d.departure_hour, t.is_peak_hour, t.time_period""".format(
+    mean=tenths_mean("cast(sum(cast(round(d.delay_minutes * 10) as bigint)) as bigint)", "count(d.delay_minutes)")))
+
+
+@query("stream_mart_final", _FINAL_MART)
+def q_stream_mart_final(spark, sf_dir):
+    # the running mart over the latest-wins streaming dedup: every departure whose scheduled time
+    # the watermark (max seen - 1 hour) has passed is final and counted with its latest copy
+    from tardy.streaming.replay import replay_mart_latest
+    m = star(spark, sf_dir)
+    return replay_mart_latest(spark, raw(spark, sf_dir), m.dim_stations).select(*M.MART_KEYS, *[
+        "total_departures", "delayed_departures", "canceled_departures", "avg_delay_seconds",
+        "avg_delay_minutes", "max_delay_seconds", "delay_rate_pct"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

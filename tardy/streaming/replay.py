@@ -73,3 +73,19 @@ def replay_clean(spark: SparkSession, events: DataFrame, watermark: str = "1 hou
     if q.exception() is not None:
         raise q.exception()
     return spark.read.parquet(f"{root}/out")
+
+
+def replay_mart_latest(spark: SparkSession, events: DataFrame, stations: DataFrame,
+                       watermark: str = "1 hour") -> DataFrame:
+    """Run the latest-wins running mart over ``events`` (one micro-batch plus the watermark's
+    closing batch) and read the mart of the departures that are final."""
+    root = _workdir(spark, "mart-latest")
+    write_message_files(events, f"{root}/in")
+    msgs = SL.parse_messages(SL.read_messages(spark, f"{root}/in", policy=SL.FlushPolicy(files_per_trigger=10_000)))
+    valid = msgs.filter(F.col("failure_reason").isNull()
+                        | (F.col("failure_reason") == F.lit("Missing required fields")))
+    q = ST.start_stream_mart_latest(spark, valid.drop("value", "failure_reason"), stations, root, watermark)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.parquet(f"{root}/mart")
