@@ -69,19 +69,35 @@ def main() -> None:
                    R.delay_heatmap_long(mart), R.analysis_period(fct), R.station_list(st)):
             run(df)
 
-    def reports_inline():
-        s = star()
-        for df in (R.kpi_summary(s.mart, s.fct, s.dim_stations), R.delay_by_station(s.mart),
-                   R.delay_by_hour(s.mart), R.delay_by_period(s.mart),
-                   R.delay_by_occupancy(s.fct, s.dim_stations), R.delay_heatmap(s.mart),
-                   R.delay_heatmap_long(s.mart), R.analysis_period(s.fct)):
-            run(df)
-
     def ingest():
         ev = L.liveboard_events(X.liveboard_documents(spark, sf_dir))
         run(P.to_messages(ev))
         run(P.to_dead_letters(ev))
 
+    from pyspark.sql import functions as F
+
+    from tardy.streaming import landing as SL
+    from tardy.streaming import stateful as ST
+    from tardy.streaming.replay import write_message_files
+
+    msg_dir = f"{scratch}/messages"
+    write_message_files(X.raw_departures(spark, sf_dir), msg_dir, files=cpus)   # untimed setup
+
+    def stream_land():
+        counter["n"] += 1
+        r = f"{scratch}/stream{counter['n']}"
+        SL.drain(spark, msg_dir, f"{r}/raw", f"{r}/dead", f"{r}/ck",
+                 policy=SL.FlushPolicy(files_per_trigger=max(1, cpus // 2)))
+
+    def stream_mart():
+        counter["n"] += 1
+        msgs = SL.parse_messages(SL.read_messages(spark, msg_dir, policy=SL.FlushPolicy(files_per_trigger=cpus)))
+        valid = msgs.filter(F.col("failure_reason").isNull()
+                            | (F.col("failure_reason") == F.lit("Missing required fields")))
+        q = ST.start_stream_mart_latest(spark, valid.drop("value", "failure_reason"), wh["dim_stations"],
+                                        f"{scratch}/smart{counter['n']}")
+        q.awaitTermination()
+
     queries = {
         "clean_job": clean_job,
         "mart_delay_summary": lambda: run(star().mart),
@@ -91,7 +107,8 @@ def main() -> None:
         "dq_report": lambda: run(Q.quality_report(wh)),
         "load_departures": lambda: run(M.load_departures(wh["fct_delays"], wh["dim_stations"])),
         "ingest_route": ingest,
-        "reports_inline": reports_inline,
+        "stream_landing": stream_land,
+        "stream_mart_latest": stream_mart,
     }
 
     run(X.raw_departures(spark, sf_dir))           # warm-up (JIT, file listing)
