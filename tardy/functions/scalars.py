@@ -22,19 +22,30 @@ def iso_utc(ts) -> Column:
 
 def epoch_to_iso(epoch_text) -> Column:
     """B1: epoch seconds as text (missing -> 0) -> UTC ISO-8601 text."""
-    secs = F.coalesce(_c(epoch_text).try_cast("bigint"), F.lit(0))
+    secs = F.coalesce(_int_text(epoch_text).try_cast("bigint"), F.lit(0))
     return iso_utc(F.timestamp_seconds(secs))
 
 
+# Integer literal grammar of the source's number fields: optional surrounding blanks, an optional
+# sign, digits with single underscores between digit groups ("1_000"). "12a" and "120.0" are not.
+INT_LITERAL = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
+
+
+def _int_text(text) -> Column:
+    """The digits of an integer literal (blanks and group underscores removed), else null."""
+    t = _c(text)
+    return F.when(t.rlike(INT_LITERAL), F.regexp_replace(F.trim(t), "_", ""))
+
+
 def is_malformed_number(text) -> Column:
     """True when a value is present but is not an integer literal (trap: int('12a') raises)."""
     t = _c(text)
-    return t.isNotNull() & t.try_cast("bigint").isNull()
+    return t.isNotNull() & _int_text(t).try_cast("bigint").isNull()
 
 
 def parse_int_default(text, default: int = 0) -> Column:
     """B2: numeric text -> int, missing -> default."""
-    return F.coalesce(_c(text).try_cast("int"), F.lit(default))
+    return F.coalesce(_int_text(text).try_cast("int"), F.lit(default))
 
 
 def decode_flag(text) -> Column:

@@ -136,3 +136,12 @@ def test_write_messages_to_files(spark, tmpdir_fresh):
     P.route_and_write(_events(spark, SAMPLE, {"destination": "x"}), f"{tmpdir_fresh}/ok", f"{tmpdir_fresh}/dl")
     assert spark.read.json(f"{tmpdir_fresh}/ok").count() == 1
     assert spark.read.json(f"{tmpdir_fresh}/dl").count() == 1
+
+
+def test_integer_grammar_of_number_fields(spark):
+    from tardy.functions.scalars import is_malformed_number, parse_int_default
+    vals = [" 120 ", "+5", "-3", "1_000", "120.0", "12a", "1__0", "", None]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    got = [(r[0], r[1]) for r in df.select(parse_int_default("v"), is_malformed_number("v")).collect()]
+    assert got == [(120, False), (5, False), (-3, False), (1000, False), (0, True), (0, True), (0, True),
+                   (0, True), (0, False)]
