@@ -20,6 +20,14 @@ def iso_utc(ts) -> Column:
     return F.concat(F.date_format(_c(ts), _ISO_SECONDS), F.lit(UTC_SUFFIX))
 
 
+def iso_utc_micros(ts) -> Column:
+    """ISO-8601 UTC text with microseconds when they are non-zero (seconds-only otherwise)."""
+    t = _c(ts)
+    micros = F.date_format(t, "SSSSSS")
+    return F.when(micros == F.lit("000000"), iso_utc(t)).otherwise(
+        F.concat(F.date_format(t, _ISO_SECONDS), F.lit("."), micros, F.lit(UTC_SUFFIX)))
+
+
 def epoch_to_iso(epoch_text) -> Column:
     """B1: epoch seconds as text (missing -> 0) -> UTC ISO-8601 text."""
     secs = F.coalesce(_int_text(epoch_text).try_cast("bigint"), F.lit(0))

@@ -45,7 +45,7 @@ def departure_columns(ingested_at: Column | None = None) -> dict[str, Column]:
         "vehicle_type": S.with_default(dep["vehicleinfo"]["type"], ""),
         "platform": S.with_default(dep["platform"], ""),
         "occupancy": S.with_default(dep["occupancy"]["name"], "unknown"),
-        "ingested_at": S.iso_utc(F.current_timestamp()) if ingested_at is None else ingested_at,
+        "ingested_at": S.iso_utc_micros(F.current_timestamp()) if ingested_at is None else ingested_at,
     }
 
 

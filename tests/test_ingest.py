@@ -145,3 +145,13 @@ def test_integer_grammar_of_number_fields(spark):
     got = [(r[0], r[1]) for r in df.select(parse_int_default("v"), is_malformed_number("v")).collect()]
     assert got == [(120, False), (5, False), (-3, False), (1000, False), (0, True), (0, True), (0, True),
                    (0, True), (0, False)]
+
+
+def test_iso_stamp_keeps_microseconds(spark):
+    import datetime as dt
+
+    from tardy.functions.scalars import iso_utc_micros
+    df = spark.createDataFrame([(dt.datetime(2026, 5, 12, 15, 0, 0, 123456),), (dt.datetime(2026, 5, 12, 15, 0),)],
+                               "t timestamp_ntz")
+    got = [r[0] for r in df.select(iso_utc_micros("t")).collect()]
+    assert got == ["2026-05-12T15:00:00.123456+00:00", "2026-05-12T15:00:00+00:00"]
