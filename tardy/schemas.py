@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
+    DateType,
+    DoubleType,
     IntegerType,
     LongType,
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
+    TimestampType,
 )
 
 # ---------------------------------------------------------------------------
@@ -112,6 +116,29 @@ LIVEBOARD_SCHEMA = StructType([
     ])),
 ])
 
+# Processed (cleaned) departures, partitioned by departure_date. Reading with this schema unites
+# files by column name (a column missing from older files reads as null) without inference.
+PROCESSED_SCHEMA = StructType([
+    StructField("station_id", StringType(), True),
+    StructField("station_name", StringType(), True),
+    StructField("destination", StringType(), True),
+    StructField("destination_id", StringType(), True),
+    StructField("scheduled_time", TimestampNTZType(), True),
+    StructField("delay_seconds", LongType(), True),
+    StructField("canceled", BooleanType(), True),
+    StructField("vehicle_id", StringType(), True),
+    StructField("vehicle_type", StringType(), True),
+    StructField("platform", StringType(), True),
+    StructField("occupancy", StringType(), True),
+    StructField("ingested_at", TimestampNTZType(), True),
+    StructField("processed_at", TimestampType(), True),
+    StructField("is_delayed", BooleanType(), True),
+    StructField("delay_minutes", DoubleType(), True),
+    StructField("departure_hour", IntegerType(), True),
+    StructField("day_of_week", IntegerType(), True),
+    StructField("departure_date", DateType(), True),
+])
+
 # Dead-letter message.
 DEAD_LETTER_SCHEMA = StructType([
     StructField("original_message", EVENT_SCHEMA),

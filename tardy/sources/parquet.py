@@ -9,7 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tardy.schemas import LAKE_CONTAINER, LAKE_DIRECTORY, LANDED_SCHEMA, RAW_COLUMNS, RAW_SCHEMA
+from tardy.schemas import (
+    LAKE_CONTAINER,
+    LAKE_DIRECTORY,
+    LANDED_SCHEMA,
+    PROCESSED_SCHEMA,
+    RAW_COLUMNS,
+    RAW_SCHEMA,
+)
 
 PARTITION_COLUMN = "departure_date"
 # Files stay well under a block even when one date holds most rows (a hot day is split by
@@ -59,14 +66,18 @@ def write_processed(df: DataFrame, root: str, max_records_per_file: int = MAX_RE
        .parquet(root))
 
 
-def scan_processed(spark: SparkSession, root: str) -> DataFrame:
+def scan_processed(spark: SparkSession, root: str, merge_schema: bool = False) -> DataFrame:
     """A3: all processed partitions, columns united by name, departure_date recovered as DATE.
 
-    Filters on departure_date become partition filters (only matching folders are listed/read).
+    The default reads under the fixed processed schema: files are united by column name (a
+    column an older file lacks reads as null) and no footer is opened to infer anything, which
+    matters with hundreds of thousands of files. ``merge_schema=True`` instead unites whatever
+    columns the files carry (reads every footer). Filters on departure_date become partition
+    filters (only matching folders are listed and read).
     """
-    return (spark.read.option("mergeSchema", "true")
-                 .option("recursiveFileLookup", "false")
-                 .parquet(root))
+    if merge_schema:
+        return spark.read.option("mergeSchema", "true").parquet(root)
+    return spark.read.schema(PROCESSED_SCHEMA).parquet(root)
 
 
 def materialize(models: dict[str, DataFrame], root: str, spark: SparkSession,

@@ -109,3 +109,17 @@ def test_build_models_reads_back_tables(spark, tmpdir_fresh):
     assert models["mart_delay_summary"].count() == 129
     assert models["dim_time"].count() == 24
     assert spark.table("mart_delay_summary").count() == 129
+
+
+def test_processed_read_unites_by_name(spark, tmpdir_fresh):
+    # an older file without is_delayed still reads (as null) next to a complete one
+    df = C.clean_departures(raw_df(spark, {}, {"vehicle_id": "V2", "scheduled_time": "2026-05-13T10:00:00+00:00"}))
+    IO.write_processed(df.filter(F.col("vehicle_id") == "V1"), f"{tmpdir_fresh}/p")
+    (df.filter(F.col("vehicle_id") == "V2").drop("is_delayed")
+       .write.mode("append").partitionBy("departure_date").parquet(f"{tmpdir_fresh}/p"))
+    back = IO.scan_processed(spark, f"{tmpdir_fresh}/p")
+    got = {r["vehicle_id"]: r["is_delayed"] for r in back.collect()}
+    assert got == {"V1": False, "V2": None}
+    assert dict(back.dtypes)["departure_date"] == "date"
+    merged = IO.scan_processed(spark, f"{tmpdir_fresh}/p", merge_schema=True)
+    assert merged.count() == 2
