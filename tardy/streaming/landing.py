@@ -47,6 +47,11 @@ class FlushPolicy:
     seconds: int = FLUSH_SECONDS
     max_messages: int | None = None       # hard cap per batch (default 10 x messages)
     files_per_trigger: int = 1            # file source only
+    poll_seconds: int = 1                 # Kafka: how often the size-or-time rule is evaluated
+
+    def trigger_interval(self, fmt: str) -> str:
+        """Kafka polls often and lets min offsets / max delay decide; files flush on the timer."""
+        return f"{self.poll_seconds} seconds" if fmt == "kafka" else f"{self.seconds} seconds"
 
     def kafka_options(self) -> dict:
         return {"minOffsetsPerTrigger": str(self.messages),
@@ -118,7 +123,7 @@ def start_landing(spark: SparkSession, source: str, raw_root: str, dead_root: st
                .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
-    w = w.trigger(availableNow=True) if drain else w.trigger(processingTime=f"{policy.seconds} seconds")
+    w = w.trigger(availableNow=True) if drain else w.trigger(processingTime=policy.trigger_interval(fmt))
     return w.start()
 
 

@@ -74,6 +74,7 @@ def test_flush_policy_options():
     p = SL.FlushPolicy()
     assert p.kafka_options() == {"minOffsetsPerTrigger": "100", "maxTriggerDelay": "60s",
                                  "maxOffsetsPerTrigger": "1000"}
+    assert p.trigger_interval("kafka") == "1 seconds" and p.trigger_interval("text") == "60 seconds"
     o = SL.kafka_source_options("broker:9092")
     assert o["subscribe"] == "departures" and o["startingOffsets"] == "earliest"
 
