@@ -40,6 +40,8 @@ def build_session(master: str | None = None, app_name: str = "tardy",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.parquet.compression.codec": "snappy",
         "spark.sql.sources.partitionOverwriteMode": "static",
+        # reliable checkpoints written by a query are removed once its frames are garbage
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if not master or not master.startswith("local"):
         from pyspark import SparkConf

@@ -20,6 +20,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", "4")
          .config("spark.checkpoint.dir", ckpt)
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.session.timeZone", "Europe/Brussels")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
