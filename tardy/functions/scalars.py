@@ -176,3 +176,22 @@ def round_tenths_ratio(total_tenths, n, half_even: bool = False) -> Column:
         up = F.when(twice >= m, 1).otherwise(0)
     sign = F.when(t < 0, F.lit(-1)).otherwise(F.lit(1))
     return F.when(m > 0, (sign * (q + up)).cast("double") / F.lit(10.0))
+
+
+def round_like_numpy(x, digits: int = 1) -> Column:
+    """numpy/pandas ``round``: scale, round half to even to an integer (``rint``), unscale.
+
+    Bit-identical to ``numpy.round(x, digits)`` because the same IEEE operations run in the
+    same order; ``bround`` instead rounds the shortest decimal form and differs near ties.
+    """
+    scale = F.lit(float(10 ** digits))
+    return F.rint(_c(x) * scale) / scale
+
+
+def round_like_python(x, digits: int = 1) -> Column:
+    """Python's built-in ``round`` on a float: the exact binary value, ties to even.
+
+    ``format_number`` formats with ``DecimalFormat`` (half-even on the exact binary value, as
+    Python does); the grouping commas are removed and the text read back as DOUBLE.
+    """
+    return F.regexp_replace(F.format_number(_c(x), digits), ",", "").cast("double")

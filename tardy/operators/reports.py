@@ -1,8 +1,9 @@
 """Reporting queries over the mart and the fact.
 
-Rounding: the mart rounds half away from zero (``round``); the report layer rounds half to even
-(``bround``), as the dataframe library of the dashboard does. Means of means are exposed rounded
-to 6 decimals so that addition order cannot show in the last bit.
+Rounding: the mart rounds half away from zero (``round``). Report columns round like the
+dashboard's dataframe library (numpy: scale, ``rint``, unscale — bit-identical); the KPI rate,
+computed on plain floats there, rounds like Python's built-in ``round`` (exact binary value, ties
+to even). Means of means are exposed rounded to 6 decimals so addition order cannot show.
 
 Reports that read "departures" (the fact left-joined to the station dimension) are computed
 without shuffling the fact: the fact is first aggregated per (station_id, report key) — partial
@@ -24,8 +25,8 @@ HOURS = list(range(24))
 
 
 def _rate(delayed, total):
-    """round(delayed / total * 100, 1), half to even."""
-    return F.bround(S.ratio_pct(delayed, total), 1)
+    """round(delayed / total * 100, 1) as the dataframe library rounds a column (numpy)."""
+    return S.round_like_numpy(S.ratio_pct(delayed, total), 1)
 
 
 def station_multiplicity(stations: DataFrame) -> DataFrame:
@@ -60,7 +61,8 @@ def kpi_summary(mart: DataFrame, fct: DataFrame, stations: DataFrame) -> DataFra
                   F.sum("s").alias("_s"), F.sum("c").alias("_c"))
     return g.select(
         "total_departures", "total_delayed",
-        F.when(F.col("total_departures") > 0, _rate("total_delayed", "total_departures"))
+        F.when(F.col("total_departures") > 0,
+               S.round_like_python(S.ratio_pct("total_delayed", "total_departures"), 1))
          .otherwise(F.lit(0.0)).alias("overall_delay_rate"),
         F.when(F.col("_c") > 0, S.round_tenths_ratio("_s", "_c", half_even=True))
          .otherwise(F.lit(0.0)).alias("avg_delay"),
@@ -166,7 +168,7 @@ def delay_heatmap_long(mart: DataFrame) -> DataFrame:
     out = long.join(F.broadcast(present), "departure_hour", "inner")
     return out.select("station_name_primary", "departure_hour",
                       S.hour_label("departure_hour").alias("hour_label"),
-                      F.bround(F.coalesce(F.col("v"), F.lit(0.0)), 1).alias("delay_rate_pct"))
+                      S.round_like_numpy(F.coalesce(F.col("v"), F.lit(0.0)), 1).alias("delay_rate_pct"))
 
 
 def station_list(stations: DataFrame) -> DataFrame:

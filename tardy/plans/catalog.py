@@ -298,7 +298,8 @@ _DEPS = "(select f.*, s.station_name_primary from fct f left join dim_stations s
 
 @query("kpi_summary", with_ctes("mart", f"""
 select a.total_departures, a.total_delayed,
-       case when a.total_departures > 0 then round_even(a.total_delayed / a.total_departures * 100, 1)
+       case when a.total_departures > 0
+            then cast(printf('%.1f', a.total_delayed / a.total_departures * 100) as double)
             else 0.0 end as overall_delay_rate,
        case when b.n > 0 then {_KPI_MEAN} else 0.0 end as avg_delay
 from (select cast(coalesce(sum(total_departures), 0) as bigint) as total_departures,

@@ -136,3 +136,15 @@ def test_null_keys_are_dropped_by_reports(spark):
     assert R.delay_by_station(mart).count() == 1
     assert R.delay_by_period(mart).count() == 1
     assert R.delay_heatmap(mart).count() == 1
+
+
+def test_rounding_like_numpy_and_like_python(spark):
+    import numpy as np
+
+    from tardy.functions.scalars import round_like_numpy, round_like_python
+    vals = [0.35, 0.15, 0.05, 66.65, 12.25, 1234.55, 2.675]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    rows = df.select(round_like_numpy("x", 1).alias("n"), round_like_python("x", 1).alias("p")).collect()
+    assert [r.n for r in rows] == [float(v) for v in np.round(np.array(vals), 1)]
+    assert [r.p for r in rows] == [round(v, 1) for v in vals]
+    assert rows[0].n == 0.4 and rows[0].p == 0.3          # the two libraries disagree on 0.35
