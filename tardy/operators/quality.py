@@ -10,6 +10,7 @@ uniqueness is one partially-aggregated groupBy per column; relationships are one
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -58,9 +59,17 @@ class Test:
 
     @property
     def name(self) -> str:
+        """The conventional generic-test name: kind, model, column, then the arguments."""
+        base = f"{self.kind}_{self.model}_{self.column}"
+        if self.kind == "accepted_values":
+            return base + "".join(f"__{_slug(v)}" for v in self.values)
         if self.kind == "relationships":
-            return f"relationships_{self.model}_{self.column}__{self.to_field}__{self.to}"
-        return f"{self.kind}_{self.model}_{self.column}"
+            return f"{base}__{_slug(self.to_field)}__{_slug(f'ref({self.to!r})')}"
+        return base
+
+
+def _slug(v) -> str:
+    return re.sub(r"[^0-9A-Za-z_]+", "_", str(v))
 
 
 # The 16 declared tests of the star schema.
