@@ -42,11 +42,16 @@ def conform_landed(df: DataFrame) -> DataFrame:
 
 
 def write_raw(df: DataFrame, path: str) -> str | None:
-    """A2: append departures with enforced column types; empty input writes nothing -> None."""
+    """A2: append departures with enforced column types; empty input writes nothing -> None.
+
+    The write goes through a ``rebalance``: AQE cuts an oversized input partition (e.g. the
+    departures exploded from one very large document, which one task must parse) into several
+    write tasks and merges small ones, so landed files are evenly sized.
+    """
     out = conform_landed(df)
     if out.isEmpty():
         return None
-    out.write.mode("append").parquet(path)
+    out.hint("rebalance").write.mode("append").parquet(path)
     return path
 
 
