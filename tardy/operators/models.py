@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tardy.functions import scalars as S
@@ -94,13 +94,15 @@ def mart_delay_summary(fct: DataFrame, stations: DataFrame, hours: DataFrame) ->
 
 
 def mart_from_staging(stg: DataFrame, hours: DataFrame) -> DataFrame:
-    """The mart from staging in one pass over the fact rows (same rows and values as
+    """The mart from staging in ONE pass over the fact rows (same rows and values as
     ``mart_delay_summary(fct_delays(stg), dim_stations(stg), hours)``).
 
-    One partial aggregate per (station_id, station_name, hour) feeds both the station dimension
-    (its distinct id/name pairs) and the per-(station_id, hour) metrics (re-aggregated), so the
-    staging plan is scanned and shuffled once and the second use of that exchange is a reuse.
-    Averages are sums over counts, as ``avg`` computes them; the minutes mean is exact (tenths).
+    The fact is partially aggregated per (station_id, station_name, hour), then per
+    (station_id, hour) carrying the set of names seen. A window over each station's hour rows
+    (at most 24 rows per station) unions those sets into the station's dimension rows, and an
+    explode yields one group per (station, name, hour) — exactly the groups the left join to
+    the station dimension produces, fan-out included. No second scan of staging, no join on
+    the station. Averages are sums over counts; the minutes mean is exact (integer tenths).
     """
     pre = stg.groupBy("station_id", "station_name", "departure_hour").agg(
         F.count(F.lit(1)).alias("_n"),
@@ -109,21 +111,37 @@ def mart_from_staging(stg: DataFrame, hours: DataFrame) -> DataFrame:
         F.sum("delay_seconds").alias("_ss"), F.count("delay_seconds").alias("_ns"),
         F.sum(S.tenths("delay_minutes")).alias("_tm"), F.count("delay_minutes").alias("_nm"),
         F.max("delay_seconds").alias("_mx"))
-    stations = (pre.filter(F.col("station_id").isNotNull()).select("station_id", "station_name").distinct()
-                   .withColumn("station_name_primary", S.primary_name("station_name")))
-    agg = pre.groupBy("station_id", "departure_hour").agg(
+    per_hour = pre.groupBy("station_id", "departure_hour").agg(
         F.sum("_n").alias("total_departures"),
         F.sum("_d").alias("delayed_departures"),
         F.sum("_c").alias("canceled_departures"),
         (F.sum("_ss") / F.sum("_ns")).alias("_avg_s"),
         F.sum("_tm").alias("_tm"), F.sum("_nm").alias("_nm"),
-        F.max("_mx").alias("max_delay_seconds"))
-    return _mart_select(agg, stations, hours)
+        F.max("_mx").alias("max_delay_seconds"),
+        # a struct keeps a null name as a dimension row of its own
+        F.collect_set(F.struct("station_name")).alias("_names_h"))
+    station = Window.partitionBy("station_id")
+    with_names = per_hour.withColumn(
+        "_names", F.array_distinct(F.flatten(F.collect_list("_names_h").over(station))))
+    rows = with_names.select(
+        "*", F.explode_outer(F.when(F.col("station_id").isNotNull(), F.col("_names"))).alias("_dim"))
+    agg = rows.select(
+        "station_id", F.col("_dim.station_name").alias("station_name"), "departure_hour",
+        "total_departures", "delayed_departures", "canceled_departures", "_avg_s", "_tm", "_nm",
+        "max_delay_seconds")
+    j = (agg.withColumn("station_name_primary",
+                        F.when(F.col("station_id").isNotNull(), S.primary_name("station_name")))
+            .join(F.broadcast(hours), F.col("departure_hour") == F.col("hour_of_day"), "left"))
+    return _mart_columns(j)
 
 
 def _mart_select(agg: DataFrame, stations: DataFrame, hours: DataFrame) -> DataFrame:
     j = (agg.join(stations, "station_id", "left")
             .join(F.broadcast(hours), F.col("departure_hour") == F.col("hour_of_day"), "left"))
+    return _mart_columns(j)
+
+
+def _mart_columns(j: DataFrame) -> DataFrame:
     return j.select(
         *MART_KEYS,
         "total_departures", "delayed_departures", "canceled_departures",

@@ -148,3 +148,14 @@ def test_rounding_like_numpy_and_like_python(spark):
     assert [r.n for r in rows] == [float(v) for v in np.round(np.array(vals), 1)]
     assert [r.p for r in rows] == [round(v, 1) for v in vals]
     assert rows[0].n == 0.4 and rows[0].p == 0.3          # the two libraries disagree on 0.35
+
+
+def test_mart_paths_agree_on_null_names_and_names_at_other_hours(spark):
+    s = _star(spark, {"station_name": None},
+              {"station_name": "Alpha/Alfa", "vehicle_id": "V2", "scheduled_time": "2026-05-12T09:00:00+00:00"},
+              {"station_id": "A2", "station_name": "Beta", "vehicle_id": "V3"},
+              {"station_id": "A2", "station_name": "Beta/Bèta", "vehicle_id": "V4",
+               "scheduled_time": "2026-05-12T20:00:00+00:00", "delay_seconds": 45})
+    a = sorted((tuple(r) for r in s.mart.collect()), key=str)
+    b = sorted((tuple(r) for r in M.mart_delay_summary(s.fct, s.dim_stations, s.dim_time).collect()), key=str)
+    assert a == b and len(a) == 8      # every (station, name) pair at every hour the station has

@@ -81,9 +81,9 @@ def main(argv):
            "keeps the required-field filter above it, because the raw count must see every row.",
            "* Stored-table plans read only the referenced columns (`ReadSchema`) and push null filters "
            "into the scan; the station dimension is broadcast by the planner from its file size.",
-           "* In-memory mart: at run time the dedup exchange of the second branch is a `ReusedExchange`; the "
-           "per-station pre-aggregate is recomputed from that shuffle output (column pruning makes the two "
-           "pre-aggregates differ). The production path (K2) reads stored tables instead.",
+           "* In-memory mart: one pass over staging — two partial aggregations, a window over each "
+           "station's (at most 24) hour rows to gather its names, an explode, and the broadcast "
+           "24-row time dimension; no second scan and no station join.",
            "* No `CartesianProduct` / `BroadcastNestedLoopJoin` anywhere; the only `SinglePartition` "
            "exchanges carry one partial-aggregate row per task (global aggregates).", ""]
     for title, df in plans:
