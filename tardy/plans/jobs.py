@@ -42,7 +42,7 @@ def build_models(spark: SparkSession, processed_root: str, warehouse_root: str)
     return {**first, **second}
 
 
-def land_events(events: DataFrame, raw_path: str, dead_letter_path: str) -> dict:
+def land_events(events: DataFrame, raw_path: str, dead_letter_path: str, mode: str = "append") -> dict:
     """Route parsed events once: publishable ones land as raw Parquet, the rest as dead letters.
 
     The routed frame is persisted (recomputable from its lineage if an executor is lost) so the
@@ -54,24 +54,32 @@ def land_events(events: DataFrame, raw_path: str, dead_letter_path: str) -> dict
                             F.count_if(F.col("failure_reason").isNotNull()).alias("failed")).first()
         published, failed = int(counts["published"]), int(counts["failed"])
         if published:
-            IO.write_raw(routed.filter(F.col("failure_reason").isNull()).select(*P.EVENT_COLUMNS), raw_path)
+            IO.write_raw(routed.filter(F.col("failure_reason").isNull()).select(*P.EVENT_COLUMNS), raw_path, mode)
         if failed:
-            P.write_messages(P.to_dead_letters(routed.filter(F.col("failure_reason").isNotNull())
-                                               .drop("failure_reason")), dead_letter_path)
+            dead = P.to_dead_letters(routed.filter(F.col("failure_reason").isNotNull()).drop("failure_reason"))
+            dead.write.mode(mode).json(dead_letter_path)
     finally:
         routed.unpersist()
     return {"departures_fetched": published + failed, "published": published, "failed": failed}
 
 
 def run_all(spark: SparkSession, documents: DataFrame, workdir: str, stations: list[str] | None = None,
-            ingested_at: Column | None = None, processed_at=None) -> dict:
-    """K1: ingest -> land -> clean -> build -> test. Stops on an empty ingest or a failed test."""
+            ingested_at: Column | None = None, processed_at=None, run_id: str | None = None) -> dict:
+    """K1: ingest -> land -> clean -> build -> test. Stops on an empty ingest or a failed test.
+
+    With a ``run_id`` the run lands into ``raw/run_id=<id>`` (and the same for dead letters) with
+    overwrite, so a retried run replaces what its failed attempt landed instead of adding it again.
+    """
     pin_utc(spark)
     docs = documents
     if stations is not None:
         docs = docs.filter(F.col("requested_station").isin(list(stations)))
     events = L.liveboard_events(docs, ingested_at)
-    land = land_events(events, f"{workdir}/raw", f"{workdir}/dead_letters")
+    if run_id is None:
+        land = land_events(events, f"{workdir}/raw", f"{workdir}/dead_letters")
+    else:
+        land = land_events(events, f"{workdir}/raw/run_id={run_id}", f"{workdir}/dead_letters/run_id={run_id}",
+                           mode="overwrite")
     if land["departures_fetched"] == 0:
         raise ValueError("No departures fetched — the run cannot continue")
     stats = run_clean_job(spark, f"{workdir}/raw", f"{workdir}/processed", processed_at)

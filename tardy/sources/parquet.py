@@ -41,7 +41,7 @@ def conform_landed(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LANDED_SCHEMA.fields])
 
 
-def write_raw(df: DataFrame, path: str) -> str | None:
+def write_raw(df: DataFrame, path: str, mode: str = "append") -> str | None:
     """A2: append departures with enforced column types; empty input writes nothing -> None.
 
     The write goes through a ``rebalance``: AQE cuts an oversized input partition (e.g. the
@@ -51,7 +51,7 @@ def write_raw(df: DataFrame, path: str) -> str | None:
     out = conform_landed(df)
     if out.isEmpty():
         return None
-    out.hint("rebalance").write.mode("append").parquet(path)
+    out.hint("rebalance").write.mode(mode).parquet(path)
     return path
 
 

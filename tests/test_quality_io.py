@@ -123,3 +123,12 @@ def test_processed_read_unites_by_name(spark, tmpdir_fresh):
     assert dict(back.dtypes)["departure_date"] == "date"
     merged = IO.scan_processed(spark, f"{tmpdir_fresh}/p", merge_schema=True)
     assert merged.count() == 2
+
+
+def test_retried_run_does_not_land_twice(spark, tmpdir_fresh):
+    docs = X.liveboard_documents(spark, SF_SMALL)
+    ts = F.lit("2024-02-01T00:00:00+00:00")
+    first = run_all(spark, docs, tmpdir_fresh, ingested_at=ts, run_id="2024-02-01T00")
+    again = run_all(spark, docs, tmpdir_fresh, ingested_at=ts, run_id="2024-02-01T00")
+    assert again["raw_count"] == first["raw_count"] == first["published"]
+    assert again["clean_count"] == first["clean_count"]
