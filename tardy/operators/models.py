@@ -135,6 +135,11 @@ def mart_from_staging(stg: DataFrame, hours: DataFrame) -> DataFrame:
     return _mart_columns(j)
 
 
+def mart_from_sums(agg: DataFrame, stations: DataFrame, hours: DataFrame) -> DataFrame:
+    """The mart from per-(station_id, hour) sums (``_avg_s``, ``_tm``/``_nm`` and the counts)."""
+    return _mart_select(agg, stations, hours)
+
+
 def _mart_select(agg: DataFrame, stations: DataFrame, hours: DataFrame) -> DataFrame:
     j = (agg.join(stations, "station_id", "left")
             .join(F.broadcast(hours), F.col("departure_hour") == F.col("hour_of_day"), "left"))
