@@ -8,6 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Observation
 
 from tardy.functions import scalars as S
@@ -206,7 +207,9 @@ def run_all(spark: SparkSession, documents: DataFrame, workdir: str, stations: l
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a dataset folder exists (any Hadoop file system)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    """Whether a Parquet dataset exists at ``path`` (lists it and reads one footer, no data)."""
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except AnalysisException:
+        return False
