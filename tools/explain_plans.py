@@ -24,12 +24,28 @@ def plan_text(df) -> str:
     tree, _, details = text.partition("\n\n\n")
     keep = [ln for ln in details.splitlines()
             if re.match(r"^\(\d+\) ", ln) or ln.startswith(("ReadSchema", "PushedFilters", "PartitionFilters",
+                                                            "DynamicPartitionPruning",
                                                             "Arguments: hashpartitioning",
                                                             "Arguments: rangepartitioning",
                                                             "Arguments: SinglePartition"))]
     return tree.strip() + "\n\n" + "\n".join(keep)
 
 
+def _incremental_input(spark, raw_path, processed_root):
+    from pyspark.sql import functions as F
+
+    from tardy.functions import scalars as S
+    from tardy.operators import clean as C
+    from tardy.plans.jobs import READY_COLUMNS
+    from tardy.sources import parquet as IO
+
+    new = C.filter_required(C.filter_ready(IO.scan_raw(spark, raw_path)))
+    dates = new.select(S.departure_date("scheduled_time").alias("departure_date")).distinct()
+    stored = (IO.scan_processed(spark, processed_root).join(F.broadcast(dates), "departure_date", "left_semi")
+                .select(*READY_COLUMNS))
+    return C.dedup_departures(new.select(*READY_COLUMNS).unionByName(stored))
+
+
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     from tardy.session import build_session
@@ -69,6 +85,8 @@ def main(argv):
         ("Liveboard documents -> publishable messages", P.to_messages(L.liveboard_events(
             X.liveboard_documents(spark, sf_dir)))),
         ("Clean stats in one aggregate", C.clean_stats(IO.scan_raw(spark, f"{scratch}/raw"))),
+        ("Incremental clean: stored rows of only the dates a new batch touches (dynamic pruning)",
+         _incremental_input(spark, f"{scratch}/raw", f"{scratch}/processed")),
     ]
     out = ["# Physical plans of the headline queries", "",
            f"Generated by `tools/explain_plans.py` on `{os.path.basename(sf_dir)}`, local[8], AQE on "
