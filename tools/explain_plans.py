@@ -102,6 +102,9 @@ def main(argv):
            "* In-memory mart: one pass over staging — two partial aggregations, a window over each "
            "station's (at most 24) hour rows to gather its names, an explode, and the broadcast "
            "24-row time dimension; no second scan and no station join.",
+           "* Incremental clean: the stored scan (4) is joined on its partition column to the batch's "
+           "dates; the executed plan adds a `SubqueryAdaptiveBroadcast dynamicpruning` partition filter "
+           "to that scan, so only the touched date folders are listed and read.",
            "* No `CartesianProduct` / `BroadcastNestedLoopJoin` anywhere; the only `SinglePartition` "
            "exchanges carry one partial-aggregate row per task (global aggregates).", ""]
     for title, df in plans:
