@@ -35,7 +35,6 @@ def main() -> None:
     from tardy.plans import jobs as J
     from tardy.sources import fixtures as X
     from tardy.sources import liveboard as L
-    from tardy.sources import messages as P
     from tardy.sources import parquet as IO
 
     def run(df):
@@ -70,9 +69,9 @@ def main() -> None:
             run(df)
 
     def ingest():
+        counter["n"] += 1
         ev = L.liveboard_events(X.liveboard_documents(spark, sf_dir))
-        run(P.to_messages(ev))
-        run(P.to_dead_letters(ev))
+        J.land_events(ev, f"{scratch}/land{counter['n']}/raw", f"{scratch}/land{counter['n']}/dead")
 
     from pyspark.sql import functions as F
 
