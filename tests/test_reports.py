@@ -43,9 +43,9 @@ def test_kpi_on_empty_input_is_zero(spark):
 
 
 def test_report_rate_rounds_half_to_even(spark):
-    df = spark.createDataFrame([(1, 8)], "d long, t long")      # 12.5 -> 12.0 (half-even), mart would say 12.5
+    df = spark.createDataFrame([(1, 8)], "d long, t long")      # 12.5 is already one decimal: unchanged
     assert df.select(R._rate("d", "t").alias("r")).first()["r"] == 12.5
-    df = spark.createDataFrame([(1, 16)], "d long, t long")     # 6.25 -> 6.2
+    df = spark.createDataFrame([(1, 16)], "d long, t long")     # 6.25 is an exact tie -> 6.2 (to even)
     assert df.select(R._rate("d", "t").alias("r")).first()["r"] == 6.2
 
 
