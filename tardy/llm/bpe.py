@@ -39,7 +39,10 @@ class TrieBpe:
         self.vocab, self.end = vocab, end
         self.rank = {(vocab[a], vocab[b]): i for i, (a, b) in enumerate(merges)}
         self.made_by = {vocab[a + b]: (vocab[a], vocab[b]) for a, b in merges}
-        self.longest = max(map(len, vocab))
+        # every prefix of a token: the states of the automaton that finds the tokens ending a path
+        self.prefixes = {t[:i] for t in vocab for i in range(len(t) + 1)}
+        self.steps: dict[str, dict[str, str]] = {}
+        self.ending: dict[str, tuple] = {}
         self.spines: dict[int, tuple] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
@@ -95,46 +98,80 @@ class TrieBpe:
                 and self.meet(parts[0], parts[1], self.rank[parts]))
         return self.whole[token]
 
-    def last_token(self, path: str, states: list[tuple[int, int]], suffix: str) -> tuple[int, int]:
-        """(last token, its length in characters) of ``path`` + suffix, given its prefixes' states."""
-        depth = len(path)
-        for start in range(max(0, depth - self.longest), depth):
-            token = self.vocab.get(path[start:] + suffix)
-            if token is not None and self.is_whole(token) and (
-                    start == 0 or self.pair(states[start][0], token)):
-                return token, depth - start
-        raise ValueError(f"no token ends {path!r}")
+    def step(self, state: str, ch: str) -> str:
+        """The longest suffix of state + ch that begins some token."""
+        known = self.steps.setdefault(state, {})
+        if ch not in known:
+            s = state + ch
+            while s not in self.prefixes:
+                s = s[1:]
+            known[ch] = s
+        return known[ch]
+
+    def tokens_ending(self, state: str) -> tuple:
+        """Two lists of (token, length), longest first: tokens that end a path in this state, inside
+        a word and at the word's end."""
+        if state not in self.ending:
+            both = []
+            for suffix in ("", self.end):
+                found = ((self.vocab.get(state[i:] + suffix), len(state) - i) for i in range(len(state)))
+                both.append([(t, n) for t, n in found if t is not None and self.is_whole(t)])
+            self.ending[state] = tuple(both)
+        return self.ending[state]
+
+    def last_token(self, candidates, depth: int, last: list[int]) -> tuple[int, int]:
+        """The one candidate that may follow the last token of the prefix before it."""
+        pairs = self.pairs
+        for token, length in candidates:
+            if length == depth:
+                return token, length
+            key = (last[depth - length], token)
+            fits = pairs.get(key)
+            if fits is None:
+                fits = self.pair(*key)
+            if fits:
+                return token, length
+        raise ValueError("no token ends this prefix")
 
     def encode_words(self, words) -> dict[str, tuple[int, ...]]:
-        """Ids of distinct words. One walk over their trie; each shared prefix is encoded once."""
-        trie: dict = {}
-        for w in words:
-            node = trie
-            for ch in w:
-                node = node.setdefault(ch, {})
-            node[""] = w
+        """Ids of distinct words by one depth-first walk over their trie.
+
+        Sorted words are the trie's leaves in depth-first order and the common prefix of
+        neighbours is the part of the path that stays, so the trie is walked with one stack (the
+        prefix states) and never held as nodes. Each distinct prefix is visited once.
+        """
         out: dict[str, tuple[int, ...]] = {}
-        states: list[tuple[int, int]] = [(-1, 0)]      # states[d]: of the first d characters
-        walk = [(1, ch, child, ch) for ch, child in trie.items() if ch]
-        if "" in trie:
-            out[""] = ()
-        while walk:
-            depth, ch, node, path = walk.pop()
-            del states[depth:]
-            word = node.get("")
-            inner = len(node) - (word is not None)
-            if inner or not self.end:
-                states.append(self.last_token(path, states, ""))
-            if word is not None:
-                at, ids = depth, []
-                state = self.last_token(path, states, self.end) if self.end else states[depth]
-                while at:
-                    ids.append(state[0])
-                    at -= state[1]
-                    state = states[at]
-                out[word] = tuple(reversed(ids))
-            if inner:
-                walk.extend((depth + 1, c, child, path + c) for c, child in node.items() if c)
+        last, size, states = [-1], [0], [""]        # of the first d characters of the path
+        before = ""
+        for word in sorted(words):
+            n = len(word)
+            if not n:
+                out[word] = ()
+                continue
+            keep, most = 0, min(len(states) - 1, n)
+            while keep < most and word[keep] == before[keep]:
+                keep += 1
+            keep = min(keep, n - 1)
+            del last[keep + 1:], size[keep + 1:], states[keep + 1:]
+            state = states[keep]
+            for depth in range(keep + 1, n + 1):
+                ch = word[depth - 1]
+                state = self.steps.get(state, {}).get(ch) or self.step(state, ch)
+                inside, at_end = self.ending.get(state) or self.tokens_ending(state)
+                if depth == n and self.end:
+                    token, length = self.last_token(at_end, depth, last)
+                else:
+                    token, length = self.last_token(inside, depth, last)
+                    states.append(state)
+                    last.append(token)
+                    size.append(length)
+            ids, depth = [token], n - length
+            while depth:
+                ids.append(last[depth])
+                depth -= size[depth]
+            ids.reverse()
+            out[word] = tuple(ids)
+            before = word
         return out
 
 

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tardy.llm import bpe, exactdedup, urlfilter
-from tardy.llm.common import read_table
+from tardy.llm import bpe, exactdedup, packing, urlfilter
+from tardy.llm.common import read_table, stored
 
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
              ("allow", "com/fr/"), ("block", "com/de/"))
@@ -25,6 +25,21 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+PACK_CAPACITY, PACK_END_ID = 1024, 2
+
+
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    """Best-fit packing of ``docs``: the columns of op2."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    cut = packing.pieces(docs, path, PACK_END_ID, PACK_CAPACITY)
+    narrow = stored(cut.select("doc_id", "piece", "start", "length", packing.crc32_ids("ids").alias("ids_crc32")), "pieces")
+    return packing.pack(narrow, PACK_CAPACITY)
+
+
+def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_pieces(read_table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     out = exactdedup.exact_dedup(*exactdedup.split_by_age(docs))
@@ -38,6 +53,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_pack": op2_pack,
     "op6_exact_dedup": op6_exact_dedup,
     "op10_url_filter": op10_url_filter,
 }
