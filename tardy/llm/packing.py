@@ -24,6 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tardy.llm.common import bounded_batches, stored
@@ -111,7 +112,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int, id_col: str =
     return rows.mapInArrow(run, PIECE_SCHEMA)
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def crc32_ids(ids: pa.Array) -> pa.Array:
     """Unsigned CRC-32 of ids as little-endian unsigned 32-bit numbers."""
     return pa.array([zlib.crc32(row.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()) for row in ids],

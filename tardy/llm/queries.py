@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tardy.llm import bpe, exactdedup, packing, urlfilter
+from tardy.llm import bpe, exactdedup, minhash, packing, substrings, urlfilter
 from tardy.llm.common import read_table, stored
 
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
@@ -40,12 +40,21 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(read_table(spark, sf_dir, "documents"))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     out = exactdedup.exact_dedup(*exactdedup.split_by_age(docs))
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = spark.range(1).select(F.explode(F.array(*map(F.lit, LISTED_HOSTS))).alias("key"))
     return urlfilter.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES, listed)
@@ -54,10 +63,29 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pack": op2_pack,
+    "op3_minhash": op3_minhash,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_substrings": op9_substrings,
     "op10_url_filter": op10_url_filter,
 }
 
+_OP3_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS h FROM s),
+links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM e a JOIN e b ON a.h = b.h AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach(id, other) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.id, l.v FROM reach r JOIN links l ON l.u = r.other)
+SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM s JOIN (SELECT id, min(other) AS component_id FROM reach GROUP BY id) c ON c.id = s.doc_id
+"""
+
 _OP6_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
@@ -65,6 +93,23 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d
 FROM d JOIN g ON d.t = g.t
 """
 
+_OP9_SQL = """
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+v AS (SELECT doc_id, unnest(range(1, len(ws) - 33)) AS s, ws FROM w WHERE len(ws) >= 35),
+h AS (SELECT doc_id, s, array_to_string(ws[s:s + 34], ' ') AS t FROM v),
+twice AS (SELECT t FROM h GROUP BY t HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 35)) AS i FROM h WHERE t IN (SELECT t FROM twice)),
+g AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id),
+k AS (SELECT w.doc_id, ws, coalesce(g.gone, []) AS gone FROM w LEFT JOIN g ON w.doc_id = g.doc_id),
+x AS (SELECT k.doc_id, len(ws) AS n, len(gone) AS r,
+  CASE WHEN len(gone) = 0 THEN array_to_string(ws, ' ')
+       ELSE coalesce((SELECT string_agg(ws[i], ' ' ORDER BY i) FROM (SELECT unnest(range(1, len(ws) + 1)) AS i) q
+                      WHERE NOT list_contains(gone, i)), '') END AS kept FROM k)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(r AS BIGINT) AS n_removed, sha256(kept) AS kept_sha256 FROM x
+"""
+
 
 def _fits_sql(rule: str) -> str:
     host, prefix = rule.split("/", 1)
@@ -90,4 +135,4 @@ SELECT page_id, host, path, rule,
 
 @functools.cache
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": _OP6_SQL, "op10_url_filter": _op10_sql()}
+    return {"op3_minhash": _OP3_SQL, "op6_exact_dedup": _OP6_SQL, "op9_substrings": _OP9_SQL, "op10_url_filter": _op10_sql()}
