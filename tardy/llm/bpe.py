@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from tardy.llm.common import bounded_batches
 
 NEVER = 1 << 60
-CACHE_WORDS = 400_000         # distinct words a worker remembers before it starts afresh
+CACHE_WORDS = 200_000         # distinct words a worker remembers before it starts afresh
+CACHE_PAIRS = 500_000         # likewise for token pairs
 
 
 def byte_alphabet() -> list[str]:
@@ -84,7 +85,7 @@ class TrieBpe:
     def pair(self, left: int, right: int) -> bool:
         key = (left, right)
         if key not in self.pairs:
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) >= CACHE_PAIRS:
                 self.pairs.clear()
             self.pairs[key] = self.meet(left, right)
         return self.pairs[key]
@@ -192,7 +193,6 @@ class WordTokenizer:
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.bpe = TrieBpe(model["vocab"], merges, model["end_of_word_suffix"] or "")
         self.special = {t["content"]: t["id"] for t in conf["added_tokens"]}
-        self.names = {i: t for t, i in {**model["vocab"], **self.special}.items()}
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.find = regex.compile(self.WORD).findall
         self.hard = regex.compile(r"[^\t\n\r\x20-\x7e -ɏ]").search
@@ -233,8 +233,18 @@ class WordTokenizer:
         return [b"".join(p.to_bytes(4, "little") if isinstance(p, int) else b"".join(map(get, p)) for p in parts)
                 for parts in split]
 
+
+class Decoder:
+    """Names of the tokens of a tokenizer file; a text is its tokens' names joined by one space."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            conf = json.load(f)
+        self.names = {i: t for t, i in conf["model"]["vocab"].items()}
+        self.names.update((t["id"], t["content"]) for t in conf["added_tokens"])
+
     def decode(self, ids) -> str:
-        """Token names joined by one space; unknown ids are left out."""
+        """Unknown ids are left out."""
         return " ".join([self.names[i] for i in ids if i in self.names])
 
 
@@ -268,9 +278,9 @@ def encode_udf(path: str):
 def decode_udf(path: str):
     """Column function: array<int> of token ids -> text (null or empty: the empty text)."""
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tok = WordTokenizer(path)
+        names = Decoder(path)
         for ids in batches:
-            yield pa.array([tok.decode(row.values.to_numpy(zero_copy_only=False).tolist()) if row.is_valid else ""
+            yield pa.array([names.decode(row.values.to_numpy(zero_copy_only=False).tolist()) if row.is_valid else ""
                             for row in ids], pa.string())
 
     return F.arrow_udf(decode, "string")

@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 
 from tardy.llm.common import bounded_batches, stored
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids array<int>"
 
 

@@ -3,10 +3,21 @@
 import functools
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tardy.llm import bpe, exactdedup, minhash, packing, substrings, urlfilter
+from tardy.llm import (
+    bpe,
+    exactdedup,
+    htmlextract,
+    langid,
+    lineclean,
+    linechunks,
+    minhash,
+    packing,
+    substrings,
+    urlfilter,
+)
 from tardy.llm.common import read_table, stored
 
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
@@ -44,12 +55,40 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linechunks.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def held_out() -> Column:
+    """Documents that no model learns from."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False))
+
+
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.learn(docs.filter(~held_out()))
+    out = langid.identify(docs, model)
+    return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     out = exactdedup.exact_dedup(*exactdedup.split_by_age(docs))
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lineclean.clean_lines(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept", "lost")
+
+
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = htmlextract.extract_text(read_table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -64,7 +103,11 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pack": op2_pack,
     "op3_minhash": op3_minhash,
+    "op4_lines": op4_lines,
+    "op5_langid": op5_langid,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_quality": op7_quality,
+    "op8_html": op8_html,
     "op9_substrings": op9_substrings,
     "op10_url_filter": op10_url_filter,
 }
@@ -86,6 +129,24 @@ SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, c.component_id, s.doc_
 FROM s JOIN (SELECT id, min(other) AS component_id FROM reach GROUP BY id) c ON c.id = s.doc_id
 """
 
+_OP4_SQL = """
+WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+h AS (SELECT doc_id, ls, list_transform(ls, lambda x: CAST('0x' || substr(md5(x), 1, 7) AS BIGINT)) AS hs FROM l),
+r AS (SELECT doc_id, ls, list_transform(range(1, len(ls) + 1),
+        lambda i: (hs[i] + CASE WHEN i > 1 THEN 31 * hs[i - 1] ELSE 0 END
+                         + CASE WHEN i > 2 THEN 961 * hs[i - 2] ELSE 0 END) % 4 = 0) AS cut FROM h),
+s AS (SELECT doc_id, ls, list_filter(range(1, len(ls) + 1), lambda i: i = 1 OR cut[i - 1]) AS st FROM r),
+c AS (SELECT doc_id, unnest(range(1, len(st) + 1)) AS k, st, ls FROM s),
+p AS (SELECT doc_id, k, ls[st[k]:coalesce(st[k + 1], len(ls) + 1) - 1] AS part FROM c),
+t AS (SELECT doc_id, k, len(part) AS n, array_to_string(part, chr(10)) AS chunk,
+             len(list_filter(part, lambda x: trim(x) <> '')) >= 2 AS many FROM p),
+m AS (SELECT *, row_number() OVER (PARTITION BY many, chunk ORDER BY doc_id, k) AS nth FROM t)
+SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_lines,
+       CAST(coalesce(sum(n) FILTER (WHERE many AND nth > 1), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(string_agg(chunk, chr(10) ORDER BY k) FILTER (WHERE NOT (many AND nth > 1)), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
 _OP6_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
@@ -135,4 +196,4 @@ SELECT page_id, host, path, rule,
 
 @functools.cache
 def oracle_sql() -> dict[str, str]:
-    return {"op3_minhash": _OP3_SQL, "op6_exact_dedup": _OP6_SQL, "op9_substrings": _OP9_SQL, "op10_url_filter": _op10_sql()}
+    return {"op3_minhash": _OP3_SQL, "op4_lines": _OP4_SQL, "op6_exact_dedup": _OP6_SQL, "op9_substrings": _OP9_SQL, "op10_url_filter": _op10_sql()}
