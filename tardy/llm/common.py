@@ -32,6 +32,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """Mark the side of a join that grows with the corpus: never broadcast, at any size."""
+    return df.hint("merge")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

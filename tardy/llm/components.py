@@ -9,7 +9,7 @@ and a checksum only.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tardy.llm.common import stored
+from tardy.llm.common import by_shuffle, stored
 
 MAX_ROUNDS = 60
 
@@ -17,13 +17,13 @@ MAX_ROUNDS = 60
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    moved = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = both.filter("v > u").join(by_shuffle(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.filter("u != v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     low = edges.groupBy("u").agg(F.min("v").alias("m"))       # every edge points down: u > v
-    moved = edges.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
+    moved = edges.join(by_shuffle(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
     return moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
 
 

@@ -13,7 +13,7 @@ one row per hash, which adaptive execution splits.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tardy.llm.common import stored, text_or_empty
+from tardy.llm.common import by_shuffle, stored, text_or_empty
 
 ROLL = 3                          # lines under the rolling hash
 SPREAD = 4                        # one line in so many ends a chunk
@@ -58,21 +58,23 @@ def repeated_chunks(rows: DataFrame) -> DataFrame:
 
     ``rows`` has doc_id, th (hash of the text; rows with equal keys are one document) and chunks.
     """
-    every = rows.select("doc_id", "th", F.inline("chunks")).filter("n_full >= 2")
+    # the outer form: a plain one infers a filter that would repeat the whole chunking per element
+    every = rows.select("doc_id", "th", F.inline_outer("chunks")).filter("n_full >= 2")
     every = every.select(F.xxhash64("chunk").alias("key"), F.struct("doc_id", "th", "k").alias("place"), "chunk")
     groups = every.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
     groups = stored(groups.filter("n > 1"), "chunk-groups")
-    copies = stored(every.join(groups.select("key"), "key", "left_semi"), "chunk-copies")
+    copies = stored(every.join(by_shuffle(groups.select("key")), "key", "left_semi"), "chunk-copies")
 
     # byte check against the group's first copy; a chunk that differs is grouped by its own bytes
-    lead = copies.join(groups.select("key", "first"), "key").filter("place <=> first")
+    first = groups.select(F.col("key").alias("f_key"), "first")
+    lead = copies.join(by_shuffle(first), (F.col("key") == F.col("f_key")) & F.col("place").eqNullSafe(F.col("first")))
     lead = lead.groupBy("key").agg(F.max("chunk").alias("lead_chunk"))
-    checked = copies.join(lead, "key").select(
+    checked = copies.join(by_shuffle(lead), "key").select(
         "key", "place", F.when(F.col("chunk") != F.col("lead_chunk"), F.col("chunk")).alias("other"))
     checked = stored(checked, "chunk-checked")
     exact = checked.groupBy("key", "other").agg(F.min("place").alias("first"))
     exact = exact.select(F.col("key").alias("g_key"), F.col("other").alias("g_other"), "first")
-    later = checked.join(exact, (F.col("key") == F.col("g_key")) & F.col("other").eqNullSafe(F.col("g_other")))
+    later = checked.join(by_shuffle(exact), (F.col("key") == F.col("g_key")) & F.col("other").eqNullSafe(F.col("g_other")))
     return later.filter(~F.col("place").eqNullSafe(F.col("first"))).select("place.*")
 
 
@@ -87,7 +89,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = with_chunks(rows.withColumn("th", F.xxhash64("text"))).drop("text")
     gone = repeated_chunks(rows).groupBy("doc_id", "th").agg(F.collect_set("k").alias("gone"))
     gone = gone.withColumnRenamed("doc_id", "d").withColumnRenamed("th", "t")
-    met = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")), "left")
+    met = rows.join(by_shuffle(gone), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")), "left")
     lost = F.coalesce("gone", F.array().cast("array<int>"))
     marked = met.select("doc_id", "chunks", lost.alias("gone"))
     total = F.aggregate("chunks", F.lit(0).cast("long"), lambda n, c: n + c["n_lines"])

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tardy.llm.common import bounded_batches, stored
+from tardy.llm.common import bounded_batches, by_shuffle, stored
 from tardy.llm.components import components
 from tardy.llm.wordhash import WordHasher, mix, row_blocks, salt
 
@@ -139,7 +139,7 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (u, v) whose texts are linked; ``texts`` has one row (id, text) per node."""
     left = texts.select(F.col("id").alias("u"), F.col("text").alias("u_text"))
     right = texts.select(F.col("id").alias("v"), F.col("text").alias("v_text"))
-    met = pairs.select("u", "v").join(left, "u").join(right, "v")
+    met = pairs.select("u", "v").join(by_shuffle(left), "u").join(by_shuffle(right), "v")
     return met.filter(similar("u_text", "v_text")).select("u", "v")
 
 
@@ -150,7 +150,7 @@ def near_pairs(members: DataFrame) -> DataFrame:
     every two blocks meet once, in one task that holds both and nothing else.
     """
     sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "key").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = members.join(by_shuffle(sizes), "key").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("theirs", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("key", F.least("mine", "theirs").alias("i"), F.greatest("mine", "theirs").alias("j"),
                          "mine", "id", "comp", "sig")
@@ -216,34 +216,34 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # keys shared by two nodes or more, each with its smallest node as leader
     keyed = nodes.select("id", F.explode(chunk_keys("sig")).alias("key"))
     shared = keyed.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("top")).filter("leader < top")
-    members = stored(keyed.join(shared.select("key", "leader"), "key"), "members")
+    members = stored(keyed.join(by_shuffle(shared.select("key", "leader")), "key"), "members")
 
     # whole texts of every node that shares a key, written once for both rounds of checks
-    involved = members.select("id").distinct().join(nodes.select("id", "a", "b"), "id")
+    involved = members.select("id").distinct()
     text_rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    texts = stored(text_rows.join(involved.select("id").distinct(), "id", "left_semi"), "texts")
+    texts = stored(text_rows.join(by_shuffle(involved), "id", "left_semi"), "texts")
     texts = texts.dropDuplicates(["id"]) if _repeats(rows) else texts
 
     best = (members.filter("id != leader").groupBy("id", "leader").count()
             .groupBy("id").agg(F.max(F.struct("count", (-F.col("leader")).alias("least"))).alias("best")))
     sig = nodes.select("id", "sig")
     stars = best.select(F.col("id").alias("u"), (-F.col("best.least")).alias("v"))
-    stars = (stars.join(sig.select(F.col("id").alias("u"), F.col("sig").alias("u_sig")), "u")
-             .join(sig.select(F.col("id").alias("v"), F.col("sig").alias("v_sig")), "v")
+    stars = (stars.join(by_shuffle(sig.select(F.col("id").alias("u"), F.col("sig").alias("u_sig"))), "u")
+             .join(by_shuffle(sig.select(F.col("id").alias("v"), F.col("sig").alias("v_sig"))), "v")
              .filter(distance("u_sig", "v_sig") <= ERRORS))
     edges = stored(confirm(stars, texts), "links")
 
     # what one leader per node left open: keys whose nodes lie in several components
     label = components(edges)
-    named = members.select("key", "id").join(label, "id", "left").select(
+    named = members.select("key", "id").join(by_shuffle(label), "id", "left").select(
         "key", "id", F.coalesce("component", "id").alias("comp"))
     open_keys = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y")
-    rest = named.join(open_keys.select("key"), "key", "left_semi").join(sig, "id")
+    rest = named.join(by_shuffle(open_keys.select("key")), "key", "left_semi").join(by_shuffle(sig), "id")
     more = stored(confirm(stored(near_pairs(rest), "near"), texts), "more-links")
 
     final = components(edges.unionByName(more))
-    by_node = nodes.join(final, "id", "left").select("a", "b", F.coalesce("component", "id").alias("component"))
-    linked = rows.join(by_node.filter("component is not null"), ["a", "b"], "left").select(
+    by_node = nodes.join(by_shuffle(final), "id", "left").select("a", "b", F.coalesce("component", "id").alias("component"))
+    linked = rows.join(by_shuffle(by_node.filter("component is not null")), ["a", "b"], "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce(
             F.when(F.col("n_shingles") > 0, F.col("component")), F.col("doc_id"))).alias("component_id"))

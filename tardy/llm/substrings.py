@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tardy.llm.common import bounded_batches, stored, text_or_empty
+from tardy.llm.common import bounded_batches, by_shuffle, stored, text_or_empty
 from tardy.llm.wordhash import WordHasher, row_blocks
 
 WINDOW, GRAM = 35, 10
@@ -131,14 +131,14 @@ def estimated_repeats(rows: DataFrame) -> DataFrame:
         # a later row only needs the runs that are left: all copies of a repeated gram are among them
         counts = counts if row == 0 else runs.select("m", (F.col("multi") + 1).cast("long").alias("n"))
         cells = repeated_cells(counts, row).withColumnRenamed("cell", "hit")
-        runs = stored(runs.join(cells, cell(row) == F.col("hit"), "left_semi"), f"runs-{row}")
+        runs = stored(runs.join(by_shuffle(cells), cell(row) == F.col("hit"), "left_semi"), f"runs-{row}")
     return runs
 
 
 def windows_of(rows: DataFrame, runs: DataFrame) -> DataFrame:
     """Every window of the given runs: w1, w2 (hashes of its words), doc_id, th, pos, whole."""
     per_doc = runs.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "n", "whole")).alias("runs"))
-    met = rows.join(per_doc.withColumnRenamed("doc_id", "d").withColumnRenamed("th", "t"),
+    met = rows.join(by_shuffle(per_doc.withColumnRenamed("doc_id", "d").withColumnRenamed("th", "t")),
                     F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))
                     ).select("doc_id", "th", "text", "runs")
 
@@ -178,16 +178,16 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     same = runs.groupBy("m", "rh").agg(F.count(F.lit(1)).alias("copies"), F.max("multi").alias("multi"),
                                        F.min(place).alias("place"))
     same = stored(same, "distinct-runs")
-    whole = runs.join(same.filter("copies > 1").select("m", "rh"), ["m", "rh"], "left_semi")
+    whole = runs.join(by_shuffle(same.filter("copies > 1").select("m", "rh")), ["m", "rh"], "left_semi")
     whole = whole.select("doc_id", "th", "start", "n")
 
     # runs that share their gram with a different run, or may repeat inside: window by window
     mixed = same.groupBy("m").agg(F.count(F.lit(1)).alias("kinds"), F.max("multi").alias("any")).filter(
         "kinds > 1 or any > 0").select("m")
-    look = same.join(mixed, "m", "left_semi").select("place.*", (F.col("copies") > 1).alias("whole"))
+    look = same.join(by_shuffle(mixed), "m", "left_semi").select("place.*", (F.col("copies") > 1).alias("whole"))
     windows = stored(windows_of(rows, look), "windows")
     twice = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w1", "w2")
-    single = windows.filter("not whole").join(twice, ["w1", "w2"], "left_semi").select(
+    single = windows.filter("not whole").join(by_shuffle(twice), ["w1", "w2"], "left_semi").select(
         "doc_id", "th", F.col("pos").alias("start"), F.lit(1).alias("n"))
     return whole.unionByName(single)
 
@@ -204,7 +204,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = _keyed(docs, id_col, text_col)
     spans = repeated_spans(rows)
     per_doc = spans.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
-    met = rows.join(per_doc.withColumnRenamed("doc_id", "d").withColumnRenamed("th", "t"),
+    met = rows.join(by_shuffle(per_doc.withColumnRenamed("doc_id", "d").withColumnRenamed("th", "t")),
                     F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
