@@ -206,27 +206,33 @@ def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -
     return Model([tuple(r) for r in cells.collect()])
 
 
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, lang_pred, score, spans (start and length in characters, lang).
-
-    A null text, one without a letter, or an empty model gives ``und`` with score 0 and no spans.
-    Whole texts are labelled; nothing is shuffled. Only the id and text columns are read.
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def predict_udf(model: Model):
+    """Column function: text -> struct(lang_pred, score, spans)."""
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         alphabet = Alphabet()
         span = pa.struct([("start", pa.int32()), ("length", pa.int32()), ("lang", pa.string())])
         for batch in batches:
-            for at, texts in _blocks(batch.column(1)):
-                preds, scores, spans = label(model, alphabet, texts)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(texts)), pa.array(preds, pa.string()),
-                     pa.array(scores, pa.float64()), pa.array(spans, pa.list_(span))],
-                    names=["doc_id", "lang_pred", "score", "spans"])
+            preds, scores, spans = [], [], []
+            for _, texts in _blocks(batch):
+                for held, more in zip((preds, scores, spans), label(model, alphabet, texts), strict=True):
+                    held.extend(more)
+            yield pa.StructArray.from_arrays(
+                [pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, pa.list_(span))],
+                names=["lang_pred", "score", "spans"])
 
+    return F.arrow_udf(predict, "struct<lang_pred: string, score: double, "
+                                "spans: array<struct<start: int, length: int, lang: string>>>")
+
+
+def identify(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "language") -> DataFrame:
+    """``docs`` with ``out_col``: lang_pred, score, spans (start and length in characters, lang).
+
+    A null text, one without a letter, or an empty model gives ``und`` with score 0 and no spans.
+    Whole texts are labelled; nothing is shuffled. ``docs`` keeps its columns; one that is named
+    like ``out_col`` is replaced.
+    """
     bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, "
-                                "spans array<struct<start: int, length: int, lang: string>>")
+    return docs.withColumn(out_col, predict_udf(model)(F.col(text_col).cast("string")))
 
 
 def label(model: Model, alphabet: Alphabet, texts: list[str]):

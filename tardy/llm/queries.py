@@ -68,8 +68,8 @@ def held_out() -> Column:
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = langid.learn(docs.filter(~held_out()))
-    out = langid.identify(docs, model)
-    return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    out = langid.identify(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out().alias("held_out"), "language.lang_pred", "language.score")
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,8 +90,9 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+    out = substrings.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "repeats.n_words", "repeats.n_removed",
+                      F.sha2("repeats.kept_text", 256).alias("kept_sha256"))
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

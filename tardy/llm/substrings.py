@@ -192,44 +192,46 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     return whole.unionByName(single)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_text (kept words, one space between).
+def _kept(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Texts and their spans -> struct(n_words, n_removed, kept_text)."""
+    for texts, span_lists in batches:
+        n_words, n_removed, kept = [], [], []
+        for text, spans in zip(texts, span_lists, strict=True):
+            words = (text.as_py() or "").encode().split()            # exactly space and 0x09-0x0D
+            n = len(words)
+            spans = spans.as_py()
+            if spans:
+                cover = np.zeros(n + 1, dtype=np.int64)
+                for s in spans:
+                    cover[s["start"]] += 1
+                    cover[s["start"] + s["n"] + WINDOW - 1] -= 1
+                words = [words[k] for k in np.flatnonzero(np.cumsum(cover[:-1]) == 0).tolist()]
+            n_words.append(n)
+            n_removed.append(n - len(words))
+            kept.append(b" ".join(words).decode())
+        yield pa.StructArray.from_arrays(
+            [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
+            names=["n_words", "n_removed", "kept_text"])
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   out_col: str = "repeats") -> DataFrame:
+    """``docs`` with ``out_col``: n_words, n_removed, kept_text (kept words, one space between).
 
     A word goes when a window of 35 words that covers it has the same words as a window that
     starts anywhere else, in this or another document. Null and empty texts have no words; texts
     shorter than a window lose nothing; null and repeated doc_ids are allowed (rows that repeat id
-    and text are separate documents and remove each other). Only the id and text columns are read.
+    and text are separate documents and remove each other). ``docs`` keeps its columns; one that
+    is named like ``out_col`` is replaced.
     """
     bounded_batches(docs.sparkSession)
-    rows = _keyed(docs, id_col, text_col)
-    spans = repeated_spans(rows)
-    per_doc = spans.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
-    met = rows.join(by_shuffle(per_doc.withColumnRenamed("doc_id", "d").withColumnRenamed("th", "t")),
-                    F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")), "left")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, texts in row_blocks(batch.column(1)):
-                n_words, n_removed, kept = [], [], []
-                for i, text in enumerate(texts):
-                    words = text.as_py().encode().split()       # exactly space and 0x09-0x0D
-                    spans = batch.column(2)[at + i].as_py() or ()
-                    if spans:
-                        cover = np.zeros(len(words) + 1, dtype=np.int64)
-                        for s in spans:
-                            cover[s["start"]] += 1
-                            cover[s["start"] + s["n"] + WINDOW - 1] -= 1
-                        stay = np.flatnonzero(np.cumsum(cover[:-1]) == 0).tolist()
-                        words, n = [words[k] for k in stay], len(words)
-                    else:
-                        n = len(words)
-                    n_words.append(n)
-                    n_removed.append(n - len(words))
-                    kept.append(b" ".join(words).decode())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(texts)), pa.array(n_words, pa.int64()),
-                     pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
-                    names=["doc_id", "n_words", "n_removed", "kept_text"])
-
-    return met.select("doc_id", "text", "spans").mapInArrow(
-        run, "doc_id long, n_words long, n_removed long, kept_text string")
+    spans = repeated_spans(_keyed(docs, id_col, text_col))
+    place = F.collect_set(F.struct("start", "n"))
+    per_doc = spans.groupBy("doc_id", "th").agg(place.alias("spans")).select(
+        F.struct("doc_id", "th").alias("__place"), F.col("spans").alias("__spans"))
+    key = F.struct(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_or_empty(text_col)).alias("th"))
+    met = docs.withColumn("__key", key)
+    met = met.join(by_shuffle(per_doc), F.col("__key") == F.col("__place"), "left")
+    out = F.arrow_udf(_kept, "struct<n_words: bigint, n_removed: bigint, kept_text: string>")
+    met = met.withColumn(out_col, out(text_or_empty(text_col), F.col("__spans")))
+    return met.drop("__key", "__place", "__spans")
