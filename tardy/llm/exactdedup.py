@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tardy.llm import fusefilter
-from tardy.llm.common import stored, text_or_empty
+from tardy.llm.common import by_shuffle, stored, text_or_empty
 
 KEYS_PER_BUCKET = 50_000      # distinct digests per filter: bounds the memory of one group
 
@@ -66,10 +66,10 @@ def merged_classes(old: DataFrame, new: DataFrame, buckets: int) -> DataFrame:
     """Classes of snapshot and batch together; only screened positives meet the snapshot table."""
     screened = stored(screen(new, build_filters(old, buckets), buckets), "screened")
     positive = screened.filter("hit").select("digest", F.col("n").alias("n_new"), F.col("keep_id").alias("keep_new"))
-    met = old.join(positive, "digest", "left").select(
+    met = old.join(by_shuffle(positive), "digest", "left").select(
         "digest", (F.col("n") + F.coalesce("n_new", F.lit(0))).alias("n"),
         F.greatest("keep_id", "keep_new").alias("keep_id"))
-    false_alarm = screened.filter("hit").join(old.select("digest"), "digest", "left_anti")
+    false_alarm = screened.filter("hit").join(by_shuffle(old.select("digest")), "digest", "left_anti")
     cols = ["digest", "n", "keep_id"]
     return met.unionByName(screened.filter("not hit").select(cols)).unionByName(false_alarm.select(cols))
 
@@ -94,22 +94,24 @@ def exact_dedup(snapshot: DataFrame, incoming: DataFrame, id_col: str = "doc_id"
     classes = merged_classes(old, new, buckets)
     dup = stored(classes.filter("n > 1"), "dup-classes")
 
-    single = rows.join(dup.select("digest"), "digest", "left_anti").select(
+    single = rows.join(by_shuffle(dup.select("digest")), "digest", "left_anti").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "digest")
 
     # byte check: every document of a group against the group's representative text
     candidates = stored(both.withColumn("digest", F.unhex(F.sha2("text", 256)))
-                        .join(dup.select("digest"), "digest", "left_semi"), "candidates")
-    chosen = candidates.join(dup.select("digest", "keep_id"), "digest").filter("doc_id <=> keep_id")
+                        .join(by_shuffle(dup.select("digest")), "digest", "left_semi"), "candidates")
+    keeper = dup.select(F.col("digest").alias("k_digest"), "keep_id")
+    chosen = candidates.join(by_shuffle(keeper), (F.col("digest") == F.col("k_digest"))
+                             & F.col("doc_id").eqNullSafe(F.col("keep_id")))
     lead = chosen.groupBy("digest").agg(F.max("text").alias("lead_text"))
     # a text that differs from the lead (two texts, one digest) is grouped by its own bytes
-    checked = candidates.join(lead, "digest").select(
+    checked = candidates.join(by_shuffle(lead), "digest").select(
         "doc_id", "digest", F.when(F.col("text") != F.col("lead_text"), F.col("text")).alias("other"))
     checked = stored(checked, "checked")
     groups = checked.groupBy("digest", "other").agg(
         F.count(F.lit(1)).alias("group_size"), F.max("doc_id").alias("keep_id"))
     g = groups.select(F.col("digest").alias("g_digest"), F.col("other").alias("g_other"), "group_size", "keep_id")
-    several = checked.join(g, (F.col("digest") == F.col("g_digest")) & F.col("other").eqNullSafe(F.col("g_other"))
+    several = checked.join(by_shuffle(g), (F.col("digest") == F.col("g_digest")) & F.col("other").eqNullSafe(F.col("g_other"))
                            ).select("doc_id", "keep_id", "group_size", "digest")
     return single.unionByName(several).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")

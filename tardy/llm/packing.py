@@ -14,6 +14,7 @@ with the table (tokenising, sorting, ranking, placing) is done by the executors.
 """
 
 import json
+import re
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -24,21 +25,23 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tardy.llm.common import bounded_batches, stored
 
-CACHE_WORDS = 200_000
-PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids array<int>"
+CACHE_PARTS = 400_000         # parts of texts that a worker remembers before it starts afresh
+PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
+ROWS_AT_ONCE = 300
 
 
 class ByteTokenizer:
-    """Ids of a byte-level vocabulary, word by word: equal words are encoded once per worker.
+    """Ids of a byte-level vocabulary; equal parts of texts are encoded once per worker.
 
-    The vocabulary splits a text into words that are encoded independently, so the library is
-    asked for each distinct word only. Texts with special tokens or characters beyond Latin go to
-    the library whole.
+    The vocabulary splits a text into words that are encoded independently, and a space that
+    stands between other characters always begins a word. So a text is cut at its spaces, each
+    distinct part is looked up, unknown parts are split into words and the library is asked for
+    unknown words only. Texts with special tokens or characters beyond Latin go to the library
+    whole; texts with spaces inside longer runs of white space are split into words directly.
     """
 
     WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"   # fixed by the vocabulary
@@ -50,24 +53,55 @@ class ByteTokenizer:
         with open(path, encoding="utf-8") as f:
             special = [t["content"] for t in json.load(f)["added_tokens"]]
         self.hard = regex.compile("|".join([r"[^\t\n\r\x20-\x7e -ɏ]", *map(regex.escape, special)])).search
+        self.inner_space = re.compile(r"\s (?!\S)").search      # such a space need not begin a word
         self.find = regex.compile(self.WORD).findall
-        self.cache: dict[str, bytes] = {}
-
-    def _library_ids(self, texts: list[str]) -> list[bytes]:
-        coded = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<i4").tobytes() for e in coded]
+        self.known: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<i4").tobytes()
+
+    def _learn_words(self, words: set[str]) -> None:
+        """Plain words with their space are encoded many at a time: each stays a word of its own."""
+        plain = [w for w in words if w[0] == " " and w[1:].isalpha()]
+        for at in range(0, len(plain), 5000):
+            some = plain[at:at + 5000]
+            coded = self.library.encode("".join(some), add_special_tokens=False)
+            ids = np.array(coded.ids, dtype="<i4").tobytes()
+            counts = np.bincount(np.array(coded.word_ids, dtype=np.int64), minlength=len(some))
+            ends = (4 * np.cumsum(counts)).tolist()
+            self.known.update((w, ids[i:j]) for w, i, j in zip(some, [0, *ends], ends, strict=False))
+        self.known.update((w, self._whole(w)) for w in words.difference(plain))
+
+    def _learn(self, parts: set[str]) -> None:
+        """Parts that are one plain word need no splitting."""
+        new = parts - self.known.keys()
+        composed = {p: self.find(p) for p in new if not (p[0] == " " and p[1:].isalpha())}
+        words = new.difference(composed)
+        words.update(w for ws in composed.values() for w in ws)
+        self._learn_words(words - self.known.keys())
+        get = self.known.__getitem__
+        self.known.update([(p, b"".join(map(get, ws))) for p, ws in composed.items()])
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        words = [None if self.hard(t) else self.find(t) for t in texts]
-        new = list({w for ws in words if ws for w in ws if w not in self.cache})
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache.clear()
-            new = list({w for ws in words if ws for w in ws})
-        self.cache.update(zip(new, self._library_ids(new), strict=True))
-        get = self.cache.__getitem__
-        return [self._library_ids([t])[0] if ws is None else b"".join(map(get, ws))
-                for t, ws in zip(texts, words, strict=True)]
+        if len(self.known) > CACHE_PARTS:
+            self.known.clear()
+        whole, parts = {}, []
+        for i, t in enumerate(texts):
+            ps = []
+            if self.hard(t):
+                whole[i] = self._whole(t)
+            elif self.inner_space(t):
+                ps = self.find(t)
+            elif t:
+                ps = [" " + p for p in t.split(" ")]
+                ps[0] = ps[0][1:]
+                if not ps[0]:
+                    del ps[0]
+            parts.append(ps)
+        self._learn(set().union(*parts))
+        get = self.known.__getitem__
+        return [whole[i] if i in whole else b"".join(map(get, ps)) for i, ps in enumerate(parts)]
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -78,45 +112,39 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, path: str, end_id: int, capacity: int, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """Pieces of every document: doc_id, piece, start, length, ids (tokens and the end id).
+           text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """Pieces of every document: doc_id, piece, start, length, ids_crc32 and, if asked for, ids.
 
-    Null text counts as empty, so each document has at least its end id. One row at a time leaves
-    the tokeniser, so memory is bounded by the Arrow batch and the longest document.
+    Ids are the text's tokens and the end id; ids_crc32 is the unsigned CRC-32 of a piece's ids as
+    little-endian unsigned 32-bit numbers. Null text counts as empty, so each document has at
+    least its end id. Memory is bounded by the Arrow batch and the longest document.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = ByteTokenizer(path)
         end = np.array([end_id], dtype="<i4").tobytes()
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            for at in range(0, len(texts), 500):
-                some = [t or "" for t in texts.slice(at, 500).to_pylist()]
-                doc, piece, start, length, flat = [], [], [], [], []
+            for at in range(0, len(texts), ROWS_AT_ONCE):
+                some = [t or "" for t in texts.slice(at, ROWS_AT_ONCE).to_pylist()]
+                rows, flat = [], []
                 for i, raw in enumerate(tok.encode_batch(some)):
                     raw += end
                     flat.append(raw)
                     for k, (s, n) in enumerate(cut(len(raw) // 4, capacity)):
-                        doc.append(at + i)
-                        piece.append(k)
-                        start.append(s)
-                        length.append(n)
-                values = pa.array(np.frombuffer(b"".join(flat), dtype="<i4"))
-                ends = pa.array(np.cumsum([0, *length]), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(doc, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                     pa.array(length, pa.int64()), pa.ListArray.from_arrays(ends, values)],
-                    names=["doc_id", "piece", "start", "length", "ids"])
-
+                        rows.append((at + i, k, s, n, zlib.crc32(raw[4 * s:4 * (s + n)])))
+                doc, piece, start, length, crc = zip(*rows, strict=True)
+                cols = [ids.take(pa.array(doc, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+                        pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+                if with_ids:
+                    ends = pa.array(np.cumsum([0, *length]), pa.int32())
+                    cols.append(pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(flat), dtype="<i4"))))
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    schema = PIECE_SCHEMA + ", ids array<int>" * with_ids
+    names = [c.strip().split(" ")[0] for c in schema.split(",")]
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, PIECE_SCHEMA)
-
-
-@F.arrow_udf(T.LongType())
-def crc32_ids(ids: pa.Array) -> pa.Array:
-    """Unsigned CRC-32 of ids as little-endian unsigned 32-bit numbers."""
-    return pa.array([zlib.crc32(row.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()) for row in ids],
-                    pa.int64())
+    return rows.mapInArrow(run, schema)
 
 
 class Gaps:

@@ -42,9 +42,7 @@ PACK_CAPACITY, PACK_END_ID = 1024, 2
 def packed_pieces(docs: DataFrame) -> DataFrame:
     """Best-fit packing of ``docs``: the columns of op2."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    cut = packing.pieces(docs, path, PACK_END_ID, PACK_CAPACITY)
-    narrow = stored(cut.select("doc_id", "piece", "start", "length", packing.crc32_ids("ids").alias("ids_crc32")), "pieces")
-    return packing.pack(narrow, PACK_CAPACITY)
+    return packing.pack(stored(packing.pieces(docs, path, PACK_END_ID, PACK_CAPACITY), "pieces"), PACK_CAPACITY)
 
 
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -124,6 +124,16 @@ def test_packing_is_whole_and_as_tight_as_best_fit_decreasing(docs, empty):
     assert queries.packed_pieces(empty).count() == 0
 
 
+def test_byte_tokenizer_equals_the_library():
+    rnd = random.Random(4)
+    signs = ["a", "b", "é", "1", ".", ",", "'s", "'", " ", " ", "  ", "\n", "\t", "\r\n", "\u00a0", "X", "!", "½", "ß", "\x1c", "日"]
+    texts = ["".join(rnd.choice(signs) for _ in range(rnd.randint(0, 40))) for _ in range(3000)]
+    texts += ["the <|endoftext|> end", " lead", "trail ", "two  spaces   three", "line\n  indented", prose(1, 3000, 50)]
+    tok, own = Tokenizer.from_file(BYTE_PATH), packing.ByteTokenizer(BYTE_PATH)
+    for t, raw in zip(texts, own.encode_batch(texts), strict=True):
+        assert np.frombuffer(raw, "<i4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
 def test_packing_plan_places_random_lengths_like_best_fit():
     rnd = random.Random(3)
     for _ in range(30):
@@ -143,7 +153,7 @@ def test_packing_plan_places_random_lengths_like_best_fit():
 
 
 def test_packed_sequences_hold_their_tokens(docs):
-    cut = packing.pieces(docs, BYTE_PATH, 2, 64).cache()
+    cut = packing.pieces(docs, BYTE_PATH, 2, 64, with_ids=True).cache()
     placed = packing.pack(cut.drop("ids"), 64)
     by_seq = {r["sequence_id"]: r["ids"] for r in packing.sequences(cut, placed).collect()}
     ids = {(r["doc_id"], r["piece"]): r["ids"] for r in cut.collect()}
