@@ -77,7 +77,7 @@ def main() -> None:
 
     from tardy.streaming import landing as SL
     from tardy.streaming import stateful as ST
-    from tardy.streaming.replay import write_message_files
+    from tardy.streaming.replay import received, write_message_files
 
     msg_dir = f"{scratch}/messages"
     write_message_files(X.raw_departures(spark, sf_dir), msg_dir, files=cpus)   # untimed setup
@@ -90,12 +90,7 @@ def main() -> None:
 
     def stream_mart():
         counter["n"] += 1
-        msgs = SL.parse_messages(SL.read_messages(spark, msg_dir, policy=SL.FlushPolicy(files_per_trigger=cpus)))
-        valid = msgs.filter(F.col("failure_reason").isNull()
-                            | (F.col("failure_reason") == F.lit("Missing required fields")))
-        q = ST.start_stream_mart_latest(spark, valid.drop("value", "failure_reason"), wh["dim_stations"],
-                                        f"{scratch}/smart{counter['n']}")
-        q.awaitTermination()
+        SL.finish(ST.start_stream_mart(spark, received(spark, msg_dir, cpus), f"{scratch}/smart{counter['n']}"))
 
     queries = {
         "clean_job": clean_job,

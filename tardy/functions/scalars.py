@@ -28,10 +28,14 @@ def iso_utc_micros(ts) -> Column:
         F.concat(F.date_format(t, _ISO_SECONDS), F.lit("."), micros, F.lit(UTC_SUFFIX)))
 
 
+# Epoch seconds of the years 1 to 9999: what a calendar time can hold.
+EPOCH_RANGE = (-62_135_596_800, 253_402_300_799)
+
+
 def epoch_to_iso(epoch_text) -> Column:
-    """B1: epoch seconds as text (missing -> 0) -> UTC ISO-8601 text."""
-    secs = F.coalesce(_int_text(epoch_text).try_cast("bigint"), F.lit(0))
-    return iso_utc(F.timestamp_seconds(secs))
+    """B1: epoch seconds as text (missing, malformed or out of range -> 0) -> UTC ISO-8601 text."""
+    secs = _int_text(epoch_text).try_cast("bigint")
+    return iso_utc(F.timestamp_seconds(F.when(secs.between(*EPOCH_RANGE), secs).otherwise(F.lit(0))))
 
 
 # Integer literal grammar of the source's number fields: optional surrounding blanks, an optional
@@ -45,20 +49,31 @@ def _int_text(text) -> Column:
     return F.when(t.rlike(INT_LITERAL), F.regexp_replace(F.trim(t), "_", ""))
 
 
-def is_malformed_number(text) -> Column:
-    """True when a value is present but is not an integer literal (trap: int('12a') raises)."""
+def is_malformed_number(text, kind: str = "int") -> Column:
+    """True when a value is present but no integer literal that ``kind`` can hold."""
+    t = _c(text)
+    return t.isNotNull() & _int_text(t).try_cast(kind).isNull()
+
+
+def is_malformed_epoch(text) -> Column:
+    """True when a value is present but no epoch second of a calendar time."""
     t = _c(text)
-    return t.isNotNull() & _int_text(t).try_cast("bigint").isNull()
+    return t.isNotNull() & ~F.coalesce(_int_text(t).try_cast("bigint").between(*EPOCH_RANGE), F.lit(False))
 
 
 def parse_int_default(text, default: int = 0) -> Column:
-    """B2: numeric text -> int, missing -> default."""
-    return F.coalesce(_int_text(text).try_cast("int"), F.lit(default))
+    """B2: numeric text -> int, missing -> default. Malformed text is null, never the default."""
+    t = _c(text)
+    return F.when(t.isNull(), F.lit(default)).otherwise(_int_text(t).try_cast("int"))
 
 
-def decode_flag(text) -> Column:
-    """B3: "1" -> true, anything else or missing -> false."""
-    return F.coalesce(_c(text), F.lit("0")) == F.lit("1")
+def decode_flag(text, is_text=None) -> Column:
+    """The text "1" -> true, anything else or missing -> false.
+
+    ``is_text`` tells whether the JSON value was a string: the number 1 is not the text "1".
+    """
+    flag = F.coalesce(_c(text), F.lit("0")) == F.lit("1")
+    return flag if is_text is None else flag & F.coalesce(is_text, F.lit(False))
 
 
 def with_default(c, default: str) -> Column:

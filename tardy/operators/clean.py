@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tardy.functions import scalars as S
@@ -59,29 +59,32 @@ def dedup_departures(df: DataFrame) -> DataFrame:
               .drop("_rn"))
 
 
-def derive(df: DataFrame) -> DataFrame:
-    """B9-B13."""
+def derive(df: DataFrame, local_tz: str | None = None) -> DataFrame:
+    """B9-B13. Hour, date and weekday are UTC unless ``local_tz`` names another zone."""
+    time = F.col("scheduled_time")
+    if local_tz:
+        time = F.convert_timezone(F.lit("UTC"), F.lit(local_tz), time)
     return df.withColumns({
         "is_delayed": S.is_delayed("delay_seconds"),
         "delay_minutes": S.delay_minutes("delay_seconds"),
-        "departure_hour": S.departure_hour("scheduled_time"),
-        "departure_date": S.departure_date("scheduled_time"),
-        "day_of_week": S.day_of_week("scheduled_time"),
+        "departure_hour": S.departure_hour(time),
+        "departure_date": S.departure_date(time),
+        "day_of_week": S.day_of_week(time),
     })
 
 
-def clean_departures(raw: DataFrame, processed_at=None) -> DataFrame:
+def clean_departures(raw: DataFrame, processed_at=None, local_tz: str | None = None) -> DataFrame:
     """The whole cleaning job as one lazy plan.
 
     ``processed_at`` defaults to the query start time; pass a literal for reproducible output.
     """
-    df = conform_raw(raw)
-    df = parse_timestamps(df)
-    df = fill_defaults(df)
-    df = filter_required(df)
-    df = dedup_departures(df)
-    df = df.withColumn("processed_at", F.current_timestamp() if processed_at is None else F.lit(processed_at))
-    return derive(df)
+    return finish(filter_required(filter_ready(raw)), processed_at, local_tz)
+
+
+def finish(ready: DataFrame, processed_at=None, local_tz: str | None = None) -> DataFrame:
+    """Deduplicate, stamp and derive rows that passed the required-field filter."""
+    stamp = F.current_timestamp() if processed_at is None else F.lit(processed_at)
+    return derive(dedup_departures(ready).withColumn("processed_at", stamp), local_tz)
 
 
 def clean_stats(raw: DataFrame) -> DataFrame:
@@ -101,24 +104,3 @@ def clean_stats(raw: DataFrame) -> DataFrame:
 def filter_ready(raw: DataFrame) -> DataFrame:
     """Parsed + filled frame before C1 (what the required-field filter sees)."""
     return fill_defaults(parse_timestamps(conform_raw(raw)))
-
-
-class CleanRun:
-    """Observed cleaning: counts are collected by the same action that writes the output.
-
-    ``frame`` is the cleaned plan with two ``observe`` points (raw rows in, clean rows out);
-    after one action on it, ``stats()`` returns the reference's counters without rescanning.
-    """
-
-    def __init__(self, raw: DataFrame, processed_at=None):
-        self._raw_obs = Observation("raw")
-        self._clean_obs = Observation("clean")
-        observed_raw = raw.observe(self._raw_obs, F.count(F.lit(1)).alias("n"))
-        cleaned = clean_departures(observed_raw, processed_at)
-        self.frame = cleaned.observe(self._clean_obs, F.count(F.lit(1)).alias("n"))
-
-    def stats(self) -> dict:
-        raw_count = int(self._raw_obs.get["n"])
-        clean_count = int(self._clean_obs.get["n"])
-        return {"raw_count": raw_count, "clean_count": clean_count,
-                "duplicates_removed": raw_count - clean_count}

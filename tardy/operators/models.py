@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tardy.functions import scalars as S
@@ -59,23 +59,29 @@ def fct_delays(stg: DataFrame) -> DataFrame:
     return stg.select(*FCT_COLUMNS)
 
 
-def fact_station_hour(fct: DataFrame) -> DataFrame:
-    """The mart metrics per (station_id, departure_hour), aggregated before any join.
+def hour_sums(rows: DataFrame, *keys: str) -> DataFrame:
+    """Mergeable sums per (keys, station_id, departure_hour), aggregated before any join.
 
     Partial aggregation runs on every map task, so the exchange carries stations x 24 rows per
     task however large the fact is, and a hot station costs nothing extra.
     """
-    return fct.groupBy("station_id", "departure_hour").agg(
+    return rows.groupBy(*keys, "station_id", "departure_hour").agg(
         F.count(F.lit(1)).alias("total_departures"),
         F.count_if(F.col("is_delayed")).alias("delayed_departures"),
         F.count_if(F.col("is_canceled")).alias("canceled_departures"),
-        F.avg("delay_seconds").alias("_avg_s"),
-        F.sum(S.tenths("delay_minutes")).alias("_tm"),
-        F.count("delay_minutes").alias("_nm"),
+        F.sum("delay_seconds").alias("_ss"), F.count("delay_seconds").alias("_ns"),
+        F.sum(S.tenths("delay_minutes")).alias("_tm"), F.count("delay_minutes").alias("_nm"),
         F.max("delay_seconds").alias("max_delay_seconds"),
     )
 
 
+def merged_sums(parts: DataFrame) -> DataFrame:
+    """The sums of several parts (for example of dates) merged per station and hour."""
+    added = ("total_departures", "delayed_departures", "canceled_departures", "_ss", "_ns", "_tm", "_nm")
+    return parts.groupBy("station_id", "departure_hour").agg(
+        *[F.sum(c).alias(c) for c in added], F.max("max_delay_seconds").alias("max_delay_seconds"))
+
+
 def mart_delay_summary(fct: DataFrame, stations: DataFrame, hours: DataFrame) -> DataFrame:
     """F1-F6 (+E1, E2): delay metrics per station x hour.
 
@@ -86,71 +92,22 @@ def mart_delay_summary(fct: DataFrame, stations: DataFrame, hours: DataFrame) ->
 
     Aggregating first shrinks the join inputs to stations x 24 rows; AQE then sees tiny sides and
     broadcasts them at runtime. The time dimension is 24 rows by construction and is hinted.
-
-    ``avg_delay_minutes`` is the exact mean of the one-decimal minutes rounded half away from
-    zero (integer tenths), so a true x.x5 tie rounds the same way on every run.
     """
-    return _mart_select(fact_station_hour(fct), stations, hours)
+    return mart_from_sums(hour_sums(fct), stations, hours)
 
 
-def mart_from_staging(stg: DataFrame, hours: DataFrame) -> DataFrame:
-    """The mart from staging in ONE pass over the fact rows (same rows and values as
-    ``mart_delay_summary(fct_delays(stg), dim_stations(stg), hours)``).
+def mart_from_sums(sums: DataFrame, stations: DataFrame, hours: DataFrame) -> DataFrame:
+    """The mart from ``hour_sums`` or ``merged_sums``.
 
-    The fact is partially aggregated per (station_id, station_name, hour), then per
-    (station_id, hour) carrying the set of names seen. A window over each station's hour rows
-    (at most 24 rows per station) unions those sets into the station's dimension rows, and an
-    explode yields one group per (station, name, hour) — exactly the groups the left join to
-    the station dimension produces, fan-out included. No second scan of staging, no join on
-    the station. Averages are sums over counts; the minutes mean is exact (integer tenths).
+    ``avg_delay_minutes`` is the exact mean of the one-decimal minutes rounded half away from
+    zero (integer tenths), so a true x.x5 tie rounds the same way on every run.
     """
-    pre = stg.groupBy("station_id", "station_name", "departure_hour").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if(F.col("is_delayed")).alias("_d"),
-        F.count_if(F.col("is_canceled")).alias("_c"),
-        F.sum("delay_seconds").alias("_ss"), F.count("delay_seconds").alias("_ns"),
-        F.sum(S.tenths("delay_minutes")).alias("_tm"), F.count("delay_minutes").alias("_nm"),
-        F.max("delay_seconds").alias("_mx"))
-    per_hour = pre.groupBy("station_id", "departure_hour").agg(
-        F.sum("_n").alias("total_departures"),
-        F.sum("_d").alias("delayed_departures"),
-        F.sum("_c").alias("canceled_departures"),
-        (F.sum("_ss") / F.sum("_ns")).alias("_avg_s"),
-        F.sum("_tm").alias("_tm"), F.sum("_nm").alias("_nm"),
-        F.max("_mx").alias("max_delay_seconds"),
-        # a struct keeps a null name as a dimension row of its own
-        F.collect_set(F.struct("station_name")).alias("_names_h"))
-    station = Window.partitionBy("station_id")
-    with_names = per_hour.withColumn(
-        "_names", F.array_distinct(F.flatten(F.collect_list("_names_h").over(station))))
-    rows = with_names.select(
-        "*", F.explode_outer(F.when(F.col("station_id").isNotNull(), F.col("_names"))).alias("_dim"))
-    agg = rows.select(
-        "station_id", F.col("_dim.station_name").alias("station_name"), "departure_hour",
-        "total_departures", "delayed_departures", "canceled_departures", "_avg_s", "_tm", "_nm",
-        "max_delay_seconds")
-    j = (agg.withColumn("station_name_primary",
-                        F.when(F.col("station_id").isNotNull(), S.primary_name("station_name")))
-            .join(F.broadcast(hours), F.col("departure_hour") == F.col("hour_of_day"), "left"))
-    return _mart_columns(j)
-
-
-def mart_from_sums(agg: DataFrame, stations: DataFrame, hours: DataFrame) -> DataFrame:
-    """The mart from per-(station_id, hour) sums (``_avg_s``, ``_tm``/``_nm`` and the counts)."""
-    return _mart_select(agg, stations, hours)
-
-
-def _mart_select(agg: DataFrame, stations: DataFrame, hours: DataFrame) -> DataFrame:
-    j = (agg.join(stations, "station_id", "left")
-            .join(F.broadcast(hours), F.col("departure_hour") == F.col("hour_of_day"), "left"))
-    return _mart_columns(j)
-
-
-def _mart_columns(j: DataFrame) -> DataFrame:
+    j = (sums.join(stations, "station_id", "left")
+             .join(F.broadcast(hours), F.col("departure_hour") == F.col("hour_of_day"), "left"))
     return j.select(
         *MART_KEYS,
         "total_departures", "delayed_departures", "canceled_departures",
-        F.round("_avg_s", 1).alias("avg_delay_seconds"),
+        F.round(F.col("_ss") / F.col("_ns"), 1).alias("avg_delay_seconds"),
         S.round_tenths_ratio("_tm", "_nm").alias("avg_delay_minutes"),
         "max_delay_seconds",
         F.round(S.pct("delayed_departures", "total_departures"), 1).alias("delay_rate_pct"),
@@ -171,9 +128,18 @@ class StarSchema:
         self.dim_stations = dim_stations(self.stg)
         self.dim_time = dim_time(spark)
         self.fct = fct_delays(self.stg)
-        self.mart = mart_from_staging(self.stg, self.dim_time)
+        self.mart = mart_delay_summary(self.fct, self.dim_stations, self.dim_time)
 
     def tables(self) -> dict:
         return {"stg_departures": self.stg, "dim_stations": self.dim_stations,
                 "dim_time": self.dim_time, "fct_delays": self.fct,
                 "mart_delay_summary": self.mart}
+
+
+class StoredModels:
+    """The same models read from the tables a build has written."""
+
+    def __init__(self, models: dict[str, DataFrame]):
+        self.models = models
+        self.stg, self.fct, self.mart = (models[n] for n in ("stg_departures", "fct_delays", "mart_delay_summary"))
+        self.dim_stations, self.dim_time = models["dim_stations"], models["dim_time"]

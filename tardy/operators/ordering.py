@@ -1,16 +1,8 @@
-"""Exact 1-based positions in a total order without a one-partition window.
+"""Exact 1-based positions in a total order, lazily and without gathering the rows in one task.
 
-``orderBy`` range-partitions the rows, so partition p holds a contiguous slice of the order.
-Each row's position inside its slice comes from ``monotonically_increasing_id`` (partition
-index in the upper bits, row number in the lower 33 bits); the slice offsets come from a table
-of per-partition row counts — at most one row per shuffle partition, a proven bound — which is
-broadcast back. The rows themselves never meet in one task.
-
-The sorted rows are checkpointed (reliably, to the shared ``spark.checkpoint.dir``) before they
-are numbered: the counting branch and the numbering branch then read one fixed partitioning.
-Without that, the two branches are pruned to different columns, do not share their range
-exchange, and adaptive execution may coalesce the two shuffles differently. The order must be
-total (unique sort keys) so the sort itself is reproducible.
+The order starts with a coarse key of few distinct values (a rounded rate, a first letter). A
+row's position is the number of rows under smaller coarse keys plus its number under its own.
+Only the counts per coarse key, a proven small table, meet in one task.
 """
 
 from __future__ import annotations
@@ -18,18 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tardy.session import checkpoint_root
-
 
-def with_position(df: DataFrame, order: list[Column | str], name: str = "rank") -> DataFrame:
+def with_position(df: DataFrame, coarse: Column, order: list[Column | str], name: str = "rank") -> DataFrame:
+    """Add ``name``: the position by (coarse ascending, nulls last; then ``order``, which must be total)."""
     cols = list(df.columns)
-    checkpoint_root(df.sparkSession)
-    s = (df.orderBy(*order).checkpoint(eager=True)
-           .withColumn("_p", F.spark_partition_id())
-           .withColumn("_i", F.monotonically_increasing_id()))
-    s = s.withColumn("_i", F.col("_i") - F.shiftleft(F.col("_p").cast("long"), 33))
-    sizes = s.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    out = s.join(F.broadcast(offsets), "_p", "inner")
-    return out.select(*cols, (F.col("_off") + F.col("_i") + F.lit(1)).cast("int").alias(name))
+    keyed = df.withColumn("_c", coarse)
+    sizes = keyed.groupBy("_c").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(F.col("_c").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(F.col("_c").alias("_k"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = F.row_number().over(Window.partitionBy("_c").orderBy(*order))
+    out = keyed.withColumn("_i", inside).join(F.broadcast(offsets), F.col("_c").eqNullSafe(F.col("_k")))
+    return out.select(*cols, (F.col("_off") + F.col("_i")).cast("int").alias(name))

@@ -17,7 +17,15 @@ from tardy.operators import quality as Q
 from tardy.operators import reports as R
 from tardy.plans import jobs as J
 from tardy.functions.scalars import round_tenths_ratio, tenths
-from tardy.plans.oracle import ORACLE, register, tenths_mean, with_ctes, with_liveboards
+from tardy.plans.oracle import (
+    ORACLE,
+    PEAK_SQL,
+    PERIOD_SQL,
+    register,
+    tenths_mean,
+    with_ctes,
+    with_liveboards,
+)
 from tardy.sources import fixtures as X
 from tardy.sources import liveboard as L
 from tardy.sources import messages as P
@@ -58,6 +66,20 @@ def star(spark, sf_dir) -> M.StarSchema:
     return M.StarSchema(spark, C.clean_departures(raw(spark, sf_dir)))
 
 
+_WAREHOUSES: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def stored(spark, sf_dir) -> M.StarSchema:
+    """The models as the dashboard finds them: built once per session and table folder by the clean
+    job and the model build, written, and read back."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WAREHOUSES:
+        root = _scratch(spark, "warehouse")
+        J.run_clean_job(spark, IO.write_raw(raw(spark, sf_dir), f"{root}/raw"), f"{root}/processed")
+        _WAREHOUSES[key] = J.build_models(spark, f"{root}/processed", f"{root}/models")
+    return M.StoredModels(_WAREHOUSES[key])
+
+
 CLEAN_COLS = ("station_id, station_name, destination, destination_id, scheduled_time, delay_seconds, "
               "canceled, vehicle_id, vehicle_type, platform, occupancy, ingested_at, is_delayed, "
               "delay_minutes, departure_hour, departure_date, day_of_week")
@@ -183,22 +205,16 @@ def q_primary_name(spark, sf_dir):
                                           primary_name("station_name").alias("station_name_primary"))
 
 
-@query("peak_flag", with_ctes("fct", """
-select departure_key, departure_hour,
-       case when departure_hour between 7 and 9 then true when departure_hour between 16 and 18 then true
-            else false end as is_peak_hour
-from fct"""))
+@query("peak_flag", with_ctes("fct", f"""
+select departure_key, departure_hour, {PEAK_SQL.format(h="departure_hour")} as is_peak_hour from fct"""))
 def q_peak_flag(spark, sf_dir):
     from tardy.functions.scalars import peak_flag
     return star(spark, sf_dir).fct.select("departure_key", "departure_hour",
                                           peak_flag("departure_hour").alias("is_peak_hour"))
 
 
-@query("time_period", with_ctes("fct", """
-select departure_key, departure_hour,
-       case when departure_hour between 6 and 11 then 'Morning' when departure_hour between 12 and 16 then 'Afternoon'
-            when departure_hour between 17 and 20 then 'Evening' else 'Night' end as time_period
-from fct"""))
+@query("time_period", with_ctes("fct", f"""
+select departure_key, departure_hour, {PERIOD_SQL.format(h="departure_hour")} as time_period from fct"""))
 def q_time_period(spark, sf_dir):
     from tardy.functions.scalars import time_period
     return star(spark, sf_dir).fct.select("departure_key", "departure_hour",
@@ -213,11 +229,9 @@ def q_hour_label(spark, sf_dir):
                                            hour_label("departure_hour").alias("hour_label"))
 
 
-@query("filter_known_station", with_ctes("stg", """
-select departure_key, station_id, station_name from stg where station_id is not null"""))
+@query("filter_known_station", with_ctes("ready", f"select {READY_COLS} from ready where station_id is not null"))
 def q_filter_known_station(spark, sf_dir):
-    return star(spark, sf_dir).stg.filter(F.col("station_id").isNotNull()) \
-        .select("departure_key", "station_id", "station_name")
+    return C.filter_ready(raw(spark, sf_dir)).filter(F.col("station_id").isNotNull())
 
 
 @query("filter_delayed", with_ctes("fct", "select * from fct where is_delayed"))
@@ -247,13 +261,13 @@ def q_join_fact_time(spark, sf_dir):
 @query("load_departures", with_ctes("mart", """
 select f.*, s.station_name_primary from fct f left join dim_stations s on f.station_id = s.station_id"""))
 def q_load_departures(spark, sf_dir):
-    m = star(spark, sf_dir)
+    m = stored(spark, sf_dir)
     return M.load_departures(m.fct, m.dim_stations)
 
 
 @query("load_summary", with_ctes("mart", "select * from mart"))
 def q_load_summary(spark, sf_dir):
-    return star(spark, sf_dir).mart
+    return stored(spark, sf_dir).mart
 
 
 # ---------------------------------------------------------------------------
@@ -307,7 +321,7 @@ from (select cast(coalesce(sum(total_departures), 0) as bigint) as total_departu
      (select cast(sum(cast(round(delay_minutes * 10) as bigint)) as bigint) as t, count(delay_minutes) as n
       from {_DEPS} where is_delayed) b"""))
 def q_kpi_summary(spark, sf_dir):
-    m = star(spark, sf_dir)
+    m = stored(spark, sf_dir)
     return R.kpi_summary(m.mart, m.fct, m.dim_stations)
 
 
@@ -315,7 +329,7 @@ def q_kpi_summary(spark, sf_dir):
 select min(departure_date) as min_date, max(departure_date) as max_date,
        count(distinct departure_date) as unique_dates from fct"""))
 def q_analysis_period(spark, sf_dir):
-    return R.analysis_period(star(spark, sf_dir).fct)
+    return R.analysis_period(stored(spark, sf_dir).fct)
 
 
 @query("delay_by_station", with_ctes("mart", """
@@ -326,7 +340,7 @@ from (select station_name_primary, cast(sum(total_departures) as bigint) as tota
              round_even(sum(delayed_departures) / sum(total_departures) * 100, 1) as delay_rate
       from mart where station_name_primary is not null group by station_name_primary)"""))
 def q_delay_by_station(spark, sf_dir):
-    return R.delay_by_station(star(spark, sf_dir).mart)
+    return R.delay_by_station(stored(spark, sf_dir).mart)
 
 
 @query("rank_stations_by_rate", with_ctes("mart", """
@@ -336,7 +350,7 @@ from (select station_name_primary,
              round_even(sum(delayed_departures) / sum(total_departures) * 100, 1) as delay_rate
       from mart where station_name_primary is not null group by station_name_primary)"""))
 def q_rank_stations(spark, sf_dir):
-    return R.delay_by_station(star(spark, sf_dir).mart).select("station_name_primary", "delay_rate", "rate_rank")
+    return R.delay_by_station(stored(spark, sf_dir).mart).select("station_name_primary", "delay_rate", "rate_rank")
 
 
 @query("delay_by_hour", with_ctes("mart", """
@@ -344,7 +358,7 @@ select departure_hour, cast(sum(total_departures) as bigint) as total, cast(sum(
        round_even(sum(delayed_departures) / sum(total_departures) * 100, 1) as delay_rate
 from mart where departure_hour is not null group by departure_hour"""))
 def q_delay_by_hour(spark, sf_dir):
-    return R.delay_by_hour(star(spark, sf_dir).mart)
+    return R.delay_by_hour(stored(spark, sf_dir).mart)
 
 
 _PERIOD_RANK = ("case time_period when 'Morning' then 1 when 'Afternoon' then 2 when 'Evening' then 3 "
@@ -359,14 +373,14 @@ select time_period, cast(sum(total_departures) as bigint) as total, cast(sum(del
        cast({_PERIOD_RANK} as integer) as sort_rank
 from mart where time_period is not null group by time_period"""))
 def q_delay_by_period(spark, sf_dir):
-    return R.delay_by_period(star(spark, sf_dir).mart)
+    return R.delay_by_period(stored(spark, sf_dir).mart)
 
 
 @query("order_periods", with_ctes("mart", f"""
 select time_period, cast({_PERIOD_RANK} as integer) as sort_rank
 from mart where time_period is not null group by time_period"""))
 def q_order_periods(spark, sf_dir):
-    return R.delay_by_period(star(spark, sf_dir).mart).select("time_period", "sort_rank")
+    return R.delay_by_period(stored(spark, sf_dir).mart).select("time_period", "sort_rank")
 
 
 @query("delay_by_occupancy", with_ctes("mart", f"""
@@ -376,14 +390,14 @@ select occupancy, count(departure_key) as total, cast(sum(case when is_delayed t
        cast({_OCC_RANK} as integer) as sort_rank
 from {_DEPS} where occupancy is not null group by occupancy"""))
 def q_delay_by_occupancy(spark, sf_dir):
-    m = star(spark, sf_dir)
+    m = stored(spark, sf_dir)
     return R.delay_by_occupancy(m.fct, m.dim_stations)
 
 
 @query("order_occupancy", with_ctes("mart", f"""
 select occupancy, cast({_OCC_RANK} as integer) as sort_rank from {_DEPS} where occupancy is not null group by occupancy"""))
 def q_order_occupancy(spark, sf_dir):
-    m = star(spark, sf_dir)
+    m = stored(spark, sf_dir)
     return R.delay_by_occupancy(m.fct, m.dim_stations).select("occupancy", "sort_rank")
 
 
@@ -394,7 +408,7 @@ _HEAT_FILTER = "station_name_primary is not null and departure_hour is not null"
     f"coalesce(round(avg(delay_rate_pct) filter (where departure_hour = {h}), 6), 0.0) as h{h:02d}"
     for h in range(24)) + f" from mart where {_HEAT_FILTER} group by station_name_primary"))
 def q_delay_heatmap(spark, sf_dir):
-    return R.delay_heatmap(star(spark, sf_dir).mart)
+    return R.delay_heatmap(stored(spark, sf_dir).mart)
 
 
 @query("delay_heatmap_long", with_ctes("mart", f"""
@@ -406,7 +420,7 @@ left join (select station_name_primary, departure_hour, avg(delay_rate_pct) as v
            where {_HEAT_FILTER} group by 1, 2) c
   on c.station_name_primary = n.station_name_primary and c.departure_hour = h.departure_hour"""))
 def q_delay_heatmap_long(spark, sf_dir):
-    return R.delay_heatmap_long(star(spark, sf_dir).mart)
+    return R.delay_heatmap_long(stored(spark, sf_dir).mart)
 
 
 @query("station_list", with_ctes("dim_stations", """
@@ -415,7 +429,7 @@ select station_id, station_name, station_name_primary,
             as integer) as list_rank
 from dim_stations"""))
 def q_station_list(spark, sf_dir):
-    return R.station_list(star(spark, sf_dir).dim_stations)
+    return R.station_list(stored(spark, sf_dir).dim_stations)
 
 
 # ---------------------------------------------------------------------------
@@ -451,11 +465,7 @@ def _test_sql(t: Q.Test) -> str:
 
 @query("dq_report", with_ctes("mart", "\nunion all\n".join(_test_sql(t) for t in Q.DECLARED_TESTS)))
 def q_dq_report(spark, sf_dir):
-    # production shape: clean job -> models written and re-read -> tests over the stored tables
-    root = _scratch(spark, "dq")
-    path = IO.write_raw(raw(spark, sf_dir), f"{root}/raw")
-    J.run_clean_job(spark, path, f"{root}/processed")
-    return Q.quality_report(J.build_models(spark, f"{root}/processed", f"{root}/warehouse"))
+    return Q.quality_report(stored(spark, sf_dir).models)
 
 
 @query("dq_unique", with_ctes("raw_departures", """
@@ -559,13 +569,14 @@ def q_publish_valid(spark, sf_dir):
 
 
 @query("dead_letter", with_liveboards(f"""
-select coalesce(parse_error, 'Missing required fields') as failure_reason, {EV11_SQL}
+select coalesce(parse_error, 'Missing required fields') as failure_reason, {EV11_SQL}, cast(dep as varchar) as original_text
 from lb_events where not ({_OK} and {_PUBLISHABLE})"""))
 def q_dead_letter(spark, sf_dir):
     from tardy.schemas import DEAD_LETTER_SCHEMA
     dl = P.to_dead_letters(lb_events(spark, sf_dir))
     m = F.from_json(F.col("value"), DEAD_LETTER_SCHEMA)
-    return dl.select(m.alias("m")).select("m.failure_reason", *[f"m.original_message.{c}" for c in EV11])
+    return dl.select(m.alias("m")).select("m.failure_reason", *[f"m.original_message.{c}" for c in EV11],
+                                          "m.original_text")
 
 
 @query("publish_counts", with_liveboards(f"""
@@ -654,47 +665,23 @@ def q_stream_dead(spark, sf_dir):
         .groupBy("failure_reason").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
-@query("stream_dedup", with_ctes("clean", f"select {KEY3} from clean"))
+@query("stream_dedup", with_ctes("clean", f"select {CLEAN_COLS} from clean"))
 def q_stream_dedup(spark, sf_dir):
     from tardy.streaming.replay import replay_clean
-    return replay_clean(spark, raw(spark, sf_dir)).select("station_id", "vehicle_id", "scheduled_time")
+    return replay_clean(spark, raw(spark, sf_dir)).drop("processed_at")
 
 
-@query("stream_mart", with_ctes("mart", """
-select station_id, station_name, departure_hour, total_departures from mart"""))
+@query("stream_mart", with_ctes("mart", "select * from mart"))
 def q_stream_mart(spark, sf_dir):
     from tardy.streaming.replay import replay_mart
-    m = star(spark, sf_dir)
-    out = replay_mart(spark, raw(spark, sf_dir), m.dim_stations)
-    return out.select("station_id", "station_name", "departure_hour", "total_departures")
-
-
-_FINAL_MART = with_ctes("mart", """
-select d.station_id, s.station_name, s.station_name_primary, d.departure_hour, t.is_peak_hour, t.time_period,
-       count(*) as total_departures,
-       cast(sum(case when d.is_delayed then 1 else 0 end) as bigint) as delayed_departures,
-       cast(sum(case when d.is_canceled then 1 else 0 end) as bigint) as canceled_departures,
-       round(avg(d.delay_seconds), 1) as avg_delay_seconds,
-       {mean} as avg_delay_minutes,
-       max(d.delay_seconds) as max_delay_seconds,
-       round(sum(case when d.is_delayed then 1 else 0 end) * 100.0 / count(*), 1) as delay_rate_pct
-from fct d
-left join dim_stations s on d.station_id = s.station_id
-left join dim_time t on d.departure_hour = t.hour_of_day
-where d.scheduled_time <= (select max(scheduled_time) from fct) - interval 1 hour
-group by d.station_id, s.station_name, s.station_name_primary, d.departure_hour, t.is_peak_hour, t.time_period""".format(
-    mean=tenths_mean("cast(sum(cast(round(d.delay_minutes * 10) as bigint)) as bigint)", "count(d.delay_minutes)")))
-
-
-@query("stream_mart_final", _FINAL_MART)
+    return replay_mart(spark, raw(spark, sf_dir))
+
+
+@query("stream_mart_final", with_ctes("mart", "select * from mart"))
 def q_stream_mart_final(spark, sf_dir):
-    # the running mart over the latest-wins streaming dedup: every departure whose scheduled time
-    # the watermark (max seen - 1 hour) has passed is final and counted with its latest copy
-    from tardy.streaming.replay import replay_mart_latest
-    m = star(spark, sf_dir)
-    return replay_mart_latest(spark, raw(spark, sf_dir), m.dim_stations).select(*M.MART_KEYS, *[
-        "total_departures", "delayed_departures", "canceled_departures", "avg_delay_seconds",
-        "avg_delay_minutes", "max_delay_seconds", "delay_rate_pct"])
+    # every message delivered twice, in any order: the mart is the same
+    from tardy.streaming.replay import replay_mart
+    return replay_mart(spark, raw(spark, sf_dir), twice=True)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -4,18 +4,15 @@ end-to-end run (K1). Plain functions over DataFrames, callable from any schedule
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Observation
 
 from tardy.functions import scalars as S
 from tardy.operators import clean as C
 from tardy.operators import models as M
 from tardy.operators import quality as Q
-from tardy.operators.clean import CleanRun
 from tardy.session import checkpoint_root, pin_utc
 from tardy.sources import liveboard as L
 from tardy.sources import messages as P
@@ -27,42 +24,46 @@ READY_COLUMNS = ["station_id", "station_name", "destination", "destination_id",
 
 
 def run_clean_job(spark: SparkSession, raw_path: str, processed_root: str, processed_at=None) -> dict:
-    """Read raw, clean, write processed; counts come from the same (single) action."""
+    """Read raw, clean, write processed. Counts are read back from the stored files (their footers
+    hold row counts), so tasks that ran twice after a lost executor cannot count twice."""
     pin_utc(spark)
-    run = CleanRun(IO.scan_raw(spark, raw_path), processed_at)
-    IO.write_processed(run.frame, processed_root)
-    return run.stats()
+    raw = IO.scan_raw(spark, raw_path)
+    IO.write_processed(C.clean_departures(raw, processed_at), processed_root)
+    raw_count, clean_count = raw.count(), IO.scan_processed(spark, processed_root).count()
+    return {"raw_count": raw_count, "clean_count": clean_count, "duplicates_removed": raw_count - clean_count}
 
 
-def run_incremental_clean(spark: SparkSession, new_raw_path: str, processed_root: str,
-                          processed_at=None) -> dict:
-    """Clean only what a new raw batch touches, with the same result as a full re-clean.
+def merge_clean(spark: SparkSession, ready: DataFrame, processed_root: str, processed_at=None) -> DataFrame:
+    """Merge parsed, filtered rows into the processed data; returns the dates they touch.
 
     ``departure_date`` is a function of the dedup key (it is the date of ``scheduled_time``), so
-    every copy of a departure lives in one date partition. The new rows are unioned with the
-    stored rows of just the dates they touch — a semi join on the partition column against the
-    batch's dates (one row per calendar day, broadcast) lets dynamic partition pruning skip every
-    other date — deduplicated and derived as usual, checkpointed to the shared folder (the job
-    overwrites partitions it reads), and written with dynamic partition overwrite: untouched
-    dates are never read or rewritten. Returns new_rows, rewritten_rows, dates_rewritten.
+    every copy of a departure lives in one date partition. The rows are deduplicated together with
+    the stored rows of only the dates they touch (semi join on the partition column) and only
+    those partitions are overwritten. The rule that picks a row is total, so merging the same
+    rows again, in any order or number of parts, gives the same result as cleaning them at once.
     """
     pin_utc(spark)
-    new_ready = C.filter_required(C.filter_ready(IO.scan_raw(spark, new_raw_path)))
-    new_obs = Observation("new_rows")
-    new_ready = new_ready.observe(new_obs, F.count(F.lit(1)).alias("n"))
-    dates = new_ready.select(S.departure_date("scheduled_time").alias("departure_date")).distinct()
-    existing = (IO.scan_processed(spark, processed_root)
-                  .join(F.broadcast(dates), "departure_date", "left_semi")
-                  .select(*READY_COLUMNS))
-    merged = new_ready.select(*READY_COLUMNS).unionByName(existing)
-    out = C.derive(C.dedup_departures(merged).withColumn(
-        "processed_at", F.current_timestamp() if processed_at is None else F.lit(processed_at)))
+    dates = ready.select(S.departure_date("scheduled_time").alias("departure_date")).distinct()
+    merged = ready.select(*READY_COLUMNS)
+    if _exists(spark, processed_root):
+        existing = (IO.scan_processed(spark, processed_root)
+                      .join(F.broadcast(dates), "departure_date", "left_semi")
+                      .select(*READY_COLUMNS))
+        merged = merged.unionByName(existing)
     checkpoint_root(spark)
-    out = out.checkpoint(eager=True)
-    counts = out.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("departure_date").alias("dates")).first()
+    out = C.finish(merged, processed_at).checkpoint(eager=True)   # the job rewrites what it reads
     IO.write_processed(out, processed_root, partition_overwrite="dynamic")
-    return {"new_rows": int(new_obs.get["n"]), "rewritten_rows": int(counts["rows"]),
-            "dates_rewritten": int(counts["dates"])}
+    return out.select("departure_date").distinct()
+
+
+def run_incremental_clean(spark: SparkSession, new_raw_path: str, processed_root: str,
+                          processed_at=None) -> dict:
+    """Clean only what a new raw batch touches, with the same result as a full re-clean."""
+    ready = C.filter_required(C.filter_ready(IO.scan_raw(spark, new_raw_path)))
+    dates = merge_clean(spark, ready, processed_root, processed_at)
+    stored = IO.scan_processed(spark, processed_root).join(F.broadcast(dates), "departure_date", "left_semi")
+    counts = stored.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("departure_date").alias("dates")).first()
+    return {"new_rows": ready.count(), "rewritten_rows": int(counts["rows"]), "dates_rewritten": int(counts["dates"])}
 
 
 def build_models(spark: SparkSession, processed_root: str, warehouse_root: str) -> dict[str, DataFrame]:
@@ -82,17 +83,6 @@ def build_models(spark: SparkSession, processed_root: str, warehouse_root: str)
     return {**first, **second}
 
 
-def _by_date_sums(stg: DataFrame) -> DataFrame:
-    """Per (date, station, hour) mergeable sums: the mart of any set of dates is their merge."""
-    return stg.groupBy("departure_date", "station_id", "departure_hour").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("is_delayed")).alias("delayed"),
-        F.count_if(F.col("is_canceled")).alias("canceled"),
-        F.sum("delay_seconds").alias("sum_s"), F.count("delay_seconds").alias("cnt_s"),
-        F.sum(S.tenths("delay_minutes")).alias("sum_tenths"), F.count("delay_minutes").alias("cnt_m"),
-        F.max("delay_seconds").alias("max_s"))
-
-
 def _by_date_names(stg: DataFrame) -> DataFrame:
     """Per date, the (station_id, station_name) pairs seen: the dimension is their distinct union."""
     return (stg.filter(F.col("station_id").isNotNull())
@@ -114,50 +104,51 @@ def refresh_models(spark: SparkSession, processed_root: str, warehouse_root: str
     stg_all = M.stg_departures(IO.scan_processed(spark, processed_root))
     stg = stg_all if dates is None else stg_all.join(F.broadcast(dates.select("departure_date").distinct()),
                                                      "departure_date", "left_semi")
-    mode = "static" if dates is None else "dynamic"
-    for name, df in (("fct_delays", M.fct_delays(stg)), ("_names_by_date", _by_date_names(stg)),
-                     ("_sums_by_date", _by_date_sums(stg))):
-        (df.hint("rebalance", "departure_date").write.mode("overwrite")
-           .option("partitionOverwriteMode", mode).partitionBy("departure_date")
-           .parquet(f"{warehouse_root}/{name}"))
+    _write_by_date(M.fct_delays(stg), f"{warehouse_root}/fct_delays", dates is not None)
+    out = refresh_mart(spark, stg, warehouse_root, dates is not None)
+    stg_all.createOrReplaceTempView("stg_departures")
+    out["stg_departures"] = stg_all
+    out["fct_delays"] = spark.read.parquet(f"{warehouse_root}/fct_delays")
+    return out
+
+
+def _write_by_date(df: DataFrame, path: str, only_touched: bool) -> None:
+    """Write a table by date, clustered by station and hour where it has them."""
+    order = [c for c in ("departure_date", "station_id", "departure_hour") if c in df.columns]
+    (df.hint("rebalance", "departure_date").sortWithinPartitions(*order).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic" if only_touched else "static").partitionBy("departure_date")
+       .parquet(path))
+
+
+def refresh_mart(spark: SparkSession, stg: DataFrame, warehouse_root: str, only_touched: bool) -> dict[str, DataFrame]:
+    """Rewrite the per-date summaries of the dates in ``stg``; rebuild station dimension and mart.
+
+    The summaries have at most dates x stations x 24 rows; the fact is not read.
+    """
+    _write_by_date(_by_date_names(stg), f"{warehouse_root}/_names_by_date", only_touched)
+    _write_by_date(M.hour_sums(stg, "departure_date"), f"{warehouse_root}/_sums_by_date", only_touched)
     names = spark.read.parquet(f"{warehouse_root}/_names_by_date")
     sums = spark.read.parquet(f"{warehouse_root}/_sums_by_date")
-    stations = (names.select("station_id", "station_name").distinct()
-                     .withColumn("station_name_primary", S.primary_name("station_name")))
-    merged = sums.groupBy("station_id", "departure_hour").agg(
-        F.sum("n").alias("total_departures"), F.sum("delayed").alias("delayed_departures"),
-        F.sum("canceled").alias("canceled_departures"),
-        (F.sum("sum_s") / F.sum("cnt_s")).alias("_avg_s"),
-        F.sum("sum_tenths").alias("_tm"), F.sum("cnt_m").alias("_nm"),
-        F.max("max_s").alias("max_delay_seconds"))
+    stations = M.dim_stations(names)
     out = IO.materialize({"dim_stations": stations, "dim_time": M.dim_time(spark)}, warehouse_root, spark)
-    mart = M.mart_from_sums(merged, out["dim_stations"], out["dim_time"])
+    mart = M.mart_from_sums(M.merged_sums(sums), out["dim_stations"], out["dim_time"])
     out.update(IO.materialize({"mart_delay_summary": mart}, warehouse_root, spark))
-    stg_all.createOrReplaceTempView("stg_departures")
-    out["stg_departures"] = stg_all
-    out["fct_delays"] = spark.read.parquet(f"{warehouse_root}/fct_delays")
     return out
 
 
 def land_events(events: DataFrame, raw_path: str, dead_letter_path: str, mode: str = "append") -> dict:
-    """Route parsed events once: publishable ones land as raw Parquet, the rest as dead letters.
+    """Route parsed events: publishable ones land as raw Parquet, the rest as dead letters.
 
-    The routed frame is persisted (recomputable from its lineage if an executor is lost) so the
-    two sinks and the counters read it once.
+    Each sink parses the documents itself (cheap, in generated code) instead of holding the whole
+    batch on the executors' disks; the counts come from the same routing expression.
     """
-    routed = P.with_route(events).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        counts = routed.agg(F.count_if(F.col("failure_reason").isNull()).alias("published"),
-                            F.count_if(F.col("failure_reason").isNotNull()).alias("failed")).first()
-        published, failed = int(counts["published"]), int(counts["failed"])
-        if published:
-            IO.write_raw(routed.filter(F.col("failure_reason").isNull()).select(*P.EVENT_COLUMNS), raw_path, mode)
-        if failed:
-            dead = P.to_dead_letters(routed.filter(F.col("failure_reason").isNotNull()).drop("failure_reason"))
-            dead.write.mode(mode).json(dead_letter_path)
-    finally:
-        routed.unpersist()
-    return {"departures_fetched": published + failed, "published": published, "failed": failed}
+    counts = P.publish_counts(events).first()
+    if counts["published"]:
+        good = P.with_route(events).filter(F.col("failure_reason").isNull())
+        IO.write_raw(good.select(*P.EVENT_COLUMNS), raw_path, mode)
+    if counts["failed"]:
+        P.to_dead_letters(events).write.mode(mode).json(dead_letter_path)
+    return {"departures_fetched": counts["published"] + counts["failed"], **counts.asDict()}
 
 
 def run_all(spark: SparkSession, documents: DataFrame, workdir: str, stations: list[str] | None = None,

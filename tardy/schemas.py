@@ -62,7 +62,7 @@ FLUSH_SECONDS = 60
 # Default topic names of the message sinks (any name can be passed).
 TOPIC_DEPARTURES = "departures"
 TOPIC_DEAD_LETTER = "departures-dead-letter"
-CONSUMER_GROUP = "departure-writer"
+CONSUMER_GROUP = "tardy-landing"
 # Lake layout for landed raw files.
 LAKE_CONTAINER = "raw"
 LAKE_DIRECTORY = "departures"
@@ -94,8 +94,8 @@ LANDED_SCHEMA = StructType([
 # One departure event message (JSON value on the topic).
 EVENT_SCHEMA = LANDED_SCHEMA
 
-# Liveboard document: every field optional, numbers travel as strings.
-_DEPARTURE = StructType([
+# One departure of a liveboard: every field optional, numbers travel as strings.
+DEPARTURE_SCHEMA = StructType([
     StructField("station", StringType()),
     StructField("stationinfo", StructType([StructField("id", StringType())])),
     StructField("time", StringType()),
@@ -106,13 +106,15 @@ _DEPARTURE = StructType([
     StructField("platform", StringType()),
     StructField("occupancy", StructType([StructField("name", StringType())])),
 ])
+# Liveboard document. Departures stay JSON text at first, so a missing key, a null and the type of
+# a value can be told apart and a bad departure can be kept as it was received.
 LIVEBOARD_SCHEMA = StructType([
     StructField("stationinfo", StructType([
         StructField("id", StringType()),
         StructField("standardname", StringType()),
     ])),
     StructField("departures", StructType([
-        StructField("departure", ArrayType(_DEPARTURE)),
+        StructField("departure", ArrayType(StringType())),
     ])),
 ])
 
@@ -143,4 +145,5 @@ PROCESSED_SCHEMA = StructType([
 DEAD_LETTER_SCHEMA = StructType([
     StructField("original_message", EVENT_SCHEMA),
     StructField("failure_reason", StringType()),
+    StructField("original_text", StringType()),
 ])

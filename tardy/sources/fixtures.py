@@ -3,11 +3,12 @@
 ``raw_departures`` maps every ``events`` row to a departure as it would land from the message
 stream, planting the dirty cases the cleaning step must handle: null and empty ids, malformed and
 null times, replays (every 20th event arrives twice, later and with a larger delay), null fillable
-fields, bilingual station names, all 24 hours over 30 days.
+fields, bilingual station names, a station listed under two names, destinations of which some are stations,
+a station without night departures, 24 hours over 30 days.
 
 ``liveboard_documents`` turns the same events into nested liveboard JSON documents (one per
-event, one or two departures each) with missing sections, null and malformed documents and
-malformed numbers, so the flattening and routing steps run over data that grows with the tables.
+event, one or two departures each) with missing sections, null and malformed documents,
+malformed, null and out-of-range numbers, so the flattening and routing steps run over data that grows with the tables.
 
 Both are narrow projections (plus a two-way ``explode`` for replays): no join, no shuffle.
 """
@@ -18,33 +19,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tardy.functions.scalars import iso_utc
-from tardy.schemas import DEFAULT_STATIONS, LIVEBOARD_SCHEMA, RAW_COLUMNS
+from tardy.schemas import DEFAULT_STATIONS, RAW_COLUMNS
 from tardy.session import pin_utc
 
-_STATIONINFO_TYPE = LIVEBOARD_SCHEMA["stationinfo"].dataType.simpleString()
-_DEPARTURES_TYPE = LIVEBOARD_SCHEMA["departures"].dataType.simpleString()
-_DEP_FIELDS = LIVEBOARD_SCHEMA["departures"].dataType["departure"].dataType.elementType.fields
-
-# Fixed values of the fixture: names of the five stations by ``event_id % 5``.
+# Fixed values of the fixture: names of the five stations by `their index.
 STATION_NAMES = ["Zuid/Midi", "Noord/Nord", "Centraal/Central", "Gent", "Antwerpen"]
+SECOND_NAME = "Zuid"               # the first station is also listed under this name
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an input that arrives in fewer splits than the cluster has cores.
-
-    A large table arrives in many splits and is left alone (no extra shuffle); a small table
-    stored as one unsplittable row group would otherwise run every narrow step in one task.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access (e.g. Spark Connect): leave as is
-        return df
-    return df.repartition(cores) if splits < cores else df
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def _mod(c: Column, m: int) -> Column:
@@ -58,6 +42,11 @@ def _pick(key: Column, values: list) -> Column:
     return expr
 
 
+def station_index(e: Column, ts: Column) -> Column:
+    """0-4. The last station has no departures before six, so a report over hours has empty cells."""
+    return F.when((_mod(e, 5) == 4) & (F.hour(ts) < 6), F.lit(0)).otherwise(_mod(e, 5))
+
+
 def raw_departures_from_events(ev: DataFrame) -> DataFrame:
     e, u, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
     # replay copy n = 1 for every 20th event; a generator, not a join
@@ -66,10 +55,13 @@ def raw_departures_from_events(ev: DataFrame) -> DataFrame:
         F.explode(F.when(_mod(e, 20) == 0, F.array(F.lit(0), F.lit(1)))
                   .otherwise(F.array(F.lit(0)))).alias("n"))
     n = F.col("n")
+    stop = station_index(e, ts)
     station_id = (F.when(_mod(e, 97) == 5, F.lit(None).cast("string"))
                   .when(_mod(e, 101) == 7, F.lit(""))
-                  .otherwise(F.concat(F.lit("ST"), _mod(e, 5).cast("string"))))
-    station_name = F.when(_mod(e, 101) == 7, F.lit("")).otherwise(_pick(_mod(e, 5), STATION_NAMES))
+                  .otherwise(F.concat(F.lit("ST"), stop.cast("string"))))
+    station_name = (F.when(_mod(e, 101) == 7, F.lit(""))
+                    .when((stop == 0) & (_mod(e, 3) == 0), F.lit(SECOND_NAME))
+                    .otherwise(_pick(stop, STATION_NAMES)))
     scheduled = (F.when(_mod(e, 83) == 3, F.lit("bad"))
                  .when(_mod(e, 89) == 4, F.lit(None).cast("string"))
                  .otherwise(iso_utc(F.date_trunc("minute", ts))))
@@ -88,7 +80,7 @@ def raw_departures_from_events(ev: DataFrame) -> DataFrame:
         station_id.alias("station_id"),
         station_name.alias("station_name"),
         F.concat(F.lit("Dest "), _mod(u, 7).cast("string")).alias("destination"),
-        F.concat(F.lit("D"), _mod(u, 7).cast("string")).alias("destination_id"),
+        F.concat(F.lit("ST"), _mod(u, 7).cast("string")).alias("destination_id"),
         scheduled.alias("scheduled_time"),
         delay.alias("delay_seconds"),
         canceled.alias("canceled"),
@@ -110,54 +102,60 @@ def raw_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Liveboard documents
 # ---------------------------------------------------------------------------
 
-def _departure_struct(e: Column, u: Column, ts: Column, etype: Column, value: Column,
-                      offset_seconds: int, vehicle_shift: int) -> Column:
-    """One departure object; ``None`` fields are dropped by ``to_json`` (= missing keys)."""
-    epoch = (F.unix_timestamp(F.date_trunc("minute", ts)) + F.lit(offset_seconds)).cast("string")
-    delay = (F.when(_mod(e, 53) == 6, F.lit("n/a"))
-             .when(_mod(e, 11) == 0, F.lit(None).cast("string"))
-             .when(etype == "view", F.lit("0"))
-             .otherwise((F.floor(value).cast("bigint") * 3).cast("string")))
+def _member(name: str, value: Column) -> Column:
+    """``"name":value`` as JSON text; a null value leaves the member out."""
+    return F.concat(F.lit(f'"{name}":'), value)
+
+
+def _quoted(value: Column) -> Column:
+    return F.concat(F.lit('"'), value.cast("string"), F.lit('"'))
+
+
+def _object(*members: Column) -> Column:
+    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+
+
+def _departure_json(offset_seconds: int, vehicle_shift: int) -> Column:
+    """One departure object. Numbers are text, some malformed, too large, null or left out."""
+    e, u, etype = F.col("event_id"), F.col("user_id"), F.col("event_type")
+    gone, null = F.lit(None).cast("string"), F.lit("null")
+    epoch = F.unix_timestamp(F.date_trunc("minute", F.col("ts"))) + F.lit(offset_seconds)
+    time = F.when(_mod(e, 67) == 9, F.lit("999999999999999")).otherwise(epoch.cast("string"))
+    delay = (F.when(_mod(e, 53) == 6, _quoted(F.lit("n/a")))
+             .when(_mod(e, 59) == 7, _quoted(F.lit("3000000000")))
+             .when(_mod(e, 61) == 8, null)
+             .when(_mod(e, 11) == 0, gone)
+             .when(etype == "view", _quoted(F.lit(0)))
+             .otherwise(_quoted(F.floor("value").cast("bigint") * 3)))
+    canceled = (F.when(_mod(e, 19) == 3, F.lit("1"))
+                .when(etype == "error", _quoted(F.lit(1)))
+                .when(_mod(e, 13) == 0, gone).otherwise(_quoted(F.lit(0))))
+    vehicle = (F.when(_mod(e, 103) == 9, gone).when(_mod(e, 107) == 10, null)
+               .otherwise(_quoted(F.concat(F.lit("V"), (u + vehicle_shift).cast("string")))))
+    platform = F.when(_mod(e, 7) == 0, gone).when(_mod(e, 23) == 4, null).otherwise(_quoted(_mod(e, 12)))
     occ = _mod(e, 9)
-    occupancy = (F.when(occ < 2, F.lit("low")).when(occ < 5, F.lit("medium"))
-                 .when(occ < 7, F.lit("high")).otherwise(F.lit(None).cast("string")))
-    return F.struct(
-        F.concat(F.lit("Dest "), _mod(u, 7).cast("string")).alias("station"),
-        F.struct(F.concat(F.lit("D"), _mod(u, 7).cast("string")).alias("id")).alias("stationinfo"),
-        epoch.alias("time"),
-        delay.alias("delay"),
-        F.when(etype == "error", F.lit("1")).when(_mod(e, 13) == 0, F.lit(None).cast("string"))
-         .otherwise(F.lit("0")).alias("canceled"),
-        F.when(_mod(e, 103) == 9, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("V"), (u + vehicle_shift).cast("string"))).alias("vehicle"),
-        F.when(_mod(e, 17) == 0, F.lit(None).cast("struct<type:string>"))
-         .otherwise(F.struct(F.upper(etype).alias("type"))).alias("vehicleinfo"),
-        F.when(_mod(e, 7) == 0, F.lit(None).cast("string")).otherwise(_mod(e, 12).cast("string")).alias("platform"),
-        F.when(occupancy.isNull(), F.lit(None).cast("struct<name:string>"))
-         .otherwise(F.struct(occupancy.alias("name"))).alias("occupancy"),
-    )
+    level = F.when(occ < 2, F.lit("low")).when(occ < 5, F.lit("medium")).when(occ < 7, F.lit("high"))
+    return _object(
+        _member("station", _quoted(F.concat(F.lit("Dest "), _mod(u, 7).cast("string")))),
+        _member("stationinfo", _object(_member("id", _quoted(F.concat(F.lit("D"), _mod(u, 7).cast("string")))))),
+        _member("time", _quoted(time)), _member("delay", delay), _member("canceled", canceled),
+        _member("vehicle", vehicle),
+        _member("vehicleinfo", F.when(_mod(e, 17) != 0, _object(_member("type", _quoted(F.upper(etype)))))),
+        _member("platform", platform),
+        _member("occupancy", F.when(level.isNotNull(), _object(_member("name", _quoted(level))))))
 
 
 def liveboard_documents_from_events(ev: DataFrame) -> DataFrame:
     """(doc_id, requested_station, document) — document is JSON text or null."""
-    e, u, ts, etype, value = (F.col("event_id"), F.col("user_id"), F.col("ts"),
-                              F.col("event_type"), F.col("value"))
-    dep1 = _departure_struct(e, u, ts, etype, value, 0, 0)
-    dep2 = _departure_struct(e, u, ts, etype, value, 600, 1)
-    # every optional field missing: an empty departure object
-    empty_dep = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name)
-                           for f in _DEP_FIELDS])
-    departures = (F.when(_mod(e, 31) == 1, F.array(empty_dep))
-                  .when(_mod(e, 4) == 0, F.array(dep1, dep2))
-                  .otherwise(F.array(dep1)))
-    stationinfo = F.struct(F.concat(F.lit("BE.ST"), _mod(e, 5).cast("string")).alias("id"),
-                           _pick(_mod(e, 5), STATION_NAMES).alias("standardname"))
-    doc = F.struct(
-        F.when(_mod(e, 37) == 2, F.lit(None).cast(_STATIONINFO_TYPE)).otherwise(stationinfo).alias("stationinfo"),
-        F.when(_mod(e, 41) == 3, F.lit(None).cast(_DEPARTURES_TYPE))
-         .otherwise(F.struct(departures.alias("departure"))).alias("departures"),
-    )
-    text = F.to_json(doc)
+    e = F.col("event_id")
+    one, two = _departure_json(0, 0), _departure_json(600, 1)
+    boards = (F.when(_mod(e, 31) == 1, F.lit("{}"))
+              .when(_mod(e, 4) == 0, F.concat_ws(",", one, two)).otherwise(one))
+    info = _object(_member("id", _quoted(F.concat(F.lit("BE.ST"), _mod(e, 5).cast("string")))),
+                   _member("standardname", _quoted(_pick(_mod(e, 5), STATION_NAMES))))
+    listed = _object(_member("departure", F.concat(F.lit("["), boards, F.lit("]"))))
+    text = _object(_member("stationinfo", F.when(_mod(e, 37) != 2, info)),
+                   _member("departures", F.when(_mod(e, 41) != 3, listed)))
     text = (F.when(_mod(e, 43) == 4, F.lit(None).cast("string"))
             .when(_mod(e, 47) == 5, F.substring(text, 1, 25))
             .otherwise(text))

@@ -5,10 +5,13 @@ A document is nested JSON: ``stationinfo{id, standardname}`` and
 Parsing is ``from_json`` with an explicit schema plus ``explode`` — per-row work stays in
 generated code and a batch of documents is split across tasks like any other rows.
 
-Missing values take defaults ("" for ids and names, "unknown" occupancy, 0 delay, epoch 0
-time, not canceled). A null or unparseable document contributes no rows (a failed fetch).
-A number that is present but not an integer is not silently zeroed: the departure is kept with
-``parse_error = "Malformed number"`` so routing can send it to the dead letters.
+A missing key takes its default ("" for ids and names, "unknown" occupancy, 0 delay, epoch 0
+time, not canceled); an explicit null of a text field stays null, for cleaning to fill. Only the
+text "1" cancels a departure, the number 1 does not. A null or unparseable document contributes no
+rows (a failed fetch). A number that is present but null, not an integer or out of range (32 bits
+for delays, the years 1 to 9999 for times) is not silently zeroed: the departure is kept with
+``parse_error = "Malformed number"`` and its JSON text, so routing can send it to the dead letters
+as it was received.
 """
 
 from __future__ import annotations
@@ -18,17 +21,39 @@ from pyspark.sql import functions as F
 
 from tardy.functions import scalars as S
 from tardy.session import pin_utc
-from tardy.schemas import DEFAULT_STATIONS, LANDED_SCHEMA, LIVEBOARD_SCHEMA, REASON_MALFORMED_NUMBER
+from tardy.schemas import (
+    DEFAULT_STATIONS,
+    DEPARTURE_SCHEMA,
+    LANDED_SCHEMA,
+    LIVEBOARD_SCHEMA,
+    REASON_MALFORMED_NUMBER,
+)
 
 EVENT_COLUMNS = [f.name for f in LANDED_SCHEMA.fields]
 
 
 def parse_documents(docs: DataFrame, document_col: str = "document") -> DataFrame:
-    """Documents -> one row per departure with the raw nested fields (``dep``) and ``pos``."""
+    """Documents -> one row per departure: its JSON text (``dep_text``), fields (``dep``), ``pos``."""
     parsed = docs.withColumn("_lb", F.from_json(F.col(document_col), LIVEBOARD_SCHEMA))
     keep = [c for c in docs.columns if c != document_col]
-    return parsed.select(*keep, F.col("_lb.stationinfo").alias("stationinfo"),
-                         F.posexplode(F.col("_lb.departures.departure")).alias("pos", "dep"))
+    rows = parsed.select(*keep, F.col("_lb.stationinfo").alias("stationinfo"),
+                         F.posexplode(F.col("_lb.departures.departure")).alias("pos", "dep_text"))
+    return rows.withColumns({"dep": F.from_json("dep_text", DEPARTURE_SCHEMA),
+                             "dep_keys": F.json_object_keys("dep_text")})
+
+
+def _has(key: str) -> Column:
+    return F.coalesce(F.array_contains("dep_keys", key), F.lit(False))
+
+
+def _text_or_default(key: str, default: str = "") -> Column:
+    """The departure's value, null included; the default only where the key is missing."""
+    return F.when(_has(key), F.col("dep")[key]).otherwise(F.lit(default))
+
+
+def _is_text(key: str) -> Column:
+    value = F.try_variant_get(F.try_parse_json("dep_text"), f"$.{key}", "variant")
+    return F.schema_of_variant(value) == F.lit("STRING")
 
 
 def departure_columns(ingested_at: Column | None = None) -> dict[str, Column]:
@@ -36,14 +61,14 @@ def departure_columns(ingested_at: Column | None = None) -> dict[str, Column]:
     return {
         "station_id": S.with_default(F.col("stationinfo.id"), ""),
         "station_name": S.with_default(F.col("stationinfo.standardname"), ""),
-        "destination": S.with_default(dep["station"], ""),
+        "destination": _text_or_default("station"),
         "destination_id": S.with_default(dep["stationinfo"]["id"], ""),
         "scheduled_time": S.epoch_to_iso(dep["time"]),
         "delay_seconds": S.parse_int_default(dep["delay"]),
-        "canceled": S.decode_flag(dep["canceled"]),
-        "vehicle_id": S.with_default(dep["vehicle"], ""),
+        "canceled": S.decode_flag(dep["canceled"], _is_text("canceled")),
+        "vehicle_id": _text_or_default("vehicle"),
         "vehicle_type": S.with_default(dep["vehicleinfo"]["type"], ""),
-        "platform": S.with_default(dep["platform"], ""),
+        "platform": _text_or_default("platform"),
         "occupancy": S.with_default(dep["occupancy"]["name"], "unknown"),
         "ingested_at": S.iso_utc_micros(F.current_timestamp()) if ingested_at is None else ingested_at,
     }
@@ -51,21 +76,23 @@ def departure_columns(ingested_at: Column | None = None) -> dict[str, Column]:
 
 def parse_error() -> Column:
     dep = F.col("dep")
-    bad = S.is_malformed_number(dep["time"]) | S.is_malformed_number(dep["delay"])
+    null_number = (_has("time") & dep["time"].isNull()) | (_has("delay") & dep["delay"].isNull())
+    bad = null_number | S.is_malformed_epoch(dep["time"]) | S.is_malformed_number(dep["delay"])
     return F.when(bad, F.lit(REASON_MALFORMED_NUMBER))
 
 
 def liveboard_events(docs: DataFrame, ingested_at: Column | None = None,
                      document_col: str = "document") -> DataFrame:
-    """All parsed departures: the 12 event columns, ``parse_error`` and the document keys."""
+    """All parsed departures: the 12 event columns, ``parse_error``, the departure's JSON text
+    (``original_text``) and the document keys."""
     pin_utc(docs.sparkSession)
     rows = parse_documents(docs, document_col)
     cols = departure_columns(ingested_at)
-    keep = [c for c in rows.columns if c not in ("stationinfo", "dep")]
+    keep = [c for c in rows.columns if c not in ("stationinfo", "dep", "dep_keys", "dep_text")]
     err = parse_error()
     out = rows.select(*keep, *[(F.when(err.isNull(), v) if k == "delay_seconds" else v).alias(k)
                                for k, v in cols.items()],
-                      err.alias("parse_error"))
+                      err.alias("parse_error"), F.col("dep_text").alias("original_text"))
     return out
 
 

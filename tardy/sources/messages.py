@@ -4,7 +4,7 @@
 present and non-empty (the truthiness check) and it parsed cleanly. Publishable events become
 keyed messages: ``key = station_id`` (so a partitioned topic keeps a station in order) and
 ``value`` = the event as JSON with nulls kept. Everything else becomes a dead letter
-``{original_message, failure_reason}`` without a key.
+``{original_message, failure_reason, original_text}`` without a key.
 
 Sinks take a ``format`` argument: ``kafka`` (needs the connector on the classpath; pass
 ``kafka.bootstrap.servers`` and ``topic`` options) or any file format for tests and lakes.
@@ -57,11 +57,16 @@ def to_messages(df: DataFrame) -> DataFrame:
 
 
 def to_dead_letters(df: DataFrame) -> DataFrame:
-    """The rest as (value) with value = {original_message, failure_reason}."""
+    """The rest as (value) with value = {original_message, failure_reason, original_text}.
+
+    ``original_text`` is the departure as received, where its parser kept it, so a value that did
+    not parse is not lost.
+    """
     routed = with_route(df)
+    text = F.col("original_text") if "original_text" in df.columns else F.lit(None).cast("string")
     return routed.filter(F.col("failure_reason").isNotNull()).select(
-        F.to_json(F.struct(F.struct(*EVENT_COLUMNS).alias("original_message"), "failure_reason"),
-                  _KEEP_NULLS).alias("value"))
+        F.to_json(F.struct(F.struct(*EVENT_COLUMNS).alias("original_message"), "failure_reason",
+                           text.alias("original_text")), _KEEP_NULLS).alias("value"))
 
 
 def parse_message(value: Column) -> Column:

@@ -79,7 +79,8 @@ def scan_processed(spark: SparkSession, root: str, merge_schema: bool = False) -
 
     The default reads under the fixed processed schema: files are united by column name (a
     column an older file lacks reads as null) and no footer is opened to infer anything, which
-    matters with hundreds of thousands of files. ``merge_schema=True`` instead unites whatever
+    matters with hundreds of thousands of files; columns beyond that schema are left out.
+    ``merge_schema=True`` instead unites whatever
     columns the files carry (reads every footer). Filters on departure_date become partition
     filters (only matching folders are listed and read).
     """
@@ -105,7 +106,8 @@ def materialize(models: dict[str, DataFrame], root: str, spark: SparkSession,
         path = f"{root}/{name}"
         w = df.write.mode("overwrite")
         if PARTITION_COLUMN in df.columns and name == "fct_delays":
-            df = df.hint("rebalance", PARTITION_COLUMN)
+            df = df.hint("rebalance", PARTITION_COLUMN).sortWithinPartitions(
+                PARTITION_COLUMN, "station_id", "departure_hour")
             w = df.write.mode("overwrite").partitionBy(PARTITION_COLUMN)
         w.parquet(path)
         out[name] = spark.read.parquet(path)

@@ -4,22 +4,24 @@ Source: a topic (``kafka``; the connector must be on the classpath) or a folder
 text files (``text``). Both yield one ``value`` string per message.
 
 Flush policy (J2): with Kafka, ``minOffsetsPerTrigger`` + ``maxTriggerDelay`` flush at N
-messages or after T seconds, whichever first, and ``maxOffsetsPerTrigger`` caps a batch; with
+messages or after T seconds, whichever first (a batch is capped only if the caller asks for it); with
 files, ``maxFilesPerTrigger`` bounds a batch and a processing-time trigger sets the cadence.
 Drain (J3) is ``availableNow``: consume what is there, in bounded batches, then stop.
 Resume (J4) is the checkpoint: a restarted query continues after the last committed batch, and
 a first start reads from the earliest offset.
 
 Routing (J1) runs in ``foreachBatch``; each batch writes its valid rows and its dead letters to
-folders named by the batch id with overwrite, so a batch replayed after a failure replaces its
-own output instead of doubling it (the two sinks stay exactly-once together).
+folders named by the query's own id (kept in its checkpoint) and the batch id, with overwrite: a
+batch replayed after a failure replaces its own output instead of doubling it, and a query with a
+new checkpoint, whose batch numbers begin at 0 again, never touches what another query landed.
+``compact_landed`` merges the small folders of finished batches.
 """
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,6 +32,7 @@ from tardy.schemas import (
     EVENT_SCHEMA,
     FLUSH_MESSAGES,
     FLUSH_SECONDS,
+    LANDED_SCHEMA,
     TOPIC_DEPARTURES,
 )
 from tardy.sources import messages as P
@@ -45,7 +48,7 @@ class FlushPolicy:
     """Flush at ``messages`` or after ``seconds``, whichever comes first."""
     messages: int = FLUSH_MESSAGES
     seconds: int = FLUSH_SECONDS
-    max_messages: int | None = None       # hard cap per batch (default 10 x messages)
+    max_messages: int | None = None       # cap per batch; none by default
     files_per_trigger: int = 1            # file source only
     poll_seconds: int = 1                 # Kafka: how often the size-or-time rule is evaluated
 
@@ -54,16 +57,20 @@ class FlushPolicy:
         return f"{self.poll_seconds} seconds" if fmt == "kafka" else f"{self.seconds} seconds"
 
     def kafka_options(self) -> dict:
-        return {"minOffsetsPerTrigger": str(self.messages),
-                "maxTriggerDelay": f"{self.seconds}s",
-                "maxOffsetsPerTrigger": str(self.max_messages or 10 * self.messages)}
+        out = {"minOffsetsPerTrigger": str(self.messages), "maxTriggerDelay": f"{self.seconds}s"}
+        return out if self.max_messages is None else out | {"maxOffsetsPerTrigger": str(self.max_messages)}
 
 
 def kafka_source_options(bootstrap: str, topic: str = TOPIC_DEPARTURES, group: str = CONSUMER_GROUP,
-                         policy: FlushPolicy = FlushPolicy()) -> dict:
-    """Options of the Kafka source: subscribe from the earliest offset at first start."""
+                         policy: FlushPolicy = FlushPolicy(), skip_lost_data: bool = False) -> dict:
+    """Options of the Kafka source: subscribe from the earliest offset at first start.
+
+    Expired or deleted offsets stop the query; ``skip_lost_data`` goes on without them, and says so.
+    """
+    if skip_lost_data:
+        logging.getLogger(__name__).warning("topic %s: lost offsets will be skipped", topic)
     return {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": "earliest",
-            "groupIdPrefix": group, "failOnDataLoss": "false", **policy.kafka_options()}
+            "groupIdPrefix": group, "failOnDataLoss": str(not skip_lost_data).lower(), **policy.kafka_options()}
 
 
 def read_messages(spark: SparkSession, source: str, fmt: str = "text", options: dict | None = None,
@@ -98,22 +105,75 @@ def dead_letter_values(routed: DataFrame) -> DataFrame:
         orig.alias("original_text")), {"ignoreNullFields": "false"}).alias("value"))
 
 
+def batch_folder(root: str, batch: DataFrame, batch_id: int) -> str:
+    """``<root>/query=<id>/batch_id=<n>``; the query id lives in the checkpoint and survives restarts."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        raise RuntimeError("not inside a streaming batch: no query id")
+    return f"{root}/query={query}/batch_id={batch_id}"
+
+
 def land_batch(raw_root: str, dead_root: str):
     """The ``foreachBatch`` function: valid rows -> raw Parquet, the rest -> dead letters."""
 
     def _fn(batch: DataFrame, batch_id: int) -> None:
-        b = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            valid = conform_landed(b.filter(F.col("failure_reason").isNull()))
-            valid.write.mode("overwrite").parquet(f"{raw_root}/batch_id={batch_id}")
-            dead = b.filter(F.col("failure_reason").isNotNull())
-            dead_letter_values(dead).write.mode("overwrite").text(f"{dead_root}/batch_id={batch_id}")
-        finally:
-            b.unpersist()
+        valid = conform_landed(batch.filter(F.col("failure_reason").isNull()))
+        valid.write.mode("overwrite").parquet(batch_folder(raw_root, batch, batch_id))
+        dead = batch.filter(F.col("failure_reason").isNotNull())
+        dead_letter_values(dead).write.mode("overwrite").text(batch_folder(dead_root, batch, batch_id))
 
     return _fn
 
 
+def read_landed(spark: SparkSession, raw_root: str) -> DataFrame:
+    """Everything landed under a root, whichever queries and batches wrote it."""
+    return spark.read.schema(LANDED_SCHEMA).parquet(raw_root).select(*LANDED_SCHEMA.fieldNames())
+
+
+def compact_landed(spark: SparkSession, raw_root: str) -> int:
+    """Merge the folders of finished batches, query by query; returns how many were merged.
+
+    The newest batch of a query stays as it is (a restart may write it again). The merged rows are
+    written to a folder that readers ignore; then the old folders go and the new one takes its
+    name. Run it while no reader is at work. A run that was interrupted is finished by the next.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(raw_root).getFileSystem(conf)
+    merged = 0
+    for query in [s.getPath() for s in fs.listStatus(path(raw_root)) if s.getPath().getName().startswith("query=")]:
+        names = {s.getPath().getName(): s.getPath() for s in fs.listStatus(query)}
+        for name in [n for n in names if n.startswith("_merged-")]:
+            if fs.exists(path(names[name], "_SUCCESS")):
+                _swap(fs, path, query, name)
+            else:
+                fs.delete(names[name], True)
+        batches = _batches(fs, query)
+        if len(batches) > 2:
+            last = batches[-2]
+            target = f"_merged-{last}"
+            old = [f"{query.toString()}/batch_id={n}" for n in batches[:-1]]
+            rows = spark.read.schema(LANDED_SCHEMA).parquet(*old)
+            rows.hint("rebalance").write.parquet(f"{query.toString()}/{target}")
+            _swap(fs, path, query, target)
+            merged += len(old)
+    return merged
+
+
+def _batches(fs, query) -> list[int]:
+    names = [s.getPath().getName() for s in fs.listStatus(query)]
+    return sorted(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
+
+
+def _swap(fs, path, query, merged: str) -> None:
+    """Replace the batches up to the merged one by the merged folder."""
+    last = int(merged.removeprefix("_merged-"))
+    for n in _batches(fs, query):
+        if n <= last:
+            fs.delete(path(query, f"batch_id={n}"), True)
+    fs.rename(path(query, merged), path(query, f"batch_id={last}"))
+
+
 def start_landing(spark: SparkSession, source: str, raw_root: str, dead_root: str, checkpoint: str,
                   fmt: str = "text", options: dict | None = None, policy: FlushPolicy = FlushPolicy(),
                   drain: bool = False, query_name: str | None = None) -> StreamingQuery:
@@ -132,6 +192,13 @@ def drain(spark: SparkSession, source: str, raw_root: str, dead_root: str, check
           timeout_s: float | None = None) -> None:
     """Land everything available now, then return (replaces fixed sleeps and threads)."""
     q = start_landing(spark, source, raw_root, dead_root, checkpoint, fmt, options, policy, drain=True)
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise q.exception()
+    finish(q, timeout_s)
+
+
+def finish(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for a draining query; raise what it raised, or stop it and raise when time runs out."""
+    if not (query.awaitTermination() if timeout_s is None else query.awaitTermination(timeout_s)) and query.isActive:
+        query.stop()
+        raise TimeoutError(f"not drained after {timeout_s} s")
+    if query.exception() is not None:
+        raise query.exception()

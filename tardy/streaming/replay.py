@@ -1,8 +1,8 @@
 """Replay a batch of events through the streaming path (for checks against the batch path).
 
 The events are written as JSON-lines message files under the shared checkpoint folder (never a
-machine-local temp folder on a cluster), consumed with ``availableNow``, and the landed output is
-read back as a table. Each replay uses a fresh sub-folder.
+machine-local temp folder on a cluster), consumed with ``availableNow`` in several micro-batches,
+and the stored result is read back as a table. Each replay uses a fresh sub-folder.
 """
 
 from __future__ import annotations
@@ -13,79 +13,64 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tardy.session import scratch_path
+from tardy.sources import messages as P
+from tardy.sources import parquet as IO
 from tardy.streaming import landing as SL
 from tardy.streaming import stateful as ST
 
+BATCHES = 8
 
-def write_message_files(events: DataFrame, folder: str, files: int = 4) -> None:
-    """Events -> JSON text messages (nulls kept), ``files`` files by hash of the row."""
-    (events.select(F.to_json(F.struct(*events.columns), {"ignoreNullFields": "false"}).alias("value"))
-           .repartition(files)
-           .write.mode("overwrite").text(folder))
+
+def write_message_files(events: DataFrame, folder: str, files: int | None = None, mode: str = "overwrite") -> int:
+    """Events -> JSON text messages (nulls kept), dealt round-robin over ``files`` files.
+
+    By default one file per core of the cluster and at least one per micro-batch, so writing and
+    reading them is as wide as the cluster. Returns the number of files.
+    """
+    files = files or max(BATCHES, events.sparkSession.sparkContext.defaultParallelism)
+    text = events.select(F.to_json(F.struct(*events.columns), {"ignoreNullFields": "false"}).alias("value"))
+    text.repartition(files).write.mode(mode).text(folder)
+    return files
 
 
 def _workdir(spark: SparkSession, tag: str) -> str:
     return scratch_path(spark, f"replay-{tag}-{uuid.uuid4().hex[:12]}")
 
 
-def replay_landing(spark: SparkSession, events: DataFrame, files: int = 4) -> tuple[DataFrame, DataFrame]:
-    """Land ``events`` through the routing stream; returns (landed raw rows, dead-letter values)."""
-    root = _workdir(spark, "landing")
-    write_message_files(events, f"{root}/in", files)
-    SL.drain(spark, f"{root}/in", f"{root}/raw", f"{root}/dead", f"{root}/ck",
-             policy=SL.FlushPolicy(files_per_trigger=1))
-    landed = spark.read.parquet(f"{root}/raw").drop("batch_id")
-    return landed, spark.read.text(f"{root}/dead")
+def received(spark: SparkSession, folder: str, files_per_trigger: int) -> DataFrame:
+    """The events of a message folder as a stream. Only messages that are no JSON are left out here:
+    cleaning has its own rule for missing fields."""
+    policy = SL.FlushPolicy(files_per_trigger=files_per_trigger)
+    msgs = SL.parse_messages(SL.read_messages(spark, folder, policy=policy))
+    return msgs.filter(F.coalesce(F.col("failure_reason") != SL.REASON_MALFORMED_JSON, F.lit(True))).select(*P.EVENT_COLUMNS)
 
 
-def replay_mart(spark: SparkSession, events: DataFrame, stations: DataFrame,
-                watermark: str = "1 hour") -> DataFrame:
-    """Run the running mart (J5 dedup + J6 aggregate) over ``events`` and read the result.
+def replay_landing(spark: SparkSession, events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Land ``events`` through two queries with checkpoints of their own into one root, in several
+    micro-batches each; returns (landed raw rows, dead-letter values)."""
+    root = _workdir(spark, "landing")
+    half = F.pmod(F.xxhash64(*events.columns), F.lit(2)) == 0
+    for name, part in (("a", events.filter(half)), ("b", events.filter(~half))):
+        files = write_message_files(part, f"{root}/in-{name}")
+        SL.drain(spark, f"{root}/in-{name}", f"{root}/raw", f"{root}/dead", f"{root}/ck-{name}",
+                 policy=SL.FlushPolicy(files_per_trigger=-(-files // 4)))
+    return SL.read_landed(spark, f"{root}/raw"), spark.read.text(f"{root}/dead")
 
-    All files are taken in one micro-batch, so nothing is behind the watermark.
-    """
-    root = _workdir(spark, "mart")
-    write_message_files(events, f"{root}/in")
-    msgs = SL.parse_messages(SL.read_messages(spark, f"{root}/in", policy=SL.FlushPolicy(files_per_trigger=10_000)))
-    valid = msgs.filter(F.col("failure_reason").isNull()
-                        | (F.col("failure_reason") == F.lit("Missing required fields")))
-    clean = ST.stream_clean(valid.drop("value", "failure_reason"), watermark)
-    q = ST.start_stream_mart(spark, clean, stations, f"{root}/mart", f"{root}/ck")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return spark.read.parquet(f"{root}/mart")
 
+def replay_clean(spark: SparkSession, events: DataFrame, batches: int = BATCHES) -> DataFrame:
+    """J5 over ``events`` in ``batches`` micro-batches; the stored, deduplicated departures."""
+    root = _workdir(spark, "clean")
+    files = write_message_files(events, f"{root}/in")
+    SL.finish(ST.start_stream_clean(spark, received(spark, f"{root}/in", max(1, files // batches)), root))
+    return IO.scan_processed(spark, f"{root}/processed")
 
 
-def replay_clean(spark: SparkSession, events: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """Run the streaming cleaning (J5 dedup within the watermark) over ``events``; read it back."""
-    root = _workdir(spark, "clean")
-    write_message_files(events, f"{root}/in")
-    msgs = SL.parse_messages(SL.read_messages(spark, f"{root}/in", policy=SL.FlushPolicy(files_per_trigger=10_000)))
-    valid = msgs.filter(F.col("failure_reason").isNull()
-                        | (F.col("failure_reason") == F.lit("Missing required fields")))
-    clean = ST.stream_clean(valid.drop("value", "failure_reason"), watermark)
-    q = (clean.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True)
-              .start(f"{root}/out"))
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return spark.read.parquet(f"{root}/out")
-
-
-def replay_mart_latest(spark: SparkSession, events: DataFrame, stations: DataFrame,
-                       watermark: str = "1 hour") -> DataFrame:
-    """Run the latest-wins running mart over ``events`` (one micro-batch plus the watermark's
-    closing batch) and read the mart of the departures that are final."""
-    root = _workdir(spark, "mart-latest")
-    write_message_files(events, f"{root}/in")
-    msgs = SL.parse_messages(SL.read_messages(spark, f"{root}/in", policy=SL.FlushPolicy(files_per_trigger=10_000)))
-    valid = msgs.filter(F.col("failure_reason").isNull()
-                        | (F.col("failure_reason") == F.lit("Missing required fields")))
-    q = ST.start_stream_mart_latest(spark, valid.drop("value", "failure_reason"), stations, root, watermark)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return spark.read.parquet(f"{root}/mart")
+def replay_mart(spark: SparkSession, events: DataFrame, batches: int = BATCHES, twice: bool = False) -> DataFrame:
+    """J6 over ``events`` in ``batches`` micro-batches; ``twice`` delivers every message again, as
+    an at-least-once source may."""
+    root = _workdir(spark, "mart")
+    files = write_message_files(events, f"{root}/in")
+    if twice:
+        files += write_message_files(events, f"{root}/in", mode="append")
+    SL.finish(ST.start_stream_mart(spark, received(spark, f"{root}/in", max(1, files // batches)), root))
+    return spark.read.parquet(f"{root}/warehouse/mart_delay_summary")

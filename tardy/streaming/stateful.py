@@ -1,12 +1,14 @@
-"""Stateful streaming: deduplication (J5) and the running station x hour mart.
+"""Streaming deduplication (J5) and the running station x hour mart.
 
-J5 comes in two forms. ``stream_clean`` keeps the FIRST copy of a key seen within the watermark
-and emits it at once (stream/batch parity on keys, not payloads). ``stream_clean_latest`` keeps the
-LATEST copy like the batch job, pre-aggregates hot keys on the map side, and emits a departure
-once the watermark passes its scheduled time. State is bounded by the watermark delay in both.
-J6 keeps one state row per (station_id, departure_hour) — bounded by stations x 24 — and emits
-the complete table each trigger; the dimension join runs on that small result in
-``foreachBatch`` (a static join of two small frames), then replaces the mart table.
+The stored, cleaned departures are the state: each micro-batch is parsed and filtered like the batch
+job and merged into the date partitions it touches (``jobs.merge_clean``). The rule that picks a
+row among the copies of a departure is total, so the result is that of the batch job over everything
+received so far: it does not depend on the number, order or repetition of the micro-batches,
+no row is late, and no state grows in memory. A batch that is replayed after a failure merges the
+same rows again and changes nothing.
+
+J6 adds, per batch, the per-date summaries of the touched dates and rebuilds the station dimension and the
+mart from the summaries (dates x stations x 24 rows at most), never from the departures.
 """
 
 from __future__ import annotations
@@ -17,127 +19,36 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tardy.operators import clean as C
 from tardy.operators import models as M
-from tardy.functions.scalars import tenths
-from tardy.schemas import DEDUP_KEY
-
-
-def stream_clean(events: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """Cleaning for unbounded input: parse, fill, filter, dedup within the watermark, derive."""
-    df = C.filter_required(C.fill_defaults(C.parse_timestamps(C.conform_raw(events))))
-    # watermarks need an instant (TIMESTAMP); ingested_at is UTC wall time (TIMESTAMP_NTZ)
-    df = (df.withColumn("_event_time", F.col("ingested_at").cast("timestamp"))
-            .withWatermark("_event_time", watermark)
-            .dropDuplicatesWithinWatermark(DEDUP_KEY)
-            .drop("_event_time"))
-    return C.derive(df)
-
-
-def stream_clean_latest(events: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """Cleaning for unbounded input with the batch job's dedup rule: the LATEST copy wins.
-
-    The dedup is a streaming aggregation keyed by (station_id, vehicle_id, scheduled_time) with
-    ``max`` over a struct ordered like the batch tie-break (ingested_at, then every other column).
-    Unlike ``dropDuplicatesWithinWatermark`` it is partially aggregated on every map task before
-    the state-store shuffle, so a key holding a third of a batch sends one row per task. The
-    watermark is on scheduled_time (part of the key): a departure is emitted, final, once the
-    watermark passes its scheduled time, and its state is dropped then. Append mode.
-    """
-    df = C.filter_required(C.fill_defaults(C.parse_timestamps(C.conform_raw(events))))
-    df = df.withColumn("_event_time", F.col("scheduled_time").cast("timestamp"))
-    latest = (df.withWatermark("_event_time", watermark)
-                .groupBy(*DEDUP_KEY, "_event_time")
-                .agg(F.max(F.struct(*C.DEDUP_ORDER)).alias("_row")))
-    out = latest.select(*DEDUP_KEY, "_row.*")
-    return C.derive(out.select(*[c for c in C.RAW_SCHEMA.fieldNames()]))
-
-
-def stream_station_hour(clean: DataFrame) -> DataFrame:
-    """Running sums per station x hour (averages are derived from sums at output time)."""
-    return clean.groupBy("station_id", "departure_hour").agg(
-        F.count(F.lit(1)).alias("total_departures"),
-        F.count_if(F.col("is_delayed")).alias("delayed_departures"),
-        F.count_if(F.col("canceled")).alias("canceled_departures"),
-        F.sum("delay_seconds").alias("_sum_s"),
-        F.sum(tenths("delay_minutes")).alias("_tm"),
-        F.max(F.col("delay_seconds").cast("int")).alias("max_delay_seconds"),
-    )
-
-
-def mart_from_running(agg: DataFrame, stations: DataFrame, hours: DataFrame) -> DataFrame:
-    """The mart columns from running sums joined to the dimensions (same as the batch mart)."""
-    from tardy.functions.scalars import pct, round_tenths_ratio
-
-    j = (agg.join(stations, "station_id", "left")
-            .join(F.broadcast(hours), F.col("departure_hour") == F.col("hour_of_day"), "left"))
-    return j.select(
-        *M.MART_KEYS, "total_departures", "delayed_departures", "canceled_departures",
-        F.round(F.col("_sum_s") / F.col("total_departures"), 1).alias("avg_delay_seconds"),
-        round_tenths_ratio("_tm", "total_departures").alias("avg_delay_minutes"),
-        "max_delay_seconds",
-        F.round(pct("delayed_departures", "total_departures"), 1).alias("delay_rate_pct"))
-
-
-def start_stream_mart(spark: SparkSession, clean: DataFrame, stations: DataFrame, mart_path: str,
-                      checkpoint: str, drain: bool = True, seconds: int = 60) -> StreamingQuery:
-    """Complete-mode running aggregate; each trigger rewrites the mart table."""
-    hours = M.dim_time(spark)
-
-    def _write(batch: DataFrame, batch_id: int) -> None:
-        mart_from_running(batch, stations, hours).write.mode("overwrite").parquet(mart_path)
+from tardy.plans import jobs as J
+from tardy.sources import parquet as IO
 
-    w = (stream_station_hour(clean).writeStream.outputMode("complete")
-         .foreachBatch(_write).option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if drain else w.trigger(processingTime=f"{seconds} seconds")
-    return w.start()
 
+def ready_events(events: DataFrame) -> DataFrame:
+    """Parse, fill and filter, as the batch job does before it deduplicates."""
+    return C.filter_required(C.filter_ready(events))
 
-def _station_hour_sums(df: DataFrame) -> DataFrame:
-    """Mergeable per-(station, hour) sums: counts, sums and max combine by sum/sum/max."""
-    return df.groupBy("station_id", "departure_hour").agg(
-        F.count(F.lit(1)).alias("total_departures"),
-        F.count_if(F.col("is_delayed")).alias("delayed_departures"),
-        F.count_if(F.col("canceled")).alias("canceled_departures"),
-        F.sum("delay_seconds").alias("_sum_s"),
-        F.sum(tenths("delay_minutes")).alias("_tm"),
-        F.max(F.col("delay_seconds").cast("int")).alias("max_delay_seconds"),
-    )
 
+def _started(frame: DataFrame, merge, checkpoint: str, drain: bool, seconds: int) -> StreamingQuery:
+    w = frame.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if drain else w.trigger(processingTime=f"{seconds} seconds")).start()
 
-def _merge_sums(parts: DataFrame) -> DataFrame:
-    return parts.groupBy("station_id", "departure_hour").agg(
-        F.sum("total_departures").alias("total_departures"),
-        F.sum("delayed_departures").alias("delayed_departures"),
-        F.sum("canceled_departures").alias("canceled_departures"),
-        F.sum("_sum_s").alias("_sum_s"),
-        F.sum("_tm").alias("_tm"),
-        F.max("max_delay_seconds").alias("max_delay_seconds"),
-    )
 
+def start_stream_clean(spark: SparkSession, events: DataFrame, root: str, drain: bool = True,
+                       seconds: int = 60) -> StreamingQuery:
+    """Cleaned, deduplicated departures in ``{root}/processed``, current after every batch."""
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        J.merge_clean(spark, ready_events(batch), f"{root}/processed")
 
-def start_stream_mart_latest(spark: SparkSession, events: DataFrame, stations: DataFrame, root: str,
-                             watermark: str = "1 hour", drain: bool = True, seconds: int = 60) -> StreamingQuery:
-    """J6 on the latest-wins dedup: a departure counts once it is final, with its latest payload.
+    return _started(events, merge, f"{root}/checkpoint", drain, seconds)
 
-    Each micro-batch of final departures is pre-aggregated per station x hour (map-side partial
-    aggregation) and merged with the previous version of the running sums; version ``n`` lives in
-    ``{root}/sums/v=<n>`` and is written with overwrite, so a replayed batch rewrites its own
-    version from version ``n-1`` instead of adding twice. The mart (``{root}/mart``) is rebuilt
-    from the latest sums joined to the dimensions. The sums table has at most stations x 24 rows.
-    """
-    clean = stream_clean_latest(events, watermark)
-    hours = M.dim_time(spark)
 
-    def _merge(batch: DataFrame, batch_id: int) -> None:
-        new = _station_hour_sums(batch)
-        parts = new
-        if batch_id > 0:
-            parts = new.unionByName(spark.read.parquet(f"{root}/sums/v={batch_id - 1}"))
-        merged = _merge_sums(parts)
-        merged.write.mode("overwrite").parquet(f"{root}/sums/v={batch_id}")
-        sums = spark.read.parquet(f"{root}/sums/v={batch_id}")
-        mart_from_running(sums, stations, hours).write.mode("overwrite").parquet(f"{root}/mart")
+def start_stream_mart(spark: SparkSession, events: DataFrame, root: str, drain: bool = True,
+                      seconds: int = 60) -> StreamingQuery:
+    """The mart in ``{root}/warehouse/mart_delay_summary``, current after every batch."""
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        dates = J.merge_clean(spark, ready_events(batch), f"{root}/processed")
+        stored = IO.scan_processed(spark, f"{root}/processed")
+        touched = stored.join(F.broadcast(dates), "departure_date", "left_semi")
+        J.refresh_mart(spark, M.stg_departures(touched), f"{root}/warehouse", only_touched=True)
 
-    w = (clean.writeStream.outputMode("append").foreachBatch(_merge)
-              .option("checkpointLocation", f"{root}/checkpoint"))
-    w = w.trigger(availableNow=True) if drain else w.trigger(processingTime=f"{seconds} seconds")
-    return w.start()
+    return _started(events, merge, f"{root}/checkpoint", drain, seconds)

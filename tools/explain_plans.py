@@ -67,8 +67,8 @@ def main(argv):
     J.run_clean_job(spark, f"{scratch}/raw", f"{scratch}/processed")
     wh = J.build_models(spark, f"{scratch}/processed", f"{scratch}/wh")
     mart, fct, st = wh["mart_delay_summary"], wh["fct_delays"], wh["dim_stations"]
-    run = C.CleanRun(IO.scan_raw(spark, f"{scratch}/raw"))
-    write_shape = (run.frame.hint("rebalance", "departure_date")
+    cleaned = C.clean_departures(IO.scan_raw(spark, f"{scratch}/raw"))
+    write_shape = (cleaned.hint("rebalance", "departure_date")
                    .sortWithinPartitions("departure_date", "station_id", "departure_hour"))
     star = M.StarSchema(spark, C.clean_departures(X.raw_departures(spark, sf_dir)))
     plans = [
