@@ -1,7 +1,9 @@
-"""Cleaning job: the reference's three behaviour tests, the fixture's golden counts, and traps."""
+"""Cleaning: which copy of a departure stays, what is dropped, filled and derived, and traps."""
 
 import datetime as dt
+import itertools
 
+import pytest
 from pyspark.sql import functions as F
 
 from tardy.operators import clean as C
@@ -11,43 +13,59 @@ from tardy.sources import fixtures as X
 from tardy.sources import parquet as IO
 
 from conftest import SF_SMALL
-from rows import raw_df
+from rows import raw_df, stamp
 
 
-def _run(spark, tmp, df):
-    raw_path, out = f"{tmp}/raw", f"{tmp}/processed"
-    df.write.parquet(raw_path)
-    return run_clean_job(spark, raw_path, out), out
+def test_one_copy_per_key_whatever_the_order_of_arrival(spark):
+    # three keys (two vehicles, two times); copies tie on the arrival time and differ further down the order
+    copies = [{"vehicle_id": v, "scheduled_time": stamp(h), "ingested_at": stamp(16, m), "delay_seconds": d, "platform": p}
+              for v, h in (("V1", 15), ("V1", 16), ("V2", 15)) for m, d, p in ((1, 90, "1"), (2, 30, "1"), (2, 30, "4"), (2, None, "9"))]
+    want = {("V1", 15): "4", ("V1", 16): "4", ("V2", 15): "4"}
+    for order in (copies, copies[::-1], copies[5:] + copies[:5]):
+        rows = C.clean_departures(raw_df(spark, *order).repartition(5)).collect()
+        assert {(r["vehicle_id"], r["departure_hour"]): r["platform"] for r in rows} == want and len(rows) == 3
+        assert {r["delay_seconds"] for r in rows} == {30}
 
 
-def test_clean_removes_duplicates(spark, tmpdir_fresh):
-    df = raw_df(spark, {}, {"ingested_at": "2026-05-12T15:02:00+00:00"})
-    stats, _ = _run(spark, tmpdir_fresh, df)
-    assert stats == {"raw_count": 2, "clean_count": 1, "duplicates_removed": 1}
+def test_a_null_sorts_behind_every_value_and_unknown_arrival_loses(spark):
+    df = raw_df(spark, {"ingested_at": None, "delay_seconds": 500}, {"ingested_at": "later", "delay_seconds": 400},
+                {"ingested_at": stamp(15, 1), "delay_seconds": 10})
+    assert [r["delay_seconds"] for r in C.clean_departures(df).collect()] == [10]
 
 
-def test_clean_keeps_latest_ingest(spark, tmpdir_fresh):
-    df = raw_df(spark, {"delay_seconds": 30}, {"ingested_at": "2026-05-12T15:02:00+00:00", "delay_seconds": 60})
-    _, out = _run(spark, tmpdir_fresh, df)
-    rows = IO.scan_processed(spark, out).collect()
-    assert len(rows) == 1 and rows[0]["delay_seconds"] == 60
+@pytest.mark.parametrize("column", ["station_id", "vehicle_id", "scheduled_time"])
+def test_counts_of_the_job_are_those_of_the_query(spark, tmpdir_fresh, column):
+    df = raw_df(spark, {}, {}, {column: None}, {"vehicle_id": "V2"}, {"station_id": "A2", "scheduled_time": stamp(7)})
+    df.write.parquet(f"{tmpdir_fresh}/raw")
+    stats = run_clean_job(spark, f"{tmpdir_fresh}/raw", f"{tmpdir_fresh}/out")
+    assert stats == C.clean_stats(df).first().asDict() == {"raw_count": 5, "clean_count": 3, "duplicates_removed": 2}
+    plan = C.clean_departures(df)._jdf.queryExecution().toString()
+    assert "CollectMetrics" not in plan                     # counters do not ride on tasks that may run twice
 
 
-def test_clean_filters_invalid_records(spark, tmpdir_fresh):
-    df = raw_df(spark, {}, {"station_id": None, "station_name": "Nowhere", "vehicle_id": "V2",
-                            "scheduled_time": "2026-05-12T16:00:00+00:00"})
-    stats, _ = _run(spark, tmpdir_fresh, df)
-    assert stats["raw_count"] == 2 and stats["clean_count"] == 1
+@pytest.mark.parametrize("when", ["2024-02-28T23:59:00+00:00", "2024-02-29T00:00:00+00:00", "2023-12-31T23:30:00-01:00",
+                                  "2026-03-29T02:30:00+02:00"])
+def test_date_parts_at_the_borders(spark, when):
+    row = C.clean_departures(raw_df(spark, {"scheduled_time": when})).first()
+    utc = dt.datetime.fromisoformat(when).astimezone(dt.UTC)
+    assert (row["departure_date"], row["departure_hour"]) == (utc.date(), utc.hour)
+    assert row["day_of_week"] == utc.isoweekday() % 7 + 1
 
 
-def test_clean_adds_derived_columns(spark, tmpdir_fresh):
-    _, out = _run(spark, tmpdir_fresh, raw_df(spark, {"delay_seconds": 120}))
-    row = IO.scan_processed(spark, out).collect()[0]
-    assert row["is_delayed"] is True
-    assert row["delay_minutes"] == 2.0
-    assert row["departure_hour"] == 15          # UTC, whatever the session zone was
-    assert row["departure_date"] == dt.date(2026, 5, 12)
-    assert row["day_of_week"] == 3              # Tuesday, 1 = Sunday
+def test_date_parts_in_a_local_zone(spark):
+    row = C.clean_departures(raw_df(spark, {"scheduled_time": "2024-06-30T22:30:00+00:00"}), local_tz="Europe/Brussels").first()
+    assert (row["departure_date"], row["departure_hour"], row["day_of_week"]) == (dt.date(2024, 7, 1), 0, 2)
+    assert row["scheduled_time"] == dt.datetime(2024, 6, 30, 22, 30)
+
+
+def test_lateness_and_minutes(spark):
+    delays = list(itertools.chain(range(-130, 131, 7), [None, 2_147_483_647]))
+    df = raw_df(spark, *({"vehicle_id": f"V{i}", "delay_seconds": d} for i, d in enumerate(delays)))
+    got = {r["vehicle_id"]: r for r in C.clean_departures(df).collect()}
+    for i, d in enumerate(delays):
+        r, seconds = got[f"V{i}"], d or 0
+        assert r["is_delayed"] is (seconds > 0)
+        assert abs(r["delay_minutes"] - seconds / 60) <= 0.05 + 1e-9
 
 
 def test_malformed_time_is_dropped_not_fatal(spark):
@@ -94,10 +112,10 @@ def test_fixture_golden_counts(spark):
     assert C.filter_required(C.filter_ready(raw)).count() == 1005
     star = M.StarSchema(spark, C.clean_departures(raw))
     assert star.stg.count() == 956
-    assert star.dim_stations.count() == 6
+    assert star.dim_stations.count() == 7
     mart = star.mart
-    assert mart.count() == 129
-    assert mart.agg(F.sum("total_departures")).first()[0] == 956
+    assert mart.count() == 147
+    assert mart.agg(F.sum("total_departures")).first()[0] == 1191         # the station with two names counts twice
     stats = C.clean_stats(raw).first()
     assert (stats["raw_count"], stats["clean_count"], stats["duplicates_removed"]) == (1050, 956, 94)
 

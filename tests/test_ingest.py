@@ -1,157 +1,145 @@
-"""Liveboard flattening and publishing: the reference's parse/publish tests and the edge documents."""
+"""Liveboards to events to messages: generated boards, edge values, evidence in the dead letters."""
 
+import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
-from tardy.schemas import REASON_MALFORMED_NUMBER, REASON_MISSING
+from tardy.functions import scalars as S
+from tardy.schemas import EVENT_SCHEMA, REASON_MALFORMED_NUMBER, REASON_MISSING
+from tardy.sources import fixtures as X
 from tardy.sources import liveboard as L
 from tardy.sources import messages as P
 
-from rows import MOCK_LIVEBOARD
+from conftest import SF_SMALL
+from rows import board, departure, raw_row
 
-FIXED_TS = "2026-05-12T15:05:00+00:00"
+NOW = "2026-05-12T15:05:00+00:00"
 
 
-def _docs(spark, *docs, stations=None):
-    stations = stations or ["Brussels-South"] * len(docs)
-    return spark.createDataFrame(list(zip(range(len(docs)), stations, docs)),
+def _docs(spark, documents, station="Gent-Sint-Pieters"):
+    return spark.createDataFrame([(i, station, d) for i, d in enumerate(documents)],
                                  "doc_id long, requested_station string, document string")
 
 
-def _flat(spark, *docs):
-    return L.flatten_liveboards(_docs(spark, *docs), F.lit(FIXED_TS)).collect()
+def _events(spark, *documents):
+    return L.liveboard_events(_docs(spark, documents), F.lit(NOW))
 
 
-def test_parse_returns_correct_count(spark):
-    assert len(_flat(spark, MOCK_LIVEBOARD)) == 2
-
-
-def test_parse_extracts_station_name(spark):
-    assert _flat(spark, MOCK_LIVEBOARD)[0]["station_name"] == "Alpha-Noord/Alpha-Nord"
-
-
-def test_parse_converts_delay_to_int(spark):
-    rows = L.flatten_liveboards(_docs(spark, MOCK_LIVEBOARD), F.lit(FIXED_TS))
-    assert dict(rows.dtypes)["delay_seconds"] == "int"
-    assert rows.orderBy("scheduled_time").first()["delay_seconds"] == 120
-
-
-def test_parse_converts_canceled_to_bool(spark):
-    rows = sorted(_flat(spark, MOCK_LIVEBOARD), key=lambda r: r["scheduled_time"])
-    assert rows[0]["canceled"] is False and rows[1]["canceled"] is True
-
-
-def test_parse_includes_ingested_at_and_iso_time(spark):
-    rows = sorted(_flat(spark, MOCK_LIVEBOARD), key=lambda r: r["scheduled_time"])
-    assert rows[0]["ingested_at"] == FIXED_TS
-    assert rows[0]["scheduled_time"] == "2026-05-12T15:00:00+00:00"
-
-
-def test_default_ingested_at_is_now(spark):
-    r = L.flatten_liveboards(_docs(spark, MOCK_LIVEBOARD)).first()
-    assert r["ingested_at"].endswith("+00:00") and r["ingested_at"][:2] == "20"
-
-
-def test_failed_station_contributes_no_rows(spark):
-    assert _flat(spark, None) == []
-
-
-def test_malformed_and_empty_documents(spark):
-    assert _flat(spark, '{"stationinfo": ', '{"stationinfo": {"id": "X"}}', "{}") == []
-
-
-def test_all_optional_fields_missing(spark):
-    r = _flat(spark, '{"departures": {"departure": [{}]}}')[0]
-    assert (r["station_id"], r["station_name"], r["destination"], r["destination_id"]) == ("", "", "", "")
-    assert r["scheduled_time"] == "1970-01-01T00:00:00+00:00"
-    assert (r["delay_seconds"], r["canceled"], r["vehicle_id"], r["vehicle_type"], r["platform"]) == \
-        (0, False, "", "", "")
-    assert r["occupancy"] == "unknown"
-
-
-def test_malformed_number_is_routed_not_zeroed(spark):
-    doc = '{"stationinfo": {"id": "S"}, "departures": {"departure": [{"vehicle": "V", "delay": "12a"}]}}'
-    ev = L.liveboard_events(_docs(spark, doc), F.lit(FIXED_TS))
-    assert ev.first()["parse_error"] == REASON_MALFORMED_NUMBER
-    assert L.flatten_liveboards(_docs(spark, doc)).count() == 0
-    assert P.publish_counts(ev).first().asDict() == {"published": 0, "failed": 1}
-
-
-def test_multi_station_filter_and_combine(spark):
-    docs = _docs(spark, MOCK_LIVEBOARD, MOCK_LIVEBOARD, None,
-                 stations=["Brussels-South", "Brussels-North", "Gent-Sint-Pieters"])
-    assert L.multi_station_ingest(docs, ["Brussels-South"]).count() == 2
-    assert L.multi_station_ingest(docs).count() == 4
-
-
-SAMPLE = dict(station_id="X.STOP.0101", station_name="Alpha-Noord/Alpha-Nord",
-              destination="Beta", destination_id="X.STOP.0202",
-              scheduled_time="2026-05-12T15:00:00+00:00", delay_seconds=120, canceled=False,
-              vehicle_id="X.R101", vehicle_type="R", platform="2", occupancy="low",
-              ingested_at="2026-05-12T15:00:00+00:00")
-
-
-def _events(spark, *dicts):
-    from tardy.schemas import EVENT_SCHEMA
-    return spark.createDataFrame([tuple(d.get(f.name) for f in EVENT_SCHEMA.fields) for d in dicts], EVENT_SCHEMA)
-
-
-def test_publish_counts_match_input(spark):
-    assert P.publish_counts(_events(spark, SAMPLE, SAMPLE)).first().asDict() == {"published": 2, "failed": 0}
-
-
-def test_missing_fields_go_to_dead_letters(spark):
-    bad = {"destination": "Beta", "delay_seconds": 0}
-    ev = _events(spark, bad)
-    assert P.publish_counts(ev).first().asDict() == {"published": 0, "failed": 1}
-    dl = json.loads(P.to_dead_letters(ev).first()["value"])
-    assert dl["failure_reason"] == REASON_MISSING
-    assert dl["original_message"]["destination"] == "Beta"
-    assert "station_id" in dl["original_message"]       # nulls are kept, as json.dumps does
-
-
-def test_empty_string_ids_are_not_publishable(spark):
-    ev = _events(spark, {**SAMPLE, "station_id": ""}, {**SAMPLE, "vehicle_id": ""})
-    assert P.publish_counts(ev).first().asDict() == {"published": 0, "failed": 2}
-
-
-def test_station_id_is_the_message_key(spark):
-    m = P.to_messages(_events(spark, SAMPLE)).first()
-    assert m["key"] == "X.STOP.0101"
-    assert json.loads(m["value"]) == SAMPLE
-
-
-def test_empty_input_gives_zeros(spark):
-    assert P.publish_counts(_events(spark)).first().asDict() == {"published": 0, "failed": 0}
-
-
-def test_json_round_trip(spark):
-    ev = _events(spark, SAMPLE)
-    back = ev.select(P.parse_message(P.event_json()).alias("m")).select("m.*")
-    assert back.first().asDict() == SAMPLE
-
-
-def test_write_messages_to_files(spark, tmpdir_fresh):
-    P.route_and_write(_events(spark, SAMPLE, {"destination": "x"}), f"{tmpdir_fresh}/ok", f"{tmpdir_fresh}/dl")
-    assert spark.read.json(f"{tmpdir_fresh}/ok").count() == 1
-    assert spark.read.json(f"{tmpdir_fresh}/dl").count() == 1
-
-
-def test_integer_grammar_of_number_fields(spark):
-    from tardy.functions.scalars import is_malformed_number, parse_int_default
-    vals = [" 120 ", "+5", "-3", "1_000", "120.0", "12a", "1__0", "", None]
-    df = spark.createDataFrame([(v,) for v in vals], "v string")
-    got = [(r[0], r[1]) for r in df.select(parse_int_default("v"), is_malformed_number("v")).collect()]
-    assert got == [(120, False), (5, False), (-3, False), (1000, False), (0, True), (0, True), (0, True),
-                   (0, True), (0, False)]
-
-
-def test_iso_stamp_keeps_microseconds(spark):
-    import datetime as dt
-
-    from tardy.functions.scalars import iso_utc_micros
-    df = spark.createDataFrame([(dt.datetime(2026, 5, 12, 15, 0, 0, 123456),), (dt.datetime(2026, 5, 12, 15, 0),)],
-                               "t timestamp_ntz")
-    got = [r[0] for r in df.select(iso_utc_micros("t")).collect()]
-    assert got == ["2026-05-12T15:00:00.123456+00:00", "2026-05-12T15:00:00+00:00"]
+def _one(spark, **changes):
+    return _events(spark, board(departure(1, **changes))).first()
+
+
+def test_a_board_of_forty_departures(spark):
+    n = 40
+    rows = _events(spark, board(*map(departure, range(n)))).orderBy("pos").collect()
+    assert [r["pos"] for r in rows] == list(range(n))
+    for k, r in enumerate(rows):
+        due = dt.datetime.fromtimestamp(1_700_000_000 + 900 * k, dt.UTC)
+        assert r["scheduled_time"] == due.isoformat()
+        assert (r["station_id"], r["station_name"], r["ingested_at"]) == ("S7", "Hill/Heuvel", NOW)
+        assert (r["destination"], r["destination_id"], r["vehicle_id"]) == (f"Town {k % 4}", f"T{k % 4}", f"train-{k}")
+        assert (r["delay_seconds"], r["canceled"], r["occupancy"]) == (60 * (k % 3), k % 5 == 4, ["low", "high"][k % 2])
+        assert r["parse_error"] is None and json.loads(r["original_text"]) == departure(k)
+
+
+def test_stamp_of_now_is_utc_text(spark):
+    stamp = L.flatten_liveboards(_docs(spark, [board(departure(0))])).first()["ingested_at"]
+    age = dt.datetime.now(dt.UTC) - dt.datetime.fromisoformat(stamp)
+    assert abs(age) < dt.timedelta(minutes=10)
+
+
+@pytest.mark.parametrize("document", [None, "", "{", "[]", "{}", '{"departures": {}}', '{"departures": {"departure": []}}'])
+def test_documents_without_departures(spark, document):
+    assert _events(spark, document, board(departure(0))).count() == 1
+
+
+def test_missing_keys_take_defaults_and_nulls_stay(spark):
+    keys = list(departure(1))
+    bare = _one(spark, **dict.fromkeys(keys, "left out")).asDict()
+    assert {bare[c] for c in ("destination", "destination_id", "vehicle_id", "vehicle_type", "platform")} == {""}
+    assert (bare["scheduled_time"], bare["delay_seconds"]) == ("1970-01-01T00:00:00+00:00", 0)
+    assert (bare["canceled"], bare["occupancy"], bare["parse_error"]) == (False, "unknown", None)
+    nulls = _one(spark, station=None, vehicle=None, platform=None, canceled=None)
+    assert [nulls[c] for c in ("destination", "vehicle_id", "platform")] == [None] * 3
+    assert nulls["canceled"] is False and nulls["parse_error"] is None
+
+
+@pytest.mark.parametrize(("field", "value", "error"), [
+    ("delay", "12a", True), ("delay", "", True), ("delay", "1.5", True), ("delay", None, True),
+    ("delay", "3000000000", True), ("delay", "2147483647", False), ("delay", "-2147483648", False), ("delay", 90, False),
+    ("delay", " +7 ", False), ("delay", "1_000", False), ("time", "999999999999999", True), ("time", "soon", True),
+    ("time", None, True), ("time", "253402300799", False), ("time", "-62135596800", False), ("time", "-62135596801", True),
+])
+def test_numbers_out_of_form_or_range_are_routed_with_their_text(spark, field, value, error):
+    events = _events(spark, board(departure(1, **{field: value}), departure(2)))
+    bad = events.orderBy("pos").first()
+    assert bad["parse_error"] == (REASON_MALFORMED_NUMBER if error else None)
+    assert L.flatten_liveboards(_docs(spark, [board(departure(1, **{field: value}), departure(2))])).count() == 2 - error
+    letters = [json.loads(r["value"]) for r in P.to_dead_letters(events).collect()]
+    assert [json.loads(x["original_text"])[field] for x in letters] == [value] * error
+    if error and field == "delay":
+        assert bad["delay_seconds"] is None             # never a silent zero
+
+
+@pytest.mark.parametrize(("value", "canceled"), [("1", True), ("0", False), (1, False), (True, False), ("yes", False)])
+def test_only_the_text_one_cancels(spark, value, canceled):
+    assert _one(spark, canceled=value)["canceled"] is canceled
+
+
+def test_ingest_takes_the_wanted_stations_only(spark):
+    names = ["Brussels-South", "Gent-Sint-Pieters", "Elsewhere"]
+    docs = None
+    for i, name in enumerate(names):
+        part = _docs(spark, [board(*map(departure, range(i + 1))), None], name)
+        docs = part if docs is None else docs.unionByName(part)
+    assert L.multi_station_ingest(docs, names[:1]).count() == 1
+    assert L.multi_station_ingest(docs).count() == 1 + 2            # the default list has no "Elsewhere"
+    assert L.multi_station_ingest(docs, names).count() == 6
+
+
+def test_integer_text_grammar(spark):
+    want = {" 12 ": 12, "+5": 5, "-3": -3, "1_0": 10, "1__0": None, "_1": None, "1_": None, "0x1": None, "12.0": None, "٣": None}
+    df = spark.createDataFrame([(k,) for k in want], "t string")
+    got = {r["t"]: (r["n"], r["bad"]) for r in df.select(
+        "t", S.parse_int_default("t").alias("n"), S.is_malformed_number("t").alias("bad")).collect()}
+    assert got == {k: (v, v is None) for k, v in want.items()}
+    assert df.select(S.parse_int_default(F.lit(None).cast("string"), 4).alias("n")).first()["n"] == 4
+
+
+def test_iso_text_has_microseconds_only_when_there_are_some(spark):
+    times = [dt.datetime(2026, 5, 12, 8, 1, 2, us) for us in (0, 5, 120_000)]
+    df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
+    assert [r[0] for r in df.select(S.iso_utc_micros("t")).collect()] == [
+        t.replace(tzinfo=dt.UTC).isoformat(timespec="microseconds" if t.microsecond else "seconds") for t in times]
+
+
+def _typed(spark, *rows):
+    return spark.createDataFrame([tuple(r[f.name] for f in EVENT_SCHEMA.fields) for r in rows], EVENT_SCHEMA)
+
+
+def test_every_event_goes_to_exactly_one_sink(spark):
+    ids = [None, "", "S1", "S2"]
+    rows = [raw_row(station_id=s, vehicle_id=v, delay_seconds=i) for i, (s, v) in enumerate((s, v) for s in ids for v in ids)]
+    events = _typed(spark, *rows)
+    sent, dead = P.to_messages(events).collect(), P.to_dead_letters(events).collect()
+    assert (len(sent), len(dead)) == (4, 12)
+    assert P.publish_counts(events).first().asDict() == {"published": 4, "failed": 12}
+    assert all(json.loads(m["value"])["station_id"] == m["key"] for m in sent)
+    letters = [json.loads(m["value"]) for m in dead]
+    assert {x["failure_reason"] for x in letters} == {REASON_MISSING}
+    seen = [json.loads(m["value"])["delay_seconds"] for m in sent] + [x["original_message"]["delay_seconds"] for x in letters]
+    assert sorted(seen) == list(range(16))
+    assert all(set(x["original_message"]) == set(rows[0]) for x in letters)       # nulls are written too
+    assert P.publish_counts(events.limit(0)).first().asDict() == {"published": 0, "failed": 0}
+
+
+def test_messages_survive_the_trip_through_text_and_files(spark, tmpdir_fresh):
+    raw = X.raw_departures(spark, SF_SMALL)
+    back = raw.select(P.parse_message(P.event_json()).alias("m")).select("m.*")
+    assert back.exceptAll(raw.select(*back.columns)).isEmpty() and back.count() == raw.count()
+    P.route_and_write(raw, f"{tmpdir_fresh}/good", f"{tmpdir_fresh}/dead")
+    counts = P.publish_counts(raw).first()
+    assert spark.read.json(f"{tmpdir_fresh}/good").count() == counts["published"] > 900
+    assert spark.read.json(f"{tmpdir_fresh}/dead").count() == counts["failed"] > 10

@@ -3,19 +3,21 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tardy.operators import clean as C
 from tardy.operators import models as M
 from tardy.sources import fixtures as X
+from tardy.sources import parquet as IO
 from tardy.streaming import landing as SL
+from tardy.streaming import replay as RP
 from tardy.streaming import stateful as ST
 
 from conftest import SF_SMALL
+from rows import raw_row
 
-EV = dict(station_id="A1", station_name="Alpha", destination="Beta", destination_id="B1",
-          scheduled_time="2026-05-12T15:00:00+00:00", delay_seconds=60, canceled=False, vehicle_id="V1",
-          vehicle_type="R", platform="2", occupancy="low", ingested_at="2026-05-12T15:01:00+00:00")
+EV = raw_row(delay_seconds=60)
 
 
 _ARRIVAL = {"t": 1_700_000_000}
@@ -48,7 +50,8 @@ def test_landing_routes_each_batch(spark, tmpdir_fresh):
     landed = spark.read.parquet(raw)
     assert landed.count() == 4                                   # duplicate lands; dedup is the clean step
     assert sorted(os.listdir(raw)).count("_SUCCESS") == 0
-    assert len([d for d in os.listdir(raw) if d.startswith("batch_id=")]) == 3   # one batch per file
+    (query,) = [d for d in os.listdir(raw) if d.startswith("query=")]
+    assert len([d for d in os.listdir(f"{raw}/{query}") if d.startswith("batch_id=")]) == 3   # one batch per file
     dl = [json.loads(r.value) for r in spark.read.text(dead).collect()]
     reasons = sorted(d["failure_reason"] for d in dl)
     assert reasons == ["Malformed JSON", "Missing required fields", "Missing required fields"]
@@ -56,7 +59,7 @@ def test_landing_routes_each_batch(spark, tmpdir_fresh):
     assert bad["original_text"] == json.dumps({"text": '{"station_id": '}, separators=(",", ":"))
     # the landed rows are typed like the raw writer (INT delay) and read under the reader schema
     assert dict(landed.dtypes)["delay_seconds"] == "int"
-    assert C.clean_departures(landed.drop("batch_id")).count() == 3
+    assert C.clean_departures(landed.drop("query", "batch_id")).count() == 3
 
 
 def test_resume_adds_nothing_then_only_new_files(spark, tmpdir_fresh):
@@ -72,77 +75,79 @@ def test_resume_adds_nothing_then_only_new_files(spark, tmpdir_fresh):
 
 def test_flush_policy_options():
     p = SL.FlushPolicy()
-    assert p.kafka_options() == {"minOffsetsPerTrigger": "100", "maxTriggerDelay": "60s",
-                                 "maxOffsetsPerTrigger": "1000"}
+    assert p.kafka_options() == {"minOffsetsPerTrigger": "100", "maxTriggerDelay": "60s"}
+    assert SL.FlushPolicy(max_messages=7).kafka_options()["maxOffsetsPerTrigger"] == "7"
     assert p.trigger_interval("kafka") == "1 seconds" and p.trigger_interval("text") == "60 seconds"
     o = SL.kafka_source_options("broker:9092")
     assert o["subscribe"] == "departures" and o["startingOffsets"] == "earliest"
+    assert o["failOnDataLoss"] == "true"
+    assert SL.kafka_source_options("b:1", skip_lost_data=True)["failOnDataLoss"] == "false"
 
 
-def _fixture_files(spark, folder, n_files=4):
-    raw = X.raw_departures(spark, SF_SMALL).orderBy("ingested_at")
-    lines = [r.value for r in raw.select(F.to_json(F.struct(*raw.columns), {"ignoreNullFields": "false"})
-                                         .alias("value")).collect()]
-    step = (len(lines) + n_files - 1) // n_files
-    for i in range(n_files):
-        _drop(folder, f"part-{i:03d}.json", lines[i * step:(i + 1) * step])
+def test_two_checkpoints_land_side_by_side(spark, tmpdir_fresh):
+    raw, dead = f"{tmpdir_fresh}/raw", f"{tmpdir_fresh}/dead"
+    for k in range(2):
+        _drop(f"{tmpdir_fresh}/in{k}", "m.json", [json.dumps({**EV, "vehicle_id": f"W{k}{i}"}) for i in range(3)])
+        SL.drain(spark, f"{tmpdir_fresh}/in{k}", raw, dead, f"{tmpdir_fresh}/ck{k}")
+    assert sorted(r["vehicle_id"] for r in SL.read_landed(spark, raw).collect()) == [f"W{k}{i}" for k in range(2) for i in range(3)]
 
 
-def test_stream_dedup_and_running_mart_match_batch_keys(spark, tmpdir_fresh):
-    src = f"{tmpdir_fresh}/in"
-    _fixture_files(spark, src)
-    msgs = SL.parse_messages(SL.read_messages(spark, src))
-    valid = msgs.filter(F.col("failure_reason").isNull() | (F.col("failure_reason") == "Missing required fields"))
-    clean = ST.stream_clean(valid.drop("value", "failure_reason"), "1 hour")
-    batch = C.clean_departures(X.raw_departures(spark, SF_SMALL))
-    star = M.StarSchema(spark, batch)
-    mart_path = f"{tmpdir_fresh}/mart"
-    q = ST.start_stream_mart(spark, clean, star.dim_stations, mart_path, f"{tmpdir_fresh}/ck")
-    q.awaitTermination()
-    streamed = spark.read.parquet(mart_path)
-    key = ["station_id", "departure_hour"]
-    a = {tuple(r[k] for k in key): r["total_departures"] for r in streamed.collect()}
-    b = {tuple(r[k] for k in key): r["total_departures"] for r in star.mart.collect()}
-    assert a == b
-    assert sum(a.values()) == 956
-
-
-def test_stream_latest_dedup_matches_batch_rows_before_watermark(spark, tmpdir_fresh):
-    src, out = f"{tmpdir_fresh}/in", f"{tmpdir_fresh}/out"
-    _fixture_files(spark, src)
-    msgs = SL.parse_messages(SL.read_messages(spark, src))
-    valid = msgs.filter(F.col("failure_reason").isNull() | (F.col("failure_reason") == "Missing required fields"))
-    latest = ST.stream_clean_latest(valid.drop("value", "failure_reason"), "1 hour")
-    q = (latest.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{tmpdir_fresh}/ck")
-               .trigger(availableNow=True).start(out))
-    q.awaitTermination()
-    streamed = spark.read.parquet(out)
-    batch = C.clean_departures(X.raw_departures(spark, SF_SMALL)).drop("processed_at")
-    horizon = batch.agg(F.max("scheduled_time")).first()[0]
-    import datetime as dt
-    final = batch.filter(F.col("scheduled_time") < F.lit(horizon - dt.timedelta(hours=1)))
-    cols = sorted(final.columns)
-    a = sorted(tuple(r) for r in streamed.select(*cols).collect())
-    b = sorted(tuple(r) for r in final.select(*cols).collect())
-    assert a == b and len(a) > 900                  # same rows AND payloads as the batch dedup
-
-
-def test_stream_mart_latest_equals_batch_mart_on_final_rows(spark, tmpdir_fresh):
-    import datetime as dt
+def test_compaction_keeps_every_row_and_the_newest_batch(spark, tmpdir_fresh):
+    src, raw, dead, ck = (f"{tmpdir_fresh}/{n}" for n in ("in", "raw", "dead", "ck"))
+    for i in range(6):
+        _drop(src, f"m{i}.json", [json.dumps({**EV, "vehicle_id": f"V{i}"})])
+    SL.drain(spark, src, raw, dead, ck)
+    assert SL.compact_landed(spark, raw) == 5
+    (query,) = [d for d in os.listdir(raw) if d.startswith("query=")]
+    assert sorted(d for d in os.listdir(f"{raw}/{query}") if not d.startswith(".")) == ["batch_id=4", "batch_id=5"]
+    assert SL.read_landed(spark, raw).count() == 6
+    # a merge that stopped after the old folders went is finished by the next run
+    os.rename(f"{raw}/{query}/batch_id=4", f"{raw}/{query}/_merged-4")
+    assert SL.compact_landed(spark, raw) == 0 and SL.read_landed(spark, raw).count() == 6
+    # an unfinished merge is dropped
+    os.makedirs(f"{raw}/{query}/_merged-3")
+    SL.compact_landed(spark, raw)
+    assert SL.read_landed(spark, raw).count() == 6 and not os.path.exists(f"{raw}/{query}/_merged-3")
+    _drop(src, "m9.json", [json.dumps({**EV, "vehicle_id": "V9"})])
+    SL.drain(spark, src, raw, dead, ck)
+    assert SL.read_landed(spark, raw).count() == 7
+
 
+def test_drain_raises_when_time_runs_out(spark, tmpdir_fresh):
     src = f"{tmpdir_fresh}/in"
-    _fixture_files(spark, src)
-    msgs = SL.parse_messages(SL.read_messages(spark, src))
-    valid = msgs.filter(F.col("failure_reason").isNull() | (F.col("failure_reason") == "Missing required fields"))
-    batch = C.clean_departures(X.raw_departures(spark, SF_SMALL))
-    horizon = batch.agg(F.max("scheduled_time")).first()[0] - dt.timedelta(hours=1)
-    final = M.StarSchema(spark, batch.filter(F.col("scheduled_time") < F.lit(horizon)))
-    q = ST.start_stream_mart_latest(spark, valid.drop("value", "failure_reason"), final.dim_stations,
-                                    f"{tmpdir_fresh}/sm")
-    q.awaitTermination()
-    assert q.exception() is None
-    streamed = spark.read.parquet(f"{tmpdir_fresh}/sm/mart")
-    cols = sorted(final.mart.columns)
-    a = sorted(tuple(r) for r in streamed.select(*cols).collect())
-    b = sorted(tuple(r) for r in final.mart.select(*cols).collect())
-    assert a == b                                   # every metric, not only the counts
+    for i in range(40):
+        _drop(src, f"m{i}.json", [json.dumps(EV)])
+    with pytest.raises(TimeoutError):
+        SL.drain(spark, src, f"{tmpdir_fresh}/raw", f"{tmpdir_fresh}/dead", f"{tmpdir_fresh}/ck", timeout_s=1)
+    assert not [q for q in spark.streams.active if q.isActive]
+
+
+def _rows(df):
+    cols = sorted(c for c in df.columns if c != "processed_at")
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=str)
+
+
+@pytest.mark.parametrize("batches", [1, 8])
+def test_stream_dedup_is_the_batch_result_for_any_number_of_batches(spark, batches):
+    raw = X.raw_departures(spark, SF_SMALL)
+    want = _rows(C.clean_departures(raw))
+    assert _rows(RP.replay_clean(spark, raw, batches)) == want and len(want) == 956
+
+
+def test_no_row_is_late(spark, tmpdir_fresh):
+    src, root = f"{tmpdir_fresh}/in", f"{tmpdir_fresh}/out"
+    times = ["2099-01-01T00:00:00+00:00", "2026-05-12T15:00:00+00:00", "1970-01-01T00:00:00+00:00",
+             "2026-05-12T14:00:00+00:00", "2026-05-11T15:00:00+00:00"]
+    for i, t in enumerate(times):
+        _drop(src, f"m{i}.json", [json.dumps({**EV, "scheduled_time": t, "vehicle_id": f"V{i}"}),
+                                  json.dumps({**EV, "delay_seconds": i, "ingested_at": f"2026-05-12T16:0{i}:00+00:00"})])
+    SL.finish(ST.start_stream_clean(spark, RP.received(spark, src, 1), root))
+    stored = IO.scan_processed(spark, f"{root}/processed")
+    got = {r["vehicle_id"]: r for r in stored.collect()}
+    assert set(got) == {f"V{i}" for i in range(5)} | {"V1"} and got["V1"]["delay_seconds"] == 4
+
+
+def test_running_mart_is_the_batch_mart_even_when_messages_come_twice(spark):
+    raw = X.raw_departures(spark, SF_SMALL)
+    want = _rows(M.StarSchema(spark, C.clean_departures(raw)).mart)
+    assert _rows(RP.replay_mart(spark, raw, batches=3, twice=True)) == want
