@@ -86,5 +86,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the checkpoint root for written intermediate tables / stream state."""
-    return f"{checkpoint_root(spark)}/{name}"
+    """A sub-folder of the checkpoint root for written intermediate tables / stream state.
+
+    All scratch of one application lies under one folder, which ``clear_scratch`` removes.
+    """
+    return f"{checkpoint_root(spark)}/scratch-{spark.sparkContext.applicationId}/{name}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every intermediate table this application has written.
+
+    Frames that were read back from them are unusable afterwards: call it when results are stored.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, ""))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

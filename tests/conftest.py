@@ -25,6 +25,8 @@ def spark():
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    from tardy.session import clear_scratch
+    clear_scratch(s)
 
 
 @pytest.fixture()

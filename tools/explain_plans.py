@@ -75,7 +75,7 @@ def main(argv):
         ("Clean job (raw -> processed): dedup limited before its shuffle, rebalanced date-partitioned write",
          write_shape),
         ("Mart over the stored fact and dimensions (K2)", M.mart_delay_summary(fct, st, wh["dim_time"])),
-        ("Mart in one pass from staging (in-memory chain)", star.mart),
+        ("Mart from raw departures (in-memory chain)", star.mart),
         ("KPI summary", R.kpi_summary(mart, fct, st)),
         ("Delay by occupancy (fact never shuffled for the dimension join)", R.delay_by_occupancy(fct, st)),
         ("Heatmap, long form (no cartesian product)", R.delay_heatmap_long(mart)),
