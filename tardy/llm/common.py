@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tardy.session import checkpoint_root
+from tardy.session import scratch_path
 
 ARROW_BATCH_BYTES = 8 << 20
 _BYTES_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -26,8 +26,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage with files every executor can read; a lost executor costs its running tasks.
+    ``tardy.session.clear_scratch`` removes these tables once results are stored.
     """
-    path = f"{checkpoint_root(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, f"llm-{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
