@@ -103,14 +103,15 @@ def exact_dedup(snapshot: DataFrame, incoming: DataFrame, id_col: str = "doc_id"
     keeper = dup.select(F.col("digest").alias("k_digest"), "keep_id")
     chosen = candidates.join(by_shuffle(keeper), (F.col("digest") == F.col("k_digest"))
                              & F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    lead = chosen.groupBy("digest").agg(F.max("text").alias("lead_text"))
+    # one row per group is written before it is joined back: a join of two plain tables can be split
+    lead = stored(chosen.groupBy("digest").agg(F.max("text").alias("lead_text")), "leads")
     # a text that differs from the lead (two texts, one digest) is grouped by its own bytes
     checked = candidates.join(by_shuffle(lead), "digest").select(
         "doc_id", "digest", F.when(F.col("text") != F.col("lead_text"), F.col("text")).alias("other"))
     checked = stored(checked, "checked")
     groups = checked.groupBy("digest", "other").agg(
         F.count(F.lit(1)).alias("group_size"), F.max("doc_id").alias("keep_id"))
-    g = groups.select(F.col("digest").alias("g_digest"), F.col("other").alias("g_other"), "group_size", "keep_id")
+    g = stored(groups, "groups").select(F.col("digest").alias("g_digest"), F.col("other").alias("g_other"), "group_size", "keep_id")
     several = checked.join(by_shuffle(g), (F.col("digest") == F.col("g_digest")) & F.col("other").eqNullSafe(F.col("g_other"))
                            ).select("doc_id", "keep_id", "group_size", "digest")
     return single.unionByName(several).select(
