@@ -68,12 +68,13 @@ def repeated_chunks(rows: DataFrame) -> DataFrame:
     # byte check against the group's first copy; a chunk that differs is grouped by its own bytes
     first = groups.select(F.col("key").alias("f_key"), "first")
     lead = copies.join(by_shuffle(first), (F.col("key") == F.col("f_key")) & F.col("place").eqNullSafe(F.col("first")))
-    lead = lead.groupBy("key").agg(F.max("chunk").alias("lead_chunk"))
+    # one row per group is written before it is joined back: a join of two plain tables can be split
+    lead = stored(lead.groupBy("key").agg(F.max("chunk").alias("lead_chunk")), "chunk-leads")
     checked = copies.join(by_shuffle(lead), "key").select(
         "key", "place", F.when(F.col("chunk") != F.col("lead_chunk"), F.col("chunk")).alias("other"))
     checked = stored(checked, "chunk-checked")
     exact = checked.groupBy("key", "other").agg(F.min("place").alias("first"))
-    exact = exact.select(F.col("key").alias("g_key"), F.col("other").alias("g_other"), "first")
+    exact = stored(exact, "chunk-exact").select(F.col("key").alias("g_key"), F.col("other").alias("g_other"), "first")
     later = checked.join(by_shuffle(exact), (F.col("key") == F.col("g_key")) & F.col("other").eqNullSafe(F.col("g_other")))
     return later.filter(~F.col("place").eqNullSafe(F.col("first"))).select("place.*")
 

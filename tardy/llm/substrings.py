@@ -130,7 +130,8 @@ def estimated_repeats(rows: DataFrame) -> DataFrame:
     for row in range(DEPTH):
         # a later row only needs the runs that are left: all copies of a repeated gram are among them
         counts = counts if row == 0 else runs.select("m", (F.col("multi") + 1).cast("long").alias("n"))
-        cells = repeated_cells(counts, row).withColumnRenamed("cell", "hit")
+        # written before the look-up, so the join is one of two plain tables that can be split
+        cells = stored(repeated_cells(counts, row), f"cells-{row}").withColumnRenamed("cell", "hit")
         runs = stored(runs.join(by_shuffle(cells), cell(row) == F.col("hit"), "left_semi"), f"runs-{row}")
     return runs
 
