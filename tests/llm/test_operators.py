@@ -201,13 +201,24 @@ def test_hamming_join_misses_no_pair_under_the_distance(spark):
         sig[wrong] = rng.integers(0, 1 << 16, len(wrong), dtype=np.uint16)
         rows.append((i, bytearray(sig.tobytes())))
     df = spark.createDataFrame(rows, "id long, sig binary")
-    keyed = df.select("id", F.col("id").alias("comp"), "sig", F.explode(minhash.chunk_keys("sig")).alias("key"))
+    same = F.lit(bytearray(minhash.SKETCH // 8))              # sketches that rule nothing out
+    keyed = df.select("id", F.col("id").alias("comp"), "sig", same.alias("sketch"), F.explode(minhash.chunk_keys("sig")).alias("key"))
     got = {(r["u"], r["v"]) for r in minhash.near_pairs(keyed).collect()}
     sigs = np.stack([np.frombuffer(bytes(s), np.uint16) for _, s in rows])
     want = {(i, j) for i in range(60) for j in range(i + 1, 60) if (sigs[i] != sigs[j]).sum() <= minhash.ERRORS}
     assert got == want
 
 
+def test_sketches_of_linked_sets_are_close():
+    rng = np.random.default_rng(2)
+    far = []
+    for _ in range(200):
+        both, left, right = (np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (300, 50, 50))
+        x, y = np.unpackbits(minhash.sketches_of([np.concatenate([both, left]), np.concatenate([both, right])]), axis=1)
+        far.append((x != y).sum())
+    assert max(far) <= minhash.SKETCH_ERRORS and abs(np.mean(far) / minhash.SKETCH - 0.125) < 0.01
+
+
 def test_near_dedup_with_null_and_repeated_rows(loose):
     rows = minhash.near_dedup(loose).collect()
     assert len(rows) == loose.count()
