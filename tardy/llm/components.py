@@ -1,7 +1,8 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
 Every step is a minimum per vertex (partially aggregated before its shuffle) and a join back to
-the edges, so a vertex with very many edges is never gathered in one task. Edges and labels stay
+the edges, so a vertex with very many edges is never gathered in one task; the minima are written before they
+are joined, so both sides of the join are plain tables that adaptive execution can split. Edges and labels stay
 distributed; each round is written to the shared checkpoint folder, and the driver sees a count
 and a checksum only.
 """
@@ -16,13 +17,13 @@ MAX_ROUNDS = 60
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
     moved = both.filter("v > u").join(by_shuffle(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.filter("u != v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    low = edges.groupBy("u").agg(F.min("v").alias("m"))       # every edge points down: u > v
+    low = stored(edges.groupBy("u").agg(F.min("v").alias("m")), "low")       # every edge points down: u > v
     moved = edges.join(by_shuffle(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
     return moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
 
@@ -37,7 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = stored(edges.filter("u != v").distinct(), "edges")
     before = None
     for _ in range(MAX_ROUNDS):
-        edges = stored(_small_star(_large_star(edges)), "edges")
+        edges = stored(_small_star(stored(_large_star(edges), "stars")), "edges")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == before:
             stars = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))

@@ -181,7 +181,8 @@ def near_pairs(members: DataFrame) -> DataFrame:
     ``members`` has key, id, comp, sig, sketch. A key's nodes are dealt into blocks of about
     ``BLOCK``; every two blocks meet once, in one task that holds both and nothing else.
     """
-    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    members = stored(members, "open-members")
+    sizes = stored(members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "sizes")
     dealt = members.join(by_shuffle(sizes), "key").withColumn(
         "mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("theirs", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -256,12 +257,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     # keys shared by two nodes or more, each with its leader
     keyed = nodes.select("id", F.explode(chunk_keys("sig")).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # one row per key is written before it is joined back: a join of two plain tables can be split
+    shared = stored(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "keys")
     members = stored(keyed.join(by_shuffle(shared), "key"), "members")
     weight = members.groupBy("id").agg(F.sum("n").alias("weight"))
     weighed = members.select("key", "id").join(by_shuffle(weight), "id")
     leaders = weighed.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("least"))).alias("lead"))
-    leaders = leaders.select("key", (-F.col("lead.least")).alias("leader"))
+    leaders = stored(leaders.select("key", (-F.col("lead.least")).alias("leader")), "leaders")
 
     # whole texts of every node that shares a key, written once for both rounds of checks
     involved = members.select("id").distinct()
@@ -284,7 +286,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     named = members.select("key", "id").join(by_shuffle(label), "id", "left").select(
         "key", "id", F.coalesce("component", "id").alias("comp"))
     open_keys = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y")
-    rest = stored(named.join(by_shuffle(open_keys.select("key")), "key", "left_semi"), "open")
+    open_keys = stored(open_keys.select("key"), "open-keys")
+    rest = stored(named.join(by_shuffle(open_keys), "key", "left_semi"), "open")
     sketch = sketched(texts.join(by_shuffle(rest.select("id").distinct()), "id", "left_semi"))
     rest = rest.join(by_shuffle(sig.join(by_shuffle(sketch), "id")), "id")
     more = stored(confirm(stored(near_pairs(rest), "near"), texts), "more-links")
