@@ -70,7 +70,9 @@ class Words:
     def __init__(self, alphabet: Alphabet, texts: list[str]):
         joined = " ".join(texts) + " "
         code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        code = np.where(code < len(alphabet.word), code, 0)
+        # ideographs beyond the tables count as one letter of theirs, anything else there as a separator
+        beyond = np.where(code < 0x323B0, 0x20000, 0)
+        code = np.where(code < len(alphabet.word), code, beyond).astype(np.int64)
         inside = alphabet.word[code]
         self.letters = alphabet.letter[code]
         begins = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
