@@ -195,7 +195,7 @@ class WordTokenizer:
         self.special = {t["content"]: t["id"] for t in conf["added_tokens"]}
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.find = regex.compile(self.WORD).findall
-        self.hard = regex.compile(r"[^\t\n\r\x20-\x7e -ɏ]").search
+        self.hard = regex.compile(r"[^\t\n\r\x20-\x7e\xa0-ɏ]").search
         self.alphabet = byte_alphabet()
         self.path = path
         self.library = None

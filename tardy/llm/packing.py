@@ -27,81 +27,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tardy.llm.bpe import byte_alphabet
 from tardy.llm.common import bounded_batches, stored
 
-CACHE_PARTS = 400_000         # parts of texts that a worker remembers before it starts afresh
+LONG_RUN = 500                # characters of a word or blank run that the faster encoder takes
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 ROWS_AT_ONCE = 300
 
 
 class ByteTokenizer:
-    """Ids of a byte-level vocabulary; equal parts of texts are encoded once per worker.
+    """Ids of a byte-level vocabulary file.
 
-    The vocabulary splits a text into words that are encoded independently, and a space that
-    stands between other characters always begins a word. So a text is cut at its spaces, each
-    distinct part is looked up, unknown parts are split into words and the library is asked for
-    unknown words only. Texts with special tokens or characters beyond Latin go to the library
-    whole; texts with spaces inside longer runs of white space are split into words directly.
+    Two public encoders of the same merges share the work: the faster one takes texts in Latin
+    characters with words and white space of ordinary length; texts with special tokens, other
+    scripts or very long runs go to the library that the file belongs to.
     """
 
     WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"   # fixed by the vocabulary
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            special = [t["content"] for t in json.load(f)["added_tokens"]]
-        self.hard = regex.compile("|".join([r"[^\t\n\r\x20-\x7e -ɏ]", *map(regex.escape, special)])).search
-        self.inner_space = re.compile(r"\s (?!\S)").search      # such a space need not begin a word
-        self.find = regex.compile(self.WORD).findall
-        self.known: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<i4").tobytes()
-
-    def _learn_words(self, words: set[str]) -> None:
-        """Plain words with their space are encoded many at a time: each stays a word of its own."""
-        plain = [w for w in words if w[0] == " " and w[1:].isalpha()]
-        for at in range(0, len(plain), 5000):
-            some = plain[at:at + 5000]
-            coded = self.library.encode("".join(some), add_special_tokens=False)
-            ids = np.array(coded.ids, dtype="<i4").tobytes()
-            counts = np.bincount(np.array(coded.word_ids, dtype=np.int64), minlength=len(some))
-            ends = (4 * np.cumsum(counts)).tolist()
-            self.known.update((w, ids[i:j]) for w, i, j in zip(some, [0, *ends], ends, strict=False))
-        self.known.update((w, self._whole(w)) for w in words.difference(plain))
-
-    def _learn(self, parts: set[str]) -> None:
-        """Parts that are one plain word need no splitting."""
-        new = parts - self.known.keys()
-        composed = {p: self.find(p) for p in new if not (p[0] == " " and p[1:].isalpha())}
-        words = new.difference(composed)
-        words.update(w for ws in composed.values() for w in ws)
-        self._learn_words(words - self.known.keys())
-        get = self.known.__getitem__
-        self.known.update([(p, b"".join(map(get, ws))) for p, ws in composed.items()])
-
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        if len(self.known) > CACHE_PARTS:
-            self.known.clear()
-        whole, parts = {}, []
-        for i, t in enumerate(texts):
-            ps = []
-            if self.hard(t):
-                whole[i] = self._whole(t)
-            elif self.inner_space(t):
-                ps = self.find(t)
-            elif t:
-                ps = [" " + p for p in t.split(" ")]
-                ps[0] = ps[0][1:]
-                if not ps[0]:
-                    del ps[0]
-            parts.append(ps)
-        self._learn(set().union(*parts))
-        get = self.known.__getitem__
-        return [whole[i] if i in whole else b"".join(map(get, ps)) for i, ps in enumerate(parts)]
+            conf = json.load(f)
+        byte = {c: b for b, c in enumerate(byte_alphabet())}
+        ranks = {bytes(map(byte.__getitem__, t)): i for t, i in conf["model"]["vocab"].items()}
+        self.fast = tiktoken.Encoding("file", pat_str=self.WORD, mergeable_ranks=ranks, special_tokens={})
+        special = [t["content"] for t in conf["added_tokens"]]
+        self.hard = regex.compile("|".join([r"[^\t\n\r\x20-\x7e\xa0-ɏ]", *map(regex.escape, special)])).search
+        self.blank_run = re.compile(rf"\s{{{LONG_RUN}}}").search
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian 32-bit ids."""
+        if self.hard(text) or self.blank_run(text) or max(map(len, text.split()), default=0) > LONG_RUN:
+            ids = np.array(self.library.encode(text, add_special_tokens=False).ids)
+        else:
+            ids = self.fast.encode_to_numpy(text, disallowed_special=())
+        return ids.astype("<i4").tobytes()
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -127,8 +91,8 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int, id_col: str =
             for at in range(0, len(texts), ROWS_AT_ONCE):
                 some = [t or "" for t in texts.slice(at, ROWS_AT_ONCE).to_pylist()]
                 rows, flat = [], []
-                for i, raw in enumerate(tok.encode_batch(some)):
-                    raw += end
+                for i, text in enumerate(some):
+                    raw = tok.encode(text) + end
                     flat.append(raw)
                     for k, (s, n) in enumerate(cut(len(raw) // 4, capacity)):
                         rows.append((at + i, k, s, n, zlib.crc32(raw[4 * s:4 * (s + n)])))
