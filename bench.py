@@ -73,7 +73,6 @@ def main() -> None:
         ev = L.liveboard_events(X.liveboard_documents(spark, sf_dir))
         J.land_events(ev, f"{scratch}/land{counter['n']}/raw", f"{scratch}/land{counter['n']}/dead")
 
-    from pyspark.sql import functions as F
 
     from tardy.streaming import landing as SL
     from tardy.streaming import stateful as ST

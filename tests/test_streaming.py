@@ -4,7 +4,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from tardy.operators import clean as C
 from tardy.operators import models as M
