@@ -18,9 +18,11 @@ Large groups under one key are never expanded into pairs:
    under the first key it shares, to be confirmed. Pairs inside a component need no check:
    membership is what is asked for.
 
-At a similarity of 0.75 a signature differs in 12 of 48 symbols on average (deviation 3), so the
-distance of 23 is exceeded by about 1 pair in 20,000 at the threshold itself and practically
-never above 0.8. The sketches are wrong for about 1 in 30,000 pairs at the threshold.
+At a similarity of 0.75 a signature differs in 12 of 48 symbols on average (deviation 3). The
+distance of 23 is exceeded by 1 pair in 6,010 at the threshold itself (binomial tail 1.66e-4; at
+0.76 8.4e-5, at 0.8 3.3e-6), but pairs beyond it that share a key are kept up to ``SHARED_ERRORS``
+(six deviations, tail 8.4e-9). What is lost at the threshold are pairs without a common key, 1.0e-7,
+and those that the sketches rule out, 5.1e-9 (six deviations).
 """
 
 from collections.abc import Iterator
@@ -39,11 +41,13 @@ SHINGLE = 5
 SYMBOLS, CHUNK = 48, 4
 CHUNKS = SYMBOLS // CHUNK
 ERRORS = 2 * CHUNKS - 1           # at most one wrong symbol in some chunk
+# pairs that share a key: a quarter of the symbols differ at the threshold; six deviations more
+SHARED_ERRORS = int(SYMBOLS / 4 + 6 * (SYMBOLS * 3 / 16) ** 0.5)
 BLOCK = 512                       # signatures compared with each other at once
 SIMILAR, OF = 75, 100             # link when OF * intersection >= SIMILAR * union
 SKETCH = 2048                     # one-bit minimum hashes of a sketch
-# differing bits of a linked pair: an eighth of them on average; four deviations more
-SKETCH_ERRORS = int(SKETCH / 8 + 4 * (SKETCH * 7 / 64) ** 0.5)
+# differing bits of a linked pair: an eighth of them on average; six deviations more
+SKETCH_ERRORS = int(SKETCH / 8 + 6 * (SKETCH * 7 / 64) ** 0.5)
 
 SIGNATURE_SCHEMA = "doc_id long, n_shingles long, a long, b long, sig binary"
 
@@ -175,10 +179,10 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return met.filter(similar("u_text", "v_text")).select("u", "v")
 
 
-def near_pairs(members: DataFrame) -> DataFrame:
-    """Distinct pairs (u, v) of different components within the distance under a common key.
+def near_pairs(members: DataFrame, errors: int = ERRORS) -> DataFrame:
+    """Distinct pairs (u, v) of different components under a common key, up to ``errors`` apart.
 
-    ``members`` has key, id, comp, sig, sketch. A key's nodes are dealt into blocks of about
+    ``members`` has key, id, comp, sig, sketch. No pair within ``ERRORS`` lacks a common key. A key's nodes are dealt into blocks of about
     ``BLOCK``; every two blocks meet once, in one task that holds both and nothing else.
     """
     sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
@@ -196,12 +200,12 @@ def near_pairs(members: DataFrame) -> DataFrame:
             for row in batch.to_pylist():
                 key = (row["key"], row["i"], row["j"])
                 if key != at and held:
-                    found += _pairs_of_blocks(held)
+                    found += _pairs_of_blocks(held, errors)
                     held = []
                 at = key
                 held.append(row)
             yield _pair_batch(found)
-        yield _pair_batch(_pairs_of_blocks(held) if held else [])
+        yield _pair_batch(_pairs_of_blocks(held, errors) if held else [])
 
     return grouped.mapInArrow(run, "u long, v long").distinct()
 
@@ -213,7 +217,7 @@ def _first_key(x, y) -> tuple[int, int] | None:
     return (int(few[0]), int(wrong[few[0]].argmax())) if len(few) else None
 
 
-def _pairs_of_blocks(rows: list[dict]) -> list[tuple[int, int]]:
+def _pairs_of_blocks(rows: list[dict], errors: int) -> list[tuple[int, int]]:
     """Pairs of different components that may be linked; of two blocks, pairs across them only."""
     ids, comps, mine = (np.array([r[c] for r in rows], dtype=np.int64) for c in ("id", "comp", "mine"))
     if len(rows) < 2 or (comps == comps[0]).all():
@@ -230,7 +234,7 @@ def _pairs_of_blocks(rows: list[dict]) -> list[tuple[int, int]]:
         rest = np.concatenate(parts[k + 1:])
         for i in part:
             other = rest[mine[rest] != mine[i]] if across else rest
-            other = other[(sigs[other] != sigs[i]).sum(axis=1) <= ERRORS]
+            other = other[(sigs[other] != sigs[i]).sum(axis=1) <= errors]
             other = other[np.bitwise_count(sketches[other] ^ sketches[i]).sum(axis=1) <= SKETCH_ERRORS]
             out += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in other if _first_key(sigs[i], sigs[j]) == here]
     return out
@@ -276,7 +280,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     stars = best.select(F.col("id").alias("u"), (-F.col("best.least")).alias("v"))
     stars = (stars.join(by_shuffle(sig.select(F.col("id").alias("u"), F.col("sig").alias("u_sig"))), "u")
              .join(by_shuffle(sig.select(F.col("id").alias("v"), F.col("sig").alias("v_sig"))), "v")
-             .filter(distance("u_sig", "v_sig") <= ERRORS))
+             .filter(distance("u_sig", "v_sig") <= SHARED_ERRORS))
     edges = stored(confirm(stars, texts), "links")
 
     # what one leader per node left open: keys whose nodes lie in several components
@@ -287,7 +291,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rest = stored(named.join(by_shuffle(open_keys.select("key")), "key", "left_semi"), "open")
     sketch = sketched(texts.join(by_shuffle(rest.select("id").distinct()), "id", "left_semi"))
     rest = rest.join(by_shuffle(sig.join(by_shuffle(sketch), "id")), "id")
-    more = stored(confirm(stored(near_pairs(rest), "near"), texts), "more-links")
+    more = stored(confirm(stored(near_pairs(rest, SHARED_ERRORS), "near"), texts), "more-links")
 
     final = components(edges.unionByName(more))
     by_node = nodes.join(by_shuffle(final), "id", "left").select("a", "b", F.coalesce("component", "id").alias("component"))

@@ -210,6 +210,31 @@ def test_hamming_join_misses_no_pair_under_the_distance(spark):
     assert got == want
 
 
+def test_near_dedup_links_pairs_beyond_the_distance_that_share_a_key(spark):
+    rows = []                                 # similarity 0.75; 24 to 26 of 48 symbols differ
+    for k, s in enumerate((10504, 14157, 57034)):
+        head = [f"w{s}x{i}" for i in range(64)]
+        rows += [(10 * k + j, " ".join(head + [f"{c}{s}x{i}" for i in range(10)])) for j, c in enumerate("lr")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sigs = [np.frombuffer(bytes(r["sig"]), np.uint16) for r in minhash.signatures(df).orderBy("doc_id").collect()]
+    assert all((x != y).sum() > minhash.ERRORS for x, y in zip(sigs[::2], sigs[1::2], strict=True))
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_dedup(df).collect()}
+    assert got == brute.near_components(dict(rows)) == {0: 0, 1: 0, 10: 10, 11: 10, 20: 20, 21: 20}
+
+
+def test_blocks_keep_pairs_up_to_six_deviations(spark):
+    sig = np.arange(minhash.SYMBOLS, dtype=np.uint16)
+    far, bits = sig.copy(), np.zeros(minhash.SKETCH, dtype=np.uint8)
+    far[4:34] += 1000                         # 30 of 48 symbols, eight of twelve chunks without a common key
+    bits[:345] = 1
+    rows = [(1, bytearray(sig.tobytes()), bytearray(minhash.SKETCH // 8)),
+            (2, bytearray(far.tobytes()), bytearray(np.packbits(bits).tobytes()))]
+    df = spark.createDataFrame(rows, "id long, sig binary, sketch binary")
+    keyed = df.select("id", F.col("id").alias("comp"), "sig", "sketch", F.explode(minhash.chunk_keys("sig")).alias("key"))
+    assert [tuple(r) for r in minhash.near_pairs(keyed, minhash.SHARED_ERRORS).collect()] == [(1, 2)]
+    assert minhash.near_pairs(keyed).count() == 0
+
+
 def test_sketches_of_linked_sets_are_close():
     rng = np.random.default_rng(2)
     far = []
