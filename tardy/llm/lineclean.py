@@ -9,7 +9,8 @@ Line rules (a line without a word is neither kept nor counted):
 * shouting: at least ``SHOUT_WORDS`` words, nearly all letters upper case;
 * bangs: more than ``MAX_BANGS`` of the words end in ``!`` or ``?``;
 * navigation: at least ``NAV_PARTS`` parts between ``|`` or similar separators with few words each;
-* boilerplate: the line states a licence, cookie, copyright or sign-up notice;
+* boilerplate: the line states a licence, cookie, copyright or sign-up notice, and is short (at most
+  ``SHORT_CHARS`` word characters) or made up of such phrases to ``PHRASE_SHARE``;
 * repeated: the line is an exact copy of an earlier line of the document.
 
 All rules look at one line at a time and at counts of the whole document, so a clean text is left
@@ -32,6 +33,7 @@ MAX_SYMBOLS = 0.25                # symbols per word of a line
 SHOUT_WORDS, SHOUT_SHARE = 3, 0.9
 MAX_BANGS = 0.5
 NAV_PARTS, NAV_WORDS = 4, 2.5
+SHORT_CHARS, PHRASE_SHARE = 120, 0.2
 MAX_LOST = 0.5                    # share of a document's word characters that may go
 
 # Phrases that mark boilerplate lines, lower case.
@@ -63,7 +65,9 @@ def line_fails(line: str, words: list[str]) -> bool:
     parts = _PARTS(line)
     if len(parts) >= NAV_PARTS and n <= NAV_WORDS * len(parts):
         return True
-    return bool(_BOILERPLATE.search(line.lower()))
+    phrases = sum(map(len, _BOILERPLATE.findall(line.lower())))
+    size = sum(map(len, words)) if phrases else 0
+    return phrases > 0 and (size <= SHORT_CHARS or phrases >= PHRASE_SHARE * size)
 
 
 def repeat_words(words: list) -> int:

@@ -371,6 +371,19 @@ def test_line_rules():
     assert mixed[6] and mixed[8] == good
 
 
+def test_a_phrase_fails_only_short_lines_or_lines_made_of_phrases():
+    words = prose(31, 5000).split(" ")
+    for phrase in ("click here", "log in to", "powered by", "privacy policy"):
+        long = " ".join(words[:2000] + [phrase] + words[2000:])
+        got = lineclean.clean(long)
+        assert got[6] and got[7] == 0 and got[8] == long
+        paragraphs = "\n".join(" ".join([*words[i:i + 40], phrase, *words[i + 40:i + 80]]) for i in range(0, 800, 80))
+        got = lineclean.clean(paragraphs)
+        assert got[6] and got[8] == paragraphs
+        got = lineclean.clean(paragraphs + f"\nPlease {phrase} to go on\n" + " and ".join([phrase] * 40))
+        assert got[6] and got[8] == paragraphs
+
+
 def test_quality_labels_agree(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
