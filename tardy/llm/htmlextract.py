@@ -6,8 +6,9 @@ node with the largest sum lies in the article; the least density on its path up
 the threshold that tells content from the rest of the page. The article is the enclosing
 ``article`` or ``main`` element or, where a page has none, the highest node on that path that
 still reaches the body's density. Parts that are never article (scripts, menus, forms, adverts,
-notices, reader comments, ...) are known by element, role or class name and left out first; lists
-of links that fall below the threshold are left out as well.
+notices, reader comments, ...) are known by element, role or class name and left out; lists
+of links that fall below the threshold are left out as well. A name or a form leaves nothing out
+that holds the article or most of the text outside links (see ``restore``).
 
 The text: character references decoded, white space inside a block as one space, blocks in page
 order joined by one newline.
@@ -36,7 +37,7 @@ SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",
             "th": ("td", "th"), "option": ("option",), "tbody": ("tr", "td", "th", "thead", "tbody"),
             "tfoot": ("tr", "td", "th", "tbody")}
 SCOPES = frozenset("table ul ol dl body html article main".split())
-NEVER = frozenset("head nav footer aside form button select input label dialog menu audio video canvas".split())
+NEVER = frozenset("head nav footer aside button select input label dialog menu audio video canvas".split())
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu "
                         "menubar toolbar tablist".split())
 NEVER_NAMES = frozenset(
@@ -46,7 +47,12 @@ NEVER_NAMES = frozenset(
     "breadcrumbs crumbs topbar toolbar masthead footer comment comments commentlist disqus respond reply replies "
     "discussion share sharing social related recommended recommendations widget widgets pagination pager search "
     "skip hidden paywall".split())
+COMMENT_NAMES = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
+# words that say no more than what a box is; a compound of them and listed names is a listed name
+BOX_NAMES = frozenset("area bar block bottom box button buttons container form group icons inner item items left link "
+                      "links list posts right section slot text title top unit wrap wrapper".split())
 ARTICLE = ("article", "main")
+BY_NAME, BY_COMMENT_NAME = "name", "comment name"        # reasons to leave an element out that restore() may take back
 
 _TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>)""", re.S)
 _LOOSE = re.compile(r"</?([a-zA-Z][^\s/>]*)[^>]*>")
@@ -55,31 +61,44 @@ _NAME = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("chars", "density", "drop", "link_chars", "link_tags", "parent", "parts", "tag", "tags", "total")
+    __slots__ = ("chars", "density", "drop", "link_chars", "link_tags", "parent", "parts", "plain", "tag", "tags", "total")
 
     def __init__(self, tag, parent, drop=False):
         self.tag, self.parent, self.drop, self.parts = tag, parent, drop, []
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
+        self.chars = self.tags = self.link_chars = self.link_tags = self.plain = 0
         self.density = self.total = 0.0
 
 
-def _never(tag: str, attributes: str, inside_article: bool) -> bool:
-    """Is this element, by name, role or class, no part of an article?"""
+def _listed(word: str) -> bool:
+    """Is a class or id on the list of names, whole or as a compound of nothing but listed and box names?"""
+    parts = _NAME.findall(word)
+    return not NEVER_NAMES.isdisjoint(parts) and all(p in NEVER_NAMES or p in BOX_NAMES for p in parts)
+
+
+def _never(tag: str, attributes: str, inside_article: bool) -> bool | str:
+    """Is this element, by name, role or class, no part of an article? The reason, where it may be taken back."""
+    if tag == "form":
+        return BY_NAME
     if tag in NEVER or tag in RAW or tag == "header" and not inside_article:
         return True
     if not attributes or tag in ARTICLE or tag in ("html", "body"):
         return False
+    why: bool | str = False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name == "role" and value in NEVER_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
+        if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
+        if name == "role" and value in NEVER_ROLES:
+            why = why or BY_NAME
         if name == "style" and re.search(r"display\s*:\s*none", value):
             return True
         if name in ("class", "id"):
             for word in value.split():
-                if word in ("header", "page-header", "site-header") or not NEVER_NAMES.isdisjoint(_NAME.findall(word)):
-                    return True
-    return False
+                if word in ("header", "page-header", "site-header") or _listed(word):
+                    why = why or BY_NAME
+                    if not COMMENT_NAMES.isdisjoint(_NAME.findall(word)):
+                        why = BY_COMMENT_NAME
+    return why
 
 
 def parse(page: str) -> Node:
@@ -152,16 +171,62 @@ def parse(page: str) -> Node:
     return root
 
 
-def _below(root: Node) -> list[Node]:
-    """Kept nodes of a subtree, parents before children."""
+def _below(root: Node, named: bool = False) -> list[Node]:
+    """Kept nodes of a subtree, parents before children; with ``named`` also those left out by name."""
     out, stack = [], [root]
     while stack:
         node = stack.pop()
         out.append(node)
-        stack.extend(p for p in node.parts if not isinstance(p, str) and not p.drop)
+        stack.extend(p for p in node.parts if not isinstance(p, str) and (not p.drop or named and p.drop is not True))
+    return out
+
+
+def _path(node: Node) -> list[Node]:
+    """A node and what encloses it, up to the root."""
+    out = [node]
+    while out[-1].parent is not None:
+        out.append(out[-1].parent)
     return out
 
 
+def restore(root: Node) -> None:
+    """Take back what a name or a form leaves out although it holds the article or most of the text.
+
+    Text here is text outside links, over all nodes. What encloses the largest article or main
+    element outside comments is taken back where that element has more text than the article found
+    without it. So is an element with most of the page's text (inside that article: of the
+    article's), unless a fair article lies elsewhere; reader comments need nine tenths of it.
+    """
+    nodes = _below(root, named=True)
+    named = [x for x in nodes if x.drop]
+    if not named:
+        return
+    for node in reversed(nodes):
+        if node.tag != "a":
+            node.plain += sum(len(" ".join(p.split())) for p in node.parts if isinstance(p, str))
+            if node.parent is not None:
+                node.parent.plain += node.plain
+    articles = [x for x in nodes if x.tag in ARTICLE and x.plain]
+    if any(x.drop == BY_COMMENT_NAME for x in named):
+        articles = [x for x in articles if all(y.drop != BY_COMMENT_NAME for y in _path(x))]
+    main = max(articles, key=lambda x: x.plain, default=None)
+    around = _path(main) if main else []
+    if any(x.drop for x in around):
+        found = article(root)[0]
+        if main.plain > found.chars - found.link_chars:
+            for x in around:
+                x.drop = False
+        else:
+            main, around = None, []
+    inside = {id(x) for x in _below(main, named=True)} if main else set()
+    for x in named:
+        whole = main.plain if id(x) in inside else root.plain
+        most = 10 * x.plain > 9 * whole if x.drop == BY_COMMENT_NAME else 2 * x.plain > whole
+        elsewhere = main is not None and id(x) not in inside and 10 * main.plain >= x.plain
+        if x.drop and most and not elsewhere:
+            x.drop = False
+
+
 def measure(root: Node) -> list[Node]:
     """Fill in density and the sum of the children's densities for every kept node."""
     nodes = _below(root)
@@ -190,10 +255,7 @@ def measure(root: Node) -> list[Node]:
 def article(root: Node) -> tuple[Node, float]:
     """(article node, density threshold)."""
     nodes = measure(root)
-    best = max(nodes, key=lambda x: (x.total, x.chars))
-    path = [best]
-    while path[-1].parent is not None:
-        path.append(path[-1].parent)
+    path = _path(max(nodes, key=lambda x: (x.total, x.chars)))
     threshold = min(x.density for x in path)
     for node in path:
         if node.tag in ARTICLE:
@@ -243,7 +305,9 @@ def extract(page: str) -> str:
     """Main text of one page; empty for an empty page or one without an article."""
     if not page:
         return ""
-    return text_of(*article(parse(page)))
+    root = parse(page)
+    restore(root)
+    return text_of(*article(root))
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

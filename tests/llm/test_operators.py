@@ -410,6 +410,30 @@ def test_html_extraction():
     assert htmlextract.extract(deep) == "core"
 
 
+def test_html_wrappers_do_not_lose_the_article():
+    story = "".join(f"<p>{prose(60 + i, 40)}</p>" for i in range(4))
+    want = "\n".join(prose(60 + i, 40) for i in range(4))
+    rest = "<nav><a href=a>Menu</a></nav><div class='cookie-notice'>We use cookies</div><div class=sidebar>Side text</div>"
+    names = ["class='layout has-sidebar'", "class=no-sidebar", "class='comments-open'", "class='col side'",
+             "class=hidden-xs", "id='main-menu-page'", "class='sidebar-right'", "id=search", "class='widget comments'", "role=search"]
+    wrappers = [(f"<div {n}>", "</div>") for n in names] + [("<form id=aspnetForm>", "</form>")]
+    for start, end in wrappers + [(a + c, d + b) for a, b in wrappers[:4] for c, d in wrappers[4:]]:
+        for inner in (story, f"<article>{story}</article>", f"<main><article>{story}</article></main>"):
+            assert htmlextract.extract(f"<body>{start}{rest}{inner}<footer>foot</footer>{end}</body>") == want, start
+            assert htmlextract.extract(f"<body>{rest}{start}{inner}{end}<footer>foot</footer></body>") == want, start
+        assert htmlextract.extract(f"<body>{rest}<article>{start}{story}{end}</article></body>") == want, start
+
+
+def test_html_named_parts_stay_out_beside_an_article():
+    story, long = f"<p>{prose(70, 60)}</p>", f"<p>{prose(71, 150)}</p>"
+    for name in ("class=comments", "class='cookie-consent'", "class='sidebar-left'", "class='related-posts'"):
+        for page in (f"<article>{story}</article><div {name}>{long}</div>", f"<main>{story}<div {name}><p>{prose(72, 20)}</p></div></main>",
+                     f"<div>{story * 3}</div><div {name}><article><p>card</p></article></div>"):
+            assert htmlextract.extract(f"<body>{page}</body>") == "\n".join([prose(70, 60)] * page.count("<p>" + prose(70, 60)))
+    page = f"<body><div>{story}</div><div id=comments>{long}</div></body>"
+    assert htmlextract.extract(page) == prose(70, 60)
+
+
 def test_html_table(spark):
     rows = [(1, "u", None, 3), (2, None, "", 3), (None, "v", "<article><p>t</article>", 3), (1, "u", None, 3)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
