@@ -11,18 +11,20 @@ from pyspark.sql import functions as F
 from tardy.llm import exactdedup, langid, minhash, queries, substrings
 from tardy.llm.common import by_shuffle, read_table, stored, text_or_empty
 
-MIN_LANGUAGE_SHARE = 0.4          # of a document's letters that its language must have
-
 # language ID and packing cannot be stated in SQL; tests hold run() against brute force
 ORACLE_SQL = None
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or in which no language has a fair share, go."""
+    """Documents without letters go; text of several languages stays.
+
+    Raises ValueError where there are letters but no labelled document to learn a language from.
+    """
     model = langid.learn(docs.filter(~queries.held_out()))
+    if not model.langs and docs.filter(text_or_empty().rlike(r"\p{L}")).head(1):
+        raise ValueError("language_id: documents with letters, but none to learn a language from (lang is null)")
     known = langid.identify(docs, model, out_col="__language")
-    clear = (F.col("__language.lang_pred") != langid.UNKNOWN) & (F.col("__language.score") >= MIN_LANGUAGE_SHARE)
-    return known.filter(clear).select(*docs.columns)
+    return known.filter(F.col("__language.lang_pred") != langid.UNKNOWN).select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import brute
 import corpus_pipeline
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tardy.llm import queries
 from tardy.llm.common import stored
@@ -50,6 +51,21 @@ def test_pipeline_on_nulls_and_an_empty_table(spark):
         assert table.count() >= 0
 
 
+def test_language_stage_keeps_mixed_text_and_needs_labels(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    some = {r["lang"]: r["text"] for r in docs.filter("length(text) > 1500 and lang is not null").collect()}
+    assert len(some) >= 4
+    mixed = spark.createDataFrame([(-1, " ".join(t[:600] for t in some.values())), (-2, "12 + 3 = 15!")],
+                                  "doc_id long, text string")
+    table = docs.unionByName(mixed, allowMissingColumns=True)
+    kept = corpus_pipeline.identify_languages(spark, table, SF).filter("doc_id < 0").collect()
+    assert [r["doc_id"] for r in kept] == [-1]
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    with pytest.raises(ValueError, match="language_id"):
+        corpus_pipeline.identify_languages(spark, unlabelled, SF)
+    assert corpus_pipeline.identify_languages(spark, unlabelled.filter("text is null or text = ''"), SF).count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_its_sql(spark, name):
     got = queries.QUERIES[name](spark, SF).toPandas()
