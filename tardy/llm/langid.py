@@ -131,7 +131,11 @@ class Model:
         return out
 
     def labels(self, words: Words):
-        """Viterbi: the language of every word. All rows of the block advance together."""
+        """Viterbi: the language of every word. All rows of the block advance together.
+
+        Each row's maximum is taken off its values at every step, so they stay as fine as those of one
+        word however long the text is.
+        """
         emit, first = self.word_scores(words), words.first
         n = np.diff(first)
         order = np.argsort(-n, kind="stable")
@@ -146,10 +150,10 @@ class Model:
             v, at = value[:k], begins[:k] + t
             if t:
                 top = v.argmax(axis=1)
-                change = v[np.arange(k), top] - np.float32(SWITCH)
-                switched[at] = v < change[:, None]
+                v = v - v[np.arange(k), top][:, None]
+                switched[at] = v < -np.float32(SWITCH)
                 source[at] = top
-                v = np.maximum(v, change[:, None])
+                v = np.maximum(v, -np.float32(SWITCH))
             value[:k] = v + emit[at]
         state, out = value.argmax(axis=1), np.zeros(len(emit), dtype=np.int32)
         for t in range(steps - 1, -1, -1):

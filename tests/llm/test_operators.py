@@ -320,6 +320,24 @@ def test_scripts_narrow_the_candidates():
     assert preds == ["en", "el"] and [s["lang"] for s in spans[1]] == ["el", "en", "el"]
 
 
+def test_labels_do_not_coarsen_on_a_long_text():
+    cells, alphabet = [], langid.Alphabet()
+    texts = {"aa": "ba be bi bo bu", "bb": "da de di do du"}
+    for lang, text in texts.items():
+        words = langid.Words(alphabet, [text])
+        for order in range(langid.ORDERS):
+            cells += [(lang, order, int(b), 1) for b in set(words.features[order].tolist())]
+        cells.append((lang, langid.ORDERS, int(words.script[0]), 10))
+    model = langid.Model(cells)
+    block = "ba be bi da de di da de bo bu ".split() * 200
+    model.barred = model.barred - np.float32(2.0**19)       # as far down as thousands of words more would be
+    words = langid.Words(alphabet, [" ".join(block)])
+    got = model.labels(words)
+    model.barred = model.barred + np.float32(2.0**19)
+    want = model.labels(words)
+    assert (got == want).mean() > 0.999 and 0 < want.mean() < 1
+
+
 # --- 6 exact dedup
 
 def test_exact_dedup_equals_grouping(docs, loose, empty):
