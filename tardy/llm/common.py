@@ -1,5 +1,7 @@
 """Small helpers shared by the operators: shared scratch tables, bounded Arrow batches."""
 
+import sys
+import types
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,3 +46,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
+
+
+def once_per_worker(key, make):
+    """The object that ``make`` gave for ``key`` in this process, made at most once.
+
+    Python workers are reused by many tasks, while functions pickled by value bring new
+    module globals with every task; so what is costly to build lives in a module of its own.
+    Only for state that any task may share and that is bounded.
+    """
+    held = sys.modules.setdefault("tardy_worker_state", types.ModuleType("tardy_worker_state")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
