@@ -7,7 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tardy.llm import (
+    balltree,
     bpe,
+    divergence,
     exactdedup,
     htmlextract,
     langid,
@@ -16,6 +18,7 @@ from tardy.llm import (
     minhash,
     packing,
     substrings,
+    tokencounts,
     urlfilter,
 )
 from tardy.llm.common import read_table, stored
@@ -98,6 +101,25 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES, listed)
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.rank(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+TOKEN_LIMIT = 1024
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = tokencounts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), budgets=(TOKEN_LIMIT,))
+    return out.select("doc_id", "tokens.n_bytes", "tokens.n_tokens",
+                      (F.col("tokens.n_tokens") > TOKEN_LIMIT).alias("over_limit"),
+                      F.col("tokens.fits")[0].alias("fit_chars"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pack": op2_pack,
@@ -109,6 +131,9 @@ QUERIES = {
     "op8_html": op8_html,
     "op9_substrings": op9_substrings,
     "op10_url_filter": op10_url_filter,
+    "op11_search": op11_search,
+    "op12_divergence": op12_divergence,
+    "op13_token_counts": op13_token_counts,
 }
 
 _OP3_SQL = """
@@ -193,6 +218,67 @@ SELECT page_id, host, path, rule,
 """
 
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP11_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM documents),
+q AS (
+  SELECT item_id, term, count(*) AS k FROM (
+    SELECT item_id, unnest(regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM benchmark) GROUP BY item_id, term),
+s AS (SELECT count(*) FILTER (WHERE len(ts) > 0) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_all FROM d),
+e AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(ts) AS n, unnest(ts) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY r, doc_id, n, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM e GROUP BY term), s),
+f AS (
+  SELECT r, doc_id, e.term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_all))) AS part
+  FROM e JOIN w ON e.term = w.term, s),
+h AS (
+  SELECT item_id, r, doc_id, CAST(sum(k * part) AS BIGINT) AS score FROM f JOIN q ON f.term = q.term GROUP BY item_id, r, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM h WHERE score > 0)
+WHERE rank <= 10
+"""
+
+_OP12_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_LOWERED}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM documents),
+e AS (SELECT r, lang, source, term, count(*) AS tf FROM (SELECT r, lang, source, unnest(ts) AS term FROM d)
+      GROUP BY r, lang, source, term),
+kept AS (SELECT lang, term, CAST(sum(tf) AS BIGINT) AS n FROM e GROUP BY lang, term HAVING count(*) >= 3),
+c AS (SELECT e.lang, e.source, e.term, CAST(sum(tf) AS BIGINT) AS n FROM e JOIN kept k ON k.lang = e.lang AND k.term = e.term
+      GROUP BY e.lang, e.source, e.term),
+l AS (SELECT g.lang, count(k.term) AS v, CAST(coalesce(sum(k.n), 0) AS BIGINT) AS total
+      FROM (SELECT DISTINCT lang FROM d) g LEFT JOIN kept k ON k.lang = g.lang GROUP BY g.lang),
+g AS (SELECT s.lang, s.source, CAST(coalesce(sum(c.n), 0) AS BIGINT) AS total
+      FROM (SELECT DISTINCT lang, source FROM d) s LEFT JOIN c ON c.lang = s.lang AND c.source = s.source GROUP BY s.lang, s.source),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n,
+         1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (g.total + l.v) AS p, 1 + (1000000000 * (k.n + 1)) // (l.total + l.v) AS lang_p
+  FROM g JOIN l ON l.lang = g.lang JOIN kept k ON k.lang = g.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+every AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL
+  SELECT lang, source, 'term', term, (p - lang_p) * (p - lang_p) // lang_p FROM p WHERE n > 0 AND p > lang_p),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
 @functools.cache
 def oracle_sql() -> dict[str, str]:
-    return {"op3_minhash": _OP3_SQL, "op4_lines": _OP4_SQL, "op6_exact_dedup": _OP6_SQL, "op9_substrings": _OP9_SQL, "op10_url_filter": _op10_sql()}
+    return {"op3_minhash": _OP3_SQL, "op4_lines": _OP4_SQL, "op6_exact_dedup": _OP6_SQL, "op9_substrings": _OP9_SQL, "op10_url_filter": _op10_sql(),
+            "op11_search": _OP11_SQL, "op12_divergence": _OP12_SQL}
