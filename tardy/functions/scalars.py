@@ -76,9 +76,9 @@ def decode_flag(text, is_text=None) -> Column:
     return flag if is_text is None else flag & F.coalesce(is_text, F.lit(False))
 
 
-def with_default(c, default: str) -> Column:
-    """Nested value with a default for a missing path."""
-    return F.coalesce(_c(c), F.lit(default))
+def with_default(c, default: str, present: Column | None = None) -> Column:
+    """Nested value with a default for a missing path; ``present`` tells a null value from a missing one."""
+    return F.coalesce(_c(c), F.lit(default)) if present is None else F.when(present, _c(c)).otherwise(F.lit(default))
 
 
 def parse_iso_utc(text) -> Column:

@@ -94,28 +94,12 @@ LANDED_SCHEMA = StructType([
 # One departure event message (JSON value on the topic).
 EVENT_SCHEMA = LANDED_SCHEMA
 
-# One departure of a liveboard: every field optional, numbers travel as strings.
-DEPARTURE_SCHEMA = StructType([
-    StructField("station", StringType()),
-    StructField("stationinfo", StructType([StructField("id", StringType())])),
-    StructField("time", StringType()),
-    StructField("delay", StringType()),
-    StructField("canceled", StringType()),
-    StructField("vehicle", StringType()),
-    StructField("vehicleinfo", StructType([StructField("type", StringType())])),
-    StructField("platform", StringType()),
-    StructField("occupancy", StructType([StructField("name", StringType())])),
-])
-# Liveboard document. Departures stay JSON text at first, so a missing key, a null and the type of
-# a value can be told apart and a bad departure can be kept as it was received.
-LIVEBOARD_SCHEMA = StructType([
-    StructField("stationinfo", StructType([
-        StructField("id", StringType()),
-        StructField("standardname", StringType()),
-    ])),
-    StructField("departures", StructType([
-        StructField("departure", ArrayType(StringType())),
-    ])),
+# Liveboard document. Departures and the board's station stay JSON text at first: each departure is parsed once
+# on its own, so a missing key, a null and the type of a value can be told apart and a bad departure
+# can be kept as it was received.
+BOARD_TEXT_SCHEMA = StructType([
+    StructField("stationinfo", StringType()),
+    StructField("departures", StructType([StructField("departure", ArrayType(StringType()))])),
 ])
 
 # Processed (cleaned) departures, partitioned by departure_date. Reading with this schema unites

@@ -7,7 +7,7 @@ fields, bilingual station names, a station listed under two names, destinations
 a station without night departures, 24 hours over 30 days.
 
 ``liveboard_documents`` turns the same events into nested liveboard JSON documents (one per
-event, one or two departures each) with missing sections, null and malformed documents,
+event, one or two departures each) with missing sections, nulls inside nested objects, null and malformed documents,
 malformed, null and out-of-range numbers, so the flattening and routing steps run over data that grows with the tables.
 
 Both are narrow projections (plus a two-way ``explode`` for replays): no join, no shuffle.
@@ -47,7 +47,8 @@ def station_index(e: Column, ts: Column) -> Column:
     return F.when((_mod(e, 5) == 4) & (F.hour(ts) < 6), F.lit(0)).otherwise(_mod(e, 5))
 
 
-def raw_departures_from_events(ev: DataFrame) -> DataFrame:
+def raw_departures_from_events(ev: DataFrame, keyed: bool = False) -> DataFrame:
+    """``keyed`` keeps the event's id and the copy number ``n`` beside the 12 columns."""
     e, u, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
     # replay copy n = 1 for every 20th event; a generator, not a join
     rep = ev.select(
@@ -89,13 +90,26 @@ def raw_departures_from_events(ev: DataFrame) -> DataFrame:
         platform.alias("platform"),
         occupancy.alias("occupancy"),
         ingested.alias("ingested_at"),
-    ).select(*RAW_COLUMNS)
+        *(["event_id", "n"] if keyed else []),
+    ).select(*RAW_COLUMNS, *(["event_id", "n"] if keyed else []))
 
 
-def raw_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_departures(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
     """The landed raw departures (12 columns, delay as INT like the landing writer)."""
     pin_utc(spark)
-    return raw_departures_from_events(events(spark, sf_dir))
+    return raw_departures_from_events(events(spark, sf_dir), keyed)
+
+
+# Milliseconds between the messages of a thousand: fast ones fill a flush, slow ones wait for its time.
+ARRIVAL_STEPS = (100, 500, 200)
+ARRIVAL_START_MS = 1_700_000_000_000
+
+
+def arrival_ms() -> Column:
+    """When the message of an event (with copy number ``n``) reaches the log: bursts ten minutes apart."""
+    e, burst = F.col("event_id"), F.expr("event_id div 1000")
+    step = _pick(_mod(burst, len(ARRIVAL_STEPS)), list(ARRIVAL_STEPS))
+    return F.lit(ARRIVAL_START_MS) + burst * 600_000 + _mod(e, 1000) * step + F.col("n") * 50
 
 
 # ---------------------------------------------------------------------------
@@ -137,12 +151,15 @@ def _departure_json(offset_seconds: int, vehicle_shift: int) -> Column:
     level = F.when(occ < 2, F.lit("low")).when(occ < 5, F.lit("medium")).when(occ < 7, F.lit("high"))
     return _object(
         _member("station", _quoted(F.concat(F.lit("Dest "), _mod(u, 7).cast("string")))),
-        _member("stationinfo", _object(_member("id", _quoted(F.concat(F.lit("D"), _mod(u, 7).cast("string")))))),
+        _member("stationinfo", _object(_member("id", F.when(_mod(e, 71) == 11, null).otherwise(
+            _quoted(F.concat(F.lit("D"), _mod(u, 7).cast("string"))))))),
         _member("time", _quoted(time)), _member("delay", delay), _member("canceled", canceled),
         _member("vehicle", vehicle),
-        _member("vehicleinfo", F.when(_mod(e, 17) != 0, _object(_member("type", _quoted(F.upper(etype)))))),
+        _member("vehicleinfo", F.when(_mod(e, 89) == 15, null).when(_mod(e, 17) != 0, _object(
+            _member("type", F.when(_mod(e, 73) == 12, null).otherwise(_quoted(F.upper(etype))))))),
         _member("platform", platform),
-        _member("occupancy", F.when(level.isNotNull(), _object(_member("name", _quoted(level))))))
+        _member("occupancy", F.when(_mod(e, 79) == 13, _object(_member("name", null)))
+                .when(level.isNotNull(), _object(_member("name", _quoted(level))))))
 
 
 def liveboard_documents_from_events(ev: DataFrame) -> DataFrame:
@@ -151,8 +168,11 @@ def liveboard_documents_from_events(ev: DataFrame) -> DataFrame:
     one, two = _departure_json(0, 0), _departure_json(600, 1)
     boards = (F.when(_mod(e, 31) == 1, F.lit("{}"))
               .when(_mod(e, 4) == 0, F.concat_ws(",", one, two)).otherwise(one))
-    info = _object(_member("id", _quoted(F.concat(F.lit("BE.ST"), _mod(e, 5).cast("string")))),
-                   _member("standardname", _quoted(_pick(_mod(e, 5), STATION_NAMES))))
+    null = F.lit("null")
+    info = _object(_member("id", F.when(_mod(e, 109) == 14, null).otherwise(
+                       _quoted(F.concat(F.lit("BE.ST"), _mod(e, 5).cast("string"))))),
+                   _member("standardname", F.when(_mod(e, 103) == 9, null).otherwise(
+                       _quoted(_pick(_mod(e, 5), STATION_NAMES)))))
     listed = _object(_member("departure", F.concat(F.lit("["), boards, F.lit("]"))))
     text = _object(_member("stationinfo", F.when(_mod(e, 37) != 2, info)),
                    _member("departures", F.when(_mod(e, 41) != 3, listed)))

@@ -2,11 +2,13 @@
 
 A document is nested JSON: ``stationinfo{id, standardname}`` and
 ``departures{departure[...]}`` with every departure field optional and numbers as text.
-Parsing is ``from_json`` with an explicit schema plus ``explode`` — per-row work stays in
-generated code and a batch of documents is split across tasks like any other rows.
+A document is cut into its departures' texts once and each departure is parsed once, to a VARIANT, inside the
+generators that yield the rows, so that neither the typed gets above them nor a filter that is pushed
+down repeats a parse; a batch of documents is split across tasks like any other rows.
 
 A missing key takes its default ("" for ids and names, "unknown" occupancy, 0 delay, epoch 0
-time, not canceled); an explicit null of a text field stays null, for cleaning to fill. Only the
+time, not canceled), in nested objects too; an explicit null of a text field stays null, for cleaning to
+fill. A nested object that is itself null or no object counts as missing. Only the
 text "1" cancels a departure, the number 1 does not. A null or unparseable document contributes no
 rows (a failed fetch). A number that is present but null, not an integer or out of range (32 bits
 for delays, the years 1 to 9999 for times) is not silently zeroed: the departure is kept with
@@ -22,10 +24,9 @@ from pyspark.sql import functions as F
 from tardy.functions import scalars as S
 from tardy.session import pin_utc
 from tardy.schemas import (
+    BOARD_TEXT_SCHEMA,
     DEFAULT_STATIONS,
-    DEPARTURE_SCHEMA,
     LANDED_SCHEMA,
-    LIVEBOARD_SCHEMA,
     REASON_MALFORMED_NUMBER,
 )
 
@@ -33,51 +34,58 @@ EVENT_COLUMNS = [f.name for f in LANDED_SCHEMA.fields]
 
 
 def parse_documents(docs: DataFrame, document_col: str = "document") -> DataFrame:
-    """Documents -> one row per departure: its JSON text (``dep_text``), fields (``dep``), ``pos``."""
-    parsed = docs.withColumn("_lb", F.from_json(F.col(document_col), LIVEBOARD_SCHEMA))
+    """Documents -> one row per departure: its JSON text (``dep_text``), VARIANT (``dep``), ``pos``, and the
+    board's ``stationinfo`` text."""
+    docs.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")     # the last value of a key counts
     keep = [c for c in docs.columns if c != document_col]
-    rows = parsed.select(*keep, F.col("_lb.stationinfo").alias("stationinfo"),
-                         F.posexplode(F.col("_lb.departures.departure")).alias("pos", "dep_text"))
-    return rows.withColumns({"dep": F.from_json("dep_text", DEPARTURE_SCHEMA),
-                             "dep_keys": F.json_object_keys("dep_text")})
+    # a generator of one row: what it yields is a column that no later step evaluates again
+    boards = docs.select(*keep, F.inline(F.array(F.from_json(F.col(document_col), BOARD_TEXT_SCHEMA))))
+    listed = F.transform("departures.departure", lambda t: F.struct(t.alias("text"), F.try_parse_json(t).alias("dep")))
+    rows = boards.select(*keep, "stationinfo", F.posexplode(listed).alias("pos", "_d"))
+    return rows.select(*keep, "stationinfo", "pos", F.col("_d.text").alias("dep_text"), F.col("_d.dep").alias("dep"))
 
 
-def _has(key: str) -> Column:
-    return F.coalesce(F.array_contains("dep_keys", key), F.lit(False))
+def _get(variant: Column, path: str, kind: str = "string") -> Column:
+    return F.try_variant_get(variant, f"$.{path}", kind)
 
 
-def _text_or_default(key: str, default: str = "") -> Column:
-    """The departure's value, null included; the default only where the key is missing."""
-    return F.when(_has(key), F.col("dep")[key]).otherwise(F.lit(default))
+def _has(variant: Column, path: str) -> Column:
+    """The key is there, be its value null or not."""
+    return _get(variant, path, "variant").isNotNull()
 
 
-def _is_text(key: str) -> Column:
-    value = F.try_variant_get(F.try_parse_json("dep_text"), f"$.{key}", "variant")
-    return F.schema_of_variant(value) == F.lit("STRING")
+def _is_text(variant: Column, path: str) -> Column:
+    return F.schema_of_variant(_get(variant, path, "variant")) == F.lit("STRING")
 
 
 def departure_columns(ingested_at: Column | None = None) -> dict[str, Column]:
-    dep = F.col("dep")
+    dep, board = F.col("dep"), F.try_parse_json("stationinfo")
+
+    def text(variant: Column, path: str, default: str = "") -> Column:
+        """The value, null included; the default only where the key is missing."""
+        return S.with_default(_get(variant, path), default, _has(variant, path))
+
     return {
-        "station_id": S.with_default(F.col("stationinfo.id"), ""),
-        "station_name": S.with_default(F.col("stationinfo.standardname"), ""),
-        "destination": _text_or_default("station"),
-        "destination_id": S.with_default(dep["stationinfo"]["id"], ""),
-        "scheduled_time": S.epoch_to_iso(dep["time"]),
-        "delay_seconds": S.parse_int_default(dep["delay"]),
-        "canceled": S.decode_flag(dep["canceled"], _is_text("canceled")),
-        "vehicle_id": _text_or_default("vehicle"),
-        "vehicle_type": S.with_default(dep["vehicleinfo"]["type"], ""),
-        "platform": _text_or_default("platform"),
-        "occupancy": S.with_default(dep["occupancy"]["name"], "unknown"),
+        "station_id": text(board, "id"),
+        "station_name": text(board, "standardname"),
+        "destination": text(dep, "station"),
+        "destination_id": text(dep, "stationinfo.id"),
+        "scheduled_time": S.epoch_to_iso(_get(dep, "time")),
+        "delay_seconds": S.parse_int_default(_get(dep, "delay")),
+        "canceled": S.decode_flag(_get(dep, "canceled"), _is_text(dep, "canceled")),
+        "vehicle_id": text(dep, "vehicle"),
+        "vehicle_type": text(dep, "vehicleinfo.type"),
+        "platform": text(dep, "platform"),
+        "occupancy": text(dep, "occupancy.name", "unknown"),
         "ingested_at": S.iso_utc_micros(F.current_timestamp()) if ingested_at is None else ingested_at,
     }
 
 
 def parse_error() -> Column:
     dep = F.col("dep")
-    null_number = (_has("time") & dep["time"].isNull()) | (_has("delay") & dep["delay"].isNull())
-    bad = null_number | S.is_malformed_epoch(dep["time"]) | S.is_malformed_number(dep["delay"])
+    time, delay = _get(dep, "time"), _get(dep, "delay")
+    null_number = (_has(dep, "time") & time.isNull()) | (_has(dep, "delay") & delay.isNull())
+    bad = null_number | S.is_malformed_epoch(time) | S.is_malformed_number(delay)
     return F.when(bad, F.lit(REASON_MALFORMED_NUMBER))
 
 
@@ -88,7 +96,7 @@ def liveboard_events(docs: DataFrame, ingested_at: Column | None = None,
     pin_utc(docs.sparkSession)
     rows = parse_documents(docs, document_col)
     cols = departure_columns(ingested_at)
-    keep = [c for c in rows.columns if c not in ("stationinfo", "dep", "dep_keys", "dep_text")]
+    keep = [c for c in rows.columns if c not in ("stationinfo", "dep", "dep_text")]
     err = parse_error()
     out = rows.select(*keep, *[(F.when(err.isNull(), v) if k == "delay_seconds" else v).alias(k)
                                for k, v in cols.items()],

@@ -56,6 +56,12 @@ def to_messages(df: DataFrame) -> DataFrame:
         F.col("station_id").alias("key"), event_json().alias("value"))
 
 
+def _dead_letter_value(df: DataFrame) -> Column:
+    text = F.col("original_text") if "original_text" in df.columns else F.lit(None).cast("string")
+    return F.to_json(F.struct(F.struct(*EVENT_COLUMNS).alias("original_message"), "failure_reason",
+                              text.alias("original_text")), _KEEP_NULLS)
+
+
 def to_dead_letters(df: DataFrame) -> DataFrame:
     """The rest as (value) with value = {original_message, failure_reason, original_text}.
 
@@ -63,10 +69,14 @@ def to_dead_letters(df: DataFrame) -> DataFrame:
     not parse is not lost.
     """
     routed = with_route(df)
-    text = F.col("original_text") if "original_text" in df.columns else F.lit(None).cast("string")
-    return routed.filter(F.col("failure_reason").isNotNull()).select(
-        F.to_json(F.struct(F.struct(*EVENT_COLUMNS).alias("original_message"), "failure_reason",
-                           text.alias("original_text")), _KEEP_NULLS).alias("value"))
+    return routed.filter(F.col("failure_reason").isNotNull()).select(_dead_letter_value(df).alias("value"))
+
+
+def routed(df: DataFrame) -> DataFrame:
+    """Every event once: the 12 columns, ``failure_reason`` and, where there is one, the dead letter (``value``)."""
+    rows = with_route(df)
+    value = F.when(F.col("failure_reason").isNotNull(), _dead_letter_value(df))
+    return rows.select(*EVENT_COLUMNS, "failure_reason", value.alias("value"))
 
 
 def parse_message(value: Column) -> Column:

@@ -66,6 +66,26 @@ def test_missing_keys_take_defaults_and_nulls_stay(spark):
     assert nulls["canceled"] is False and nulls["parse_error"] is None
 
 
+def test_nulls_inside_nested_objects_stay_and_missing_ones_do_not(spark):
+    nulls = _one(spark, stationinfo={"id": None}, vehicleinfo={"type": None}, occupancy={"name": None})
+    assert [nulls[c] for c in ("destination_id", "vehicle_type", "occupancy")] == [None] * 3
+    for gone in ({}, None, "text", 7):
+        bare = _one(spark, stationinfo=gone, vehicleinfo=gone, occupancy=gone)
+        assert [bare[c] for c in ("destination_id", "vehicle_type", "occupancy")] == ["", "", "unknown"]
+    text = json.dumps({"stationinfo": {"id": None, "standardname": None}, "departures": {"departure": [departure(1)]}})
+    event = _events(spark, text).first()
+    assert (event["station_id"], event["station_name"]) == (None, None)
+    # the last value of a repeated key counts, as in any JSON reader
+    twice = json.dumps(departure(1)).replace('"platform":', '"platform": "x", "platform":')
+    assert _events(spark, '{"stationinfo": {"id": "S"}, "departures": {"departure": [' + twice + "]}}").first()["platform"] == departure(1)["platform"]
+
+
+def test_a_plan_parses_documents_and_departures_once(spark):
+    events = _events(spark, board(departure(1)))
+    plan = P.routed(events)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and plan.count("tryParseJson") + plan.count("try_parse_json") <= 3, plan
+
+
 @pytest.mark.parametrize(("field", "value", "error"), [
     ("delay", "12a", True), ("delay", "", True), ("delay", "1.5", True), ("delay", None, True),
     ("delay", "3000000000", True), ("delay", "2147483647", False), ("delay", "-2147483648", False), ("delay", 90, False),
