@@ -17,8 +17,11 @@ from tardy.schemas import (
     RAW_COLUMNS,
     RAW_SCHEMA,
 )
+from tardy.sources import versions
 
 PARTITION_COLUMN = "departure_date"
+CLUSTER = ("station_id", "departure_hour")     # order of rows inside files, for row-group pruning
+PROCESSED = "departures"                        # the processed table's name among a root's published tables
 # Files stay well under a block even when one date holds most rows (a hot day is split by
 # AQE's rebalance and by this cap, never written by one task as one file).
 MAX_RECORDS_PER_FILE = 5_000_000
@@ -77,39 +80,55 @@ def write_processed(df: DataFrame, root: str, max_records_per_file: int = MAX_RE
 def scan_processed(spark: SparkSession, root: str, merge_schema: bool = False) -> DataFrame:
     """A3: all processed partitions, columns united by name, departure_date recovered as DATE.
 
-    The default reads under the fixed processed schema: files are united by column name (a
+    A root with published versions gives its newest one. Otherwise its files are read
+    under the fixed processed schema: files are united by column name (a
     column an older file lacks reads as null) and no footer is opened to infer anything, which
     matters with hundreds of thousands of files; columns beyond that schema are left out.
     ``merge_schema=True`` instead unites whatever
     columns the files carry (reads every footer). Filters on departure_date become partition
     filters (only matching folders are listed and read).
     """
+    if versions.versions(spark, root):
+        return versions.read(spark, root, PROCESSED)
     if merge_schema:
         return spark.read.option("mergeSchema", "true").parquet(root)
     return spark.read.schema(PROCESSED_SCHEMA).parquet(root)
 
 
+def publish_processed(spark: SparkSession, df: DataFrame, root: str, touched: list[str] | None = None) -> int:
+    """A4, published: the cleaned departures as the next version of ``root``.
+
+    With ``touched`` dates only those are replaced. Readers see the version before or all of this one.
+    """
+    build = versions.Build(spark, root)
+    build.write(PROCESSED, df, by_date=True, touched=touched, order=CLUSTER, max_records=MAX_RECORDS_PER_FILE)
+    return build.publish()
+
+
 def materialize(models: dict[str, DataFrame], root: str, spark: SparkSession,
                 views: tuple[str, ...] = ("stg_departures",)) -> dict[str, DataFrame]:
-    """A5: staging as a temp view, the other models written as Parquet tables and re-read.
+    """A5: staging as a temp view, the other models written as Parquet tables, published together and re-read.
 
     Re-reading the written tables cuts the lineage (a lost executor recomputes from the table,
     not from the raw files) and gives the planner real file sizes, so small dimensions are
     broadcast by the size check built into the planner and large ones are not.
     """
+    build = versions.Build(spark, root)
+    out = write_models(build, models, views)
+    build.publish()
+    return out
+
+
+def write_models(build: versions.Build, models: dict[str, DataFrame],
+                 views: tuple[str, ...] = ("stg_departures",)) -> dict[str, DataFrame]:
+    """The writing part of ``materialize``: tables of a build that is not published yet."""
     out = {}
     for name, df in models.items():
-        if name in views:
-            df.createOrReplaceTempView(name)
-            out[name] = df
-            continue
-        path = f"{root}/{name}"
-        w = df.write.mode("overwrite")
-        if PARTITION_COLUMN in df.columns and name == "fct_delays":
-            df = df.hint("rebalance", PARTITION_COLUMN).sortWithinPartitions(
-                PARTITION_COLUMN, "station_id", "departure_hour")
-            w = df.write.mode("overwrite").partitionBy(PARTITION_COLUMN)
-        w.parquet(path)
-        out[name] = spark.read.parquet(path)
+        out[name] = df if name in views else build.write(name, df, by_date=name == "fct_delays", order=CLUSTER)
         out[name].createOrReplaceTempView(name)
     return out
+
+
+def read_model(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of the newest published build."""
+    return versions.read(spark, root, name)

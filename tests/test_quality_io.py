@@ -11,6 +11,7 @@ from tardy.operators import quality as Q
 from tardy.plans.jobs import build_models, run_all, run_clean_job
 from tardy.sources import fixtures as X
 from tardy.sources import parquet as IO
+from tardy.sources import versions
 
 from conftest import SF_SMALL
 from rows import raw_df
@@ -91,7 +92,7 @@ def test_build_models_and_run_all(spark, tmpdir_fresh):
     assert out["tests_passed"] == 16
     assert out["published"] + out["failed"] == out["departures_fetched"] > 0
     assert out["raw_count"] == out["published"]
-    models = {n: spark.read.parquet(f"{tmpdir_fresh}/warehouse/{n}") for n in
+    models = {n: IO.read_model(spark, f"{tmpdir_fresh}/warehouse", n) for n in
               ("dim_stations", "dim_time", "fct_delays", "mart_delay_summary")}
     assert models["mart_delay_summary"].agg(F.sum("total_departures")).first()[0] == out["clean_count"]
     assert spark.read.json(f"{tmpdir_fresh}/dead_letters").count() == out["failed"]
@@ -188,8 +189,52 @@ def test_incremental_runs_equal_one_full_run(spark, tmpdir_fresh):
                   ingested_at=ts, run_id="r2", incremental=True)
     assert out["tests_passed"] == 16
     run_all(spark, docs, f"{tmpdir_fresh}/full", ingested_at=ts)
-    a = spark.read.parquet(f"{tmpdir_fresh}/inc/warehouse/mart_delay_summary")
-    b = spark.read.parquet(f"{tmpdir_fresh}/full/warehouse/mart_delay_summary")
+    a = IO.read_model(spark, f"{tmpdir_fresh}/inc/warehouse", "mart_delay_summary")
+    b = IO.read_model(spark, f"{tmpdir_fresh}/full/warehouse", "mart_delay_summary")
     cols = sorted(b.columns)
     assert sorted((tuple(r) for r in a.select(*cols).collect()), key=str) == \
         sorted((tuple(r) for r in b.select(*cols).collect()), key=str)
+
+
+def test_readers_see_one_whole_version_whatever_happens_to_a_build(spark, tmpdir_fresh):
+    rows = [spark.createDataFrame([(dt.date(2024, 1, d), f"S{k}", k) for d in days], "departure_date date, station_id string, n int")
+            for k, days in enumerate([(1, 2, 3), (2,)])]
+    first = versions.Build(spark, tmpdir_fresh)
+    first.write("t", rows[0], by_date=True)
+    with pytest.raises(FileNotFoundError):
+        versions.read(spark, tmpdir_fresh, "t")              # written, not published
+    assert first.publish() == 1
+    old = versions.read(spark, tmpdir_fresh, "t")
+    killed = versions.Build(spark, tmpdir_fresh)
+    killed.write("t", rows[1], by_date=True, touched=["2024-01-02", "2024-01-03"])
+    assert versions.read(spark, tmpdir_fresh, "t").agg(F.sum("n")).first()[0] == 0
+    second = versions.Build(spark, tmpdir_fresh)
+    second.write("t", rows[1], by_date=True, touched=["2024-01-02", "2024-01-03"])
+    assert second.publish() == 2
+    got = {(str(r["departure_date"]), r["n"]) for r in versions.read(spark, tmpdir_fresh, "t").collect()}
+    assert got == {("2024-01-01", 0), ("2024-01-02", 1)} and old.count() == 3
+    with pytest.raises(versions.StaleBuildError):
+        killed.publish()
+    assert versions.read(spark, tmpdir_fresh, "t", version=1).count() == 3
+    assert versions.vacuum(spark, tmpdir_fresh, keep=1) == 1                # the killed build's folder
+    assert versions.versions(spark, tmpdir_fresh) == [2] and versions.read(spark, tmpdir_fresh, "t").count() == 2
+    empty = versions.Build(spark, tmpdir_fresh)
+    empty.write("u", rows[0].limit(0), by_date=True)
+    empty.publish()
+    assert versions.read(spark, tmpdir_fresh, "u").dtypes == rows[0].dtypes and versions.read(spark, tmpdir_fresh, "t").count() == 2
+
+
+def test_a_restarted_run_goes_on_at_the_stage_that_failed(spark, tmpdir_fresh):
+    docs = X.liveboard_documents(spark, SF_SMALL)
+    ran = []
+
+    def stop_after_clean(stage):
+        ran.append(stage)
+        if stage == "clean":
+            raise RuntimeError("stopped")
+
+    with pytest.raises(RuntimeError, match="stopped"):
+        run_all(spark, docs, tmpdir_fresh, ingested_at=F.lit("2024-02-01T00:00:00+00:00"), run_id="r", after=stop_after_clean)
+    out = run_all(spark, docs, tmpdir_fresh, ingested_at=F.lit("2024-02-01T00:00:00+00:00"), run_id="r", after=ran.append)
+    assert ran == ["land", "clean", "build", "test"] and out["tests_passed"] == 16
+    assert out["raw_count"] == out["published"] and out["clean_count"] + out["duplicates_removed"] == out["raw_count"]
