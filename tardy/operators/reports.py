@@ -84,8 +84,7 @@ def delay_by_station(mart: DataFrame) -> DataFrame:
                   F.sum("delayed_departures").alias("delayed"),
                   F.round(F.avg("avg_delay_minutes"), 6).alias("avg_delay")))
     g = g.withColumn("delay_rate", _rate("delayed", "total"))
-    # rates have one decimal: at most 1001 of them
-    return with_position(g, F.col("delay_rate"), ["station_name_primary"], "rate_rank")
+    return with_position(g, [F.col("delay_rate").asc_nulls_last(), F.col("station_name_primary").asc()], "rate_rank")
 
 
 def delay_by_hour(mart: DataFrame) -> DataFrame:
@@ -174,6 +173,5 @@ def delay_heatmap_long(mart: DataFrame) -> DataFrame:
 def station_list(stations: DataFrame) -> DataFrame:
     """G1: id, name, primary name, ordered by primary name (id, name break ties)."""
     listed = stations.select("station_id", "station_name", "station_name_primary")
-    return with_position(listed, F.substring("station_name_primary", 1, 2),
-                         [F.col("station_name_primary").asc_nulls_last(), F.col("station_id").asc(),
-                          F.col("station_name").asc_nulls_last()], "list_rank")
+    return with_position(listed, [F.col("station_name_primary").asc_nulls_last(), F.col("station_id").asc(),
+                                  F.col("station_name").asc_nulls_last()], "list_rank")

@@ -75,11 +75,22 @@ def test_heatmap_long_grid_covers_present_hours_only(spark):
     assert len(wide) == 2 and len(wide[0]) == 25
 
 
-def test_position_is_exact_across_partitions(spark):
-    df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("k"))
-    coarse = F.when(F.col("k") < 4900, (F.col("k") / 700).cast("int"))        # the last hundred have none
-    ranked = with_position(df, coarse, ["k"], "pos")
-    assert sorted((r["k"], r["pos"]) for r in ranked.collect()) == [(i, i + 1) for i in range(5000)]
+@pytest.mark.parametrize("slice_rows", [100, 10_000])
+@pytest.mark.parametrize("spread", [700, 100_000])
+def test_position_is_exact_across_slices(spark, slice_rows, spread):
+    # with the wide spread all rows share the first key of the order
+    df = spark.range(0, 2000, 1, 7).select((F.col("id") * 7919 % 2000).alias("k")).withColumn(
+        "c", F.when(F.col("k") < 1900, (F.col("k") / spread).cast("int")))        # the last hundred have none
+    ranked = with_position(df, [F.col("c").asc_nulls_last(), F.col("k").asc()], "pos", slice_rows)
+    assert ranked.columns == ["k", "c", "pos"]
+    assert sorted((r["k"], r["pos"]) for r in ranked.collect()) == [(i, i + 1) for i in range(2000)]
+
+
+def test_no_slice_holds_a_hot_first_key(spark):
+    df = spark.range(0, 5000, 1, 4).select(F.lit("same").alias("c"), F.col("id").alias("k"))
+    ranked = with_position(df, ["c", "k"], "pos", slice_rows=500)
+    sizes = spark.read.parquet(ranked.inputFiles()[0].rsplit("/", 1)[0]).groupBy("_slice").count().collect()
+    assert len(sizes) >= 8 and max(r["count"] for r in sizes) < 1500
 
 
 def test_every_registered_query_matches_duckdb(spark):
