@@ -89,7 +89,9 @@ def main() -> None:
 
     def stream_mart():
         counter["n"] += 1
-        SL.finish(ST.start_stream_mart(spark, received(spark, msg_dir, cpus), f"{scratch}/smart{counter['n']}"))
+        root = f"{scratch}/smart{counter['n']}"
+        ST.drain_stream(received(spark, msg_dir, cpus), root, horizon_days=400)
+        run(ST.read_mart(spark, root))
 
     queries = {
         "clean_job": clean_job,

@@ -24,12 +24,15 @@ from tardy.plans.oracle import (
     register,
     tenths_mean,
     with_ctes,
+    with_keyed,
     with_liveboards,
 )
 from tardy.sources import fixtures as X
 from tardy.sources import liveboard as L
 from tardy.sources import messages as P
 from tardy.sources import parquet as IO
+from tardy.sources import versions
+from tardy.schemas import RAW_COLUMNS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -640,6 +643,64 @@ def q_write_processed(spark, sf_dir):
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("station_id").alias("n_stations"))
 
 
+# ---------------------------------------------------------------------------
+# published tables (A5), the model build (K2) and the whole run (K1)
+# ---------------------------------------------------------------------------
+
+@query("materialize", with_ctes("mart", "select * from mart").replace(
+    "from events", "from (select * from events where event_id % 2 = 0)"))
+def q_materialize(spark, sf_dir):
+    # half of the events are published; a build over all of them writes its tables and is never published
+    ev = X.events(spark, sf_dir)
+    root = _scratch(spark, "published")
+    half = M.StarSchema(spark, C.clean_departures(X.raw_departures_from_events(ev.filter(F.col("event_id") % 2 == 0))))
+    IO.materialize(half.tables(), root, spark)
+    killed = versions.Build(spark, root)
+    IO.write_models(killed, star(spark, sf_dir).tables())
+    return IO.read_model(spark, root, "mart_delay_summary")
+
+
+@query("build_models", with_ctes("mart", """
+select 'stg_departures' as model, count(*) as n_rows from stg
+union all select 'dim_stations', count(*) from dim_stations
+union all select 'dim_time', count(*) from dim_time
+union all select 'fct_delays', count(*) from fct
+union all select 'mart_delay_summary', count(*) from mart"""))
+def q_build_models(spark, sf_dir):
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("model"), "n_rows")
+             for name, df in stored(spark, sf_dir).models.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("run_pipeline", with_liveboards(f"""
+select count(*) as departures_fetched, count(*) filter (where {_OK} and {_PUBLISHABLE}) as published,
+       count(*) filter (where not ({_OK} and {_PUBLISHABLE})) as failed,
+       count(*) filter (where {_OK} and {_PUBLISHABLE}) as raw_count,
+       count(distinct (station_id, vehicle_id, scheduled_time)) filter (where {_OK} and {_PUBLISHABLE}) as clean_count,
+       count(*) filter (where {_OK} and {_PUBLISHABLE})
+         - count(distinct (station_id, vehicle_id, scheduled_time)) filter (where {_OK} and {_PUBLISHABLE}) as duplicates_removed,
+       cast({len(Q.DECLARED_TESTS)} as bigint) as tests_passed
+from lb_events"""))
+def q_run_pipeline(spark, sf_dir):
+    # the run ends after cleaning and is started again: it goes on with the build
+    root, docs = _scratch(spark, "run"), X.liveboard_documents(spark, sf_dir)
+
+    def stop(stage):
+        if stage == "clean":
+            raise InterruptedError(stage)
+
+    for after in (stop, None):
+        try:
+            out = J.run_all(spark, docs, root, ingested_at=F.lit("2024-02-01T00:00:00+00:00"), run_id="r", after=after)
+        except InterruptedError:
+            continue
+    keys = ["departures_fetched", "published", "failed", "raw_count", "clean_count", "duplicates_removed", "tests_passed"]
+    return spark.createDataFrame([tuple(int(out[k]) for k in keys)], ", ".join(f"{k} long" for k in keys))
+
+
 # ---------------------------------------------------------------------------
 # streaming replays of the fixture
 # ---------------------------------------------------------------------------
@@ -684,6 +745,88 @@ def q_stream_mart_final(spark, sf_dir):
     return replay_mart(spark, raw(spark, sf_dir), twice=True)
 
 
+LATE_DAYS = 5
+
+
+@query("stream_late", with_keyed("ready", f"""
+select station_id, vehicle_id, strftime(scheduled_time, '%Y-%m-%dT%H:%M:%S+00:00') as scheduled_time,
+       strftime(ingested_at, '%Y-%m-%dT%H:%M:%S+00:00') as ingested_at, 'Late' as failure_reason
+from ready
+where event_id % 2 = 1 and station_id is not null and vehicle_id is not null and scheduled_time is not null
+  and cast(cast(scheduled_time as date) + {LATE_DAYS + 1} as timestamp) <= (
+    select max(ingested_at) from ready
+    where event_id % 2 = 0 and station_id is not null and vehicle_id is not null and scheduled_time is not null)"""))
+def q_stream_late(spark, sf_dir):
+    # events with even ids are delivered first; the odd ones' days that have closed by then are late
+    from tardy.streaming.replay import replay_late
+    keyed = X.raw_departures(spark, sf_dir, keyed=True)
+    even, odd = (keyed.filter(F.col("event_id") % 2 == k).select(*RAW_COLUMNS) for k in (0, 1))
+    letters = replay_late(spark, even, odd, LATE_DAYS)
+    m = F.from_json("value", "original_message struct<station_id: string, vehicle_id: string, scheduled_time: string, "
+                             "ingested_at: string>, failure_reason string")
+    return letters.select(m.alias("m")).select("m.original_message.*", "m.failure_reason")
+
+
+@query("stream_consume", with_keyed("raw_departures", f"""
+select cast(event_id % 4 as integer) as "partition", 2 * (event_id // 4) + n as "offset", station_id as key,
+       case when not ({_PUBLISHABLE}) then 'Missing required fields' end as failure_reason, {RAW_SQL_COLS}
+from raw_departures"""))
+def q_stream_consume(spark, sf_dir):
+    from tardy.streaming.replay import replay_consume
+    return replay_consume(spark, X.raw_departures(spark, sf_dir, keyed=True))
+
+
+_ARRIVAL_SQL = (f"{X.ARRIVAL_START_MS} + event_id // 1000 * 600000 + event_id % 1000 * "
+                f"[{', '.join(map(str, X.ARRIVAL_STEPS))}][event_id // 1000 % {len(X.ARRIVAL_STEPS)} + 1] + n * 50")
+
+
+@query("stream_dual_trigger", with_keyed("raw_departures", f"""
+select part as "partition", mine as flush_no, count(*) as messages, min(place) as first_offset, max(place) as last_offset
+from (select part, place, unnest([mine]) as mine from walk) group by part, mine""", extra=[f"""placed as (
+  select cast(event_id % 4 as integer) as part, 2 * (event_id // 4) + n as place, {_ARRIVAL_SQL} as at_ms from raw_departures
+),
+seq as (select *, row_number() over (partition by part order by place) as i from placed),
+walk(part, i, place, mine, number, held, flushed) as (
+  select part, i, place, cast(0 as bigint), cast(0 as bigint), cast(1 as bigint), cast(at_ms as bigint) from seq where i = 1
+  union all
+  select s.part, s.i, s.place, w.number + timed, w.number + timed + if(if(timed = 1, 0, w.held) + 1 = 100, 1, 0),
+         if(if(timed = 1, 0, w.held) + 1 = 100, 0, if(timed = 1, 0, w.held) + 1),
+         cast(if(timed = 1 or if(timed = 1, 0, w.held) + 1 = 100, s.at_ms, w.flushed) as bigint)
+  from walk w join seq s on s.part = w.part and s.i = w.i + 1,
+       lateral (select if(w.held > 0 and s.at_ms - w.flushed >= 60000, 1, 0) as timed) t
+)"""]).replace("with ", "with recursive ", 1))
+def q_stream_dual_trigger(spark, sf_dir):
+    from tardy.streaming.replay import replay_flushes
+    return replay_flushes(spark, X.raw_departures(spark, sf_dir, keyed=True))
+
+
+def _json_text(column: str) -> str:
+    return f"""coalesce('"' || {column} || '"', 'null')"""
+
+
+@query("drop_malformed", with_keyed("raw_departures", f"""
+select 'Malformed JSON' as failure_reason,
+       substr('{{"station_id":' || {_json_text("station_id")} || ',"station_name":' || {_json_text("station_name")}, 1, 30) as text
+from raw_departures where event_id % 29 = 7"""))
+def q_drop_malformed(spark, sf_dir):
+    from tardy.streaming.replay import replay_malformed
+    return replay_malformed(spark, X.raw_departures(spark, sf_dir, keyed=True))
+
+
+@query("stream_drain", with_ctes("raw_departures", f"""
+select 'raw' as sink, count(*) filter (where {_PUBLISHABLE}) as rows from raw_departures
+union all select 'dead_letters', count(*) filter (where not ({_PUBLISHABLE})) from raw_departures"""))
+def q_stream_drain(spark, sf_dir):
+    from tardy.streaming.replay import replay_drain
+    return replay_drain(spark, raw(spark, sf_dir))
+
+
+@query("stream_resume", with_ctes("raw_departures", f"select {RAW_SQL_COLS} from raw_departures where {_PUBLISHABLE}"))
+def q_stream_resume(spark, sf_dir):
+    from tardy.streaming.replay import replay_resume
+    return replay_resume(spark, raw(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -1,7 +1,8 @@
 """Structured Streaming: consume departure messages, validate, route and land them.
 
-Source: a topic (``kafka``; the connector must be on the classpath) or a folder of JSON-lines
-text files (``text``). Both yield one ``value`` string per message.
+Source: a topic (``kafka``; the connector must be on the classpath), a message log over files
+(``message_log``, the same consumer contract without a broker) or a folder of JSON-lines
+text files (``text``). All yield one ``value`` string per message.
 
 Flush policy (J2): with Kafka, ``minOffsetsPerTrigger`` + ``maxTriggerDelay`` flush at N
 messages or after T seconds, whichever first (a batch is capped only if the caller asks for it); with
@@ -10,6 +11,10 @@ Drain (J3) is ``availableNow``: consume what is there, in bounded batches, then
 Resume (J4) is the checkpoint: a restarted query continues after the last committed batch, and
 a first start reads from the earliest offset.
 
+A batch is landed once its ledger entry (query, batch, row counts, files) is written, after both of its sinks
+and before the engine commits it. A restarted query reads the ledger: a batch that has an entry is not
+written again, one that was cut off before it is. Readers see ledgered batches only.
+
 Routing (J1) runs in ``foreachBatch``; each batch writes its valid rows and its dead letters to
 folders named by the query's own id (kept in its checkpoint) and the batch id, with overwrite: a
 batch replayed after a failure replaces its own output instead of doubling it, and a query with a
@@ -19,13 +24,15 @@ new checkpoint, whose batch numbers begin at 0 again, never touches what another
 
 from __future__ import annotations
 
+import json
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tardy.schemas import (
     CONSUMER_GROUP,
@@ -37,9 +44,11 @@ from tardy.schemas import (
 )
 from tardy.sources import messages as P
 from tardy.sources.parquet import conform_landed
+from tardy.streaming import messagelog
 
 CORRUPT = "_corrupt_record"
 REASON_MALFORMED_JSON = "Malformed JSON"
+_LANDED_PARTITIONED = StructType([*LANDED_SCHEMA.fields, StructField("query", StringType()), StructField("batch_id", LongType())])
 _PARSE_SCHEMA = StructType(list(EVENT_SCHEMA.fields) + [StructField(CORRUPT, StringType())])
 
 
@@ -79,19 +88,27 @@ def read_messages(spark: SparkSession, source: str, fmt: str = "text", options:
     if fmt == "kafka":
         raw = spark.readStream.format("kafka").options(**(options or {})).load()
         return raw.select(F.col("value").cast("string").alias("value"))
+    if fmt == messagelog.FORMAT:
+        asked = options or {}
+        return messagelog.consume(spark, source, asked.get("startingOffsets", "earliest"),
+                                  asked.get("failOnDataLoss", "true") == "false").select("value")
     return (spark.readStream.format("text")
                  .option("maxFilesPerTrigger", policy.files_per_trigger)
                  .options(**(options or {}))
                  .load(source))
 
 
-def parse_messages(messages: DataFrame) -> DataFrame:
-    """JSON value -> the 12 event columns plus ``failure_reason`` (C5: bad JSON is kept, routed)."""
+def parse_messages(messages: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """JSON value -> the 12 event columns plus ``failure_reason`` (C5: bad JSON is kept, routed).
+
+    ``keep`` names further columns to carry along; they must not be named like an event's.
+    """
     j = F.from_json(F.col("value"), _PARSE_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
-    parsed = messages.select(F.col("value"), j.alias("m"))
+    keep = keep or []
+    parsed = messages.select(*keep, F.col("value"), j.alias("m"))
     cols = [F.col(f"m.{c}").alias(c) for c in P.EVENT_COLUMNS]
     broken = F.col(f"m.{CORRUPT}").isNotNull() | F.col("m").isNull()
-    out = parsed.select("value", *cols, broken.alias("_broken"))
+    out = parsed.select(*keep, "value", *cols, broken.alias("_broken"))
     reason = F.when(F.col("_broken"), F.lit(REASON_MALFORMED_JSON)).otherwise(P.failure_reason(out))
     return out.withColumn("failure_reason", reason).drop("_broken")
 
@@ -113,21 +130,80 @@ def batch_folder(root: str, batch: DataFrame, batch_id: int) -> str:
     return f"{root}/query={query}/batch_id={batch_id}"
 
 
-def land_batch(raw_root: str, dead_root: str):
-    """The ``foreachBatch`` function: valid rows -> raw Parquet, the rest -> dead letters."""
+def _ledger_file(raw_root: str, query: str, batch_id: int) -> str:
+    return f"{raw_root}/_ledger/{query}-{batch_id:012d}.json"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of a Hadoop path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def write_entry(spark: SparkSession, path: str, entry: dict) -> None:
+    """Write a small file so that it appears whole or not at all."""
+    fs, target = _hadoop(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(json.dumps(entry).encode()))
+    out.close()
+    if not fs.rename(draft, target):
+        raise RuntimeError(f"ledger entry {path} was not written")
+
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _hadoop(spark, path)
+    return fs.exists(target)
+
+
+def read_entry(spark: SparkSession, path: str) -> dict | None:
+    """A file that ``write_entry`` has written, or None."""
+    return json.loads(spark.read.option("wholetext", True).text(path).first()[0]) if exists(spark, path) else None
+
+
+def land_batch(raw_root: str, dead_root: str, after: Callable[[str, int], None] | None = None):
+    """The ``foreachBatch`` function: valid rows -> raw Parquet, the rest -> dead letters, then the ledger.
+
+    ``after`` is called with the step that was done ("written", "ledgered") and the batch; tests use it
+    to stop a query at that point.
+    """
     def _fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        folder = batch_folder(raw_root, batch, batch_id)
+        query = folder.split("/query=")[-1].split("/")[0]
+        fs, entry = _hadoop(spark, _ledger_file(raw_root, query, batch_id))
+        if fs.exists(entry):                  # landed by a run that ended before the engine's commit
+            return
         valid = conform_landed(batch.filter(F.col("failure_reason").isNull()))
-        valid.write.mode("overwrite").parquet(batch_folder(raw_root, batch, batch_id))
+        valid.write.mode("overwrite").parquet(folder)
         dead = batch.filter(F.col("failure_reason").isNotNull())
         dead_letter_values(dead).write.mode("overwrite").text(batch_folder(dead_root, batch, batch_id))
+        if after:
+            after("written", batch_id)
+        names = [s.getPath().getName() for s in fs.listStatus(_hadoop(spark, folder)[1])]
+        write_entry(spark, _ledger_file(raw_root, query, batch_id),
+                     {"query": query, "batch_id": batch_id, "files": sorted(n for n in names if n.startswith("part-"))})
+        if after:
+            after("ledgered", batch_id)
 
     return _fn
 
 
+def read_ledger(spark: SparkSession, raw_root: str) -> DataFrame:
+    """The batches that have landed: query, batch_id, files."""
+    return spark.read.schema("query string, batch_id long, files array<string>").json(f"{raw_root}/_ledger")
+
+
 def read_landed(spark: SparkSession, raw_root: str) -> DataFrame:
-    """Everything landed under a root, whichever queries and batches wrote it."""
-    return spark.read.schema(LANDED_SCHEMA).parquet(raw_root).select(*LANDED_SCHEMA.fieldNames())
+    """Everything landed under a root, whichever queries and batches wrote it; batches without a ledger
+    entry are still being written and are left out."""
+    last = {r["query"]: r["last"] for r in read_ledger(spark, raw_root).groupBy("query").agg(
+        F.max("batch_id").alias("last")).collect()}            # one row per query that ever landed here
+    rows = spark.read.schema(_LANDED_PARTITIONED).parquet(raw_root)
+    done = F.lit(False)
+    for query, batch in last.items():
+        done = done | ((F.col("query") == query) & (F.col("batch_id") <= batch))
+    return rows.filter(done).select(*LANDED_SCHEMA.fieldNames())
 
 
 def compact_landed(spark: SparkSession, raw_root: str) -> int:
@@ -176,10 +252,11 @@ def _swap(fs, path, query, merged: str) -> None:
 
 def start_landing(spark: SparkSession, source: str, raw_root: str, dead_root: str, checkpoint: str,
                   fmt: str = "text", options: dict | None = None, policy: FlushPolicy = FlushPolicy(),
-                  drain: bool = False, query_name: str | None = None) -> StreamingQuery:
+                  drain: bool = False, query_name: str | None = None,
+                  after: Callable[[str, int], None] | None = None) -> StreamingQuery:
     """Start the landing stream; ``drain=True`` consumes what is available and stops."""
     routed = parse_messages(read_messages(spark, source, fmt, options, policy))
-    w = (routed.writeStream.foreachBatch(land_batch(raw_root, dead_root))
+    w = (routed.writeStream.foreachBatch(land_batch(raw_root, dead_root, after))
                .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
@@ -189,9 +266,9 @@ def start_landing(spark: SparkSession, source: str, raw_root: str, dead_root: st
 
 def drain(spark: SparkSession, source: str, raw_root: str, dead_root: str, checkpoint: str,
           fmt: str = "text", options: dict | None = None, policy: FlushPolicy = FlushPolicy(),
-          timeout_s: float | None = None) -> None:
+          timeout_s: float | None = None, after: Callable[[str, int], None] | None = None) -> None:
     """Land everything available now, then return (replaces fixed sleeps and threads)."""
-    q = start_landing(spark, source, raw_root, dead_root, checkpoint, fmt, options, policy, drain=True)
+    q = start_landing(spark, source, raw_root, dead_root, checkpoint, fmt, options, policy, drain=True, after=after)
     finish(q, timeout_s)
 
 

@@ -9,13 +9,16 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tardy.session import scratch_path
+from tardy.sources import fixtures as X
 from tardy.sources import messages as P
-from tardy.sources import parquet as IO
+from tardy.streaming import flushing as FL
 from tardy.streaming import landing as SL
+from tardy.streaming import messagelog as ML
 from tardy.streaming import stateful as ST
 
 BATCHES = 8
@@ -57,12 +60,16 @@ def replay_landing(spark: SparkSession, events: DataFrame) -> tuple[DataFrame, D
     return SL.read_landed(spark, f"{root}/raw"), spark.read.text(f"{root}/dead")
 
 
+# The fixture's messages span a month and are replayed in any order: no departure is late.
+REPLAY_HORIZON_DAYS = 400
+
+
 def replay_clean(spark: SparkSession, events: DataFrame, batches: int = BATCHES) -> DataFrame:
-    """J5 over ``events`` in ``batches`` micro-batches; the stored, deduplicated departures."""
+    """J5 over ``events`` in ``batches`` micro-batches; the deduplicated departures."""
     root = _workdir(spark, "clean")
     files = write_message_files(events, f"{root}/in")
-    SL.finish(ST.start_stream_clean(spark, received(spark, f"{root}/in", max(1, files // batches)), root))
-    return IO.scan_processed(spark, f"{root}/processed")
+    ST.drain_stream(received(spark, f"{root}/in", max(1, files // batches)), root, REPLAY_HORIZON_DAYS, with_mart=False)
+    return ST.read_departures(spark, root)
 
 
 def replay_mart(spark: SparkSession, events: DataFrame, batches: int = BATCHES, twice: bool = False) -> DataFrame:
@@ -72,5 +79,112 @@ def replay_mart(spark: SparkSession, events: DataFrame, batches: int = BATCHES,
     files = write_message_files(events, f"{root}/in")
     if twice:
         files += write_message_files(events, f"{root}/in", mode="append")
-    SL.finish(ST.start_stream_mart(spark, received(spark, f"{root}/in", max(1, files // batches)), root))
-    return spark.read.parquet(f"{root}/warehouse/mart_delay_summary")
+    ST.drain_stream(received(spark, f"{root}/in", max(1, files // batches)), root, REPLAY_HORIZON_DAYS)
+    return ST.read_mart(spark, root)
+
+
+def replay_late(spark: SparkSession, first: DataFrame, then: DataFrame, horizon_days: int) -> DataFrame:
+    """J5 over two deliveries, one micro-batch each: the dead letters of the late departures."""
+    root = _workdir(spark, "late")
+    for part in (first, then):
+        write_message_files(part, f"{root}/in", mode="append")
+        ST.drain_stream(received(spark, f"{root}/in", 10_000), root, horizon_days, with_mart=False)
+    return ST.read_late(spark, root)
+
+
+def log_messages(events: DataFrame) -> DataFrame:
+    """Fixture events (with ``event_id`` and copy number ``n``) as messages of a log with four partitions."""
+    value = F.to_json(F.struct(*P.EVENT_COLUMNS), {"ignoreNullFields": "false"})
+    return events.select(F.expr("cast(event_id % 4 as int)").alias("partition"),
+                         F.expr("2 * (event_id div 4) + n").alias("offset"), F.col("station_id").alias("key"),
+                         value.alias("value"), F.timestamp_millis(X.arrival_ms()).alias("timestamp"))
+
+
+def _kept(spark: SparkSession, frame: DataFrame, root: str, mode: str = "append") -> None:
+    """Drain a stream into folders by batch."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+
+    SL.finish(frame.writeStream.outputMode(mode).foreachBatch(run).option("checkpointLocation", f"{root}/checkpoint")
+              .trigger(availableNow=True).start())
+
+
+def _in_two_parts(spark: SparkSession, events: DataFrame, tag: str, frame, mode: str = "append") -> DataFrame:
+    """Append half of the messages to a log, drain it, append the rest and drain again."""
+    root = _workdir(spark, tag)
+    messages = log_messages(events)
+    middle = ML.SEGMENT_SPAN
+    for half in (messages.filter(F.col("offset") < middle), messages.filter(F.col("offset") >= middle)):
+        ML.append_messages(half, f"{root}/log")
+        _kept(spark, frame(ML.consume(spark, f"{root}/log")), root, mode)
+    return spark.read.parquet(f"{root}/out").drop("batch_id")
+
+
+def replay_consume(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """A10: every message of the log once, at its place, parsed and judged."""
+    def parsed(messages: DataFrame) -> DataFrame:
+        judged = SL.parse_messages(messages.select("value", F.struct("partition", "offset", "key").alias("place")), ["place"])
+        return judged.select("place.*", "failure_reason", *P.EVENT_COLUMNS)
+
+    return _in_two_parts(spark, events, "consume", parsed)
+
+
+def replay_flushes(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """One row per flush: partition, flush_no, messages, first and last offset."""
+    numbered = _in_two_parts(spark, events, "flush", FL.flush_numbers, "update")
+    return numbered.groupBy("partition", "flush_no").agg(
+        F.count(F.lit(1)).alias("messages"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"))
+
+
+def truncated(events: DataFrame) -> DataFrame:
+    """Messages (value) of which every 29th is cut off after 30 characters."""
+    text = F.to_json(F.struct(*P.EVENT_COLUMNS), {"ignoreNullFields": "false"})
+    return events.select(F.when(F.expr("event_id % 29 = 7"), F.substring(text, 1, 30)).otherwise(text).alias("value"))
+
+
+def replay_malformed(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """The dead letters of messages that are no JSON: reason and text as received."""
+    root = _workdir(spark, "malformed")
+    truncated(events).write.text(f"{root}/in")
+    SL.drain(spark, f"{root}/in", f"{root}/raw", f"{root}/dead", f"{root}/ck", policy=SL.FlushPolicy(files_per_trigger=10_000))
+    letter = F.from_json("value", "failure_reason string, original_text string")
+    rows = spark.read.text(f"{root}/dead").select(letter.alias("x")).select("x.*")
+    return rows.filter(F.col("failure_reason") == SL.REASON_MALFORMED_JSON).select(
+        "failure_reason", F.get_json_object("original_text", "$.text").alias("text"))
+
+
+def replay_drain(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """Rows that one drain lands and rejects."""
+    root = _workdir(spark, "drain")
+    write_message_files(events, f"{root}/in")
+    SL.drain(spark, f"{root}/in", f"{root}/raw", f"{root}/dead", f"{root}/ck", policy=SL.FlushPolicy(files_per_trigger=4))
+    landed = SL.read_landed(spark, f"{root}/raw").agg(F.count(F.lit(1)).alias("rows")).withColumn("sink", F.lit("raw"))
+    dead = spark.read.text(f"{root}/dead").agg(F.count(F.lit(1)).alias("rows")).withColumn("sink", F.lit("dead_letters"))
+    return landed.unionByName(dead)
+
+
+class Stopped(RuntimeError):
+    """A replay was stopped on purpose."""
+
+
+def replay_resume(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """A landing stopped once after a batch's write, before its ledger entry, and once after the entry,
+    before the engine's commit; then restarted and drained. Everything that landed."""
+    root = _workdir(spark, "resume")
+    files = write_message_files(events, f"{root}/in")
+    policy = SL.FlushPolicy(files_per_trigger=max(1, files // BATCHES))
+
+    def stop_at(step: str, batch: int):
+        def after(done: str, batch_id: int) -> None:
+            if (done, batch_id) == (step, batch):
+                raise Stopped(f"{step} {batch}")
+
+        return after
+
+    for after in (stop_at("written", 1), stop_at("ledgered", 2), None):
+        try:
+            SL.drain(spark, f"{root}/in", f"{root}/raw", f"{root}/dead", f"{root}/ck", policy=policy, after=after)
+        except StreamingQueryException as e:
+            if Stopped.__name__ not in str(e):
+                raise
+    return SL.read_landed(spark, f"{root}/raw")
