@@ -19,10 +19,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import functions as F
 
-from tardy.llm.common import bounded_batches
+from tardy.llm.common import bounded_batches, once_per_worker
 
 NEVER = 1 << 60
-CACHE_WORDS = 200_000         # distinct words a worker remembers before it starts afresh
+CACHE_WORDS = 400_000         # distinct words a worker remembers before it starts afresh
 CACHE_PAIRS = 500_000         # likewise for token pairs
 
 
@@ -265,7 +265,7 @@ def _groups(texts: pa.Array, limit: int = 2 << 20) -> Iterator[list[str]]:
 def encode_udf(path: str):
     """Column function: text -> array<int> of token ids (null text: no ids)."""
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tok = WordTokenizer(path)
+        tok = once_per_worker(("word tokenizer", path), lambda: WordTokenizer(path))
         for texts in batches:
             rows = [r for group in _groups(texts) for r in tok.encode_batch(group)]
             ends = np.cumsum([0] + [len(r) // 4 for r in rows])
@@ -278,7 +278,7 @@ def encode_udf(path: str):
 def decode_udf(path: str):
     """Column function: array<int> of token ids -> text (null or empty: the empty text)."""
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        names = Decoder(path)
+        names = once_per_worker(("decoder", path), lambda: Decoder(path))
         for ids in batches:
             yield pa.array([names.decode(row.values.to_numpy(zero_copy_only=False).tolist()) if row.is_valid else ""
                             for row in ids], pa.string())
@@ -286,6 +286,28 @@ def decode_udf(path: str):
     return F.arrow_udf(decode, "string")
 
 
+def round_trip_udf(path: str):
+    """Column function: text -> struct of ids and decoded, the text of those ids, by one worker."""
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tok = once_per_worker(("word tokenizer", path), lambda: WordTokenizer(path))
+        names = once_per_worker(("decoder", path), lambda: Decoder(path))
+        for texts in batches:
+            rows = [r for group in _groups(texts) for r in tok.encode_batch(group)]
+            ends = np.cumsum([0] + [len(r) // 4 for r in rows])
+            flat = np.frombuffer(b"".join(rows), dtype="<i4")
+            decoded = pa.array([names.decode(np.frombuffer(r, dtype="<i4").tolist()) for r in rows], pa.string())
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+            yield pa.StructArray.from_arrays([ids, decoded], names=["ids", "decoded"])
+
+    return F.arrow_udf(both, "struct<ids: array<int>, decoded: string>")
+
+
+def round_trip(docs, path: str, text_col: str = "text", out_col: str = "coded"):
+    """``docs`` with the struct ``out_col`` of each whole text's ids and the text that they decode to."""
+    bounded_batches(docs.sparkSession)
+    return docs.withColumn(out_col, round_trip_udf(path)(F.col(text_col).cast("string")))
+
+
 def encode(docs, path: str, text_col: str = "text", out_col: str = "ids"):
     """``docs`` with the ids of every whole text in ``out_col``. Null texts encode to no ids."""
     bounded_batches(docs.sparkSession)

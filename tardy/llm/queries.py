@@ -33,7 +33,7 @@ LISTED_HOSTS = tuple(f"{n}.{e}" for n in LISTED_NAMES for e in LISTED_ENDS)
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, path), path)
+    coded = bpe.round_trip(docs, path).select("doc_id", "coded.*")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
