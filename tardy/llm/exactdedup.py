@@ -40,7 +40,7 @@ def _bucketed(classes: DataFrame, buckets: int) -> DataFrame:
 
 def build_filters(classes: DataFrame, buckets: int) -> DataFrame:
     """One binary fuse filter per bucket of an immutable snapshot's digest classes."""
-    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         seed, n, cells = fusefilter.build(pdf["key"].to_numpy())
         return pd.DataFrame({"bucket": [key[0]], "seed": [seed], "n": [n], "cells": [cells]})
 
@@ -48,8 +48,11 @@ def build_filters(classes: DataFrame, buckets: int) -> DataFrame:
 
 
 def screen(classes: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
-    """Add ``hit``: may the snapshot hold this digest? Never false for one that it holds."""
-    def one(key, rows: pd.DataFrame, filt: pd.DataFrame) -> pd.DataFrame:
+    """Add ``hit``: may the snapshot hold this digest? Never false for one that it holds.
+
+    Ids pass the workers as text: a null beside 64-bit numbers would turn them all into doubles there.
+    """
+    def one(key: tuple, rows: pd.DataFrame, filt: pd.DataFrame) -> pd.DataFrame:
         out = rows[["digest", "n", "keep_id"]].copy()
         out["hit"] = False
         if len(filt) and len(rows):
@@ -57,9 +60,11 @@ def screen(classes: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
             out["hit"] = fusefilter.contains(int(f["seed"]), int(f["n"]), f["cells"], rows["key"].to_numpy())
         return out
 
-    id_type = classes.schema["keep_id"].dataType.simpleString()
-    return (_bucketed(classes, buckets).groupBy("bucket").cogroup(filters.groupBy("bucket"))
-            .applyInPandas(one, f"digest binary, n long, keep_id {id_type}, hit boolean"))
+    id_type = classes.schema["keep_id"].dataType
+    sent = _bucketed(classes.withColumn("keep_id", F.col("keep_id").cast("string")), buckets)
+    screened = sent.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInPandas(
+        one, "digest binary, n long, keep_id string, hit boolean")
+    return screened.withColumn("keep_id", F.col("keep_id").cast(id_type))
 
 
 def merged_classes(old: DataFrame, new: DataFrame, buckets: int) -> DataFrame:

@@ -91,6 +91,13 @@ def test_bpe_equals_the_library_and_decodes_back(docs):
         assert r["decoded"] == tok.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_in_one_pass_is_both_steps(docs, empty):
+    two = bpe.decode(bpe.encode(docs.select("doc_id", "text"), WORD_PATH), WORD_PATH)
+    one = bpe.round_trip(docs.select("doc_id", "text"), WORD_PATH).select("doc_id", "text", "coded.*")
+    assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, two.collect()), key=str)
+    assert bpe.round_trip(empty, WORD_PATH).count() == 0
+
+
 def test_bpe_on_random_characters():
     rnd = random.Random(7)
     tok, own = Tokenizer.from_file(WORD_PATH), bpe.WordTokenizer(WORD_PATH)
@@ -358,6 +365,19 @@ def test_exact_dedup_equals_grouping(docs, loose, empty):
     assert {r["keep_id"] for r in rows if r["doc_id"] is None} == {max(groups[texts[6]]), max(groups[""])}
 
 
+def test_exact_dedup_keeps_every_row_with_large_ids_beside_null_ones(spark):
+    big = 2**53
+    rows = [(big + 1, "a"), (big + 2, "a"), (big + 3, "b"), (big + 5, "c"), (big + 9, "c"), (None, "d"), (None, "d"), (None, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    new = docs.filter(f"doc_id > {big + 2} or doc_id is null")
+    for parts in (exactdedup.split_by_age(docs), (docs.filter(f"doc_id <= {big + 2}"), new), (docs.limit(0), docs)):
+        got = exactdedup.exact_dedup(*parts).collect()
+        assert len(got) == len(rows)
+        assert sorted((r["doc_id"] or 0, r["keep_id"] or 0, r["group_size"], r["kept"]) for r in got) == sorted(
+            [(big + 1, big + 2, 2, False), (big + 2, big + 2, 2, True), (big + 3, big + 3, 2, True), (big + 5, big + 9, 2, False),
+             (big + 9, big + 9, 2, True), (0, 0, 2, True), (0, 0, 2, True), (0, big + 3, 2, False)])
+
+
 def test_fuse_filter_never_misses():
     rng = np.random.default_rng(0)
     for n in (0, 1, 2, 3, 10, 1000, 20_000):

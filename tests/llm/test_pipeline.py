@@ -51,6 +51,24 @@ def test_pipeline_on_nulls_and_an_empty_table(spark):
         assert table.count() >= 0
 
 
+def test_one_copy_of_every_text_reaches_the_end(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 40 and length(text) > 400").cache()
+    columns = docs.columns
+    twice = docs.filter("doc_id % 4 = 0")                                   # rows that repeat an id and its text
+    nameless = docs.filter("doc_id % 4 = 1").withColumn("doc_id", F.lit(None).cast("long"))
+    table = docs.filter("doc_id % 4 <> 1")
+    for more in (twice, nameless, nameless):
+        table = table.unionByName(more.select(columns))
+    want = {r["text"] for r in table.collect()}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        table = stored(stage(spark, table, SF), f"test-one-{name}")
+        if name == "exact_dedup":
+            texts = [r["text"] for r in table.collect()]
+            assert len(texts) == len(set(texts)) and set(texts) == want
+    kept = [r["text"] for r in table.collect()]
+    assert len(kept) == len(set(kept)) and len(kept) >= len(want) - 5       # near copies among the few
+
+
 def test_language_stage_keeps_mixed_text_and_needs_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     some = {r["lang"]: r["text"] for r in docs.filter("length(text) > 1500 and lang is not null").collect()}
