@@ -28,16 +28,31 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest doc_id stays."""
+    """Of equal texts one row stays, that with the largest doc_id.
+
+    Rows that repeat an id and its text, or copies that all lack an id, are told apart by nothing but
+    their place: one of them stays. Null text counts as empty.
+    """
     decided = exactdedup.exact_dedup(*exactdedup.split_by_age(docs))
-    stay = decided.filter("kept").select(F.struct("doc_id", "digest").alias("__stay")).distinct()
+    stay = stored(decided.filter("kept").groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("__rows")), "pipeline-stay")
     key = F.struct(F.col("doc_id"), F.unhex(F.sha2(text_or_empty(), 256)).alias("digest"))
     marked = docs.withColumn("__key", key)
-    return marked.join(by_shuffle(stay), F.col("__key") == F.col("__stay"), "left_semi").select(*docs.columns)
+
+    def among(some: DataFrame) -> DataFrame:
+        return marked.join(by_shuffle(some.select(F.struct("doc_id", "digest").alias("__stay"))),
+                           F.col("__key") == F.col("__stay"), "left_semi")
+
+    if not stay.filter("__rows > 1").head(1):
+        return among(stay).select(*docs.columns)
+    once = among(stay.filter("__rows > 1")).dropDuplicates(["__key"])         # combined in each task first
+    return among(stay.filter("__rows = 1")).unionByName(once).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays."""
+    """Of each group of near copies the document with the smallest doc_id stays.
+
+    Rows without a doc_id are linked with nothing and stay; the stage before has left one row of each text.
+    """
     gone = minhash.near_dedup(docs).filter("doc_id is not null and not kept").select("doc_id").distinct()
     return docs.join(by_shuffle(gone), "doc_id", "left_anti").select(*docs.columns)
 
