@@ -147,6 +147,8 @@ def write_entry(spark: SparkSession, path: str, entry: dict) -> None:
     out = fs.create(draft, True)
     out.write(bytearray(json.dumps(entry).encode()))
     out.close()
+    if fs.exists(target):                     # of the same batch, by a run that ended before the engine's commit
+        fs.delete(target, False)
     if not fs.rename(draft, target):
         raise RuntimeError(f"ledger entry {path} was not written")
 
