@@ -11,7 +11,7 @@ repeated.
 
 What a fold changes is written as rows of two kinds: ``in`` (a copy that is now the best) and ``out`` (the
 copy it replaces, which the state knows by the gate's batch numbers). The mart is kept as counts per (station,
-hour, delay, canceled) and per (station, name): each fold appends its changes (+1 for ``in``, -1 for ``out``) and the
+name, hour, delay, canceled): each fold appends its changes (+1 for ``in``, -1 for ``out``) and the
 mart is aggregated from the sums, which also gives a maximum that can fall. Every batch writes folders
 named by its number, with overwrite, so a replayed batch replaces its own rows; no stored departure is ever
 read back.
@@ -39,8 +39,7 @@ HORIZON_DAYS = 2
 
 COPY_COLUMNS = C.DEDUP_ORDER                 # a copy without its key, in the order that decides
 COLUMNS = [*DEDUP_KEY, *COPY_COLUMNS]
-_HOUR_KEYS = ["station_id", "departure_hour", "delay_seconds", "canceled"]
-_NAME_KEYS = ["station_id", "station_name"]
+_COUNT_KEYS = ["station_id", "station_name", "departure_hour", "delay_seconds", "canceled"]
 
 
 def ready_events(events: DataFrame) -> DataFrame:
@@ -81,8 +80,9 @@ def _gate_batch(root: str, horizon_days: int, fold_each: bool, with_mart: bool):
             rows = rows.observe(seen, F.max(arrived).alias("us"))
             folder = f"{root}/arrived/batch_id={batch_id}"
             rows.write.mode("overwrite").partitionBy("late").parquet(folder)
-            late = spark.read.schema(_schema(spark, "late boolean")).parquet(folder).filter("late")
-            _dead_letters(late).write.mode("overwrite").text(f"{root}/dead_letters/batch_id={batch_id}")
+            if SL.exists(spark, f"{folder}/late=true"):
+                late = spark.read.schema(_schema(spark)).parquet(f"{folder}/late=true")
+                _dead_letters(late).write.mode("overwrite").text(f"{root}/dead_letters/batch_id={batch_id}")
             SL.write_entry(spark, _ledger(root, "gate", batch_id), {"clock_us": max(clock, seen.get["us"] or 0)})
         if fold_each:
             SL.finish(_fold(spark, root, with_mart))
@@ -135,9 +135,8 @@ def _fold_batch(root: str, with_mart: bool):
         if with_mart:
             counted = C.derive(spark.read.schema(_schema(spark, "kind string")).parquet(folder))
             sign = F.when(F.col("kind") == "in", 1).otherwise(-1)
-            for name, keys in (("hours", _HOUR_KEYS), ("names", _NAME_KEYS)):
-                counted.groupBy(*keys).agg(F.sum(sign).alias("n")).filter("n <> 0") \
-                    .write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
+            counted.groupBy(*_COUNT_KEYS).agg(F.sum(sign).alias("n")).filter("n <> 0") \
+                .write.mode("overwrite").parquet(f"{root}/counts/batch_id={batch_id}")
         through = seen.get["through"]
         SL.write_entry(spark, _ledger(root, "fold", batch_id), {"through": before if through is None else max(before, through)})
 
@@ -145,8 +144,10 @@ def _fold_batch(root: str, with_mart: bool):
 
 
 def _fold(spark: SparkSession, root: str, with_mart: bool) -> StreamingQuery:
-    # read when the query starts, kept in its checkpoint from then on
+    # read when the query starts; what the clock has closed is dropped by the next batch that has rows
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     schema = _schema(spark, "closes timestamp", "clock timestamp", "batch_id long", "late boolean")
     arrived = spark.readStream.schema(schema).parquet(f"{root}/arrived").filter("not late")
     return (changes(arrived).writeStream.outputMode("update").foreachBatch(_fold_batch(root, with_mart))
@@ -186,16 +187,14 @@ def read_departures(spark: SparkSession, root: str, processed_at=None) -> DataFr
 
 def read_late(spark: SparkSession, root: str) -> DataFrame:
     """The copies that came too late, as dead letters (value)."""
+    if not SL.exists(spark, f"{root}/dead_letters"):
+        return spark.createDataFrame([], "value string")
     return spark.read.text(f"{root}/dead_letters").select("value")
 
 
-def _summed(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    return spark.read.parquet(path).groupBy(*keys).agg(F.sum("n").alias("n")).filter("n > 0")
-
-
 def read_mart(spark: SparkSession, root: str) -> DataFrame:
     """The mart over all departures received so far."""
-    hist = _summed(spark, f"{root}/hours", _HOUR_KEYS)
+    hist = spark.read.parquet(f"{root}/counts").groupBy(*_COUNT_KEYS).agg(F.sum("n").alias("n")).filter("n > 0")
     tenths = S.tenths(S.delay_minutes("delay_seconds"))
     sums = hist.groupBy("station_id", "departure_hour").agg(
         F.sum("n").alias("total_departures"),
@@ -204,5 +203,4 @@ def read_mart(spark: SparkSession, root: str) -> DataFrame:
         F.sum(F.col("delay_seconds") * F.col("n")).alias("_ss"), F.sum("n").alias("_ns"),
         F.sum(tenths * F.col("n")).alias("_tm"), F.sum("n").alias("_nm"),
         F.max(F.col("delay_seconds").cast("int")).alias("max_delay_seconds"))
-    names = _summed(spark, f"{root}/names", _NAME_KEYS).select("station_id", "station_name")
-    return M.mart_from_sums(sums, M.dim_stations(names), M.dim_time(spark))
+    return M.mart_from_sums(sums, M.dim_stations(hist), M.dim_time(spark))
