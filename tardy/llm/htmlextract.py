@@ -27,7 +27,7 @@ from tardy.llm.common import bounded_batches
 
 # Element names by how a page uses them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math object noembed noframes".split())
+RAW = frozenset("script style noscript template iframe textarea title svg noembed noframes".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody "
@@ -37,7 +37,7 @@ SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",
             "th": ("td", "th"), "option": ("option",), "tbody": ("tr", "td", "th", "thead", "tbody"),
             "tfoot": ("tr", "td", "th", "tbody")}
 SCOPES = frozenset("table ul ol dl body html article main".split())
-NEVER = frozenset("head nav footer aside button select input label dialog menu audio video canvas".split())
+NEVER = frozenset("head nav footer aside button select input dialog menu audio video canvas".split())
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu "
                         "menubar toolbar tablist".split())
 NEVER_NAMES = frozenset(
@@ -105,25 +105,27 @@ def parse(page: str) -> Node:
     """Tree of a page; end tags that authors leave out are supplied, stray ones ignored."""
     root = Node("html", None)
     at, node, articles, n = 0, root, 0, len(page)
+    last = page.rfind(">")
+    # open elements below the root, by tag, and those that end a search; each with its depth
+    depth, by_tag, scopes, blocks = 0, {}, [], []
 
     def close(target):
-        nonlocal node, articles
+        nonlocal node, articles, depth
         while True:
             articles -= node.tag in ARTICLE
+            by_tag[node.tag].pop()
+            for held, tags in ((scopes, SCOPES), (blocks, BLOCK)):
+                if node.tag in tags:
+                    held.pop()
+            depth -= 1
             done, node = node is target, node.parent
             if done:
                 return
 
     def open_one(tags, scope):
-        """The nearest open element among ``tags``, not looking beyond ``scope``."""
-        x = node
-        while x is not root:
-            if x.tag in tags:
-                return x
-            if x.tag in scope:
-                return None
-            x = x.parent
-        return None
+        """The nearest open element among ``tags``, not looking beyond the nearest one in ``scope``."""
+        found = max((by_tag[t][-1] for t in tags if by_tag.get(t)), default=None, key=lambda x: x[0])
+        return found[1] if found and (not scope or found[0] >= scope[-1]) else None
 
     while at < n:
         lt = page.find("<", at)
@@ -132,6 +134,9 @@ def parse(page: str) -> Node:
             break
         if lt > at:
             node.parts.append(page[at:lt])
+        if lt > last:                           # no bracket closes any more: text, up to a comment
+            node.parts.append(page[lt:].split("<!--")[0])
+            break
         m = _TAG.match(page, lt)
         if not m:
             m = _LOOSE.match(page, lt)          # an unfinished quote: up to the next bracket
@@ -149,13 +154,13 @@ def parse(page: str) -> Node:
         if end:
             if tag not in ("html", "body"):
                 # an inline end tag never closes a block around it
-                found = open_one((tag,), SCOPES - {tag} if tag in BLOCK else BLOCK)
+                found = open_one((tag,), scopes if tag in BLOCK else blocks)
                 if found:
                     close(found)
             continue
-        if tag in ENDS_P and (found := open_one(("p",), BLOCK - {"p"})):
+        if tag in ENDS_P and (found := open_one(("p",), blocks)):
             close(found)
-        while tag in SIBLINGS and (found := open_one(SIBLINGS[tag], SCOPES)):
+        while tag in SIBLINGS and (found := open_one(SIBLINGS[tag], scopes)):
             close(found)
         if tag in ("html", "body") and node is not root:
             continue
@@ -167,7 +172,11 @@ def parse(page: str) -> Node:
                 at = stop.end() if stop else n
         elif tag not in VOID:
             articles += tag in ARTICLE
-            node = child
+            node, depth = child, depth + 1
+            by_tag.setdefault(tag, []).append((depth, child))
+            for held, tags in ((scopes, SCOPES), (blocks, BLOCK)):
+                if tag in tags:
+                    held.append(depth)
     return root
 
 

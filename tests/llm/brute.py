@@ -21,6 +21,19 @@ def shingles(text):
     return {tuple(ws[i:i + 5]) for i in range(len(ws) - 4)} if len(ws) >= 5 else {tuple(ws)}
 
 
+def joined(ids, links):
+    """id -> smallest id reachable over the links."""
+    low = {i: i for i in ids}
+    changed = True
+    while changed:
+        changed = False
+        for u, v in links:
+            least = min(low[u], low[v])
+            changed |= low[u] != least or low[v] != least
+            low[u] = low[v] = least
+    return low
+
+
 def near_components(texts):
     """id -> smallest id reachable over pairs with a similarity of 0.75 or more."""
     sets = {i: shingles(t) for i, t in texts.items()}

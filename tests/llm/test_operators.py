@@ -1,7 +1,9 @@
 """Operators against plain Python on small inputs with awkward rows."""
 
 import hashlib
+import itertools
 import random
+import time
 
 import brute
 import numpy as np
@@ -199,6 +201,13 @@ def test_near_dedup_links_a_chain_and_a_large_group(spark):
     assert got == brute.near_components(dict(rows))
 
 
+def in_blocks(members, errors=minhash.ERRORS):
+    """Both rounds of the blocks over members with everything they need."""
+    by_id = members.select("id", "sig", "sketch", "full").distinct()
+    placed = minhash.dealt(members.select("key", "id", "comp", "size")).join(by_id.drop("full"), "id")
+    return minhash.block_links(minhash.near_members(placed, errors).join(by_id.select("id", "full"), "id"), errors)
+
+
 def test_hamming_join_misses_no_pair_under_the_distance(spark):
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 16, minhash.SYMBOLS, dtype=np.uint16)
@@ -210,11 +219,15 @@ def test_hamming_join_misses_no_pair_under_the_distance(spark):
         rows.append((i, bytearray(sig.tobytes())))
     df = spark.createDataFrame(rows, "id long, sig binary")
     same = F.lit(bytearray(minhash.SKETCH // 8))              # sketches that rule nothing out
-    keyed = df.select("id", F.col("id").alias("comp"), "sig", same.alias("sketch"), F.explode(minhash.chunk_keys("sig")).alias("key"))
-    got = {(r["u"], r["v"]) for r in minhash.near_pairs(keyed).collect()}
+    one = F.lit(bytearray(np.arange(5, dtype=np.uint64).tobytes()))          # equal sets: all near pairs are links
+    keyed = df.select("id", F.col("id").alias("comp"), "sig", same.alias("sketch"), one.alias("full"), F.lit(5).alias("size"),
+                      F.explode(minhash.chunk_keys("sig")).alias("key")).cache()
     sigs = np.stack([np.frombuffer(bytes(s), np.uint16) for _, s in rows])
     want = {(i, j) for i in range(60) for j in range(i + 1, 60) if (sigs[i] != sigs[j]).sum() <= minhash.ERRORS}
-    assert got == want
+    got = {(r["u"], r["v"]) for r in in_blocks(keyed).collect()}
+    assert got <= want and brute.joined(range(60), got) == brute.joined(range(60), want)
+    for i, j in sorted(want)[::40]:                           # alone, each pair is found
+        assert [tuple(r) for r in in_blocks(keyed.filter(F.col("id").isin(i, j))).collect()] == [(i, j)]
 
 
 def test_near_dedup_links_pairs_beyond_the_distance_that_share_a_key(spark):
@@ -237,9 +250,27 @@ def test_blocks_keep_pairs_up_to_six_deviations(spark):
     rows = [(1, bytearray(sig.tobytes()), bytearray(minhash.SKETCH // 8)),
             (2, bytearray(far.tobytes()), bytearray(np.packbits(bits).tobytes()))]
     df = spark.createDataFrame(rows, "id long, sig binary, sketch binary")
-    keyed = df.select("id", F.col("id").alias("comp"), "sig", "sketch", F.explode(minhash.chunk_keys("sig")).alias("key"))
-    assert [tuple(r) for r in minhash.near_pairs(keyed, minhash.SHARED_ERRORS).collect()] == [(1, 2)]
-    assert minhash.near_pairs(keyed).count() == 0
+    one = F.lit(bytearray(np.arange(5, dtype=np.uint64).tobytes()))
+    keyed = df.select("id", F.col("id").alias("comp"), "sig", "sketch", one.alias("full"), F.lit(5).alias("size"),
+                      F.explode(minhash.chunk_keys("sig")).alias("key"))
+    assert [tuple(r) for r in in_blocks(keyed, minhash.SHARED_ERRORS).collect()] == [(1, 2)]
+    assert in_blocks(keyed).count() == 0
+
+
+@pytest.mark.parametrize("block", [7, 512])
+def test_a_key_with_many_nodes_gives_a_forest_of_true_links(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.choice(np.arange(k % 3 * 100, k % 3 * 100 + 40, dtype=np.uint64), 36, replace=False)) for k in range(90)]
+    sig, sketch = bytearray(np.arange(minhash.SYMBOLS, dtype=np.uint16).tobytes()), bytearray(minhash.SKETCH // 8)
+    rows = [(0, i, i, sig, sketch, bytearray(x.tobytes())) for i, x in enumerate(sets)]
+    df = spark.createDataFrame(rows, "key long, id long, comp long, sig binary, sketch binary, full binary")
+    got = [tuple(r) for r in in_blocks(df.withColumn("size", F.lit(36))).collect()]
+    want = {(i, j) for i in range(90) for j in range(i + 1, 90)
+            if 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))}
+    assert set(got) <= want and brute.joined(range(90), got) == brute.joined(range(90), want)
+    blocks = -(-90 // block)
+    assert len(got) < 90 * blocks and (block < 90 or len(got) <= 90 - 3)
 
 
 def test_sketches_of_linked_sets_are_close():
@@ -314,6 +345,28 @@ def test_language_id_learns_and_labels_spans(spark, docs, empty):
     assert langid.identify(empty, model).count() == 0
 
 
+def test_labels_are_the_best_of_all_paths():
+    rnd, alphabet = random.Random(8), langid.Alphabet()
+    pieces = {"aa": "tion ing the and", "bb": "que los ñez ción", "cc": "der und sch ung"}
+    cells = []
+    for lang, text in pieces.items():
+        words = langid.Words(alphabet, [text])
+        for order in range(langid.ORDERS):
+            cells += [(lang, order, int(b), 3) for b in words.features[order].tolist()]
+        cells += [(lang, langid.ORDERS, int(k), 10) for k in set(words.script.tolist())]
+    model = langid.Model(cells)
+    for _ in range(40):
+        text = " ".join(rnd.choice(" ".join(pieces.values()).split()) for _ in range(rnd.randint(1, 7)))
+        words = langid.Words(alphabet, [text])
+        emit = model.word_scores(words).astype(float)
+
+        def worth(path):
+            return sum(emit[t, k] for t, k in enumerate(path)) - langid.SWITCH * sum(a != b for a, b in itertools.pairwise(path))
+
+        best = max(map(worth, itertools.product(range(3), repeat=len(emit))))
+        assert worth(model.labels(words).tolist()) == pytest.approx(best, abs=1e-3)
+
+
 def test_scripts_narrow_the_candidates():
     cells = []
     alphabet = langid.Alphabet()
@@ -472,6 +525,19 @@ def test_html_named_parts_stay_out_beside_an_article():
     assert htmlextract.extract(page) == prose(70, 60)
 
 
+def test_html_article_keeps_formulas_labels_and_objects():
+    page = "<body><nav>menu</nav><article><p>Let <math>x</math> be <label>one</label> and <object>two</object>.</p></article></body>"
+    assert htmlextract.extract(page) == "Let x be one and two."
+
+
+@pytest.mark.parametrize("page", ["<b>" * 40_000 + "text" + "</i>" * 40_000, "<i><div>" + "<b>" * 40_000 + "text" + "</i>" * 40_000,
+                                  "text" + "<a " * 40_000, "<p>" * 40_000 + "text", "text" + "<" * 40_000])
+def test_html_takes_time_in_proportion_to_the_page(page):
+    begin = time.perf_counter()
+    assert "text" in htmlextract.extract(page)
+    assert time.perf_counter() - begin < 20                  # minutes where every tag walks all open ones
+
+
 def test_html_table(spark):
     rows = [(1, "u", None, 3), (2, None, "", 3), (None, "v", "<article><p>t</article>", 3), (1, "u", None, 3)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
