@@ -12,19 +12,21 @@ from pyspark.sql import functions as F
 from tardy.llm.common import by_shuffle, stored
 
 MAX_ROUNDS = 60
+EDGES_AT_ONCE = 2000          # of a partition: few edges go into few partitions, as a round is many short stages
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+def _large_star(edges: DataFrame, parts: int) -> DataFrame:
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).repartition(parts, "u")
     low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     moved = both.filter("v > u").join(by_shuffle(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.filter("u != v").distinct()
+    return moved.filter("u != v")
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, parts: int) -> DataFrame:
+    edges = edges.repartition(parts, "u").distinct()
     low = edges.groupBy("u").agg(F.min("v").alias("m"))       # every edge points down: u > v
     moved = edges.join(by_shuffle(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
-    return moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+    return moved.unionByName(low.select("u", F.col("m").alias("v"))).repartition(parts, "u").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -35,9 +37,10 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges = stored(edges.filter("u != v").distinct(), "edges")
-    before = None
+    most = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    before, parts = None, min(most, 4 + edges.count() // EDGES_AT_ONCE)
     for _ in range(MAX_ROUNDS):
-        edges = stored(_small_star(_large_star(edges)), "edges")
+        edges = stored(_small_star(_large_star(edges, parts), parts), "edges")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == before:
             stars = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))

@@ -13,10 +13,10 @@ Large groups under one key are never expanded into pairs:
    edited copies), and each node is compared with the leader it meets most often; confirmed links
    are contracted to components;
 3. keys whose nodes are still in several components are compared in blocks of signatures on the
-   executors (numpy, no rows made). A pair of different components that is near there, and whose
-   one-bit sketches of ``SKETCH`` further hashes do not rule a link out, leaves the block once,
-   under the first key it shares, to be confirmed. Pairs inside a component need no check:
-   membership is what is asked for.
+   executors (numpy, no rows made). Nodes that have a near one of another component there, which
+   one-bit sketches of ``SKETCH`` further hashes do not rule out, meet again in the same blocks with their
+   full sets; pairs are confirmed there, under the first key they share, and what leaves a block is a spanning
+   forest of its links. Pairs inside a component need no check: membership is what is asked for.
 
 At a similarity of 0.75 a signature differs in 12 of 48 symbols on average (deviation 3). The
 distance of 23 is exceeded by 1 pair in 6,010 at the threshold itself (binomial tail 1.66e-4; at
@@ -44,6 +44,7 @@ ERRORS = 2 * CHUNKS - 1           # at most one wrong symbol in some chunk
 # pairs that share a key: a quarter of the symbols differ at the threshold; six deviations more
 SHARED_ERRORS = int(SYMBOLS / 4 + 6 * (SYMBOLS * 3 / 16) ** 0.5)
 BLOCK = 512                       # signatures compared with each other at once
+BLOCK_BYTES = 16 << 20            # or so many bytes of shingle sets
 SIMILAR, OF = 75, 100             # link when OF * intersection >= SIMILAR * union
 SKETCH = 2048                     # one-bit minimum hashes of a sketch
 # differing bits of a linked pair: an eighth of them on average; six deviations more
@@ -152,9 +153,7 @@ def similar(x: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for left, right in x:
         out = []
         for at, texts in row_blocks(left):
-            for p, q in zip(shingle_sets(hasher, texts), shingle_sets(hasher, right.slice(at, len(texts))), strict=True):
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                out.append(bool(both) and OF * both >= SIMILAR * (len(p) + len(q) - both))
+            out += map(linked, shingle_sets(hasher, texts), shingle_sets(hasher, right.slice(at, len(texts))))
         yield pa.array(out, pa.bool_())
 
 
@@ -171,6 +170,19 @@ def sketched(texts: DataFrame) -> DataFrame:
     return texts.select("id", F.arrow_udf(run, T.BinaryType())("text").alias("sketch"))
 
 
+def shingled(texts: DataFrame) -> DataFrame:
+    """(id, full) of nodes with a text: the whole shingle set, sorted."""
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        hasher = WordHasher(seed=1, lower=True)
+        for batch in batches:
+            rows = []
+            for _, some in row_blocks(batch):
+                rows += [s.tobytes() for s in shingle_sets(hasher, some)]
+            yield pa.array(rows, pa.binary())
+
+    return texts.select("id", F.arrow_udf(run, T.BinaryType())("text").alias("full"))
+
+
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (u, v) whose texts are linked; ``texts`` has one row (id, text) per node."""
     left = texts.select(F.col("id").alias("u"), F.col("text").alias("u_text"))
@@ -179,19 +191,25 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return met.filter(similar("u_text", "v_text")).select("u", "v")
 
 
-def near_pairs(members: DataFrame, errors: int = ERRORS) -> DataFrame:
-    """Distinct pairs (u, v) of different components under a common key, up to ``errors`` apart.
+def dealt(members: DataFrame) -> DataFrame:
+    """``members`` (key, id, comp, size) with their places (i, j, mine) in blocks.
 
-    ``members`` has key, id, comp, sig, sketch. No pair within ``ERRORS`` lacks a common key. A key's nodes are dealt into blocks of about
-    ``BLOCK``; every two blocks meet once, in one task that holds both and nothing else.
+    A key's nodes are dealt into blocks of about ``BLOCK`` nodes and ``BLOCK_BYTES`` of shingle sets; every two blocks
+    meet once, under (key, i, j).
     """
-    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(by_shuffle(sizes), "key").withColumn(
+    blocks = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") * 8 / BLOCK_BYTES)
+    sizes = members.groupBy("key").agg(F.ceil(blocks).cast("int").alias("blocks"))
+    placed = members.join(by_shuffle(sizes), "key").withColumn(
         "mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("theirs", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("mine", "theirs").alias("i"), F.greatest("mine", "theirs").alias("j"),
-                         "mine", "id", "comp", "sig", "sketch")
-    grouped = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    placed = placed.withColumn("theirs", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return placed.select("key", F.least("mine", "theirs").alias("i"), F.greatest("mine", "theirs").alias("j"),
+                         "mine", "id", "comp")
+
+
+def _by_block(rows: DataFrame, one, schema: str) -> DataFrame:
+    """Apply ``one`` to the rows of every (key, i, j): the pair of blocks lies in one task, with nothing else."""
+    names = [c.split(" ")[0] for c in schema.split(", ")]
+    grouped = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at = [], None
@@ -200,49 +218,105 @@ def near_pairs(members: DataFrame, errors: int = ERRORS) -> DataFrame:
             for row in batch.to_pylist():
                 key = (row["key"], row["i"], row["j"])
                 if key != at and held:
-                    found += _pairs_of_blocks(held, errors)
+                    found += one(held)
                     held = []
                 at = key
                 held.append(row)
-            yield _pair_batch(found)
-        yield _pair_batch(_pairs_of_blocks(held, errors) if held else [])
-
-    return grouped.mapInArrow(run, "u long, v long").distinct()
-
-
-def _first_key(x, y) -> tuple[int, int] | None:
-    """The first chunk two signatures share, and the first symbol they may have wrong there."""
-    wrong = (x != y).reshape(CHUNKS, CHUNK)
-    few = np.flatnonzero(wrong.sum(axis=1) <= 1)
-    return (int(few[0]), int(wrong[few[0]].argmax())) if len(few) else None
-
-
-def _pairs_of_blocks(rows: list[dict], errors: int) -> list[tuple[int, int]]:
-    """Pairs of different components that may be linked; of two blocks, pairs across them only."""
-    ids, comps, mine = (np.array([r[c] for r in rows], dtype=np.int64) for c in ("id", "comp", "mine"))
-    if len(rows) < 2 or (comps == comps[0]).all():
-        return []
-    sigs = np.frombuffer(b"".join(r["sig"] for r in rows), dtype=np.uint16).reshape(-1, SYMBOLS)
-    sketches = np.frombuffer(b"".join(r["sketch"] for r in rows), dtype=np.uint64).reshape(len(rows), -1)
-    here = divmod(rows[0]["key"] >> 48, CHUNK)
-    across = rows[0]["i"] != rows[0]["j"]
-    order = np.argsort(comps, kind="stable")
-    parts = np.split(order, np.flatnonzero(np.diff(comps[order])) + 1)
-    parts.sort(key=len)                               # the largest component is never compared with itself
-    out = []
-    for k, part in enumerate(parts[:-1]):
-        rest = np.concatenate(parts[k + 1:])
-        for i in part:
-            other = rest[mine[rest] != mine[i]] if across else rest
-            other = other[(sigs[other] != sigs[i]).sum(axis=1) <= errors]
-            other = other[np.bitwise_count(sketches[other] ^ sketches[i]).sum(axis=1) <= SKETCH_ERRORS]
-            out += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in other if _first_key(sigs[i], sigs[j]) == here]
-    return out
+            yield pa.RecordBatch.from_pylist(found, schema=out)
+        yield pa.RecordBatch.from_pylist(one(held) if held else [], schema=out)
 
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    out = pa.schema([(n, kinds[c.split(" ")[1]]) for n, c in zip(names, schema.split(", "), strict=True)])
+    return grouped.mapInArrow(run, schema)
 
-def _pair_batch(pairs) -> pa.RecordBatch:
-    cols = list(zip(*pairs, strict=True)) if pairs else [(), ()]
-    return pa.RecordBatch.from_arrays([pa.array([int(x) for x in c], pa.int64()) for c in cols], names=["u", "v"])
+
+NEAR_SCHEMA = "key long, i int, j int, mine int, id long, comp long, sig binary, sketch binary"
+
+
+def near_members(placed: DataFrame, errors: int = ERRORS) -> DataFrame:
+    """The rows of ``placed`` (with sig and sketch) that may be linked with a node of another component there.
+
+    No pair within ``ERRORS`` lacks a common key. A row stays or goes; none is made for a pair.
+    """
+    def one(rows: list[dict]) -> list[dict]:
+        block = _Block(rows, errors)
+        near = np.zeros(len(rows), dtype=bool)
+        for i, others in block.pairs():
+            near[others] = True
+            near[i] |= len(others) > 0
+        return [rows[k] for k in np.flatnonzero(near)]
+
+    return _by_block(placed, one, NEAR_SCHEMA)
+
+
+def block_links(near: DataFrame, errors: int = ERRORS) -> DataFrame:
+    """Links (u, v), confirmed on full sets, that join different components under a common key.
+
+    ``near`` are rows of ``near_members`` with ``full``, the whole shingle set. A pair of blocks emits a spanning
+    forest of the links it finds: at most one row fewer than it has nodes.
+    """
+    def one(rows: list[dict]) -> list[dict]:
+        block = _Block(rows, errors)
+        sets = [np.frombuffer(r["full"], dtype=np.uint64) for r in rows]
+        joined = block.part.copy()                    # the tree of the forest that each node is in
+        out = []
+        for i, others in block.pairs():
+            for j in others:
+                if joined[j] != joined[i] and linked(sets[i], sets[j]):
+                    out.append({"u": min(rows[i]["id"], rows[j]["id"]), "v": max(rows[i]["id"], rows[j]["id"])})
+                    joined[joined == joined[j]] = joined[i]
+        return out
+
+    return _by_block(near, one, "u long, v long")
+
+
+def _first_keys(wrong: np.ndarray) -> np.ndarray:
+    """For rows of differing symbols: number of the first key shared, by chunk and the first symbol that may be
+    wrong there (-1: none)."""
+    wrong = wrong.reshape(-1, CHUNKS, CHUNK)
+    few = wrong.sum(axis=2) <= 1
+    chunk = few.argmax(axis=1)
+    symbol = wrong[np.arange(len(wrong)), chunk].argmax(axis=1)
+    return np.where(few.any(axis=1), chunk * CHUNK + symbol, -1)
+
+
+def linked(p, q) -> bool:
+    """The rule on two full sets (sorted, without repeats)."""
+    least, most = sorted((len(p), len(q)))
+    if OF * least < SIMILAR * most:                   # too different in size
+        return False
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return bool(both) and OF * both >= SIMILAR * (len(p) + len(q) - both)
+
+
+class _Block:
+    """The nodes of one block or, of two blocks, of both."""
+
+    def __init__(self, rows: list[dict], errors: int):
+        comps, self.mine = (np.array([r[c] for r in rows], dtype=np.int64) for c in ("comp", "mine"))
+        self.errors, self.across, self.here = errors, rows[0]["i"] != rows[0]["j"], rows[0]["key"] >> 48
+        self.sigs = np.frombuffer(b"".join(r["sig"] for r in rows), dtype=np.uint16).reshape(-1, SYMBOLS)
+        self.sketches = np.frombuffer(b"".join(r["sketch"] for r in rows), dtype=np.uint64).reshape(len(rows), -1)
+        order = np.argsort(comps, kind="stable")
+        self.parts = np.split(order, np.flatnonzero(np.diff(comps[order])) + 1)
+        self.parts.sort(key=len)                      # the largest component is never compared with itself
+        self.part = np.empty(len(rows), dtype=np.int64)
+        for k, part in enumerate(self.parts):
+            self.part[part] = k
+
+    def pairs(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Each node with the nodes of larger components that signature and sketch do not rule out and that
+        share no earlier key with it."""
+        for k, part in enumerate(self.parts[:-1]):
+            rest = np.concatenate(self.parts[k + 1:])
+            for i in part:
+                other = rest[self.mine[rest] != self.mine[i]] if self.across else rest
+                wrong = self.sigs[other] != self.sigs[i]
+                few = wrong.sum(axis=1) <= self.errors
+                other, wrong = other[few], wrong[few]
+                close = np.bitwise_count(self.sketches[other] ^ self.sketches[i]).sum(axis=1) <= SKETCH_ERRORS
+                other, wrong = other[close], wrong[close]
+                yield i, other[_first_keys(wrong) == self.here] if len(other) else other
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -255,7 +329,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     rows = stored(signatures(docs, id_col, text_col), "signatures")
     usable = rows.filter("n_shingles > 0 and doc_id is not null")
-    nodes = usable.groupBy("a", "b").agg(F.min("doc_id").alias("id"), F.max("sig").alias("sig"))
+    nodes = usable.groupBy("a", "b").agg(F.min("doc_id").alias("id"), F.max("sig").alias("sig"),
+                                         F.max("n_shingles").alias("size"))
     nodes = stored(nodes, "nodes")
 
     # keys shared by two nodes or more, each with its leader
@@ -289,9 +364,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "key", "id", F.coalesce("component", "id").alias("comp"))
     open_keys = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y")
     rest = stored(named.join(by_shuffle(open_keys.select("key")), "key", "left_semi"), "open")
-    sketch = sketched(texts.join(by_shuffle(rest.select("id").distinct()), "id", "left_semi"))
-    rest = rest.join(by_shuffle(sig.join(by_shuffle(sketch), "id")), "id")
-    more = stored(confirm(stored(near_pairs(rest, SHARED_ERRORS), "near"), texts), "more-links")
+    sketch = stored(sketched(texts.join(by_shuffle(rest.select("id").distinct()), "id", "left_semi")), "sketches")
+    placed = dealt(rest.join(by_shuffle(nodes.select("id", "size")), "id"))
+    near = stored(near_members(placed.join(by_shuffle(sig.join(by_shuffle(sketch), "id")), "id"), SHARED_ERRORS), "near")
+    full = shingled(texts.join(by_shuffle(near.select("id").distinct()), "id", "left_semi"))
+    more = stored(block_links(near.join(by_shuffle(full), "id"), SHARED_ERRORS), "more-links")
 
     final = components(edges.unionByName(more))
     by_node = nodes.join(by_shuffle(final), "id", "left").select("a", "b", F.coalesce("component", "id").alias("component"))
