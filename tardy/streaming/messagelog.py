@@ -6,8 +6,9 @@ folder names alone tell which offsets exist. Expired segments may be removed fro
 
 The consumer contract: a first start reads from the earliest offset (or the latest, or given ones); a
 restarted query goes on at its committed offsets, which its checkpoint keeps; offsets that were
-committed but are gone stop the query, unless ``failOnDataLoss`` is false. Each segment is one input
-partition, read by its task as Arrow batches, so nothing but folder names passes the driver.
+committed but are gone stop the query, unless ``failOnDataLoss`` is false. An input partition is a run of segments of
+one log partition: a batch has about ``minPartitions`` of them and none holds more than ``TASK_OFFSETS`` offsets (or one
+segment), however short the segments are. Its task reads them as Arrow batches, so nothing but folder names passes the driver.
 Paths may be any URI that ``pyarrow.fs`` opens (``file:``, ``hdfs:``, ``s3:``, ``gs:``, ``abfss:``).
 """
 
@@ -27,6 +28,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])      # workers need
 
 FORMAT = "message_log"
 SEGMENT_SPAN = 1000
+TASK_OFFSETS = 250_000          # of one input partition
+BATCH_ROWS = 10_000             # of one Arrow batch
 MESSAGE_SCHEMA = "partition int, offset long, key string, value string, timestamp timestamp"
 _STORED = ["offset", "key", "value", "timestamp"]
 _SEGMENT = re.compile(r"span=(\d+)/partition=(\d+)/segment=(\d+)$")
@@ -36,12 +39,12 @@ class LostOffsetsError(RuntimeError):
     """Offsets that a consumer still needs are gone."""
 
 
-class SegmentRange(InputPartition):
-    """The offsets from ``first`` up to ``last`` (left out) of one segment."""
+class SegmentRun(InputPartition):
+    """Consecutive segments of a partition: (folder, first offset, last offset (left out)) of each."""
 
-    def __init__(self, partition: int, path: str, first: int, last: int):
-        super().__init__((partition, path, first, last))
-        self.partition, self.path, self.first, self.last = partition, path, first, last
+    def __init__(self, partition: int, segments: list[tuple[str, int, int]]):
+        super().__init__((partition, segments))
+        self.partition, self.segments = partition, segments
 
 
 class _Log:
@@ -50,6 +53,7 @@ class _Log:
     def __init__(self, options: dict):
         self.root = options["path"].rstrip("/")
         self.fail_on_loss = str(options.get("failOnDataLoss", "true")).lower() != "false"
+        self.min_partitions = int(options.get("minPartitions", 1))
 
     def segments(self) -> dict[int, dict[int, tuple[str, int]]]:
         """partition -> segment -> (path, span)."""
@@ -57,12 +61,16 @@ class _Log:
 
         store, base = fs.FileSystem.from_uri(self.root) if "://" in self.root or self.root.startswith("file:") \
             else (fs.LocalFileSystem(), self.root)
+        level = [base]
+        for _ in range(3):               # folders by span, partition and segment; the files in them are not listed
+            level = [info.path for folder in level
+                     for info in store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+                     if info.type == fs.FileType.Directory]
         found: dict[int, dict[int, tuple[str, int]]] = {}
-        for info in store.get_file_info(fs.FileSelector(base, recursive=True, allow_not_found=True)):
-            hit = _SEGMENT.search(info.path) if info.type == fs.FileType.Directory else None
-            if hit:
+        for path in level:
+            if hit := _SEGMENT.search(path):
                 span, partition, segment = map(int, hit.groups())
-                found.setdefault(partition, {})[segment] = (info.path, span)
+                found.setdefault(partition, {})[segment] = (path, span)
         return found
 
     def ends(self, first: bool) -> dict[str, int]:
@@ -74,9 +82,9 @@ class _Log:
             out[str(partition)] = n * span
         return out
 
-    def ranges(self, start: dict, end: dict) -> list[SegmentRange]:
+    def ranges(self, start: dict, end: dict) -> list[SegmentRun]:
         """The segments between two positions; raises where some of them are gone."""
-        out, held = [], self.segments()
+        wanted, held = {}, self.segments()
         if gone := [name for name in start if name not in end]:
             if self.fail_on_loss:
                 raise LostOffsetsError(f"partitions {', '.join(gone)} are gone")
@@ -85,28 +93,47 @@ class _Log:
             span = next((s for _, s in segments.values()), SEGMENT_SPAN)
             # a partition that is new to the consumer begins at its first segment
             first = start.get(name, min(segments, default=0) * span)
-            for n in range(first // span, -(-last // span)):
-                low, high = max(first, n * span), min(last, (n + 1) * span)
-                if n in segments:
-                    out.append(SegmentRange(int(name), segments[n][0], low, high))
-                elif self.fail_on_loss and n < min(segments, default=n + 1):
-                    raise LostOffsetsError(f"partition {name}: offsets {low} to {high - 1} are gone")
+            earliest = min(segments) * span if segments else last
+            if self.fail_on_loss and first < min(earliest, last):
+                raise LostOffsetsError(f"partition {name}: offsets {first} to {min(earliest, last) - 1} are gone")
+            wanted[int(name)] = [(segments[n][0], max(first, n * span), min(last, (n + 1) * span))
+                                 for n in sorted(segments) if n * span < last and (n + 1) * span > first]
+        return self.runs(wanted)
+
+    def runs(self, wanted: dict[int, list[tuple[str, int, int]]]) -> list[SegmentRun]:
+        """Segments by partition -> input partitions."""
+        total = sum(high - low for segments in wanted.values() for _, low, high in segments)
+        most = min(TASK_OFFSETS, -(-total // self.min_partitions))
+        out = []
+        for partition, segments in wanted.items():
+            run, size = [], 0
+            for segment in segments:
+                width = segment[2] - segment[1]
+                if run and size + width > most:
+                    out.append(SegmentRun(partition, run))
+                    run, size = [], 0
+                run.append(segment)
+                size += width
+            if run:
+                out.append(SegmentRun(partition, run))
         return out
 
-    def read(self, part: SegmentRange) -> Iterator:
+    def read(self, part: SegmentRun) -> Iterator:
         import pyarrow as pa
         import pyarrow.compute as pc
         import pyarrow.dataset as ds
         from pyarrow import fs
 
         store = fs.FileSystem.from_uri(self.root)[0] if "://" in self.root or self.root.startswith("file:") else fs.LocalFileSystem()
-        wanted = (pc.field("offset") >= part.first) & (pc.field("offset") < part.last)
-        rows = ds.dataset(part.path, filesystem=store, format="parquet", partitioning=None)
-        for batch in rows.to_batches(columns=_STORED, filter=wanted):
-            if len(batch):
-                number = pa.array([part.partition] * len(batch), pa.int32())
-                time = batch.column(3).cast(pa.timestamp("us", tz="UTC"))
-                yield pa.RecordBatch.from_arrays([number, *batch.columns[:3], time], names=["partition", *_STORED])
+        for path, first, last in part.segments:
+            wanted = (pc.field("offset") >= first) & (pc.field("offset") < last)
+            rows = ds.dataset(path, filesystem=store, format="parquet", partitioning=None)
+            for batch in rows.to_batches(columns=_STORED, filter=wanted, batch_size=BATCH_ROWS, batch_readahead=1,
+                                         fragment_readahead=1, use_threads=False):
+                if len(batch):
+                    number = pa.array([part.partition] * len(batch), pa.int32())
+                    time = batch.column(3).cast(pa.timestamp("us", tz="UTC"))
+                    yield pa.RecordBatch.from_arrays([number, *batch.columns[:3], time], names=["partition", *_STORED])
 
 
 class MessageLogStream(DataSourceStreamReader):
@@ -121,10 +148,10 @@ class MessageLogStream(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         return self.log.ends(first=False)
 
-    def partitions(self, start: dict, end: dict) -> list[SegmentRange]:
+    def partitions(self, start: dict, end: dict) -> list[SegmentRun]:
         return self.log.ranges(start, end)
 
-    def read(self, partition: SegmentRange) -> Iterator:
+    def read(self, partition: SegmentRun) -> Iterator:
         return self.log.read(partition)
 
 
@@ -132,10 +159,10 @@ class MessageLogBatch(DataSourceReader):
     def __init__(self, options: dict):
         self.log = _Log(options)
 
-    def partitions(self) -> list[SegmentRange]:
+    def partitions(self) -> list[SegmentRun]:
         return self.log.ranges(self.log.ends(first=True), self.log.ends(first=False))
 
-    def read(self, partition: SegmentRange) -> Iterator:
+    def read(self, partition: SegmentRun) -> Iterator:
         return self.log.read(partition)
 
 
@@ -191,10 +218,14 @@ def _register(spark: SparkSession) -> None:
     spark.dataSource.register(MessageLogSource)
 
 
+def _min_partitions(spark: SparkSession) -> int:
+    return 2 * spark.sparkContext.defaultParallelism
+
+
 def read_log(spark: SparkSession, root: str) -> DataFrame:
     """All messages of a log."""
     _register(spark)
-    return spark.read.format(FORMAT).option("path", root).load()
+    return spark.read.format(FORMAT).option("path", root).option("minPartitions", _min_partitions(spark)).load()
 
 
 def consume(spark: SparkSession, root: str, starting: str = "earliest", skip_lost_data: bool = False) -> DataFrame:
@@ -205,4 +236,5 @@ def consume(spark: SparkSession, root: str, starting: str = "earliest", skip_los
     """
     _register(spark)
     return (spark.readStream.format(FORMAT).option("path", root).option("startingOffsets", starting)
+                 .option("minPartitions", _min_partitions(spark))
                  .option("failOnDataLoss", str(not skip_lost_data).lower()).load())

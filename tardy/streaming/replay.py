@@ -109,13 +109,23 @@ def _kept(spark: SparkSession, frame: DataFrame, root: str, mode: str = "append"
               .trigger(availableNow=True).start())
 
 
+SEGMENTS = 64                  # of a partition of the replayed log, while a segment is not too long for one task
+
+
+def _span(messages: DataFrame) -> int:
+    """Offsets of a segment, so that the number of segments does not grow with the messages until segments have
+    as many offsets as a task reads."""
+    last = messages.agg(F.max("offset")).first()[0]
+    return min(ML.TASK_OFFSETS, max(ML.SEGMENT_SPAN, -(-((last or 0) + 1) // SEGMENTS)))
+
+
 def _in_two_parts(spark: SparkSession, events: DataFrame, tag: str, frame, mode: str = "append") -> DataFrame:
-    """Append half of the messages to a log, drain it, append the rest and drain again."""
+    """Append the first segments of the messages to a log, drain it, append the rest and drain again."""
     root = _workdir(spark, tag)
     messages = log_messages(events)
-    middle = ML.SEGMENT_SPAN
-    for half in (messages.filter(F.col("offset") < middle), messages.filter(F.col("offset") >= middle)):
-        ML.append_messages(half, f"{root}/log")
+    span = _span(messages)
+    for half in (messages.filter(F.col("offset") < span), messages.filter(F.col("offset") >= span)):
+        ML.append_messages(half, f"{root}/log", span)
         _kept(spark, frame(ML.consume(spark, f"{root}/log")), root, mode)
     return spark.read.parquet(f"{root}/out").drop("batch_id")
 

@@ -250,6 +250,28 @@ def test_consumer_starts_earliest_or_latest_resumes_and_reports_lost_offsets(spa
     assert drained("d", starting='{"0": 3}', skip_lost_data=True)[0] == 20
 
 
+def test_a_log_of_many_segments_is_read_by_few_tasks(spark, tmpdir_fresh):
+    from tardy.streaming import messagelog as ML
+
+    log = f"{tmpdir_fresh}/log"
+    rows = [(p, i, None, f"m{i}", dt.datetime(2026, 5, 1)) for p in (0, 1) for i in range(60)]
+    ML.append_messages(spark.createDataFrame(rows, ML.MESSAGE_SCHEMA), log, span=2)
+    reader = ML.MessageLogStream({"path": log, "minPartitions": "6"})
+    parts = reader.partitions({"0": 3}, {"0": 51, "1": 60})
+    assert len(parts) <= 8
+    assert [(s[1], s[2]) for s in parts[0].segments][0] == (3, 4)
+    got = sorted((p, o) for part in parts for b in reader.read(part) for p, o in zip(b["partition"].to_pylist(), b["offset"].to_pylist()))
+    assert got == [(0, i) for i in range(3, 51)] + [(1, i) for i in range(60)]
+    read = ML.read_log(spark, log)
+    assert read.rdd.getNumPartitions() <= 12 and read.count() == 120
+
+
+def test_a_longer_log_has_longer_segments(spark):
+    sizes = (100, 64_000, 640_000, 10**9)
+    spans = [RP._span(spark.createDataFrame([(n - 1,), (None,)], "offset long")) for n in sizes]
+    assert spans == [1000, 1000, 10_000, 250_000] and RP._span(spark.createDataFrame([], "offset long")) == 1000
+
+
 def test_a_stopped_landing_goes_on_and_readers_see_ledgered_batches_only(spark, tmpdir_fresh):
     src, raw, dead, ck = (f"{tmpdir_fresh}/{n}" for n in ("in", "raw", "dead", "ck"))
     for i in range(3):
