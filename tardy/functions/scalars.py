@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tardy.schemas import NAME_SEPARATOR, NIGHT, PEAK_RANGES, PERIOD_RANGES
@@ -15,6 +15,12 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns by a generator of one row: no later step evaluates them again, and the code generated for a step
+    stays short enough (8,000 bytes a method) for the JVM to compile it."""
+    return df.select(*df.columns, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def iso_utc(ts) -> Column:
     """Timestamp -> ``2024-01-01T00:06:00+00:00`` (session zone is pinned to UTC)."""
     return F.concat(F.date_format(_c(ts), _ISO_SECONDS), F.lit(UTC_SUFFIX))
@@ -34,7 +40,12 @@ EPOCH_RANGE = (-62_135_596_800, 253_402_300_799)
 
 def epoch_to_iso(epoch_text) -> Column:
     """B1: epoch seconds as text (missing, malformed or out of range -> 0) -> UTC ISO-8601 text."""
-    secs = _int_text(epoch_text).try_cast("bigint")
+    return seconds_to_iso(int_value(epoch_text, "bigint"))
+
+
+def seconds_to_iso(secs) -> Column:
+    """Epoch seconds (null or out of range -> 0) -> UTC ISO-8601 text."""
+    secs = _c(secs)
     return iso_utc(F.timestamp_seconds(F.when(secs.between(*EPOCH_RANGE), secs).otherwise(F.lit(0))))
 
 
@@ -49,22 +60,27 @@ def _int_text(text) -> Column:
     return F.when(t.rlike(INT_LITERAL), F.regexp_replace(F.trim(t), "_", ""))
 
 
-def is_malformed_number(text, kind: str = "int") -> Column:
-    """True when a value is present but no integer literal that ``kind`` can hold."""
+def int_value(text, kind: str = "int") -> Column:
+    """The number that an integer literal holds; null if it is none or ``kind`` cannot hold it."""
+    return _int_text(text).try_cast(kind)
+
+
+def is_malformed_number(text, kind: str = "int", value: Column | None = None) -> Column:
+    """True when a value is present but no integer literal that ``kind`` can hold (``value``: its ``int_value``)."""
     t = _c(text)
-    return t.isNotNull() & _int_text(t).try_cast(kind).isNull()
+    return t.isNotNull() & (int_value(t, kind) if value is None else value).isNull()
 
 
-def is_malformed_epoch(text) -> Column:
-    """True when a value is present but no epoch second of a calendar time."""
+def is_malformed_epoch(text, secs: Column | None = None) -> Column:
+    """True when a value is present but no epoch second of a calendar time (``secs``: its ``int_value``)."""
     t = _c(text)
-    return t.isNotNull() & ~F.coalesce(_int_text(t).try_cast("bigint").between(*EPOCH_RANGE), F.lit(False))
+    return t.isNotNull() & ~F.coalesce((int_value(t, "bigint") if secs is None else secs).between(*EPOCH_RANGE), F.lit(False))
 
 
-def parse_int_default(text, default: int = 0) -> Column:
+def parse_int_default(text, default: int = 0, value: Column | None = None) -> Column:
     """B2: numeric text -> int, missing -> default. Malformed text is null, never the default."""
     t = _c(text)
-    return F.when(t.isNull(), F.lit(default)).otherwise(_int_text(t).try_cast("int"))
+    return F.when(t.isNull(), F.lit(default)).otherwise(int_value(t) if value is None else value)
 
 
 def decode_flag(text, is_text=None) -> Column:

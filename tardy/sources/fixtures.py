@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tardy.functions.scalars import iso_utc
+from tardy.functions.scalars import iso_utc, once
 from tardy.schemas import DEFAULT_STATIONS, RAW_COLUMNS
 from tardy.session import pin_utc
 
@@ -129,12 +129,11 @@ def _object(*members: Column) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
 
 
-def _departure_json(offset_seconds: int, vehicle_shift: int) -> Column:
-    """One departure object. Numbers are text, some malformed, too large, null or left out."""
+def _departure_members() -> dict[str, Column]:
+    """The members that all departures of an event share, as JSON text; null ones are left out. Numbers are text,
+    some malformed, too large, null or left out."""
     e, u, etype = F.col("event_id"), F.col("user_id"), F.col("event_type")
     gone, null = F.lit(None).cast("string"), F.lit("null")
-    epoch = F.unix_timestamp(F.date_trunc("minute", F.col("ts"))) + F.lit(offset_seconds)
-    time = F.when(_mod(e, 67) == 9, F.lit("999999999999999")).otherwise(epoch.cast("string"))
     delay = (F.when(_mod(e, 53) == 6, _quoted(F.lit("n/a")))
              .when(_mod(e, 59) == 7, _quoted(F.lit("3000000000")))
              .when(_mod(e, 61) == 8, null)
@@ -144,42 +143,53 @@ def _departure_json(offset_seconds: int, vehicle_shift: int) -> Column:
     canceled = (F.when(_mod(e, 19) == 3, F.lit("1"))
                 .when(etype == "error", _quoted(F.lit(1)))
                 .when(_mod(e, 13) == 0, gone).otherwise(_quoted(F.lit(0))))
-    vehicle = (F.when(_mod(e, 103) == 9, gone).when(_mod(e, 107) == 10, null)
-               .otherwise(_quoted(F.concat(F.lit("V"), (u + vehicle_shift).cast("string")))))
     platform = F.when(_mod(e, 7) == 0, gone).when(_mod(e, 23) == 4, null).otherwise(_quoted(_mod(e, 12)))
     occ = _mod(e, 9)
     level = F.when(occ < 2, F.lit("low")).when(occ < 5, F.lit("medium")).when(occ < 7, F.lit("high"))
-    return _object(
-        _member("station", _quoted(F.concat(F.lit("Dest "), _mod(u, 7).cast("string")))),
-        _member("stationinfo", _object(_member("id", F.when(_mod(e, 71) == 11, null).otherwise(
+    return {
+        "_station": _member("station", _quoted(F.concat(F.lit("Dest "), _mod(u, 7).cast("string")))),
+        "_info": _member("stationinfo", _object(_member("id", F.when(_mod(e, 71) == 11, null).otherwise(
             _quoted(F.concat(F.lit("D"), _mod(u, 7).cast("string"))))))),
-        _member("time", _quoted(time)), _member("delay", delay), _member("canceled", canceled),
-        _member("vehicle", vehicle),
-        _member("vehicleinfo", F.when(_mod(e, 89) == 15, null).when(_mod(e, 17) != 0, _object(
+        "_epoch": F.unix_timestamp(F.date_trunc("minute", F.col("ts"))),
+        "_delay": _member("delay", delay), "_canceled": _member("canceled", canceled),
+        "_vehicleinfo": _member("vehicleinfo", F.when(_mod(e, 89) == 15, null).when(_mod(e, 17) != 0, _object(
             _member("type", F.when(_mod(e, 73) == 12, null).otherwise(_quoted(F.upper(etype))))))),
-        _member("platform", platform),
-        _member("occupancy", F.when(_mod(e, 79) == 13, _object(_member("name", null)))
-                .when(level.isNotNull(), _object(_member("name", _quoted(level))))))
+        "_platform": _member("platform", platform),
+        "_occupancy": _member("occupancy", F.when(_mod(e, 79) == 13, _object(_member("name", null)))
+                              .when(level.isNotNull(), _object(_member("name", _quoted(level))))),
+    }
+
+
+def _departure_json(offset_seconds: int, vehicle_shift: int) -> Column:
+    """One departure object of an event with its ``_departure_members``."""
+    e, u = F.col("event_id"), F.col("user_id")
+    gone, null = F.lit(None).cast("string"), F.lit("null")
+    time = F.when(_mod(e, 67) == 9, F.lit("999999999999999")).otherwise(
+        (F.col("_epoch") + F.lit(offset_seconds)).cast("string"))
+    vehicle = (F.when(_mod(e, 103) == 9, gone).when(_mod(e, 107) == 10, null)
+               .otherwise(_quoted(F.concat(F.lit("V"), (u + vehicle_shift).cast("string")))))
+    return _object(F.col("_station"), F.col("_info"), _member("time", _quoted(time)), F.col("_delay"), F.col("_canceled"),
+                   _member("vehicle", vehicle), F.col("_vehicleinfo"), F.col("_platform"), F.col("_occupancy"))
 
 
 def liveboard_documents_from_events(ev: DataFrame) -> DataFrame:
     """(doc_id, requested_station, document) — document is JSON text or null."""
     e = F.col("event_id")
-    one, two = _departure_json(0, 0), _departure_json(600, 1)
-    boards = (F.when(_mod(e, 31) == 1, F.lit("{}"))
-              .when(_mod(e, 4) == 0, F.concat_ws(",", one, two)).otherwise(one))
     null = F.lit("null")
     info = _object(_member("id", F.when(_mod(e, 109) == 14, null).otherwise(
                        _quoted(F.concat(F.lit("BE.ST"), _mod(e, 5).cast("string"))))),
                    _member("standardname", F.when(_mod(e, 103) == 9, null).otherwise(
                        _quoted(_pick(_mod(e, 5), STATION_NAMES)))))
+    rows = once(ev.select("event_id", "ts", "user_id", "event_type", "value"), **_departure_members())
+    rows = once(rows, _one=_departure_json(0, 0), _two=F.when(_mod(e, 4) == 0, _departure_json(600, 1)), _board=info)
+    boards = F.when(_mod(e, 31) == 1, F.lit("{}")).otherwise(F.concat_ws(",", "_one", "_two"))
     listed = _object(_member("departure", F.concat(F.lit("["), boards, F.lit("]"))))
-    text = _object(_member("stationinfo", F.when(_mod(e, 37) != 2, info)),
+    text = _object(_member("stationinfo", F.when(_mod(e, 37) != 2, F.col("_board"))),
                    _member("departures", F.when(_mod(e, 41) != 3, listed)))
     text = (F.when(_mod(e, 43) == 4, F.lit(None).cast("string"))
             .when(_mod(e, 47) == 5, F.substring(text, 1, 25))
             .otherwise(text))
-    return ev.select(
+    return rows.select(
         e.alias("doc_id"),
         _pick(_mod(e, 5), DEFAULT_STATIONS).alias("requested_station"),
         text.alias("document"),

@@ -58,34 +58,59 @@ def _is_text(variant: Column, path: str) -> Column:
     return F.schema_of_variant(_get(variant, path, "variant")) == F.lit("STRING")
 
 
-def departure_columns(ingested_at: Column | None = None) -> dict[str, Column]:
-    dep, board = F.col("dep"), F.try_parse_json("stationinfo")
+# Text fields of an event: (object, path, what a missing key takes).
+TEXT_FIELDS = {
+    "station_id": ("_board", "id", ""),
+    "station_name": ("_board", "standardname", ""),
+    "destination": ("dep", "station", ""),
+    "destination_id": ("dep", "stationinfo.id", ""),
+    "vehicle_id": ("dep", "vehicle", ""),
+    "vehicle_type": ("dep", "vehicleinfo.type", ""),
+    "platform": ("dep", "platform", ""),
+    "occupancy": ("dep", "occupancy.name", "unknown"),
+}
+
+
+def with_values(rows: DataFrame) -> DataFrame:
+    """``parse_documents`` rows and the values found in them, each looked up and converted once: the fields' texts
+    (``_<field>``), the numbers' texts and values, ``parse_error``."""
+    dep = F.col("dep")
+    out = S.once(rows, _board=F.try_parse_json("stationinfo"))
+    out = S.once(out, **{f"_{k}": _get(F.col(v), path) for k, (v, path, _) in TEXT_FIELDS.items()},
+                 _time=_get(dep, "time"), _delay=_get(dep, "delay"), _canceled=_get(dep, "canceled"))
+    out = S.once(out, _seconds=S.int_value("_time", "bigint"), _delay_value=S.int_value("_delay"))
+    return S.once(out, parse_error=parse_error())
+
 
-    def text(variant: Column, path: str, default: str = "") -> Column:
+def departure_columns(ingested_at: Column | None = None) -> dict[str, Column]:
+    """The event columns of ``with_values`` rows."""
+    def text(name: str) -> Column:
         """The value, null included; the default only where the key is missing."""
-        return S.with_default(_get(variant, path), default, _has(variant, path))
+        variant, path, default = TEXT_FIELDS[name]
+        value = F.col(f"_{name}")
+        return S.with_default(value, default, value.isNotNull() | _has(F.col(variant), path))
 
     return {
-        "station_id": text(board, "id"),
-        "station_name": text(board, "standardname"),
-        "destination": text(dep, "station"),
-        "destination_id": text(dep, "stationinfo.id"),
-        "scheduled_time": S.epoch_to_iso(_get(dep, "time")),
-        "delay_seconds": S.parse_int_default(_get(dep, "delay")),
-        "canceled": S.decode_flag(_get(dep, "canceled"), _is_text(dep, "canceled")),
-        "vehicle_id": text(dep, "vehicle"),
-        "vehicle_type": text(dep, "vehicleinfo.type"),
-        "platform": text(dep, "platform"),
-        "occupancy": text(dep, "occupancy.name", "unknown"),
+        "station_id": text("station_id"),
+        "station_name": text("station_name"),
+        "destination": text("destination"),
+        "destination_id": text("destination_id"),
+        "scheduled_time": S.seconds_to_iso("_seconds"),
+        "delay_seconds": S.parse_int_default("_delay", value=F.col("_delay_value")),
+        "canceled": S.decode_flag("_canceled", _is_text(F.col("dep"), "canceled")),
+        "vehicle_id": text("vehicle_id"),
+        "vehicle_type": text("vehicle_type"),
+        "platform": text("platform"),
+        "occupancy": text("occupancy"),
         "ingested_at": S.iso_utc_micros(F.current_timestamp()) if ingested_at is None else ingested_at,
     }
 
 
 def parse_error() -> Column:
-    dep = F.col("dep")
-    time, delay = _get(dep, "time"), _get(dep, "delay")
-    null_number = (_has(dep, "time") & time.isNull()) | (_has(dep, "delay") & delay.isNull())
-    bad = null_number | S.is_malformed_epoch(time) | S.is_malformed_number(delay)
+    dep, time, delay = F.col("dep"), F.col("_time"), F.col("_delay")
+    null_number = (time.isNull() & _has(dep, "time")) | (delay.isNull() & _has(dep, "delay"))
+    bad = (null_number | S.is_malformed_epoch(time, F.col("_seconds"))
+           | S.is_malformed_number(delay, value=F.col("_delay_value")))
     return F.when(bad, F.lit(REASON_MALFORMED_NUMBER))
 
 
@@ -97,11 +122,10 @@ def liveboard_events(docs: DataFrame, ingested_at: Column | None = None,
     rows = parse_documents(docs, document_col)
     cols = departure_columns(ingested_at)
     keep = [c for c in rows.columns if c not in ("stationinfo", "dep", "dep_text")]
-    err = parse_error()
-    out = rows.select(*keep, *[(F.when(err.isNull(), v) if k == "delay_seconds" else v).alias(k)
-                               for k, v in cols.items()],
-                      err.alias("parse_error"), F.col("dep_text").alias("original_text"))
-    return out
+    err = F.col("parse_error")
+    return with_values(rows).select(*keep, *[(F.when(err.isNull(), v) if k == "delay_seconds" else v).alias(k)
+                                             for k, v in cols.items()],
+                                    err, F.col("dep_text").alias("original_text"))
 
 
 def flatten_liveboards(docs: DataFrame, ingested_at: Column | None = None,

@@ -163,3 +163,17 @@ def test_messages_survive_the_trip_through_text_and_files(spark, tmpdir_fresh):
     counts = P.publish_counts(raw).first()
     assert spark.read.json(f"{tmpdir_fresh}/good").count() == counts["published"] > 900
     assert spark.read.json(f"{tmpdir_fresh}/dead").count() == counts["failed"] > 10
+
+
+def test_the_code_of_boards_and_their_events_is_short_enough_to_be_compiled(spark):
+    import re
+
+    from tardy.plans import catalog
+
+    docs = X.liveboard_documents(spark, SF_SMALL)
+    for df in (docs, L.flatten_liveboards(docs), catalog.QUERIES["json_round_trip"](spark, SF_SMALL)):
+        text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+        assert sizes and max(sizes) < 8000              # the JVM compiles no longer method
+        # a number's literal is matched once, not by every expression that uses it
+        assert df._jdf.queryExecution().executedPlan().toString().count("RLIKE") <= 4
