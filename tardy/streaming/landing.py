@@ -105,7 +105,8 @@ def parse_messages(messages: DataFrame, keep: list[str] | None = None) -> DataFr
     """
     j = F.from_json(F.col("value"), _PARSE_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
     keep = keep or []
-    parsed = messages.select(*keep, F.col("value"), j.alias("m"))
+    # a generator of one row: a filter that is pushed down does not parse the message again
+    parsed = messages.select(*keep, F.col("value"), F.explode(F.array(j)).alias("m"))
     cols = [F.col(f"m.{c}").alias(c) for c in P.EVENT_COLUMNS]
     broken = F.col(f"m.{CORRUPT}").isNotNull() | F.col("m").isNull()
     out = parsed.select(*keep, "value", *cols, broken.alias("_broken"))

@@ -5,6 +5,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tardy.operators import clean as C
 from tardy.operators import models as M
@@ -295,3 +296,12 @@ def test_running_mart_is_the_batch_mart_even_when_messages_come_twice(spark):
     raw = X.raw_departures(spark, SF_SMALL)
     want = _rows(M.StarSchema(spark, C.clean_departures(raw)).mart)
     assert _rows(RP.replay_mart(spark, raw, batches=3, twice=True)) == want
+
+
+def test_a_message_is_parsed_once(spark):
+    values = [json.dumps(EV), json.dumps({**EV, "vehicle_id": None}), '{"cut', "", None]
+    rows = SL.parse_messages(spark.createDataFrame([(v,) for v in values], "value string"))
+    kept = rows.filter(F.coalesce(F.col("failure_reason") != SL.REASON_MALFORMED_JSON, F.lit(True)))
+    assert kept._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+    assert [r["failure_reason"] for r in rows.collect()] == [
+        None, "Missing required fields", *[SL.REASON_MALFORMED_JSON] * 3]
